@@ -1,0 +1,55 @@
+"""Bounded dimensions: size checks before a broadcast or a plan-time collect.
+
+Every table the library broadcasts or folds into a plan (lexicon, states,
+gazetteer, centres) passes through here, so a side is broadcast only after
+its size was checked. Beyond the bound the caller gets a shuffle join
+instead (``broadcast_if_small``) or a clear error (``collect_bounded``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..errors import DimensionTooLarge
+
+# Rows above which a dimension is not broadcast. Override per session with
+# ``spark.conf.set("postlens.broadcast.maxRows", ...)``.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Rows above which a dimension is not folded into a plan as literals.
+DEFAULT_COLLECT_MAX_ROWS = 10_000
+
+
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    try:
+        v = df.sparkSession.conf.get(key, None)
+        return int(v) if v else default
+    except Exception:
+        return default
+
+
+def row_count_upto(df: DataFrame, bound: int) -> int:
+    """Exact row count if it is at most ``bound``, else ``bound + 1``.
+
+    Reads at most ``bound + 1`` rows, so the check costs little even when the
+    table turns out to be large.
+    """
+    return df.limit(bound + 1).count()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
+    unchanged (Catalyst/AQE then plan a shuffle join)."""
+    bound = max_rows or _conf_int(df, "postlens.broadcast.maxRows", DEFAULT_BROADCAST_MAX_ROWS)
+    if row_count_upto(df, bound) <= bound:
+        return F.broadcast(df)
+    return df
+
+
+def collect_bounded(df: DataFrame, max_rows: int | None = None, what: str = "dimension"):
+    """Collect a small dimension to the driver, refusing it past the bound."""
+    bound = max_rows or _conf_int(df, "postlens.collect.maxRows", DEFAULT_COLLECT_MAX_ROWS)
+    rows = df.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise DimensionTooLarge(f"{what} has more than {bound} rows")
+    return rows
