@@ -282,7 +282,7 @@ def q_kmeans_events(spark, sf):
 
 def q_kmeans_elbow_events(spark, sf):
     f = _event_features(spark, sf)
-    return C.km(f, FEATS, n_cluster=None, max_cluster=4, n_init=1, max_iter=8, seed=20, key="event_id",
+    return C.km(f, FEATS, n_cluster=None, max_cluster=6, n_init=1, max_iter=20, seed=20, key="event_id",
                 out="kmlabel_opt").select("event_id", "kmlabel_opt")
 
 
