@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..errors import ClusteringInputError, ElbowUndefined
 from ..functions.text import col_of
+from ..sources.files import local_frame
 from .dims import collect_bounded
 from .projection import numeric_columns, require_columns
 
@@ -186,7 +187,7 @@ def sse_curve(df: DataFrame, cols, max_cluster: int = 10, n_init: int = 10, max_
             sse.append((k, float(cost)))
     finally:
         vec.unpersist()
-    return df.sparkSession.createDataFrame(sse, "k int, sse double")
+    return local_frame(df.sparkSession, sse, "k int, sse double")
 
 
 def kmeans(df: DataFrame, cols, k: int, n_init: int = 10, max_iter: int = 300, seed: int = 40,

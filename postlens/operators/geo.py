@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.geo import address_state, pick_one, state_match_array, state_pattern
 from ..functions.text import col_of
+from ..sources.files import local_frame
 from .dims import broadcast_if_small, collect_bounded
 from .projection import require_columns
 
@@ -26,7 +27,7 @@ from .projection import require_columns
 def us_states_frame(spark) -> DataFrame:
     """Default state table: name, abbr, optional phonetic code, list order."""
     rows = [(i, n, a, None) for i, (n, a) in enumerate(K.US_STATES)]
-    return spark.createDataFrame(rows, "ord int, name string, abbr string, code string")
+    return local_frame(spark, rows, "ord int, name string, abbr string, code string")
 
 
 def state_patterns(states: DataFrame, name_col: str = "name", alt_cols=("abbr", "code"),
@@ -72,8 +73,8 @@ def state_matches_join(df: DataFrame, states: DataFrame, location_col: str = "us
     """
     pats = state_patterns(states, **pattern_opts)
     spark = df.sparkSession
-    pat_df = spark.createDataFrame([(i, n, p) for i, (n, p) in enumerate(pats)],
-                                   "_ord int, _state string, _pattern string")
+    pat_df = local_frame(spark, [(i, n, p) for i, (n, p) in enumerate(pats)],
+                         "_ord int, _state string, _pattern string")
     loc = col_of(location_col)
     cond = (loc != F.lit("")) & F.expr(f"`{location_col}` rlike _pattern")
     joined = df.join(F.broadcast(pat_df), cond, how)

@@ -2,7 +2,8 @@
 
 Plan shape (per call, all text columns at once)::
 
-    posts(key, text...) -> explode tokens -> broadcast hash join lexicon
+    posts(key, text_i) -> explode tokens (one narrow branch per column, unioned)
+      -> broadcast hash join lexicon (inner: only hits go on)
       -> partial+final hash aggregate by key -> left join back to posts
 
 The lexicon is an input table ``(token string, valence double)``; its size is
@@ -35,21 +36,25 @@ LEXICON_MAX_ROWS = DEFAULT_BROADCAST_MAX_ROWS
 
 def lexicon_frame(spark, entries) -> DataFrame:
     """Lexicon from ``[(token, valence), ...]``."""
-    return spark.createDataFrame([(str(t), float(v)) for t, v in entries], "token string, valence double")
+    from ..sources.files import local_frame
+    return local_frame(spark, [(str(t), float(v)) for t, v in entries], "token string, valence double")
 
 
 def checked_lexicon(lexicon: DataFrame, max_rows: int = LEXICON_MAX_ROWS) -> DataFrame:
-    """Validate (non-empty, unique tokens, bounded) in one small job; return a
-    broadcast-hinted frame with lower-cased tokens and decimal valences."""
+    """Validate (non-empty, unique tokens, bounded) and return a broadcast
+    frame with lower-cased tokens and decimal valences.
+
+    The check reads at most ``max_rows + 1`` token names in one scan-only job
+    (no shuffle); a lexicon past the bound is refused rather than broadcast.
+    """
     lex = lexicon.select(F.lower(F.col("token")).alias("token"),
                          F.col("valence").cast(VALENCE_TYPE).alias("valence"))
-    probe = lex.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                        F.count_distinct("token").alias("d")).first()
-    if probe["n"] == 0:
+    names = [r[0] for r in lex.select("token").limit(max_rows + 1).collect()]
+    if not names:
         raise LexiconError("lexicon is empty")
-    if probe["n"] > max_rows:
+    if len(names) > max_rows:
         raise LexiconError(f"lexicon has more than {max_rows} rows; too large to broadcast")
-    if probe["d"] != probe["n"]:
+    if len(set(names)) != len(names):
         raise LexiconError("lexicon repeats a token (would double-count)")
     return F.broadcast(lex.filter(F.col("valence") != 0))
 
@@ -75,12 +80,13 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text_cols=("full_text", "user-d
     require_columns(df, list(text_cols) + [key])
     lex = checked_lexicon(lexicon)
     k = col_of(key)
-    def tag(i):
-        return lambda t: F.struct(F.lit(i).alias("src"), t.alias("token"))
-
-    tagged = [F.transform(tokens(c), tag(i)) for i, c in enumerate(text_cols)]
-    exploded = (df.select(k.alias("_key"), F.explode(F.concat(*tagged)).alias("_t"))
-                .select("_key", F.col("_t.src").alias("src"), F.col("_t.token").alias("token")))
+    # one narrow explode per text column (each reads only key + its text),
+    # unioned; the source index tells the columns apart in the aggregate
+    parts = [df.select(k.alias("_key"), F.lit(i).alias("src"), F.explode(tokens(c)).alias("token"))
+             for i, c in enumerate(text_cols)]
+    exploded = parts[0]
+    for p in parts[1:]:
+        exploded = exploded.unionByName(p)
     hits = exploded.join(lex, "token", "inner")
     v = F.col("valence")
     aggs = []

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import broadcast_if_small
+from .files import local_frame, read_spread
 
 # FIXED VALUES: toy lexicon (token, valence) used by the stand-in queries.
 TOY_LEXICON = [
@@ -26,8 +27,16 @@ TOPIC_B = "(this|that)"
 TOPICS = {"topic_a": TOPIC_A, "topic_b": TOPIC_B}
 
 
+# Tables whose rows carry long texts: per-row work is heavy, so a scan with
+# fewer splits than cores is spread before the work starts.
+TEXT_TABLES = {"documents", "conversations", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in TEXT_TABLES:
+        return read_spread(spark, path)
+    return spark.read.parquet(path)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +64,7 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TOY_LEXICON, "token string, valence double")
+    return local_frame(spark, TOY_LEXICON, "token string, valence double")
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
