@@ -24,9 +24,15 @@ def json_paths(folder: str) -> str:
 
 
 def parse_lines(lines: DataFrame, col: str = "value", out: str = "raw") -> DataFrame:
-    """Drop blank lines, parse the rest to VARIANT (malformed lines raise)."""
+    """Drop blank lines, parse the rest to VARIANT (malformed lines raise).
+
+    The blank test guards the parse itself: Catalyst may merge later filters
+    on parsed fields with the blank-line filter and evaluate them in any
+    order, so the parser must never see a blank line.
+    """
     v = F.col(col)
-    return lines.filter(F.trim(v) != F.lit("")).select(F.parse_json(v).alias(out))
+    parsed = F.parse_json(F.when(F.trim(v) != F.lit(""), v))
+    return lines.select(parsed.alias(out)).filter(F.col(out).isNotNull())
 
 
 def read_posts(spark: SparkSession, path_list=None, folder: str | None = None) -> DataFrame:
