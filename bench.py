@@ -19,7 +19,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "label_counts_by_state", "sentiment_scores", "sentiment_struct", "topic_flags", "state_first",
+    "label_counts_by_state", "sentiment_scores", "sentiment_struct", "sentiment_rules_posts", "topic_flags",
+    "state_first",
     "state_matches", "gazetteer_state", "state_sentiment", "majority_label", "describe_by_state",
     "histogram_compound", "value_counts_label", "ratios", "flatten_props", "first_text", "track_keywords",
     "between_times", "route_messages", "capture_filter", "standardize_events", "assign_clusters",

@@ -116,6 +116,16 @@ def q_sentiment_struct(spark, sf):
                     F.col("text_sentiment.pos").alias("pos"), F.col("text_sentiment.compound").alias("compound"))
 
 
+def q_sentiment_rules_posts(spark, sf):
+    from ..operators.sentiment_rules import sentiment_rules
+    p = tb.posts(spark, sf).select("id", "full_text", "user_description")
+    s = sentiment_rules(p, tb.lexicon(spark), tb.boosters(spark), tb.negations(spark),
+                        text_cols=["full_text", "user_description"], key="id", keep_struct=True, sep="_")
+    return s.select("id", "full_text_sentiment_compound", F.col("full_text_sentiment.pos").alias("full_text_pos"),
+                    F.col("full_text_sentiment.neg").alias("full_text_neg"),
+                    "user_description_sentiment_compound")
+
+
 def q_drop_zero(spark, sf):
     return FL.drop_zero(q_sentiment_scores(spark, sf), "full_text_sentiment_compound")
 
@@ -324,6 +334,7 @@ QUERIES = {
     "topic_flags": q_topic_flags,
     "sentiment_scores": q_sentiment_scores,
     "sentiment_struct": q_sentiment_struct,
+    "sentiment_rules_posts": q_sentiment_rules_posts,
     "drop_zero": q_drop_zero,
     "classes_labels": q_classes_labels,
     "topic_subsets": q_topic_subsets,

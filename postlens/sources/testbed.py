@@ -21,6 +21,10 @@ TOY_LEXICON = [
     ("the", 0.4), ("of", -0.9), ("and", 1.3), ("with", 2.1), ("this", -1.7),
     ("that", -2.4), ("is", 1.1), ("for", -0.6), ("was", -2.0),
 ]
+# FIXED VALUES: stand-in boosters (token, scalar) and negation words for the
+# rule-based scorer (words that occur in the invented prose).
+TOY_BOOSTERS = [("very", 0.293), ("on", 0.293), ("in", -0.293), ("sehr", 0.293)]
+TOY_NEGATIONS = ["not", "no", "nicht", "pas"]
 # FIXED VALUES: stand-in topic patterns (A plays the first candidate, B the second).
 TOPIC_A = "(with|from)"
 TOPIC_B = "(this|that)"
@@ -67,6 +71,14 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return local_frame(spark, TOY_LEXICON, "token string, valence double")
 
 
+def boosters(spark: SparkSession) -> DataFrame:
+    return local_frame(spark, TOY_BOOSTERS, "token string, scalar double")
+
+
+def negations(spark: SparkSession) -> DataFrame:
+    return local_frame(spark, [(w,) for w in TOY_NEGATIONS], "token string")
+
+
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place-name table stand-in: customer names map to their nation (with
     balance and nation key as coordinates), nation names to their region."""
