@@ -105,8 +105,12 @@ def add_majority(states: DataFrame, df: DataFrame, label: str = "label", state_c
 
 def states_with_posts(states: DataFrame, df: DataFrame, states_key: str = "name",
                       state_col: str = "state", present: bool = True) -> DataFrame:
-    """States that have (``left_semi``) or lack (``left_anti``) any post."""
-    keys = df.select(col_of(state_col).alias("_jk")).filter(F.col("_jk").isNotNull())
+    """States that have (``left_semi``) or lack (``left_anti``) any post.
+
+    The post side is reduced to its distinct states first (partial
+    aggregation in every task), so a hot state never ships all its rows.
+    """
+    keys = df.select(col_of(state_col).alias("_jk")).filter(F.col("_jk").isNotNull()).distinct()
     return states.join(keys, col_of(states_key) == F.col("_jk"), "left_semi" if present else "left_anti")
 
 

@@ -22,6 +22,7 @@ from ..operators import geo as G
 from ..operators import projection as P
 from ..operators import stats as S
 from ..operators.sentiment import sentiment
+from ..session import materialize
 from ..sinks import feeds
 from ..sources.jsonl import read_posts
 
@@ -48,8 +49,16 @@ def prepare_posts(spark: SparkSession, lexicon: DataFrame, states: DataFrame | N
 
 def cluster_and_map(posts: DataFrame, states: DataFrame, n_init: int = 10, max_iter: int = 300,
                     max_cluster: int = 10, seeds=(20, 30), states_key: str = "name",
-                    hist_path: str = "image/hist", wide_k: int | None = None) -> dict[str, DataFrame]:
-    """``wide_k=None`` picks k for the wide model by the elbow of the SSE sweep."""
+                    hist_path: str = "image/hist", wide_k: int | None = None,
+                    checkpoint: bool = True) -> dict[str, DataFrame]:
+    """``wide_k=None`` picks k for the wide model by the elbow of the SSE sweep.
+
+    The prepared posts are read by many passes (feature statistics, k-means
+    sweeps, per-state tables); with ``checkpoint`` they are written once to
+    the shared checkpoint folder and every pass reads that copy.
+    """
+    if checkpoint:
+        posts = materialize(posts)
     wide = C.km(posts, cols=None, n_cluster=wide_k, drop=("user-id",), max_cluster=max_cluster, n_init=n_init,
                 max_iter=max_iter, seed=seeds[0], key="id", out="kmlabel_opt")
     both = C.km(wide, cols=NARROW_FEATURES, n_cluster=6, n_init=n_init, max_iter=max_iter, seed=seeds[1],

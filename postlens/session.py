@@ -66,3 +66,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared
+    folder named by ``spark.checkpoint.dir`` (set by the cluster; only set
+    here when absent, as in local tests). Later passes read the checkpoint,
+    and a lost executor does not force the whole upstream plan to rerun."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
