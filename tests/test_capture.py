@@ -53,3 +53,32 @@ def test_streaming_capture_matches_batch_and_rolls_files(spark, tmp_dir):
     assert sorted(r["value"] for r in got) == sorted(r["value"] for r in batch)
     files = [f for f in os.listdir(os.path.join(out, "prefix=cap")) if f.startswith("part-")]
     assert len(files) >= 3  # 25 records, at most 10 per file
+
+
+def _write(path, ids, word="vote"):
+    with open(path, "w") as fh:
+        for i in ids:
+            fh.write(json.dumps({"id": i, "in_reply_to_status_id": None, "text": f"{word} {i}"}) + "\n")
+
+
+def test_count_cap_and_restart_resumes(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    os.makedirs(src)
+    _write(os.path.join(src, "a.json"), range(20))
+    q = CAP.start_capture(spark, src, out, ["vote"], ck, prefix="p", available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.text(os.path.join(out, "prefix=p")).count() == 20
+    # restart on the same checkpoint: only the new file is processed
+    _write(os.path.join(src, "b.json"), range(100, 105))
+    q = CAP.start_capture(spark, src, out, ["vote"], ck, prefix="p", available_now=True)
+    q.awaitTermination(120)
+    ids = sorted(json.loads(r["value"])["id"] for r in spark.read.text(os.path.join(out, "prefix=p")).collect())
+    assert ids == list(range(20)) + list(range(100, 105))
+    # count cap: exactly nb statuses
+    src2, out2 = os.path.join(tmp_dir, "in2"), os.path.join(tmp_dir, "out2")
+    os.makedirs(src2)
+    _write(os.path.join(src2, "a.json"), range(30))
+    q = CAP.start_capture(spark, src2, out2, ["vote"], os.path.join(tmp_dir, "ck2"), prefix="p", nb=7,
+                          available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.text(os.path.join(out2, "prefix=p")).count() == 7
