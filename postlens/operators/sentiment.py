@@ -112,3 +112,42 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text_cols=("full_text", "user-d
                             .alias(f"{c}{sep}{sent}"))
         out_cols.append(comp.alias(f"{c}{sep}{sent}{sep}{compound}"))
     return joined.select(*[col_of(c) for c in df.columns], *out_cols)
+
+
+def sentiment_carry(df: DataFrame, lexicon: DataFrame, text_cols=("full_text",), carry=("id",),
+                    sent: str = "sentiment", compound: str = "compound", sep: str = "-") -> DataFrame:
+    """Single-pass form of ``sentiment``: returns ``carry`` columns + scores.
+
+    The input is evaluated once. Each row gets a generated row id in the same
+    branch; its token array is exploded keeping position 0 (so rows without
+    tokens or hits survive) and every lexicon hit; one partial+final hash
+    aggregate groups by (row id, carried columns). No join back, so no second
+    evaluation of an expensive input (a join, a JSON parse) and no uniqueness
+    requirement on any key. Carry only small columns (ids, flags, states):
+    they are grouping keys, and the dropped text columns are not returned.
+    """
+    carry = list(carry)
+    require_columns(df, list(text_cols) + carry)
+    lex = checked_lexicon(lexicon)
+
+    def tag(i):
+        return lambda t: F.struct(F.lit(i).alias("src"), t.alias("token"))
+
+    base = df.select(F.monotonically_increasing_id().alias("_rid"), *[col_of(c).alias(c) for c in carry],
+                     *[tokens(c).alias(f"_tok{i}") for i, c in enumerate(text_cols)])
+    if len(text_cols) == 1:
+        ex = base.select("_rid", *[col_of(c) for c in carry], F.lit(0).alias("src"),
+                         F.posexplode_outer("_tok0").alias("_pos", "token"))
+    else:
+        toks = F.concat(*[F.transform(F.col(f"_tok{i}"), tag(i)) for i in range(len(text_cols))])
+        ex = base.select("_rid", *[col_of(c) for c in carry], F.posexplode_outer(toks).alias("_pos", "_t"))
+        ex = ex.select("_rid", *[col_of(c) for c in carry], "_pos", F.col("_t.src").alias("src"),
+                       F.col("_t.token").alias("token"))
+    joined = ex.join(lex, "token", "left").filter(
+        F.col("valence").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
+    v = F.col("valence")
+    aggs = [F.sum(F.when(F.col("src") == F.lit(i), v)).alias(f"_s{i}") for i in range(len(text_cols))]
+    agg = joined.groupBy("_rid", *[col_of(c) for c in carry]).agg(*aggs)
+    return agg.select(*[col_of(c) for c in carry],
+                      *[_compound(F.col(f"_s{i}")).alias(f"{c}{sep}{sent}{sep}{compound}")
+                        for i, c in enumerate(text_cols)])

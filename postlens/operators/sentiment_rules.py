@@ -83,6 +83,13 @@ def _rule_tokens(text):
     return F.filter(stripped, lambda t: F.length(t) > 1)
 
 
+def _shift(arr, d: int):
+    """``arr`` moved right by ``d`` places (nulls in front), same length."""
+    n = F.size(arr)
+    return F.concat(F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(d), n)),
+                    F.slice(arr, F.lit(1), F.greatest(n - F.lit(d), F.lit(0))))
+
+
 def _is_upper(c):
     return (F.upper(c) == c) & (F.lower(c) != c)
 
@@ -103,21 +110,25 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
     k = col_of(key)
     parts = []
     for i, c in enumerate(text_cols):
-        words = _rule_tokens(col_of(c))
-        lw = F.transform(words, lambda t: F.lower(t))
-        pre = df.select(k.alias("_key"), F.lit(i).alias("src"), words.alias("ws"), lw.alias("lw"),
-                        (F.exists(words, _is_upper) & ~F.forall(words, _is_upper)).alias("capdiff"),
-                        F.array_position(lw, F.lit("but")).alias("but"))
-        parts.append(pre.select("_key", "src", "ws", "lw", "capdiff", "but",
-                                F.posexplode("lw").alias("pos", "w")))
+        pre = df.select(k.alias("_key"), F.lit(i).alias("src"), _rule_tokens(col_of(c)).alias("ws"))
+        pre = pre.select("_key", "src", "ws", F.transform("ws", lambda t: F.lower(t)).alias("lw"))
+        # neighbours as shifted copies of the arrays (no per-element lambda
+        # over the arrays, so nothing is re-evaluated per token), zipped and
+        # exploded to one small row per token
+        pre = pre.select("_key", "src", "lw", F.col("ws").alias("own"),
+                         (F.exists("ws", _is_upper) & ~F.forall("ws", _is_upper)).alias("capdiff"),
+                         F.array_position("lw", F.lit("but")).alias("but"),
+                         *[_shift(F.col("lw"), d).alias(f"p{d}") for d in (1, 2, 3)],
+                         *[_shift(F.col("ws"), d).alias(f"o{d}") for d in (1, 2, 3)])
+        zipped = F.arrays_zip("lw", "own", "p1", "p2", "p3", "o1", "o2", "o3")
+        ex_i = pre.select("_key", "src", "capdiff", "but", F.posexplode(zipped).alias("pos", "z"))
+        parts.append(ex_i.select("_key", "src", "capdiff", "but", "pos", F.col("z.lw").alias("w"),
+                                 F.col("z.own").alias("own"),
+                                 *[F.col(f"z.p{d}").alias(f"p{d}") for d in (1, 2, 3)],
+                                 *[F.col(f"z.o{d}").alias(f"o{d}") for d in (1, 2, 3)]))
     ex = parts[0]
     for p in parts[1:]:
         ex = ex.unionByName(p)
-    # neighbour words (lower and original case), in-row from the arrays
-    for d in (1, 2, 3):
-        ex = ex.withColumn(f"p{d}", F.when(F.col("pos") >= d, F.get(F.col("lw"), F.col("pos") - d)))
-        ex = ex.withColumn(f"o{d}", F.when(F.col("pos") >= d, F.get(F.col("ws"), F.col("pos") - d)))
-    ex = ex.withColumn("own", F.get(F.col("ws"), F.col("pos")))
     hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "inner") \
         .filter(F.col("valence").isNotNull())
     for d in (1, 2, 3):

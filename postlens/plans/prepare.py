@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from ..operators.features import add_label, sentiment_classes, topic_flags
 from ..operators.filters import drop_zero, keep_lang, keep_located
 from ..operators.geo import state_from_text
-from ..operators.sentiment import sentiment
+from ..operators.sentiment import sentiment_carry
 from ..operators.stats import group_label_counts
 
 
@@ -30,7 +30,10 @@ def labelled_posts(posts: DataFrame, states: DataFrame, lexicon: DataFrame, topi
     p = state_from_text(p, states, location_col=location, state_col="state", pick=pick, key=key,
                         alt_cols=state_alt_cols, order_col=state_order)
     p = keep_located(p, "state")
-    p = sentiment(p, lexicon, text_cols=[text], key=key, sep=sep)
+    # single pass over the (joined) posts: carry only the small columns the
+    # later steps and reports need, drop the text after scoring
+    carry = [c for c in p.columns if c not in (text, "user_description", "created_at", location, "lang")]
+    p = sentiment_carry(p, lexicon, text_cols=[text], carry=carry, sep=sep)
     comp = f"{text}{sep}sentiment{sep}compound"
     p = drop_zero(p, comp)
     p = sentiment_classes(p, [comp], sep=sep)
