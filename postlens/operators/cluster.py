@@ -149,7 +149,10 @@ def _vectors(df: DataFrame, cols, key: str | None):
     vec = va.transform(sel)
     if key:
         # fixed row order per partition, so "random" init is reproducible
-        n = df.sparkSession.sparkContext.defaultParallelism
+        try:
+            n = df.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - remote session: follow the shuffle setting
+            n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         vec = vec.repartition(n, col_of(key)).sortWithinPartitions(col_of(key))
     return vec
 

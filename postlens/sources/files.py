@@ -14,10 +14,10 @@ def read_spread(spark: SparkSession, path, fmt: str = "parquet", min_partitions:
     still reach the scan through the repartition.
     """
     df = spark.read.format(fmt).load(path)
-    want = min_partitions or spark.sparkContext.defaultParallelism
     try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()  # a plain scan: split planning only, no job
-    except Exception:  # noqa: BLE001 - unknown: leave as is
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
     if have < want:
         return df.repartition(want)
