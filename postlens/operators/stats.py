@@ -133,8 +133,9 @@ def histogram(df: DataFrame, col: str, subsets: dict | None = None, bins: int =
 
     Bins are ``[lo + i*w, lo + (i+1)*w)``, the last one closed. If min equals
     max the range is widened by 0.5 on each side. Empty bins are emitted with
-    count 0. Plan: one global min/max aggregate per subset (a few rows,
-    folded into the expression) and one partial-aggregated count per bin.
+    count 0. Plan: one partial-aggregated count per (subset, value), read
+    twice through one reused exchange: for the min/max per subset (a few
+    rows, broadcast) and for the counts per bin.
     """
     subsets = subsets or {"all": F.lit(True)}
     x = col_of(col).cast("double")
@@ -146,16 +147,19 @@ def histogram(df: DataFrame, col: str, subsets: dict | None = None, bins: int =
     exploded = tagged.select("_x", F.explode(F.filter(
         F.array(*[F.when(F.col(f"_s{i}"), F.lit(i)) for i in range(len(names))]),
         lambda v: v.isNotNull())).alias("_sub"))
-    rng = exploded.groupBy("_sub").agg(F.min("_x").alias("_lo0"), F.max("_x").alias("_hi0"))
+    # pre-aggregate to (subset, value, count): the input is evaluated once and
+    # both the range and the bin counts read this one (reused) exchange
+    pre = exploded.groupBy("_sub", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    rng = pre.groupBy("_sub").agg(F.min("_x").alias("_lo0"), F.max("_x").alias("_hi0"))
     rng = rng.select("_sub",
                      F.when(F.col("_lo0") == F.col("_hi0"), F.col("_lo0") - 0.5).otherwise(F.col("_lo0")).alias("_lo"),
                      F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0")).alias("_hi"))
     # one row per subset at most: bounded, so the range table is broadcast
-    binned = exploded.join(F.broadcast(rng), "_sub").select(
-        "_sub", "_lo", "_hi",
+    binned = pre.join(F.broadcast(rng), "_sub").select(
+        "_sub", "_lo", "_hi", "_c",
         F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(bins)),
                 F.lit(bins - 1)).cast("int").alias("bin"))
-    counts = binned.groupBy("_sub", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = binned.groupBy("_sub", "bin").agg(F.sum("_c").alias("n"))
     grid = rng.select("_sub", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     names_arr = F.array(*[F.lit(n) for n in names])
     w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
