@@ -104,9 +104,10 @@ def q_topic_flags(spark, sf):
 
 
 def q_sentiment_scores(spark, sf):
+    from ..operators.sentiment import sentiment_carry
     p = tb.posts(spark, sf).select("id", "full_text", "user_description")
-    s = sentiment(p, tb.lexicon(spark), text_cols=["full_text", "user_description"], key="id", sep="_")
-    return s.select("id", "full_text_sentiment_compound", "user_description_sentiment_compound")
+    return sentiment_carry(p, tb.lexicon(spark), text_cols=["full_text", "user_description"], carry=["id"],
+                           sep="_")
 
 
 def q_sentiment_struct(spark, sf):

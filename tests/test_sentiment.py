@@ -39,3 +39,17 @@ def test_every_row_kept_and_two_columns(spark):
     out = sentiment(df, lex, ["a", "b"])
     assert out.count() == 50
     assert {r["b-sentiment-compound"] for r in out.collect()} == {0.0}
+
+
+def test_carry_form_equals_join_back_and_keeps_duplicates(spark):
+    from postlens.operators.sentiment import sentiment_carry
+    lex = lexicon_frame(spark, [("good", 1.9), ("bad", -2.5)])
+    rows = [(1, "good good", None), (1, "good good", None), (2, "", "bad"), (3, None, "good bad x")]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    out = sorted((r["id"], r["a-sentiment-compound"], r["b-sentiment-compound"])
+                 for r in sentiment_carry(df, lex, ["a", "b"], carry=["id"]).collect())
+    assert len(out) == 4  # duplicate rows stay separate
+    uniq = df.dropDuplicates()
+    ref = sorted((r["id"], r["a-sentiment-compound"], r["b-sentiment-compound"])
+                 for r in sentiment(uniq, lex, ["a", "b"]).collect())
+    assert sorted(set(out)) == ref
