@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import rank_bpe, token_files
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
+from .store import fresh_path
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +38,21 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), live, example)
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_ownership, op9_suffix_repeats)}
+def op4_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = rank_bpe.decode(rank_bpe.encode(docs, path), path, out="decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fresh_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), out, tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op4_rank_bpe, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
