@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import rank_bpe, token_files
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
+from .simhash_anchors import near_duplicates
 from .store import fresh_path
 
 
@@ -46,13 +47,18 @@ def op4_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), out, tokenizer("word_bpe_49k.json"), end_id=1)
     return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op4_rank_bpe, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
+QUERIES = {f.__name__: f for f in (op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
