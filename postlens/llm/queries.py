@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rank_bpe, token_files
+from .passage_minhash import repeated_passages
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
 from .simhash_anchors import near_duplicates
@@ -39,6 +40,10 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), live, example)
 
 
+def op3_passage_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("tag")
+
+
 def op4_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +63,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
+QUERIES = {f.__name__: f for f in (op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:

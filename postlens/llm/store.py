@@ -87,7 +87,7 @@ def sliced(batches: Iterator[dict[str, list]], column: str, budget: int) -> Iter
         start, held = 0, 0
         texts = batch[column]
         for i, text in enumerate(texts):
-            n = len(text) if text is not None else 0
+            n = len(text or ())
             if i > start and held + n > budget:
                 yield {k: v[start:i] for k, v in batch.items()}
                 start, held = i, 0
