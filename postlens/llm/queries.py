@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rank_bpe, token_files
+from . import lexical_packing, rank_bpe, token_files
 from .passage_minhash import repeated_passages
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
 from .simhash_anchors import near_duplicates
-from .store import fresh_path
+from .store import appended, fresh_path
 
 
 def tokenizer(name: str) -> str:
@@ -40,6 +40,24 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), live, example)
 
 
+def packing_digest(pieces: DataFrame) -> DataFrame:
+    """The pieces with the crc32 of their ids as 32-bit integers instead of the ids."""
+
+    def crc(ids: list) -> dict:
+        import zlib
+
+        import numpy as np
+
+        return {"ids_crc32": [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in ids]}
+
+    rows = appended(pieces.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"), "ids", crc, "ids_crc32 long", 1 << 30)
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(("doc_id", "start", "length"))], "ids_crc32", *[F.col(f"c{i + 3}").alias(c) for i, c in enumerate(("doc_tokens", "sequence_id", "offset"))])
+
+
+def op1_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(lexical_packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
 def op3_passage_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("tag")
 
@@ -63,7 +81,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
