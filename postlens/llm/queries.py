@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lexical_packing, rank_bpe, token_files
+from .hilbert_search import search
 from .passage_minhash import repeated_passages
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
@@ -81,7 +82,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lexical_packing, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats)}
+def op10_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats, op10_hilbert_search)}
 
 
 def oracle_sql() -> dict[str, str]:
