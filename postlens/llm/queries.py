@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from . import lexical_packing, rank_bpe, token_files
 from .hilbert_search import search
 from .passage_minhash import repeated_passages
+from .preference_pairs import conversation_pairs, format_pairs
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
 from .simhash_anchors import near_duplicates
 from .store import appended, fresh_path
+from .url_rules import judge_urls
 
 
 def tokenizer(name: str) -> str:
@@ -59,6 +61,12 @@ def op1_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(lexical_packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    rows = format_pairs(conversation_pairs(table(spark, sf_dir, "conversations")))
+    return rows.withColumn("chosen_mask", spans(F.col("chosen_mask"))).withColumn("rejected_mask", spans(F.col("rejected_mask")))
+
+
 def op3_passage_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("tag")
 
@@ -82,11 +90,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
+    labels = table(spark, sf_dir, "labels").select("doc_id", bad)
+    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", "bad")
+    return judge_urls(pages, labelled)
+
+
 def op10_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_lexical_packing, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op9_suffix_repeats, op10_hilbert_search)}
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_preference_pairs, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op8_url_rules, op9_suffix_repeats, op10_hilbert_search)}
 
 
 def oracle_sql() -> dict[str, str]:
