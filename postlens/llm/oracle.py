@@ -1,3 +1,118 @@
 """DuckDB twins of the registered queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+PREFERENCES = """
+WITH t AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS items
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+l AS (
+  SELECT conv_id, items, list_max(list_filter(generate_series(1, len(items)), i -> items[i].role = 'assistant')) AS last FROM t),
+c AS (SELECT conv_id, items[1:last] AS chosen FROM l WHERE last IS NOT NULL),
+p AS (
+  SELECT a.conv_id AS pair_id, a.chosen,
+         list_append(a.chosen[1:len(a.chosen) - 1], b.chosen[len(b.chosen)]) AS rejected
+  FROM c a JOIN c b ON xor(a.conv_id, 1) = b.conv_id),
+n AS (
+  SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(chosen), len(rejected))),
+                                          i -> chosen[i] IS DISTINCT FROM rejected[i])) - 1,
+                     least(len(chosen), len(rejected))) AS k
+  FROM p),
+r AS (
+  SELECT pair_id, k, chosen[1:k] AS shared, chosen[k + 1:] AS a, rejected[k + 1:] AS b FROM n),
+s AS (
+  SELECT pair_id, k,
+    list_transform(shared, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS p,
+    list_transform(a, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS a, a AS turns_a,
+    list_transform(b, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS b, b AS turns_b
+  FROM r)
+SELECT pair_id, CAST(k AS INTEGER) AS prompt_turns, array_to_string(p, '') AS prompt,
+  array_to_string(a, '') AS chosen_text,
+  array_to_string(list_transform(list_filter(generate_series(1, len(a)), i -> turns_a[i].role = 'assistant'),
+    i -> CAST(coalesce(list_sum(list_transform(a[1:i - 1], y -> length(y))), 0) + 14 AS BIGINT) || '-'
+      || CAST(list_sum(list_transform(a[1:i], y -> length(y))) - 1 AS BIGINT)), ',') AS chosen_mask,
+  array_to_string(b, '') AS rejected_text,
+  array_to_string(list_transform(list_filter(generate_series(1, len(b)), i -> turns_b[i].role = 'assistant'),
+    i -> CAST(coalesce(list_sum(list_transform(b[1:i - 1], y -> length(y))), 0) + 14 AS BIGINT) || '-'
+      || CAST(list_sum(list_transform(b[1:i], y -> length(y))) - 1 AS BIGINT)), ',') AS rejected_mask
+FROM s
+"""
+
+URL_PARTS = """
+  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest"""
+
+URL_RULES = rf"""
+WITH u AS (SELECT page_id, url, {URL_PARTS} FROM pages),
+v AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '') AS args
+  FROM u),
+w AS (
+  SELECT *, list_sort(list_distinct(list_concat(
+      list_transform(list_filter(string_split(host, '.'), x -> x <> ''), x -> 'h:' || x),
+      list_transform(list_filter(string_split(path, '/'), x -> x <> ''), x -> 'p:' || x),
+      list_transform(list_filter(list_transform(string_split(args, '&'), x -> regexp_extract(x, '^[^=]*')), x -> x <> ''), x -> 'q:' || x)))) AS tokens
+  FROM v),
+labelled AS (
+  SELECT tokens, (toxic = 1 OR quality = 0) AS bad FROM w JOIN labels ON page_id = doc_id
+  WHERE len(tokens) > 0 AND (toxic = 1 OR quality = 0) IS NOT NULL),
+sets AS (
+  SELECT list_filter(tokens, (x, i) -> (mask >> (i - 1)) & 1 = 1) AS tokens, bad
+  FROM (SELECT tokens, bad, unnest(generate_series(1, (1 << len(tokens)) - 1)) AS mask FROM labelled)),
+rules AS (
+  SELECT tokens FROM sets GROUP BY tokens
+  HAVING count(*) FILTER (bad) >= greatest(5, ceil(0.002 * (SELECT count(*) FROM labelled)))
+     AND count(*) FILTER (bad) >= 0.5 * count(*)),
+hits AS (SELECT DISTINCT url FROM w, rules WHERE list_has_all(w.tokens, rules.tokens)),
+e AS (
+  SELECT page_id, url, host, path, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM w)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN hits.url IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  hits.url IS NOT NULL AS mined
+FROM e LEFT JOIN hits ON e.url = hits.url
+"""
+
+
+def _repeated(length: int, key: str) -> str:
+    """Whether the window of ``length`` words at a place occurs twice in its text."""
+    return f"(i + {length - 1} <= n AND count(*) OVER (PARTITION BY doc_id, {key}, i + {length - 1} <= n) > 1)"
+
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d),
+h1 AS (SELECT *, hash(word) AS a FROM p),
+h2 AS (SELECT *, hash(a, lead(a, 1) OVER o) AS a2 FROM h1 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h4 AS (SELECT *, hash(a2, lead(a2, 2) OVER o) AS a4 FROM h2 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h5 AS (SELECT *, hash(a4, lead(a, 4) OVER o) AS a5 FROM h4 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h10 AS (SELECT *, hash(a5, lead(a5, 5) OVER o) AS a10 FROM h5 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h20 AS (SELECT *, hash(a10, lead(a10, 10) OVER o) AS a20 FROM h10 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h40 AS (SELECT *, hash(a20, lead(a20, 20) OVER o) AS a40 FROM h20 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h80 AS (SELECT *, hash(a40, lead(a40, 40) OVER o) AS a80 FROM h40 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+h101 AS (SELECT *, hash(a80, lead(a80, 21) OVER o) AS a101 FROM h80 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, {_repeated(5, "a5")} AS r5, {_repeated(10, "a10")} AS r10, {_repeated(101, "a101")} AS r101 FROM h101),
+c AS (
+  SELECT doc_id, r101, max(r5) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c5,
+    max(r10) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS c10
+  FROM r),
+s AS (SELECT doc_id, count(*) FILTER (c5) AS n5, count(*) FILTER (c10) AS n10, bool_or(r101) AS long FROM c GROUP BY doc_id),
+b AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d)
+SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n5, 0) AS n_repeat_words, coalesce(n10, 0) AS n_covered_words,
+  (n_words < 10 OR 100 * coalesce(n5, 0) > 20 * n_words) AS base_failed,
+  (NOT (n_words < 10 OR 100 * coalesce(n5, 0) > 20 * n_words) AND coalesce(n10, 0) <= 0.2 * n_words AND NOT coalesce(long, false)) AS kept
+FROM b LEFT JOIN s ON b.doc_id = s.doc_id
+"""
+
+SQL: dict[str, str] = {"op2_preference_pairs": PREFERENCES, "op8_url_rules": URL_RULES, "op9_suffix_repeats": QUALITY}

@@ -92,7 +92,7 @@ def mined_rules(labelled: DataFrame, rules: MiningRules = MiningRules()) -> Data
     schema = "tokens array<string>, anchor string, n_with long, n_bad long"
     if not n:
         return labelled.sparkSession.createDataFrame([], schema)
-    share = min(1.0, max(rules.support, rules.least / n))
+    share = min(1.0, max(rules.support, (rules.least - 0.5) / n))  # half a row below, so that rounding up gives ``least``
     found = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0).fit(rows).freqItemsets
     sets = written(found.select(F.sort_array("items").alias("items"), F.col("freq").alias("n")), "itemsets")
     bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1) & (F.col("n") >= rules.least))
