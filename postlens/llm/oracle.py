@@ -5,7 +5,7 @@ WITH t AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS items
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 l AS (
-  SELECT conv_id, items, list_max(list_filter(generate_series(1, len(items)), i -> items[i].role = 'assistant')) AS last FROM t),
+  SELECT conv_id, items, list_max(list_filter(generate_series(1, len(items)), lambda i: items[i].role = 'assistant')) AS last FROM t),
 c AS (SELECT conv_id, items[1:last] AS chosen FROM l WHERE last IS NOT NULL),
 p AS (
   SELECT a.conv_id AS pair_id, a.chosen,
@@ -13,26 +13,26 @@ p AS (
   FROM c a JOIN c b ON xor(a.conv_id, 1) = b.conv_id),
 n AS (
   SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(chosen), len(rejected))),
-                                          i -> chosen[i] IS DISTINCT FROM rejected[i])) - 1,
+                                          lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1,
                      least(len(chosen), len(rejected))) AS k
   FROM p),
 r AS (
   SELECT pair_id, k, chosen[1:k] AS shared, chosen[k + 1:] AS a, rejected[k + 1:] AS b FROM n),
 s AS (
   SELECT pair_id, k,
-    list_transform(shared, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS p,
-    list_transform(a, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS a, a AS turns_a,
-    list_transform(b, x -> '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS b, b AS turns_b
+    list_transform(shared, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS p,
+    list_transform(a, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS a, a AS turns_a,
+    list_transform(b, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS b, b AS turns_b
   FROM r)
 SELECT pair_id, CAST(k AS INTEGER) AS prompt_turns, array_to_string(p, '') AS prompt,
   array_to_string(a, '') AS chosen_text,
-  array_to_string(list_transform(list_filter(generate_series(1, len(a)), i -> turns_a[i].role = 'assistant'),
-    i -> CAST(coalesce(list_sum(list_transform(a[1:i - 1], y -> length(y))), 0) + 14 AS BIGINT) || '-'
-      || CAST(list_sum(list_transform(a[1:i], y -> length(y))) - 1 AS BIGINT)), ',') AS chosen_mask,
+  array_to_string(list_transform(list_filter(generate_series(1, len(a)), lambda i: turns_a[i].role = 'assistant'),
+    lambda i: CAST(coalesce(list_sum(list_transform(a[1:i - 1], lambda y: length(y))), 0) + 14 AS BIGINT) || '-'
+      || CAST(list_sum(list_transform(a[1:i], lambda y: length(y))) - 1 AS BIGINT)), ',') AS chosen_mask,
   array_to_string(b, '') AS rejected_text,
-  array_to_string(list_transform(list_filter(generate_series(1, len(b)), i -> turns_b[i].role = 'assistant'),
-    i -> CAST(coalesce(list_sum(list_transform(b[1:i - 1], y -> length(y))), 0) + 14 AS BIGINT) || '-'
-      || CAST(list_sum(list_transform(b[1:i], y -> length(y))) - 1 AS BIGINT)), ',') AS rejected_mask
+  array_to_string(list_transform(list_filter(generate_series(1, len(b)), lambda i: turns_b[i].role = 'assistant'),
+    lambda i: CAST(coalesce(list_sum(list_transform(b[1:i - 1], lambda y: length(y))), 0) + 14 AS BIGINT) || '-'
+      || CAST(list_sum(list_transform(b[1:i], lambda y: length(y))) - 1 AS BIGINT)), ',') AS rejected_mask
 FROM s
 """
 
@@ -48,15 +48,15 @@ v AS (
   FROM u),
 w AS (
   SELECT *, list_sort(list_distinct(list_concat(
-      list_transform(list_filter(string_split(host, '.'), x -> x <> ''), x -> 'h:' || x),
-      list_transform(list_filter(string_split(path, '/'), x -> x <> ''), x -> 'p:' || x),
-      list_transform(list_filter(list_transform(string_split(args, '&'), x -> regexp_extract(x, '^[^=]*')), x -> x <> ''), x -> 'q:' || x)))) AS tokens
+      list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+      list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'p:' || x),
+      list_transform(list_filter(list_transform(string_split(args, '&'), lambda x: regexp_extract(x, '^[^=]*')), lambda x: x <> ''), lambda x: 'q:' || x)))) AS tokens
   FROM v),
 labelled AS (
   SELECT tokens, (toxic = 1 OR quality = 0) AS bad FROM w JOIN labels ON page_id = doc_id
   WHERE len(tokens) > 0 AND (toxic = 1 OR quality = 0) IS NOT NULL),
 sets AS (
-  SELECT list_filter(tokens, (x, i) -> (mask >> (i - 1)) & 1 = 1) AS tokens, bad
+  SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS tokens, bad
   FROM (SELECT tokens, bad, unnest(generate_series(1, (1 << len(tokens)) - 1)) AS mask FROM labelled)),
 rules AS (
   SELECT tokens FROM sets GROUP BY tokens
@@ -104,9 +104,9 @@ c AS (
   FROM r),
 s AS (SELECT doc_id, count(*) FILTER (c5) AS n5, count(*) FILTER (c10) AS n10, bool_or(r101) AS long FROM c GROUP BY doc_id),
 b AS (
-  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d)
 SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n5, 0) AS n_repeat_words, coalesce(n10, 0) AS n_covered_words,
