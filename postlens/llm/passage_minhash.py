@@ -78,9 +78,8 @@ class Paragraphs:
         """The hash of the shingle that begins at each word; MAX where it leaves its paragraph."""
         n = len(self.hashes)
         out = np.zeros(n, np.uint64)
-        for k in range(words):
-            step = self.hashes[k:] if k else self.hashes
-            out[: n - k] = mixed(out[: n - k] + step)
+        for k in range(min(words, n)):
+            out[: n - k] = mixed(out[: n - k] + self.hashes[k:])
         end = np.repeat(self.start + self.size, self.size)
         out[np.arange(n) + words > end] = MAX
         return out
@@ -122,7 +121,7 @@ def paragraphs(texts: list[str | None], rules: PassageRules) -> Paragraphs | Non
     first, last = np.repeat(line_start, size), np.repeat(line_start + size, size)
     w = rules.spread
     cut = (at - w >= first) & (at + w < last)
-    for k in range(1, w + 1):
+    for k in range(1, min(w, n - 1) + 1):
         cut[k:] &= pair[k:] < pair[:-k]
         cut[:-k] &= pair[:-k] <= pair[k:]
     cut[line_start] = True
