@@ -27,11 +27,11 @@ class WordTypeError(PostlensError, TypeError):
 
 
 class LexiconError(PostlensError, ValueError):
-    """Lexicon is empty, too large to broadcast, or repeats a token."""
+    """Lexicon is empty or repeats a token."""
 
 
-class DimensionTooLarge(PostlensError, ValueError):
-    """A table used as a broadcast/plan-time dimension exceeds its bound."""
+class CheckpointFolderMissing(PostlensError, RuntimeError):
+    """The session names no shared folder for checkpoints."""
 
 
 class ElbowUndefined(PostlensError, ValueError):

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ..errors import ClusteringInputError, ElbowUndefined
 from ..functions.text import col_of
 from ..sources.files import local_frame
-from .dims import collect_bounded
 from .projection import numeric_columns, require_columns
 
 
@@ -51,9 +50,9 @@ def standardize(df: DataFrame, cols, keep=(), prefix: str = "") -> DataFrame:
     return df.select(*[col_of(k) for k in keep], *out)
 
 
-def centers_from_rows(df: DataFrame, cols, max_k: int = 1000):
-    """Centres as a list of float lists from a small frame (bounded)."""
-    rows = collect_bounded(df.select(*[col_of(c).cast("double") for c in cols]), max_k, "centres")
+def centers_from_rows(df: DataFrame, cols):
+    """Centres as a list of float lists from a frame that holds one row per centre."""
+    rows = df.select(*[col_of(c).cast("double") for c in cols]).collect()
     return [[float(v) for v in r] for r in rows]
 
 
@@ -135,8 +134,7 @@ def elbow_frame(curve: DataFrame, k_col: str = "k", sse_col: str = "sse", sensit
 
 def elbow(curve: DataFrame, k_col: str = "k", sse_col: str = "sse", sensitivity: float = 1.0) -> int:
     """The elbow k, or ``ElbowUndefined`` when the curve has no knee."""
-    rows = collect_bounded(elbow_frame(curve, k_col, sse_col, sensitivity).filter("is_elbow").select("k"), 1000,
-                           "SSE curve")
+    rows = elbow_frame(curve, k_col, sse_col, sensitivity).filter("is_elbow").select("k").collect()
     if not rows:
         raise ElbowUndefined("no elbow on this SSE curve (flat, straight or too short)")
     return int(rows[0]["k"])

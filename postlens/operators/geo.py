@@ -3,11 +3,11 @@
 * ``state_from_text`` / ``state_matches``: the state list is a small checked
   dimension folded into one narrow projection of literal regexes (no join,
   no shuffle): ``filter(array(when(loc rlike p_i, name_i) ...), x -> x is not null)``.
-* ``state_matches_join``: the same matches as a table-driven broadcast
-  nested-loop join on ``loc rlike pattern`` (one row per match).
+* ``state_matches_join``: the same matches, one row per match (the match
+  array exploded; no join of posts with states).
 * ``gazetteer_state``: word n-grams of the location, equi-joined with a
-  user-supplied gazetteer ``(city, state, lat, lon)``; the gazetteer is
-  broadcast only after a size check, otherwise a shuffle join is planned.
+  user-supplied gazetteer ``(city, state, lat, lon)``; Spark broadcasts the
+  gazetteer by its byte threshold, else plans a shuffle join.
 * ``state_from_address``: state part of a geocoder-style address.
 """
 
@@ -20,8 +20,8 @@ from .. import constants as K
 from ..functions.geo import address_state, pick_one, state_match_array, state_pattern
 from ..functions.text import col_of
 from ..sources.files import local_frame
-from .dims import broadcast_if_small, collect_bounded
 from .projection import require_columns
+from .sentiment import repeated
 
 
 def us_states_frame(spark) -> DataFrame:
@@ -32,13 +32,13 @@ def us_states_frame(spark) -> DataFrame:
 
 def state_patterns(states: DataFrame, name_col: str = "name", alt_cols=("abbr", "code"),
                    order_col: str | None = "ord", word_boundary: bool = False):
-    """``[(name, pattern)]`` from a bounded state table, in list order."""
+    """``[(name, pattern)]`` from the state table (a list that becomes literals of the plan)."""
     alt_cols = [c for c in alt_cols if c in states.columns]
     sel = states.select(col_of(name_col).alias("_n"), *[col_of(c).alias(f"_a{i}") for i, c in enumerate(alt_cols)],
                         *( [col_of(order_col).alias("_o")] if order_col else []))
     if order_col:
         sel = sel.orderBy("_o", "_n")
-    rows = collect_bounded(sel, what="state table")
+    rows = sel.collect()
     out = []
     for r in rows:
         alts = [r["_n"]] + [r[f"_a{i}"] for i in range(len(alt_cols))]
@@ -67,18 +67,14 @@ def state_from_text(df: DataFrame, states: DataFrame, location_col: str = "user-
 
 def state_matches_join(df: DataFrame, states: DataFrame, location_col: str = "user-location",
                        state_col: str = "state", how: str = "inner", **pattern_opts) -> DataFrame:
-    """Table-driven form: broadcast nested-loop join on ``location rlike pattern``.
-
-    The state table is bounded (checked), so the broadcast side is fixed-size.
-    """
+    """One row per match (``how="inner"``), or also one with a null state without any (``"left"``);
+    ``_ord`` is the state's place in the list."""
+    require_columns(df, [location_col])
     pats = state_patterns(states, **pattern_opts)
-    spark = df.sparkSession
-    pat_df = local_frame(spark, [(i, n, p) for i, (n, p) in enumerate(pats)],
-                         "_ord int, _state string, _pattern string")
-    loc = col_of(location_col)
-    cond = (loc != F.lit("")) & F.expr(f"`{location_col}` rlike _pattern")
-    joined = df.join(F.broadcast(pat_df), cond, how)
-    return joined.withColumnRenamed("_state", state_col).drop("_pattern")
+    place = F.create_map(*[x for i, (n, _) in enumerate(pats) for x in (F.lit(n), F.lit(i))])
+    explode = {"inner": F.explode, "left": F.explode_outer}[how]
+    rows = df.withColumn(state_col, explode(state_match_array(location_col, pats)))
+    return rows.withColumn("_ord", F.element_at(place, F.col(state_col)))
 
 
 def _word_ngrams(loc, max_n: int):
@@ -94,37 +90,43 @@ def _word_ngrams(loc, max_n: int):
 
 def gazetteer_state(df: DataFrame, gazetteer: DataFrame, location_col: str = "user-location",
                     state_col: str = "state2", coord_col: str = "coord", key: str = "id",
-                    pick: str = "first", seed: int = 0, max_words: int = 3) -> DataFrame:
+                    pick: str = "first", seed: int = 0, max_words: int | None = None) -> DataFrame:
     """Place names found in the location, looked up to (state, lat, lon).
 
-    Candidates are word n-grams (up to ``max_words``) matched exactly against
-    ``gazetteer.city``. ``first`` keeps the earliest (then longest) candidate;
-    ``hash`` a seeded choice by key. Rows without a hit get null state and
-    null coordinates. A hit whose state is null keeps its coordinates.
+    Candidates are word n-grams, up to the words of the gazetteer's longest
+    name, matched exactly against ``gazetteer.city``. ``first`` keeps the
+    earliest (then longest) candidate; ``hash`` a seeded choice by key. Rows
+    without a hit get null state and null coordinates. A hit whose state is
+    null keeps its coordinates. The input is evaluated once; rows are grouped
+    by their own content (see ``sentiment``), so ids may repeat or be null.
     """
     require_columns(df, [location_col, key])
-    gz = gazetteer.select(F.col("city").alias("_gram"), F.col("state").alias("_st"),
-                          F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
-    gz = broadcast_if_small(gz)
-    loc = col_of(location_col)
-    grams = (df.select(col_of(key).alias("_key"),
-                       F.explode(F.when(loc.isNotNull() & (loc != F.lit("")), _word_ngrams(loc, max_words)))
-                       .alias("_g"))
-             .select("_key", F.col("_g.pos").alias("_pos"), F.col("_g.n").alias("_n"), F.col("_g.gram").alias("_gram")))
-    hits = grams.join(gz, "_gram", "inner")
+    place = F.struct(F.col("state").alias("_st"), F.col("lat").cast("double").alias("_lat"),
+                     F.col("lon").cast("double").alias("_lon"))
+    gz = gazetteer.groupBy(F.col("city").alias("_gram")).agg(F.min(place).alias("_place"))
+    if max_words is None:
+        words = F.size(F.split(F.col("city"), r"[\s,;/|]+"))
+        max_words = gazetteer.agg(F.max(words)).first()[0] or 1
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    base = df.toDF(*names)
+    loc, own_key = F.col(names[df.columns.index(location_col)]), F.col(names[df.columns.index(key)])
+    found = F.when(loc.isNotNull() & (loc != F.lit("")), _word_ngrams(loc, max_words))
+    grams = base.select(*names, F.posexplode_outer(found).alias("_at", "_g"))
+    grams = grams.select(*names, (F.coalesce("_at", F.lit(0)) == 0).alias("_first"), F.col("_g.pos").alias("_pos"),
+                         F.col("_g.n").alias("_words"), F.col("_g.gram").alias("_gram"))
+    hits = grams.join(gz, "_gram", "left").filter(F.col("_place").isNotNull() | F.col("_first"))
     if pick == "first":
-        order = F.struct(F.col("_pos"), (-F.col("_n")).alias("_nn"), F.col("_st"), F.col("_lat"), F.col("_lon"))
+        order = F.struct(F.col("_pos"), (-F.col("_words")).alias("_nn"), F.col("_place"))
     elif pick == "hash":
-        order = F.struct(F.xxhash64(F.col("_key"), F.col("_pos"), F.col("_n"), F.lit(seed)).alias("_h"),
-                         F.col("_st"), F.col("_lat"), F.col("_lon"))
+        order = F.struct(F.xxhash64(own_key, F.col("_pos"), F.col("_words"), F.lit(seed)).alias("_h"), F.col("_place"))
     else:
         raise ValueError(pick)
-    best = hits.groupBy("_key").agg(F.min_by(F.struct("_st", "_lat", "_lon"), order).alias("_best"))
-    joined = df.join(best, col_of(key) == F.col("_key"), "left")
+    order = F.when(F.col("_place").isNotNull(), order)
+    best = repeated(hits.groupBy(*names).agg(F.min(order).alias("_best"), F.count_if("_first").alias("_n")), "_n")
     coord = F.when(F.col("_best").isNotNull(),
-                   F.struct(F.col("_best._lat").alias("lat"), F.col("_best._lon").alias("lon")))
-    return joined.select(*[col_of(c) for c in df.columns], F.col("_best._st").alias(state_col),
-                         coord.alias(coord_col))
+                   F.struct(F.col("_best._place._lat").alias("lat"), F.col("_best._place._lon").alias("lon")))
+    return best.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)],
+                       F.col("_best._place._st").alias(state_col), coord.alias(coord_col))
 
 
 def state_from_address(df: DataFrame, address_col: str = "address", state_col: str = "state") -> DataFrame:

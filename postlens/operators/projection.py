@@ -64,7 +64,7 @@ def flatten(df: DataFrame, paths=K.PATHS_SHORT, raw: str = "raw", index: str | N
     for path, typ in paths:
         name = sep.join(path)
         got = F.try_variant_get(v, _json_path(path), typ)
-        if path[-1] == "created_at" and len(path) > 1:
+        if path == ("user", "created_at"):
             got = parse_post_time(got)
         cols.append(got.alias(name))
     return df.select(*cols)

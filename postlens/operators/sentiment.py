@@ -1,14 +1,18 @@
 """Lexicon sentiment as a Spark job.
 
-Plan shape (per call, all text columns at once)::
+Plan shape (per call, all text columns at once, one evaluation of the input)::
 
-    posts(key, text_i) -> explode tokens (one narrow branch per column, unioned)
-      -> broadcast hash join lexicon (inner: only hits go on)
-      -> partial+final hash aggregate by key -> left join back to posts
+    posts -> explode tokens, keeping each row's first -> join lexicon, keep hits and firsts
+      -> partial+final hash aggregate by the row's own content -> as many rows as there were
 
-The lexicon is an input table ``(token string, valence double)``; its size is
-checked before it is broadcast and repeated tokens are rejected. Valences
-are summed as DECIMAL so the score does not depend on task order.
+Rows are told apart by what they hold: the carried columns and, where a text is not carried, its
+SHA-256. Equal rows have equal scores, so they may share a group: the sums are divided by the number
+of rows and that many rows come out. No id needs to be unique or present, nothing depends on row
+order, and there is no join back. Carried columns must be of groupable types (no maps).
+
+The lexicon is an input table ``(token string, valence double)``; repeated tokens are rejected. Spark
+broadcasts it by its byte threshold, else plans a shuffle join. Valences are summed as DECIMAL so the
+score does not depend on task order.
 
 Scores per text column ``c``:
   * ``c-sentiment-compound`` = round(s / sqrt(s^2 + 15), 4), s = sum of valences;
@@ -27,11 +31,10 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..errors import LexiconError
 from ..functions.text import col_of, tokens
-from .dims import DEFAULT_BROADCAST_MAX_ROWS
 from .projection import require_columns
 
 VALENCE_TYPE = "decimal(18,6)"
-LEXICON_MAX_ROWS = DEFAULT_BROADCAST_MAX_ROWS
+REPEAT_STEP = 1_000_000
 
 
 def lexicon_frame(spark, entries) -> DataFrame:
@@ -40,23 +43,37 @@ def lexicon_frame(spark, entries) -> DataFrame:
     return local_frame(spark, [(str(t), float(v)) for t, v in entries], "token string, valence double")
 
 
-def checked_lexicon(lexicon: DataFrame, max_rows: int = LEXICON_MAX_ROWS) -> DataFrame:
-    """Validate (non-empty, unique tokens, bounded) and return a broadcast
-    frame with lower-cased tokens and decimal valences.
+def check_unique(words: DataFrame, col: str, what: str) -> None:
+    """One distributed count; only the first repeated word comes to the driver."""
+    again = words.groupBy(col).count().filter("count > 1").limit(1).collect()
+    if again:
+        raise LexiconError(f"{what} repeats a token (would double-count): {again[0][0]}")
 
-    The check reads at most ``max_rows + 1`` token names in one scan-only job
-    (no shuffle); a lexicon past the bound is refused rather than broadcast.
-    """
+
+def checked_lexicon(lexicon: DataFrame) -> DataFrame:
+    """Validate (non-empty, unique tokens) and return lower-cased tokens with decimal valences."""
     lex = lexicon.select(F.lower(F.col("token")).alias("token"),
                          F.col("valence").cast(VALENCE_TYPE).alias("valence"))
-    names = [r[0] for r in lex.select("token").limit(max_rows + 1).collect()]
-    if not names:
+    if lex.isEmpty():
         raise LexiconError("lexicon is empty")
-    if len(names) > max_rows:
-        raise LexiconError(f"lexicon has more than {max_rows} rows; too large to broadcast")
-    if len(set(names)) != len(names):
-        raise LexiconError("lexicon repeats a token (would double-count)")
-    return F.broadcast(lex.filter(F.col("valence") != 0))
+    check_unique(lex, "token", "lexicon")
+    return lex.filter(F.col("valence") != 0)
+
+
+def row_key(df: DataFrame, text_cols, carry):
+    """``[]`` if every text is carried, else one column that tells the texts apart."""
+    if set(text_cols) <= set(carry):
+        return []
+    parts = [F.coalesce(F.concat(F.length(col_of(c)).cast("string"), F.lit(":"), col_of(c)), F.lit("-")) for c in text_cols]
+    return [F.sha2(F.concat(*parts), 256).alias("_texts")]
+
+
+def repeated(df: DataFrame, n: str) -> DataFrame:
+    """Each row as many times as its column ``n`` says, in steps of bounded arrays; drops ``n``."""
+    k = F.col(n)
+    steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((k - 1) / REPEAT_STEP).cast("long"))))
+    left = F.least(k - F.col("_step") * REPEAT_STEP, F.lit(REPEAT_STEP).cast("long"))
+    return steps.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), left))).drop("_step", "_copy", n)
 
 
 def _compound(s):
@@ -71,83 +88,63 @@ def _share(part, total):
 
 
 def sentiment(df: DataFrame, lexicon: DataFrame, text_cols=("full_text", "user-description"),
-              key: str = "id", sent: str = "sentiment", compound: str = "compound",
+              key: str | None = None, sent: str = "sentiment", compound: str = "compound",
               keep_struct: bool = False, sep: str = "-") -> DataFrame:
     """Add ``<col><sep><sent><sep><compound>`` (and optionally the struct) per text column.
 
-    ``key`` must identify rows uniquely (the post id); every input row is kept.
+    Every input row is kept, with any ids; ``key`` is accepted for older callers and not used.
     """
-    require_columns(df, list(text_cols) + [key])
+    return sentiment_carry(df, lexicon, text_cols, None, sent, compound, sep, keep_struct)
+
+
+def sentiment_carry(df: DataFrame, lexicon: DataFrame, text_cols=("full_text",), carry=None,
+                    sent: str = "sentiment", compound: str = "compound", sep: str = "-",
+                    keep_struct: bool = False) -> DataFrame:
+    """The ``carry`` columns (default: all) and the scores of ``text_cols``, one row per input row."""
+    carry = list(df.columns if carry is None else carry)
+    text_cols = list(text_cols)
+    require_columns(df, text_cols + carry)
     lex = checked_lexicon(lexicon)
-    k = col_of(key)
-    # one narrow explode per text column (each reads only key + its text),
-    # unioned; the source index tells the columns apart in the aggregate
-    parts = [df.select(k.alias("_key"), F.lit(i).alias("src"), F.explode(tokens(c)).alias("token"))
-             for i, c in enumerate(text_cols)]
-    exploded = parts[0]
-    for p in parts[1:]:
-        exploded = exploded.unionByName(p)
-    hits = exploded.join(lex, "token", "inner")
+    keys = [col_of(c) for c in carry]
+    hidden = row_key(df, text_cols, carry)
+
+    def tag(i):
+        return lambda t: F.struct(F.lit(i).alias("src"), t.alias("token"))
+
+    # what is exploded and aggregated has positional names, so no carried name can clash
+    base = df.select(*[c.alias(f"_c{i}") for i, c in enumerate(keys)], *hidden,
+                     *[tokens(c).alias(f"_tok{i}") for i, c in enumerate(text_cols)])
+    names = [f"_c{i}" for i in range(len(carry))] + (["_texts"] if hidden else [])
+    sizes = [F.size(f"_tok{i}").alias(f"_size{i}") for i in range(len(text_cols))] if keep_struct else []
+    toks = F.concat(*[F.transform(F.col(f"_tok{i}"), tag(i)) for i in range(len(text_cols))])
+    ex = base.select(*names, *sizes, F.posexplode_outer(toks).alias("_pos", "_t"))
+    ex = ex.select(*names, *[f"_size{i}" for i in range(len(sizes))], (F.coalesce("_pos", F.lit(0)) == 0).alias("_first"),
+                   F.col("_t.src").alias("_src"), F.col("_t.token").alias("token"))
+    joined = ex.join(lex, "token", "left").filter(F.col("valence").isNotNull() | F.col("_first"))
     v = F.col("valence")
-    aggs = []
+    aggs = [F.count_if("_first").alias("_n")]
     for i, _ in enumerate(text_cols):
-        own = F.col("src") == F.lit(i)
+        own = F.col("_src") == F.lit(i)
         aggs.append(F.sum(F.when(own, v)).alias(f"_s{i}"))
         if keep_struct:
-            aggs.append(F.sum(F.when(own & (v > 0), v + 1)).alias(f"_p{i}"))
-            aggs.append(F.sum(F.when(own & (v < 0), v - 1)).alias(f"_n{i}"))
-            aggs.append(F.count_if(own).alias(f"_h{i}"))
-    scores = hits.groupBy("_key").agg(*aggs)
-    joined = df.join(scores, k == F.col("_key"), "left")
-    out_cols = []
+            aggs += [F.sum(F.when(own & (v > 0), v + 1)).alias(f"_p{i}"), F.sum(F.when(own & (v < 0), v - 1)).alias(f"_m{i}"),
+                     F.count_if(own & v.isNotNull()).alias(f"_h{i}"), F.max(f"_size{i}").alias(f"_z{i}")]
+    agg = repeated_sums(joined.groupBy(*names).agg(*aggs))
+    out = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)]
     for i, c in enumerate(text_cols):
         comp = _compound(F.col(f"_s{i}"))
         if keep_struct:
             pos = F.coalesce(F.col(f"_p{i}").cast("double"), F.lit(0.0))
-            neg = F.coalesce(F.col(f"_n{i}").cast("double"), F.lit(0.0))
-            neu = (F.size(tokens(c)) - F.coalesce(F.col(f"_h{i}"), F.lit(0))).cast("double")
+            neg = F.coalesce(F.col(f"_m{i}").cast("double"), F.lit(0.0))
+            neu = (F.col(f"_z{i}") - F.coalesce(F.col(f"_h{i}"), F.lit(0))).cast("double")
             total = pos + F.abs(neg) + neu
-            out_cols.append(F.struct(_share(neg, total).alias("neg"), _share(neu, total).alias("neu"),
-                                     _share(pos, total).alias("pos"), comp.alias("compound"))
-                            .alias(f"{c}{sep}{sent}"))
-        out_cols.append(comp.alias(f"{c}{sep}{sent}{sep}{compound}"))
-    return joined.select(*[col_of(c) for c in df.columns], *out_cols)
-
-
-def sentiment_carry(df: DataFrame, lexicon: DataFrame, text_cols=("full_text",), carry=("id",),
-                    sent: str = "sentiment", compound: str = "compound", sep: str = "-") -> DataFrame:
-    """Single-pass form of ``sentiment``: returns ``carry`` columns + scores.
-
-    The input is evaluated once. Each row gets a generated row id in the same
-    branch; its token array is exploded keeping position 0 (so rows without
-    tokens or hits survive) and every lexicon hit; one partial+final hash
-    aggregate groups by (row id, carried columns). No join back, so no second
-    evaluation of an expensive input (a join, a JSON parse) and no uniqueness
-    requirement on any key. Carry only small columns (ids, flags, states):
-    they are grouping keys, and the dropped text columns are not returned.
-    """
-    carry = list(carry)
-    require_columns(df, list(text_cols) + carry)
-    lex = checked_lexicon(lexicon)
+            out.append(F.struct(_share(neg, total).alias("neg"), _share(neu, total).alias("neu"),
+                                _share(pos, total).alias("pos"), comp.alias("compound")).alias(f"{c}{sep}{sent}"))
+        out.append(comp.alias(f"{c}{sep}{sent}{sep}{compound}"))
+    return agg.select(*out)
 
-    def tag(i):
-        return lambda t: F.struct(F.lit(i).alias("src"), t.alias("token"))
 
-    base = df.select(F.monotonically_increasing_id().alias("_rid"), *[col_of(c).alias(c) for c in carry],
-                     *[tokens(c).alias(f"_tok{i}") for i, c in enumerate(text_cols)])
-    if len(text_cols) == 1:
-        ex = base.select("_rid", *[col_of(c) for c in carry], F.lit(0).alias("src"),
-                         F.posexplode_outer("_tok0").alias("_pos", "token"))
-    else:
-        toks = F.concat(*[F.transform(F.col(f"_tok{i}"), tag(i)) for i in range(len(text_cols))])
-        ex = base.select("_rid", *[col_of(c) for c in carry], F.posexplode_outer(toks).alias("_pos", "_t"))
-        ex = ex.select("_rid", *[col_of(c) for c in carry], "_pos", F.col("_t.src").alias("src"),
-                       F.col("_t.token").alias("token"))
-    joined = ex.join(lex, "token", "left").filter(
-        F.col("valence").isNotNull() | F.coalesce(F.col("_pos") == 0, F.lit(True)))
-    v = F.col("valence")
-    aggs = [F.sum(F.when(F.col("src") == F.lit(i), v)).alias(f"_s{i}") for i in range(len(text_cols))]
-    agg = joined.groupBy("_rid", *[col_of(c) for c in carry]).agg(*aggs)
-    return agg.select(*[col_of(c) for c in carry],
-                      *[_compound(F.col(f"_s{i}")).alias(f"{c}{sep}{sent}{sep}{compound}")
-                        for i, c in enumerate(text_cols)])
+def repeated_sums(agg: DataFrame) -> DataFrame:
+    """Group sums over ``_n`` equal rows become those of one row, which comes out ``_n`` times."""
+    shared = [c for c in agg.columns if c[:2] in ("_s", "_p", "_m", "_h") and c[2:].isdigit()]
+    return repeated(agg.withColumns({c: F.col(c) / F.col("_n") for c in shared}), "_n")

@@ -21,11 +21,11 @@ Tokens: whitespace split, punctuation stripped from the edges unless that
 leaves two characters or fewer, tokens of one character dropped.
 
 Plan: the neighbour words, the "but" position and the punctuation counts are
-computed inside each row before the explode, so nothing but the per-text
-sums is shuffled. One small word table (lexicon + boosters + negations,
-size-checked) is broadcast and joined four times (the hit and three
-neighbours); then one partial-aggregated group-by per text and a left join
-back to the input.
+computed inside each row before the explode, and the input is evaluated once.
+One word table (lexicon + boosters + negations) is joined four times (the hit
+and three neighbours). One partial-aggregated group-by over the row's own
+content follows (see ``sentiment``): ids may repeat or be null. Valences are
+summed as DECIMAL, so scores don't depend on task order.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ..errors import LexiconError
 from ..functions.text import col_of
 from .projection import require_columns
+from .sentiment import check_unique, repeated_sums, row_key
 
 # FIXED VALUES: rule constants.
 CAPS_INCREMENT = 0.733
@@ -50,29 +51,31 @@ QUESTION_MANY = 0.96
 ALPHA = 15.0
 
 _PUNCT = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"""
-WORD_TABLE_MAX_ROWS = 1_000_000
+SUM_TYPE = "decimal(20,10)"
 
 
-def word_table(lexicon: DataFrame, boosters: DataFrame | None = None, negations: DataFrame | None = None,
-               max_rows: int = WORD_TABLE_MAX_ROWS) -> DataFrame:
+def word_table(lexicon: DataFrame, boosters: DataFrame | None = None, negations: DataFrame | None = None) -> DataFrame:
     """``(w, valence, scalar, neg)`` from lexicon ``(token, valence)``, boosters
-    ``(token, scalar)`` and negations ``(token)``; validated and broadcast."""
-    spark = lexicon.sparkSession
-    lex = lexicon.select(F.lower("token").alias("w"), F.col("valence").cast("double").alias("valence"))
-    boo = (boosters.select(F.lower("token").alias("w"), F.col("scalar").cast("double").alias("scalar"))
-           if boosters is not None else spark.range(0).select(F.lit("").alias("w"), F.lit(0.0).alias("scalar")))
-    neg = (negations.select(F.lower("token").alias("w"), F.lit(True).alias("neg"))
-           if negations is not None else spark.range(0).select(F.lit("").alias("w"), F.lit(True).alias("neg")))
-    for name, t in (("lexicon", lex), ("boosters", boo), ("negations", neg)):
-        names = [r[0] for r in t.select("w").limit(max_rows + 1).collect()]
-        if len(names) > max_rows:
-            raise LexiconError(f"{name} has more than {max_rows} rows; too large to broadcast")
-        if len(set(names)) != len(names):
-            raise LexiconError(f"{name} repeats a token")
-        if name == "lexicon" and not names:
-            raise LexiconError("lexicon is empty")
-    info = lex.join(boo, "w", "full").join(neg, "w", "full")
-    return F.broadcast(info.select("w", "valence", "scalar", F.coalesce("neg", F.lit(False)).alias("neg")))
+    ``(token, scalar)`` and negations ``(token)``; validated."""
+    empty = {"valence": "double", "scalar": "double", "neg": "boolean"}
+
+    def part(table: DataFrame, **own) -> DataFrame:
+        w = F.lower("token").alias("w")
+        return table.select(w, *[own.get(c, F.lit(None)).cast(t).alias(c) for c, t in empty.items()])
+
+    parts = [("lexicon", part(lexicon, valence=F.col("valence")))]
+    if boosters is not None:
+        parts.append(("boosters", part(boosters, scalar=F.col("scalar"))))
+    if negations is not None:
+        parts.append(("negations", part(negations, neg=F.lit(True))))
+    if lexicon.isEmpty():
+        raise LexiconError("lexicon is empty")
+    whole = parts[0][1]
+    for name, t in parts:
+        check_unique(t, "w", name)
+        whole = whole if name == "lexicon" else whole.unionByName(t)
+    return whole.groupBy("w").agg(F.max("valence").alias("valence"), F.max("scalar").alias("scalar"),
+                                  F.coalesce(F.max("neg"), F.lit(False)).alias("neg"))
 
 
 def _rule_tokens(text):
@@ -101,36 +104,45 @@ def _count_char(text, ch):
 
 def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
                     negations: DataFrame | None = None, text_cols=("full_text", "user-description"),
-                    key: str = "id", sent: str = "sentiment", compound: str = "compound",
-                    keep_struct: bool = False, sep: str = "-") -> DataFrame:
-    """Add ``<col><sep><sent><sep><compound>`` (and optionally the struct) with the
-    context rules. ``key`` must be unique per row; every row is kept."""
-    require_columns(df, list(text_cols) + [key])
+                    key: str | None = None, sent: str = "sentiment", compound: str = "compound",
+                    keep_struct: bool = False, sep: str = "-", carry=None) -> DataFrame:
+    """The ``carry`` columns (default: all) and ``<col><sep><sent><sep><compound>`` (optionally the
+    struct) with the context rules, one row per input row; ``key`` is accepted and not used."""
+    carry, text_cols = list(df.columns if carry is None else carry), list(text_cols)
+    require_columns(df, text_cols + carry)
     info = word_table(lexicon, boosters, negations)
-    k = col_of(key)
-    parts = []
+    hidden = row_key(df, text_cols, carry)
+    each = range(len(text_cols))
+    names = [f"_c{i}" for i in range(len(carry))] + (["_texts"] if hidden else [])
+    counts = []
     for i, c in enumerate(text_cols):
-        pre = df.select(k.alias("_key"), F.lit(i).alias("src"), _rule_tokens(col_of(c)).alias("ws"))
-        pre = pre.select("_key", "src", "ws", F.transform("ws", lambda t: F.lower(t)).alias("lw"))
-        # neighbours as shifted copies of the arrays (no per-element lambda
-        # over the arrays, so nothing is re-evaluated per token), zipped and
-        # exploded to one small row per token
-        pre = pre.select("_key", "src", "lw", F.col("ws").alias("own"),
-                         (F.exists("ws", _is_upper) & ~F.forall("ws", _is_upper)).alias("capdiff"),
-                         F.array_position("lw", F.lit("but")).alias("but"),
-                         *[_shift(F.col("lw"), d).alias(f"p{d}") for d in (1, 2, 3)],
-                         *[_shift(F.col("ws"), d).alias(f"o{d}") for d in (1, 2, 3)])
-        zipped = F.arrays_zip("lw", "own", "p1", "p2", "p3", "o1", "o2", "o3")
-        ex_i = pre.select("_key", "src", "capdiff", "but", F.posexplode(zipped).alias("pos", "z"))
-        parts.append(ex_i.select("_key", "src", "capdiff", "but", "pos", F.col("z.lw").alias("w"),
-                                 F.col("z.own").alias("own"),
-                                 *[F.col(f"z.p{d}").alias(f"p{d}") for d in (1, 2, 3)],
-                                 *[F.col(f"z.o{d}").alias(f"o{d}") for d in (1, 2, 3)]))
-    ex = parts[0]
-    for p in parts[1:]:
-        ex = ex.unionByName(p)
-    hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "inner") \
-        .filter(F.col("valence").isNotNull())
+        counts += [_count_char(col_of(c), "!").alias(f"_b{i}"), _count_char(col_of(c), "?").alias(f"_q{i}")]
+    pre = df.select(*[col_of(c).alias(f"_c{i}") for i, c in enumerate(carry)], *hidden, *counts,
+                    *[_rule_tokens(col_of(c)).alias(f"_w{i}") for i, c in enumerate(text_cols)])
+    flat = names + [f"_{k}{i}" for k in "bq" for i in each]
+    pre = pre.select(*flat, *[f"_w{i}" for i in each], *[F.transform(f"_w{i}", lambda t: F.lower(t)).alias(f"_l{i}") for i in each])
+    # neighbours as shifted copies of the arrays (no per-element lambda over the arrays, so nothing is
+    # re-evaluated per token), zipped and exploded to one small row per token
+    cols = []
+    for i in each:
+        w, low = F.col(f"_w{i}"), F.col(f"_l{i}")
+        cols += [F.size(w).alias(f"_z{i}"), (F.exists(w, _is_upper) & ~F.forall(w, _is_upper)).alias(f"_caps{i}"),
+                 F.array_position(low, F.lit("but")).alias(f"_but{i}"), w.alias(f"_w{i}"), low.alias(f"_l{i}")]
+        cols += [_shift(low, d).alias(f"_p{d}_{i}") for d in (1, 2, 3)] + [_shift(w, d).alias(f"_o{d}_{i}") for d in (1, 2, 3)]
+    pre = pre.select(*flat, *cols)
+
+    def zipped(i):
+        fields = [f"_l{i}", f"_w{i}", *[f"_p{d}_{i}" for d in (1, 2, 3)], *[f"_o{d}_{i}" for d in (1, 2, 3)]]
+        plain = ["w", "own", "p1", "p2", "p3", "o1", "o2", "o3"]
+        return F.transform(F.arrays_zip(*fields), lambda x, at: F.struct(
+            F.lit(i).alias("src"), at.alias("pos"), F.col(f"_caps{i}").alias("capdiff"), F.col(f"_but{i}").alias("but"),
+            *[x[f].alias(n) for f, n in zip(fields, plain, strict=True)]))
+
+    flat += [f"_z{i}" for i in each]
+    ex = pre.select(*flat, F.posexplode_outer(F.concat(*[zipped(i) for i in each])).alias("_pos", "_t"))
+    ex = ex.select(*flat, (F.coalesce("_pos", F.lit(0)) == 0).alias("_first"), "_t.*")
+    hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "left") \
+        .filter(F.col("valence").isNotNull() | F.col("_first"))
     for d in (1, 2, 3):
         nb = info.select(F.col("w").alias(f"p{d}"), F.col("valence").alias(f"v{d}"),
                          F.col("scalar").alias(f"s{d}"), F.col("neg").alias(f"n{d}"))
@@ -156,31 +168,30 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
                     .when(F.col("pos") + 1 > F.col("but"), F.lit(BUT_AFTER)).otherwise(F.lit(1.0)))
              .otherwise(F.lit(1.0)))
     hits = hits.withColumn("_v", F.when(F.col("self_scalar").isNotNull(), F.lit(0.0)).otherwise(F.col("_v") * but_w))
-    vv = F.col("_v")
-    aggs = []
-    for i, _ in enumerate(text_cols):
+    vv = F.col("_v").cast(SUM_TYPE)
+    aggs = [F.count_if("_first").alias("_n")]
+    for i in each:
         own = F.col("src") == F.lit(i)
         aggs += [F.sum(F.when(own, vv)).alias(f"_s{i}"),
                  F.sum(F.when(own & (vv > 0), vv + 1)).alias(f"_p{i}"),
-                 F.sum(F.when(own & (vv < 0), vv - 1)).alias(f"_n{i}"),
+                 F.sum(F.when(own & (vv < 0), vv - 1)).alias(f"_m{i}"),
                  F.count_if(own & (vv != 0)).alias(f"_h{i}")]
-    scores = hits.groupBy("_key").agg(*aggs)
-    joined = df.join(scores, k == F.col("_key"), "left")
-    out = []
+        aggs += [F.max(f"_{k}{i}").alias(f"_{k}{i}") for k in "bqz"]
+    agg = repeated_sums(hits.groupBy(*names).agg(*aggs))
+    out = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)]
     for i, c in enumerate(text_cols):
-        text = col_of(c)
-        n_tok = F.size(_rule_tokens(text))
-        bang = F.least(_count_char(text, "!"), F.lit(EXCLAIM_MAX)) * F.lit(EXCLAIM_STEP)
-        q = _count_char(text, "?")
+        n_tok = F.col(f"_z{i}")
+        bang = F.least(F.col(f"_b{i}"), F.lit(EXCLAIM_MAX)) * F.lit(EXCLAIM_STEP)
+        q = F.col(f"_q{i}")
         qm = F.when(q <= 1, F.lit(0.0)).when(q <= 3, q * F.lit(QUESTION_STEP)).otherwise(F.lit(QUESTION_MANY))
         punct = bang + qm
-        s = F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
+        s = F.coalesce(F.col(f"_s{i}").cast("double"), F.lit(0.0))
         s = F.when(s > 0, s + punct).when(s < 0, s - punct).otherwise(s)
         comp = F.round(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), s / F.sqrt(s * s + F.lit(ALPHA)))), 4)
         comp = F.when(n_tok > 0, comp).otherwise(F.lit(0.0))
         if keep_struct:
-            ps = F.coalesce(F.col(f"_p{i}"), F.lit(0.0))
-            ns = F.coalesce(F.col(f"_n{i}"), F.lit(0.0))
+            ps = F.coalesce(F.col(f"_p{i}").cast("double"), F.lit(0.0))
+            ns = F.coalesce(F.col(f"_m{i}").cast("double"), F.lit(0.0))
             ps2 = F.when(ps > F.abs(ns), ps + punct).otherwise(ps)
             ns2 = F.when(ps < F.abs(ns), ns - punct).otherwise(ns)
             neu = (n_tok - F.coalesce(F.col(f"_h{i}"), F.lit(0))).cast("double")
@@ -192,4 +203,4 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
             out.append(F.struct(share(ns2).alias("neg"), share(neu).alias("neu"), share(ps2).alias("pos"),
                                 comp.alias("compound")).alias(f"{c}{sep}{sent}"))
         out.append(comp.alias(f"{c}{sep}{sent}{sep}{compound}"))
-    return joined.select(*[col_of(c) for c in df.columns], *out)
+    return agg.select(*out)

@@ -8,7 +8,7 @@ columns (same names) as its Spark job. Jobs without a deterministic SQL form
 from __future__ import annotations
 
 from ..constants import SENTIMENT_CLASSES
-from ..sources.testbed import TOPIC_A, TOPIC_B, TOY_LEXICON, TRACK_WORDS, TRACK_WORDS_CAPTURE
+from ..sources.testbed import TOPIC_A, TOPIC_B, TOY_BOOSTERS, TOY_LEXICON, TOY_NEGATIONS, TRACK_WORDS, TRACK_WORDS_CAPTURE
 
 LEX = "lex(token, valence) AS (VALUES " + ", ".join(f"('{t}', {v!r})" for t, v in TOY_LEXICON) + ")"
 
@@ -16,7 +16,8 @@ POSTS = """posts AS (
   SELECT d.doc_id AS id, e.ts AS created_at, d.lang, d.text AS full_text, e.user_id,
          c.text AS user_description, u.c_name || ', ' || n.n_name AS user_location
   FROM documents d JOIN events e ON e.event_id = d.doc_id
-  LEFT JOIN conversations c ON c.conv_id = e.user_id AND c.turn = 0
+  LEFT JOIN (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, role, text) AS text FROM conversations GROUP BY conv_id) c
+    ON c.conv_id = e.user_id
   LEFT JOIN customer u ON u.c_custkey = e.user_id
   LEFT JOIN nation n ON n.n_nationkey = u.c_nationkey)"""
 
@@ -37,6 +38,54 @@ def _compound(s: str) -> str:
     return f"coalesce(round({s} / sqrt({s} * {s} + 15), 4), 0.0)"
 
 
+def _strip(t: str) -> str:
+    return f"regexp_replace({t}, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
+
+
+def _rules(src: str, key: str, text: str, p: str) -> str:
+    """Common table expressions ``<p>_...`` of the rule scorer; ``<p>_out(rid, compound, pos, neg)``."""
+    boo = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in TOY_BOOSTERS)
+    neg = ", ".join(f"('{w}')" for w in TOY_NEGATIONS)
+    steps, cur = [], f"{p}_v0"
+    for d, damp in ((1, 1.0), (2, 0.95), (3, 0.9)):
+        sc = f"(CASE WHEN v < 0 THEN -coalesce(s{d}, 0.0) ELSE coalesce(s{d}, 0.0) END)"
+        caps = f"s{d} IS NOT NULL AND capdiff AND u{d}"
+        sc = f"((CASE WHEN {caps} THEN CASE WHEN v > 0 THEN {sc} + 0.733::DOUBLE ELSE {sc} - 0.733::DOUBLE END ELSE {sc} END) * {damp!r}::DOUBLE)"
+        negated = f"(coalesce(g{d}, false) OR contains(p{d}, 'n''t'))"
+        steps.append(f"""{p}_v{d} AS (SELECT * REPLACE (CASE WHEN p{d} IS NOT NULL AND l{d} IS NULL
+  THEN CASE WHEN {negated} THEN (v + {sc}) * (-0.74)::DOUBLE ELSE v + {sc} END ELSE v END AS v) FROM {cur})""")
+        cur = f"{p}_v{d}"
+    lags = ", ".join(f"lag(w, {d}) OVER o AS p{d}, lag(up, {d}) OVER o AS u{d}, lag(val, {d}) OVER o AS l{d}, "
+                     f"lag(sc, {d}) OVER o AS s{d}, lag(ng, {d}) OVER o AS g{d}" for d in (1, 2, 3))
+    return f"""{p}_in AS (SELECT {key} AS rid, coalesce({text}, '') AS t FROM {src}),
+{p}_raw AS (SELECT rid, t, list_filter(list_transform(list_filter(string_split_regex(t, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> ''),
+   lambda x: CASE WHEN length({_strip('x')}) <= 2 THEN x ELSE {_strip('x')} END), lambda x: length(x) > 1) AS ws FROM {p}_in),
+{p}_tok AS (SELECT rid, unnest(ws) AS own, unnest(generate_series(1, len(ws))) AS i FROM {p}_raw),
+{p}_low AS (SELECT rid, i, lower(own) AS w, upper(own) = own AND lower(own) <> own AS up FROM {p}_tok),
+{p}_info AS (SELECT k.*, x.valence::DOUBLE AS val, b.scalar AS sc, n.token IS NOT NULL AS ng FROM {p}_low k
+   LEFT JOIN lex x ON x.token = k.w LEFT JOIN (VALUES {boo}) b(token, scalar) ON b.token = k.w
+   LEFT JOIN (VALUES {neg}) n(token) ON n.token = k.w),
+{p}_ctx AS (SELECT rid, i, w, up, val, sc, {lags}, bool_or(up) OVER r AND NOT bool_and(up) OVER r AS capdiff,
+   min(CASE WHEN w = 'but' THEN i END) OVER r AS but FROM {p}_info
+   WINDOW o AS (PARTITION BY rid ORDER BY i), r AS (PARTITION BY rid)),
+{p}_v0 AS (SELECT *, CASE WHEN capdiff AND up THEN CASE WHEN val > 0 THEN val + 0.733::DOUBLE ELSE val - 0.733::DOUBLE END ELSE val END AS v
+   FROM {p}_ctx WHERE val IS NOT NULL),
+{", ".join(steps)},
+{p}_w AS (SELECT rid, (CASE WHEN sc IS NOT NULL THEN 0.0 WHEN but IS NULL OR i = but THEN v WHEN i < but THEN v * 0.5::DOUBLE
+   ELSE v * 1.5::DOUBLE END)::DECIMAL(20,10) AS v FROM {cur}),
+{p}_sum AS (SELECT rid, sum(v)::DOUBLE AS s, coalesce(sum(CASE WHEN v > 0 THEN v + 1 END), 0)::DOUBLE AS ps,
+   coalesce(sum(CASE WHEN v < 0 THEN v - 1 END), 0)::DOUBLE AS ns, count(*) FILTER (v <> 0) AS h FROM {p}_w GROUP BY rid),
+{p}_all AS (SELECT r.rid, len(ws) AS n, coalesce(s, 0.0) AS s, coalesce(ps, 0.0) AS ps, coalesce(ns, 0.0) AS ns, coalesce(h, 0) AS h,
+   least(length(t) - length(replace(t, '!', '')), 4) * 0.292::DOUBLE + CASE WHEN length(t) - length(replace(t, '?', '')) <= 1 THEN 0.0::DOUBLE
+   WHEN length(t) - length(replace(t, '?', '')) <= 3 THEN (length(t) - length(replace(t, '?', ''))) * 0.18::DOUBLE ELSE 0.96::DOUBLE END AS pu
+   FROM {p}_raw r LEFT JOIN {p}_sum z ON z.rid = r.rid),
+{p}_fin AS (SELECT rid, n, CASE WHEN s > 0 THEN s + pu WHEN s < 0 THEN s - pu ELSE s END AS s,
+   CASE WHEN ps > abs(ns) THEN ps + pu ELSE ps END AS ps, CASE WHEN ps < abs(ns) THEN ns - pu ELSE ns END AS ns, (n - h)::DOUBLE AS neu FROM {p}_all),
+{p}_out AS (SELECT rid, CASE WHEN n > 0 THEN round(least(1.0, greatest(-1.0, s / sqrt(s * s + 15))), 4) ELSE 0.0 END AS compound,
+   CASE WHEN ps + abs(ns) + neu > 0 THEN round(abs(ps / (ps + abs(ns) + neu))::DECIMAL(20,10), 3)::DOUBLE ELSE 0.0 END AS pos,
+   CASE WHEN ps + abs(ns) + neu > 0 THEN round(abs(ns / (ps + abs(ns) + neu))::DECIMAL(20,10), 3)::DOUBLE ELSE 0.0 END AS neg FROM {p}_fin)"""
+
+
 def _first_state(src: str) -> str:
     return f"""(SELECT p.id, arg_min(n.n_name, n.n_nationkey) AS state
    FROM {src} p JOIN nation n ON p.user_location <> '' AND contains(p.user_location, n.n_name) GROUP BY p.id)"""
@@ -156,6 +205,15 @@ SELECT id, CASE WHEN total > 0 THEN round(abs(ns / total)::DECIMAL(20,10), 3)::D
            CASE WHEN total > 0 THEN round(abs(ps / total)::DECIMAL(20,10), 3)::DOUBLE ELSE 0.0 END AS pos,
            {_compound('s')} AS compound FROM tot"""
 
+    q["sentiment_rules_posts"] = f"""WITH {POSTS}, {LEX}, {_rules('posts', 'id', 'full_text', 'a')},
+{_rules('posts', 'id', 'user_description', 'b')}
+SELECT p.id, a.compound AS full_text_sentiment_compound, a.pos AS full_text_pos, a.neg AS full_text_neg,
+  b.compound AS user_description_sentiment_compound FROM posts p JOIN a_out a ON a.rid = p.id JOIN b_out b ON b.rid = p.id"""
+    q["sentiment_turns"] = f"""WITH {LEX}, t AS (SELECT row_number() OVER () AS rid, conv_id, text FROM conversations),
+s AS {_scores('t', 'text', 'rid')}, {_rules('t', 'rid', 'text', 'a')}
+SELECT t.conv_id, {_compound('s.s')} AS turn_text_sentiment_compound, a.compound AS turn_text_sentiment_rules
+FROM t LEFT JOIN s ON s.sid = t.rid JOIN a_out a ON a.rid = t.rid"""
+
     q["classes_labels"] = f"""{LABELLED} SELECT id, cls AS full_text_sentiment_compound_class, label FROM lab"""
     q["topic_subsets"] = f"""{LABELLED} SELECT id, 'a_only' AS subset FROM lab WHERE ta AND NOT tb
 UNION ALL SELECT id, 'b_only' AS subset FROM lab WHERE NOT ta AND tb"""
@@ -176,7 +234,7 @@ w AS (SELECT id, list_filter(string_split_regex(coalesce(user_location, ''), '[\
 g0 AS (SELECT id, words, unnest(generate_series(1, len(words))) AS pos FROM w),
 g AS (SELECT g0.id, g0.pos::INT AS pos, n.range::INT AS n,
              array_to_string(list_slice(g0.words, g0.pos, g0.pos + n.range - 1), ' ') AS gram
-      FROM g0 CROSS JOIN range(1, 4) n WHERE g0.pos + n.range - 1 <= len(g0.words)),
+      FROM g0 CROSS JOIN range(1, (SELECT max(len(string_split_regex(city, '[\\s,;/|]+'))) + 1 FROM gz)) n WHERE g0.pos + n.range - 1 <= len(g0.words)),
 best AS (SELECT g.id, arg_min(struct_pack(st := gz.state, la := gz.lat, lo := gz.lon),
                               struct_pack(p := g.pos, nn := -g.n, st := gz.state, la := gz.lat, lo := gz.lon)) AS b
          FROM g JOIN gz ON g.gram = gz.city GROUP BY g.id)
@@ -236,7 +294,8 @@ SELECT ord, name FROM states WHERE name IN (SELECT state FROM lab WHERE state IS
     q["states_without_posts"] = f"""{LABELLED}, {STATES}
 SELECT ord, name FROM states WHERE name NOT IN (SELECT state FROM lab WHERE state IS NOT NULL)"""
 
-    q["union_states"] = "SELECT n_nationkey AS ord, n_name AS name, n_regionkey AS region FROM nation WHERE n_regionkey BETWEEN 0 AND 4"
+    q["union_states"] = """SELECT n_nationkey AS ord, n_name AS name, n_regionkey AS region FROM nation
+UNION ALL SELECT r_regionkey, r_name, r_regionkey FROM region"""
 
     q["hist_paths"] = f"""{LABELLED}, {STATES}
 SELECT s.ord, s.name, CASE WHEN s.name IN (SELECT state FROM lab WHERE state IS NOT NULL)
@@ -247,10 +306,15 @@ f AS (SELECT s.ord::VARCHAR AS ord, s.name, coalesce(m.cluster_max_label, 'No da
       FROM states s LEFT JOIN mx m ON s.name = m.state)
 SELECT *, (SELECT count(DISTINCT cluster_max_label) FROM f) AS n_fill FROM f"""
 
+    q["map_feed_geojson"] = f"""{maj.replace("WHERE state IS NOT NULL AND label", "WHERE state <> 'NATION_0' AND label")},
+f AS (SELECT s.ord, s.name, coalesce(m.cluster_max_label, 'No data') AS fill FROM states s LEFT JOIN mx m ON s.name = m.state)
+SELECT name, '{{"type":"Feature","geometry":' || CASE WHEN ord % 2 = 0 THEN '"POINT (' || ord || ' 0)"' ELSE 'null' END
+  || ',"properties":{{"ord":"' || ord || '","name":"' || name || '","cluster_max_label":"' || fill || '","n_fill":'
+  || (SELECT count(DISTINCT fill) FROM f) || '}}}}' AS feature FROM f"""
+
     q["standardize_events"] = f"WITH {FEATS} SELECT * FROM z"
     q["assign_clusters"] = f"""WITH {FEATS},
-c AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS cid, f_value AS cv, f_user AS cu, f_hour AS ch
-      FROM (SELECT * FROM z ORDER BY event_id LIMIT 4)),
+c(cid, cv, cu, ch) AS (VALUES (0, -1.0, -1.0, 0.0), (1, -1.0, 1.0, 0.5), (2, 1.0, -1.0, -0.5), (3, 1.0, 1.0, 0.0)),
 d AS (SELECT z.event_id, c.cid, (z.f_value - c.cv) * (z.f_value - c.cv) + (z.f_user - c.cu) * (z.f_user - c.cu)
         + (z.f_hour - c.ch) * (z.f_hour - c.ch) AS dist FROM z, c)
 SELECT event_id, arg_min(cid, struct_pack(a := dist, b := cid))::INT AS cluster FROM d GROUP BY event_id"""

@@ -22,6 +22,7 @@ from ..operators import geo as G
 from ..operators import projection as P
 from ..operators import stats as S
 from ..operators.sentiment import sentiment
+from ..operators.sentiment_rules import sentiment_rules
 from ..session import materialize
 from ..sinks import feeds
 from ..sources.jsonl import read_posts
@@ -32,7 +33,10 @@ NARROW_FEATURES = ["full_text-contains_trump", "full_text-contains_biden", "full
 
 def prepare_posts(spark: SparkSession, lexicon: DataFrame, states: DataFrame | None = None, path_list=None,
                   folder: str | None = None, paths=K.PATHS_SHORT, language: str = "en", topics: dict | None = None,
-                  pick: str = "first", validate: bool = True) -> DataFrame:
+                  pick: str = "first", validate: bool = True, scorer: str = "rules",
+                  boosters: DataFrame | None = None, negations: DataFrame | None = None) -> DataFrame:
+    """``scorer``: ``rules`` (context rules, with optional booster and negation tables) or ``plain``.
+    The captures are scanned and parsed once; ``validate`` costs one more pass over the root keys."""
     raw = read_posts(spark, path_list=path_list, folder=folder)
     df = P.flatten(raw, paths, validate=validate)
     df = P.first_text(df, "full_text", K.TEXT_PRIORITY, drop=True)
@@ -41,7 +45,13 @@ def prepare_posts(spark: SparkSession, lexicon: DataFrame, states: DataFrame | N
     states = states if states is not None else G.us_states_frame(spark)
     df = G.state_from_text(df, states, "user-location", "state", pick=pick)
     df = FL.keep_located(df, "state")
-    df = sentiment(df, lexicon, ["full_text", "user-description"], key="id")
+    texts = ["full_text", "user-description"]
+    if scorer == "rules":
+        df = sentiment_rules(df, lexicon, boosters, negations, texts)
+    elif scorer == "plain":
+        df = sentiment(df, lexicon, texts)
+    else:
+        raise ValueError(f"unknown scorer {scorer!r}")
     df = FL.drop_zero(df, "full_text-sentiment-compound")
     df = FE.sentiment_classes(df)
     return FE.add_label(df)

@@ -23,13 +23,16 @@ from .prepare import label_counts_by_state, labelled_posts
 HIST_PATH = "image/hist"
 
 
+LABEL_COLUMNS = ("id", "lang", "full_text", "user_id", "user_location")
+
+
 def _labelled(spark, sf):
-    return labelled_posts(tb.posts(spark, sf), tb.states(spark, sf), tb.lexicon(spark), tb.TOPICS)
+    return labelled_posts(tb.posts(spark, sf, LABEL_COLUMNS), tb.states(spark, sf), tb.lexicon(spark), tb.TOPICS)
 
 
 # -- flagship ---------------------------------------------------------------
 def q_label_counts_by_state(spark: SparkSession, sf: str) -> DataFrame:
-    return label_counts_by_state(tb.posts(spark, sf), tb.states(spark, sf), tb.lexicon(spark), tb.TOPICS)
+    return label_counts_by_state(tb.posts(spark, sf, LABEL_COLUMNS), tb.states(spark, sf), tb.lexicon(spark), tb.TOPICS)
 
 
 # -- ingest / projection ----------------------------------------------------
@@ -70,7 +73,7 @@ def q_first_text(spark, sf):
 
 
 def q_preview_posts(spark, sf):
-    p = FL.keep_lang(tb.posts(spark, sf), "en")
+    p = FL.keep_lang(tb.posts(spark, sf, ("id", "lang", "user_location")), "en")
     return P.select_preview(p, ["id", "lang", "user_location"], n=5, order_by="id")
 
 
@@ -98,18 +101,39 @@ def q_track_keywords_ref(spark, sf):
 
 # -- features ------------------------------------------------------------------
 def q_topic_flags(spark, sf):
-    p = tb.posts(spark, sf).select("id", "full_text", "user_description")
+    p = tb.posts(spark, sf, ("id", "full_text", "user_description"))
     f = FE.topic_flags(p, tb.TOPICS, text_cols=["full_text", "user_description"], sep="_")
     return f.drop("full_text", "user_description")
 
 
 def q_sentiment_scores(spark, sf):
     from ..operators.sentiment import sentiment_carry
-    p = tb.posts(spark, sf).select("id", "full_text", "user_description")
+    p = tb.posts(spark, sf, ("id", "full_text", "user_description"))
     return sentiment_carry(p, tb.lexicon(spark), text_cols=["full_text", "user_description"], carry=["id"],
                            sep="_")
 
 
+def q_sentiment_turns(spark, sf):
+    """Level 0 and rule scores of every turn; the conversation id repeats, turns are told apart by content."""
+    from ..operators.sentiment import sentiment_carry
+    from ..operators.sentiment_rules import sentiment_rules
+    t = tb.table(spark, sf, "conversations").select("conv_id", F.col("text").alias("turn_text"))
+    plain = sentiment_carry(t, tb.lexicon(spark), ["turn_text"], sep="_")
+    both = sentiment_rules(plain, tb.lexicon(spark), tb.boosters(spark), tb.negations(spark), ["turn_text"], compound="rules",
+                           sep="_", carry=["conv_id", "turn_text_sentiment_compound"])
+    return both
+
+
+def q_map_feed_geojson(spark, sf):
+    """Feature strings over states of which some have no posts, with a WKT geometry column."""
+    from ..sinks.feeds import map_feed
+    p = _labelled(spark, sf).filter(F.col("state") != "NATION_0")
+    m = S.add_majority(tb.states(spark, sf), p, "label", "state", "name", count_col="user_id", out="cluster_max_label")
+    wkt = F.concat(F.lit("POINT ("), F.col("ord"), F.lit(" 0)"))
+    m = m.withColumn("geometry", F.when(F.col("ord") % 2 == 0, wkt))
+    return map_feed(m, "cluster_max_label").select("name", "feature")
+
+
 def q_sentiment_struct(spark, sf):
     d = tb.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text"))
     s = sentiment(d, tb.lexicon(spark), text_cols=["text"], key="id", keep_struct=True, sep="_")
@@ -119,7 +143,7 @@ def q_sentiment_struct(spark, sf):
 
 def q_sentiment_rules_posts(spark, sf):
     from ..operators.sentiment_rules import sentiment_rules
-    p = tb.posts(spark, sf).select("id", "full_text", "user_description")
+    p = tb.posts(spark, sf, ("id", "full_text", "user_description"))
     s = sentiment_rules(p, tb.lexicon(spark), tb.boosters(spark), tb.negations(spark),
                         text_cols=["full_text", "user_description"], key="id", keep_struct=True, sep="_")
     return s.select("id", "full_text_sentiment_compound", F.col("full_text_sentiment.pos").alias("full_text_pos"),
@@ -145,25 +169,25 @@ def q_topic_subsets(spark, sf):
 
 # -- geo -------------------------------------------------------------------------
 def q_state_first(spark, sf):
-    p = tb.posts(spark, sf).select("id", "user_location")
+    p = tb.posts(spark, sf, ("id", "user_location"))
     return G.state_from_text(p, tb.states(spark, sf), "user_location", "state", pick="first",
                              alt_cols=(), order_col="ord").select("id", "state")
 
 
 def q_state_matches(spark, sf):
-    p = tb.posts(spark, sf).select("id", "user_location")
+    p = tb.posts(spark, sf, ("id", "user_location"))
     m = G.state_matches(p, tb.states(spark, sf), "user_location", "m", alt_cols=(), order_col="ord")
     return m.select("id", F.explode("m").alias("state"))
 
 
 def q_state_matches_join(spark, sf):
-    p = tb.posts(spark, sf).select("id", "user_location")
+    p = tb.posts(spark, sf, ("id", "user_location"))
     return G.state_matches_join(p, tb.states(spark, sf), "user_location", "state", alt_cols=(),
                                 order_col="ord").select("id", "state")
 
 
 def q_gazetteer_state(spark, sf):
-    p = tb.posts(spark, sf).select("id", "user_location")
+    p = tb.posts(spark, sf, ("id", "user_location"))
     g = G.gazetteer_state(p, tb.gazetteer(spark, sf), "user_location", "state2", "coord", key="id")
     return g.select("id", "state2", F.col("coord.lat").alias("lat"), F.col("coord.lon").alias("lon"))
 
@@ -231,12 +255,13 @@ def q_states_without_posts(spark, sf):
 
 
 def q_union_states(spark, sf):
+    """Nations and, as regions of their own, the region table: two state tables in one."""
     from ..sources.states import state_dim
-    n = tb.table(spark, sf, "nation")
-    parts = [n.filter(F.col("n_regionkey") == r).select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"),
-                                                        F.col("n_regionkey").alias("region"))
-             for r in range(5)]
-    return state_dim(parts, ["ord", "name", "region"])
+    n = tb.table(spark, sf, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"),
+                                             F.col("n_regionkey").alias("region"), F.lit("nation").alias("level"))
+    r = tb.table(spark, sf, "region").select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("name"),
+                                             F.col("r_regionkey").alias("region"), F.lit("region").alias("level"))
+    return state_dim([n, r], ["ord", "name", "region"])
 
 
 def q_hist_paths(spark, sf):
@@ -268,10 +293,13 @@ def q_standardize_events(spark, sf):
     return C.standardize(_event_features(spark, sf), FEATS, keep=["event_id"])
 
 
+# FIXED VALUES: centres (standardised value, user, hour) of the assignment job.
+CENTERS = [[-1.0, -1.0, 0.0], [-1.0, 1.0, 0.5], [1.0, -1.0, -0.5], [1.0, 1.0, 0.0]]
+
+
 def q_assign_clusters(spark, sf):
     z = C.standardize(_event_features(spark, sf), FEATS, keep=["event_id"])
-    centers = C.centers_from_rows(z.orderBy("event_id").limit(4), FEATS)
-    return C.assign_clusters(z, FEATS, centers, out="cluster").select("event_id", "cluster")
+    return C.assign_clusters(z, FEATS, CENTERS, out="cluster").select("event_id", "cluster")
 
 
 def q_sse_k1(spark, sf):
@@ -334,6 +362,7 @@ QUERIES = {
     "track_keywords_ref": q_track_keywords_ref,
     "topic_flags": q_topic_flags,
     "sentiment_scores": q_sentiment_scores,
+    "sentiment_turns": q_sentiment_turns,
     "sentiment_struct": q_sentiment_struct,
     "sentiment_rules_posts": q_sentiment_rules_posts,
     "drop_zero": q_drop_zero,
@@ -359,6 +388,7 @@ QUERIES = {
     "union_states": q_union_states,
     "hist_paths": q_hist_paths,
     "map_feed": q_map_feed,
+    "map_feed_geojson": q_map_feed_geojson,
     "standardize_events": q_standardize_events,
     "assign_clusters": q_assign_clusters,
     "sse_k1": q_sse_k1,

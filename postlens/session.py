@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from .errors import CheckpointFolderMissing
+
 # Settings the library depends on for correct results (UTC comparisons, ANSI
 # errors on bad input) and for a sane plan (AQE re-planning and skew handling).
 REQUIRED_CONF = {
@@ -45,24 +44,18 @@ def get_session(master: str | None = None, app: str = "postlens",
 def apply_required_conf(spark: SparkSession) -> None:
     """Pin the runtime settings the operators assume (idempotent)."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on an existing session: leave it
-            pass
+        spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session does not name one (local tests) do we set a
-    scratch folder of our own.
+    A session that names none must set one before jobs cut their lineage; a
+    machine-local folder would be lost with its machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="postlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise CheckpointFolderMissing("set spark.checkpoint.dir to a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -70,8 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def materialize(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared
-    folder named by ``spark.checkpoint.dir`` (set by the cluster; only set
-    here when absent, as in local tests). Later passes read the checkpoint,
+    folder named by ``spark.checkpoint.dir``. Later passes read the checkpoint,
     and a lost executor does not force the whole upstream plan to rerun."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -9,7 +9,7 @@ by state (one folder per state, the counterpart of one image per state);
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -45,31 +45,35 @@ def state_histogram_paths(states: DataFrame, df: DataFrame, label: str = "kmlabe
     return j.withColumn(out, F.when(F.col("_present").isNotNull(), p).otherwise(F.lit(K.NO_DATA))).drop("_present")
 
 
-def map_feed_columns(states: DataFrame, fill_col: str, keep=None, no_data: str = K.NO_DATA) -> DataFrame:
-    """Feed columns: every value as text with nulls as ``No data``, plus the
-    number of distinct fill values (which sizes the palette).
+def _as_text(c, no_data: str):
+    return F.coalesce(col_of(c).cast("string"), F.lit(no_data))
 
-    The state table is a small bounded dimension, so the distinct count is a
-    window over the whole (small) table.
-    """
+
+def map_feed_columns(states: DataFrame, fill_col: str, keep=None, no_data: str = K.NO_DATA, extra=()) -> DataFrame:
+    """Feed columns: every value as text with nulls as ``No data``, plus the
+    number of distinct fill values (which sizes the palette), by one aggregate
+    row. ``extra`` columns pass through untouched."""
     keep = list(keep) if keep is not None else [c for c in states.columns if c != fill_col]
-    cols = [F.coalesce(col_of(c).cast("string"), F.lit(no_data)).alias(c) for c in keep]
-    fill = F.coalesce(col_of(fill_col).cast("string"), F.lit(no_data))
-    out = states.select(*cols, fill.alias(fill_col))
-    return out.withColumn("n_fill", F.size(F.collect_set(col_of(fill_col)).over(Window.partitionBy())))
+    fills = states.agg(F.count_distinct(_as_text(fill_col, no_data)).cast("int").alias("n_fill"))
+    cols = [_as_text(c, no_data).alias(c) for c in [*keep, fill_col]]
+    return states.crossJoin(F.broadcast(fills)).select(*cols, "n_fill", *extra)
+
+
+def geometry_json(c):
+    """A geometry text as JSON: GeoJSON stays, WKT becomes a JSON string, null becomes ``null``."""
+    text = F.trim(col_of(c).cast("string"))
+    is_json = text.startswith("{") & F.try_parse_json(text).isNotNull()
+    quoted = F.regexp_extract(F.to_json(F.struct(text.alias("g"))), r'(?s)^\{"g":(.*)\}$', 1)
+    return F.when(text.isNull() | (text == ""), F.lit("null")).when(is_json, text).otherwise(quoted)
 
 
 def map_feed(states: DataFrame, fill_col: str, geometry_col: str = "geometry", keep=None) -> DataFrame:
     """One GeoJSON feature string per state: ``{"type":"Feature",
-    "geometry":<geometry json>, "properties":{...}}``."""
+    "geometry":<geometry json>, "properties":{...}}``. The geometry is carried
+    through the same projection, so nulls and repeated states are safe."""
     props_cols = [c for c in (keep or states.columns) if c != geometry_col]
-    f = map_feed_columns(states, fill_col, keep=[c for c in props_cols if c != fill_col])
-    if geometry_col in states.columns:
-        f = f.join(states.select(*[col_of(c) for c in props_cols if c != fill_col], col_of(geometry_col)),
-                   [c for c in props_cols if c != fill_col], "left")
-        geom = F.coalesce(col_of(geometry_col), F.lit("null"))
-    else:
-        geom = F.lit("null")
+    geom = geometry_json(geometry_col) if geometry_col in states.columns else F.lit("null")
+    f = map_feed_columns(states, fill_col, keep=[c for c in props_cols if c != fill_col], extra=[geom.alias("_geometry")])
     props = F.to_json(F.struct(*[col_of(c) for c in props_cols], F.col("n_fill")))
-    feature = F.concat(F.lit('{"type":"Feature","geometry":'), geom, F.lit(',"properties":'), props, F.lit("}"))
+    feature = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("_geometry"), F.lit(',"properties":'), props, F.lit("}"))
     return f.select(*[col_of(c) for c in props_cols], feature.alias("feature"))

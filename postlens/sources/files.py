@@ -1,29 +1,10 @@
-"""Columnar file reads that keep every core busy."""
+"""Small driver-side tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_spread(spark: SparkSession, path, fmt: str = "parquet", min_partitions: int | None = None) -> DataFrame:
-    """Read files; if the scan yields fewer splits than the cluster has cores
-    (a small file with one row group), spread it round-robin first.
-
-    On large inputs the scan already has more splits than cores and the
-    frame is returned untouched (no shuffle). Filters and column pruning
-    still reach the scan through the repartition.
-    """
-    df = spark.read.format(fmt).load(path)
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()  # a plain scan: split planning only, no job
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
-
-
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small driver-side table (lexicon, state list, SSE curve) as a frame.
 

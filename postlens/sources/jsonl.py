@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dims import collect_bounded
-
 
 def json_paths(folder: str) -> str:
     """Glob of the ``.json`` files directly in ``folder`` (not recursive).
@@ -26,13 +24,13 @@ def json_paths(folder: str) -> str:
 def parse_lines(lines: DataFrame, col: str = "value", out: str = "raw") -> DataFrame:
     """Drop blank lines, parse the rest to VARIANT (malformed lines raise).
 
-    The blank test guards the parse itself: Catalyst may merge later filters
-    on parsed fields with the blank-line filter and evaluate them in any
-    order, so the parser must never see a blank line.
+    The filter is on the raw string, so the parse stands only in the projection
+    and runs once a line. The test inside guards the parser itself: Catalyst may
+    evaluate later filters on parsed fields first.
     """
     v = F.col(col)
-    parsed = F.parse_json(F.when(F.trim(v) != F.lit(""), v))
-    return lines.select(parsed.alias(out)).filter(F.col(out).isNotNull())
+    held = F.trim(v) != F.lit("")
+    return lines.filter(held).select(F.parse_json(F.when(held, v)).alias(out))
 
 
 def read_posts(spark: SparkSession, path_list=None, folder: str | None = None) -> DataFrame:
@@ -41,11 +39,15 @@ def read_posts(spark: SparkSession, path_list=None, folder: str | None = None) -
     ``path_list`` wins over ``folder``; one of them is required, and a path
     list must be a non-empty list of strings.
     """
-    assert path_list is not None or folder is not None, "path_list or folder is required"
-    assert path_list is None or (path_list and isinstance(path_list, list)
-                                 and all(isinstance(p, str) for p in path_list)), \
-        "path_list must be a non-empty list of strings"
-    assert folder is None or isinstance(folder, str), "folder must be a string"
+    if folder is not None and not isinstance(folder, str):
+        raise TypeError(f"folder: expected str, got {type(folder).__name__}")
+    if path_list is None:
+        if folder is None:
+            raise ValueError("nothing to read: give path_list or folder")
+    elif not isinstance(path_list, list) or any(not isinstance(p, str) for p in path_list):
+        raise TypeError("path_list: expected a list of str")
+    elif not path_list:
+        raise ValueError("path_list is empty")
     paths = path_list if path_list is not None else [json_paths(folder)]
     return parse_lines(spark.read.text(paths))
 
@@ -56,15 +58,13 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
-def sample_files(spark: SparkSession, pattern: str, fraction_den: int = 3, seed: int = 0,
-                 max_files: int = 1_000_000) -> list[str]:
+def sample_files(spark: SparkSession, pattern: str, fraction_den: int = 3, seed: int = 0) -> list[str]:
     """A seeded third (``n div 3``) of the matching files, chosen by a hash
     of the path, for feeding ``read_posts(path_list=...)``."""
     files = list_files(spark, pattern)
-    n = files.count()
-    k = n // fraction_den
+    k = files.count() // fraction_den
     chosen = files.orderBy(F.xxhash64(F.col("path"), F.lit(seed)), F.col("path")).limit(k).select("path")
-    return [r["path"] for r in collect_bounded(chosen, max_files, "file list")]
+    return [r["path"] for r in chosen.collect()]
 
 
 def latest_file(spark: SparkSession, pattern: str) -> str | None:

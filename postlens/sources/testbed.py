@@ -2,6 +2,7 @@
 
 ``posts``: one row per document with the columns a flattened capture has
 (id, created_at, lang, full_text, user_id, user_description, user_location).
+The description is the user's whole conversation.
 Texts are whole documents, never cut. The states are the nation names (so
 ``NATION_1`` is a substring of ``NATION_19``, the same ambiguity as
 ``Virginia`` inside ``West Virginia``). All inputs are read lazily from
@@ -13,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dims import broadcast_if_small
-from .files import local_frame, read_spread
+from .files import local_frame
 
 # FIXED VALUES: toy lexicon (token, valence) used by the stand-in queries.
 TOY_LEXICON = [
@@ -31,34 +31,36 @@ TOPIC_B = "(this|that)"
 TOPICS = {"topic_a": TOPIC_A, "topic_b": TOPIC_B}
 
 
-# Tables whose rows carry long texts: per-row work is heavy, so a scan with
-# fewer splits than cores is spread before the work starts.
-TEXT_TABLES = {"documents", "conversations", "pages"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name in TEXT_TABLES:
-        return read_spread(spark, path)
-    return spark.read.parquet(path)
-
-
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents joined with their event, the user's first conversation turn
-    and the user's customer/nation location. One row per document."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    c = (table(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
-         .select(F.col("conv_id"), F.col("text").alias("user_description")))
-    u = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    users = u.join(n, u.c_nationkey == n.n_nationkey, "left").select(
-        "c_custkey", F.concat(F.col("c_name"), F.lit(", "), F.col("n_name")).alias("user_location"))
-    p = (d.join(e, d.doc_id == e.event_id, "inner")
-         .join(c, c.conv_id == e.user_id, "left")
-         .join(users, users.c_custkey == e.user_id, "left"))
-    return p.select(F.col("doc_id").alias("id"), F.col("ts").alias("created_at"), "lang",
-                    F.col("text").alias("full_text"), "user_id", "user_description", "user_location")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, user_description): all turns of a conversation in order, one line each."""
+    turns = table(spark, sf_dir, "conversations")
+    held = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    return turns.groupBy("conv_id").agg(F.array_join(F.transform(held, lambda t: t["text"]), "\n").alias("user_description"))
+
+
+POST_COLUMNS = ("id", "created_at", "lang", "full_text", "user_id", "user_description", "user_location")
+
+
+def posts(spark: SparkSession, sf_dir: str, columns=POST_COLUMNS) -> DataFrame:
+    """Documents joined with their event, all turns of the user's conversation and the user's
+    customer/nation location, one row per document. Only the joins that ``columns`` needs are built."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("text").alias("full_text"))
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("created_at"), "user_id")
+    p = d.join(e, d.id == e.event_id, "inner")
+    if "user_description" in columns:
+        c = descriptions(spark, sf_dir)
+        p = p.join(c, c.conv_id == p.user_id, "left")
+    if "user_location" in columns:
+        u = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+        n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        users = u.join(n, u.c_nationkey == n.n_nationkey, "left").select(
+            "c_custkey", F.concat(F.col("c_name"), F.lit(", "), F.col("n_name")).alias("user_location"))
+        p = p.join(users, users.c_custkey == p.user_id, "left")
+    return p.select(*columns)
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,11 +39,10 @@ def _parsed(v):
 
 
 def delete_notices(df: DataFrame, col: str = "value", kind: str = "kind") -> DataFrame:
-    """``(status_id, user_id)`` of delete notices."""
-    j = _parsed(col_of(col))
-    return df.filter(F.col(kind) == "delete").select(
-        F.try_variant_get(j, "$.delete.status.id", "bigint").alias("status_id"),
-        F.try_variant_get(j, "$.delete.status.user_id", "bigint").alias("user_id"))
+    """``(status_id, user_id)`` of delete notices, by a single parse."""
+    j = F.from_json(col_of(col), "delete struct<status:struct<id:bigint,user_id:bigint>>")
+    return df.filter(F.col(kind) == "delete").select(j.alias("_j")).select(
+        F.col("_j.delete.status.id").alias("status_id"), F.col("_j.delete.status.user_id").alias("user_id"))
 
 
 def missed_counter(df: DataFrame, col: str = "value", kind: str = "kind") -> DataFrame:
@@ -62,12 +61,16 @@ def warning_messages(df: DataFrame, col: str = "value", kind: str = "kind") -> D
     return df.filter(F.col(kind) == "warning").withColumn("message", msg)
 
 
-def status_text_columns(col: str = "value"):
-    """Text fields of a raw status, parsed only for the keyword test."""
-    j = _parsed(col_of(col))
-    return [F.try_variant_get(j, p, "string") for p in
-            ("$.text", "$.extended_tweet.full_text", "$.retweeted_status.text",
-             "$.retweeted_status.extended_tweet.full_text")]
+STATUS_TEXT = ("struct<text:string,extended_tweet:struct<full_text:string>,"
+               "retweeted_status:struct<text:string,extended_tweet:struct<full_text:string>>>")
+
+
+def status_texts(col: str = "value"):
+    """The text fields of a raw status as one array, by a single parse."""
+    s = F.from_json(col_of(col), STATUS_TEXT)
+    return F.transform(F.array(s), lambda x: F.array(
+        x["text"], x["extended_tweet"]["full_text"], x["retweeted_status"]["text"],
+        x["retweeted_status"]["extended_tweet"]["full_text"]))[0]
 
 
 def capture_frame(df: DataFrame, words, col: str = "value") -> DataFrame:
@@ -78,11 +81,7 @@ def capture_frame(df: DataFrame, words, col: str = "value") -> DataFrame:
     pat = keyword_pattern(words)
     if pat is None:
         return routed.filter(F.lit(False))
-    cond = None
-    for t in status_text_columns(col):
-        m = F.coalesce(t.rlike(pat), F.lit(False))
-        cond = m if cond is None else (cond | m)
-    return routed.filter(cond)
+    return routed.filter(F.exists(status_texts(col), lambda t: F.coalesce(t.rlike(pat), F.lit(False))))
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
@@ -103,17 +102,27 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("id"), msg.alias("value"))
 
 
+def capture_paths(out_dir: str, prefix: str = "streamer", run: str = "*") -> list[str]:
+    """Path list of captured files for ``read_posts(path_list=...)``: all runs, or one."""
+    return [f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}/*.txt"]
+
+
 def start_capture(spark: SparkSession, source_dir: str, out_dir: str, words, checkpoint: str,
                   prefix: str = "streamer", max_records: int = K.RECORDS_PER_FILE, nb: int | None = None,
-                  timeout_hours: float | None = None, available_now: bool = False):
+                  timeout_hours: float | None = None, available_now: bool = False, run: str | None = None,
+                  every: str | None = None):
     """Start the capture as a Structured Streaming query.
 
     * raw lines from ``source_dir`` (text source; any source giving ``value``
       works the same) -> status messages holding a tracked word -> text files
-      under ``out_dir/prefix=<prefix>/``, at most ``max_records`` per file
-      (0 or less: no cap per file).
-    * ``nb`` > 0 stops after exactly ``nb`` statuses: this adds a global limit,
-      which funnels through one task, so only use it when asked.
+      under ``out_dir/prefix=<prefix>/run=<run>/``, at most ``max_records`` per
+      file (0 or less: no cap per file). ``run`` is a stamp, by default kept in
+      the checkpoint's name, so a resumed query goes on in its own folder.
+    * ``every``: trigger interval (such as ``"1 minute"``); longer ones make
+      fewer and larger files.
+    * ``nb`` > 0 keeps exactly ``nb`` statuses over all restarts: this adds a
+      global limit, which funnels through one task, so only use it when asked.
+      The call then waits and stops the query once they are written.
     * ``timeout_hours``: the caller waits that long, then the query stops.
     * progress lives in ``checkpoint``, so a restarted query resumes where it
       stopped (the count cap included).
@@ -121,26 +130,64 @@ def start_capture(spark: SparkSession, source_dir: str, out_dir: str, words, che
     """
     stream = spark.readStream.format("text").load(source_dir)
     kept = capture_frame(stream, words, "value").select("value")
-    if nb is not None and nb > 0:
+    capped = nb is not None and nb > 0
+    if capped:
         kept = kept.limit(int(nb))
-    w = (kept.writeStream.format("text").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .option("path", f"{out_dir.rstrip('/')}/prefix={prefix}"))
+    run = run or checkpoint.rstrip("/").rpartition("/")[2]
+    folder = f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}"
+    w = kept.writeStream.format("text").outputMode("append").option("checkpointLocation", checkpoint).option("path", folder)
     if max_records and max_records > 0:
         w = w.option("maxRecordsPerFile", int(max_records))
     if available_now:
         w = w.trigger(availableNow=True)
+    elif every:
+        w = w.trigger(processingTime=every)
     q = w.start()
-    if timeout_hours is not None:
-        deadline = _time.time() + timeout_hours * 3600
-        while q.isActive and _time.time() < deadline:
-            q.awaitTermination(max(0.1, min(5.0, deadline - _time.time())))
-        if q.isActive:
+    deadline = None if timeout_hours is None else _time.time() + timeout_hours * 3600
+    while q.isActive and (capped or deadline is not None) and not available_now:
+        if deadline is not None and _time.time() >= deadline or capped and _written(spark, folder) >= nb:
             q.stop()
+            break
+        wait = 1.0 if deadline is None else min(1.0, max(0.1, deadline - _time.time()))
+        q.awaitTermination(wait)
     return q
 
 
+def _written(spark: SparkSession, folder: str) -> int:
+    """Lines that the sink has committed in ``folder`` so far."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.text(folder).count()
+    except AnalysisException:  # nothing written yet
+        return 0
+
+
 def notice_stream(spark: SparkSession, source_dir: str):
     """Streaming delete/limit/warning notices (for a side table or console)."""
     routed = route_messages(spark.readStream.format("text").load(source_dir), "value", "kind")
-    return routed.filter(F.col("kind") != "status")
+    return routed.filter(F.col("kind").isin("delete", "limit", "warning"))
+
+
+def write_notices(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, available_now: bool = False):
+    """Parsed notices as a Parquet side table under ``out_dir/notices``: (kind, status_id, user_id,
+    missed, message), partitioned by kind. Append-only; totals are aggregates over the table."""
+    n = notice_stream(spark, source_dir)
+    j = F.from_json(F.col("value"), "delete struct<status:struct<id:bigint,user_id:bigint>>, limit struct<track:bigint>, "
+                                    "warning struct<message:string>, warnings struct<message:string>")
+    rows = n.select("kind", j.alias("_j")).select(
+        "kind", F.col("_j.delete.status.id").alias("status_id"), F.col("_j.delete.status.user_id").alias("user_id"),
+        F.col("_j.limit.track").alias("missed"), F.coalesce("_j.warning.message", "_j.warnings.message").alias("message"))
+    w = rows.writeStream.format("parquet").partitionBy("kind").outputMode("append")
+    w = w.option("checkpointLocation", checkpoint).option("path", f"{out_dir.rstrip('/')}/notices")
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def feature_stream(posts: DataFrame, prepare, out_dir: str, checkpoint: str, available_now: bool = False):
+    """Runs the batch chain ``prepare`` (such as sentiment or the gazetteer) on every micro-batch of the
+    stream ``posts`` and writes each batch to its own folder, so a repeated batch replaces itself."""
+    def step(batch: DataFrame, number: int) -> None:
+        prepare(batch).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={number}")
+
+    w = posts.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()

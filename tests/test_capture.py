@@ -48,10 +48,10 @@ def test_streaming_capture_matches_batch_and_rolls_files(spark, tmp_dir):
     q = CAP.start_capture(spark, src, out, ["vote"], os.path.join(tmp_dir, "ck"), prefix="cap",
                           max_records=10, available_now=True)
     q.awaitTermination(120)
-    got = spark.read.text(os.path.join(out, "prefix=cap")).collect()
+    got = spark.read.text(os.path.join(out, "prefix=cap", "run=ck")).collect()
     batch = CAP.capture_frame(frame(spark, msgs), ["vote"]).collect()
     assert sorted(r["value"] for r in got) == sorted(r["value"] for r in batch)
-    files = [f for f in os.listdir(os.path.join(out, "prefix=cap")) if f.startswith("part-")]
+    files = [f for f in os.listdir(os.path.join(out, "prefix=cap", "run=ck")) if f.startswith("part-")]
     assert len(files) >= 3  # 25 records, at most 10 per file
 
 
@@ -82,3 +82,56 @@ def test_count_cap_and_restart_resumes(spark, tmp_dir):
                           available_now=True)
     q.awaitTermination(120)
     assert spark.read.text(os.path.join(out2, "prefix=p")).count() == 7
+
+
+def test_capture_feeds_prepare(spark, tmp_dir):
+    from postlens.operators.sentiment import lexicon_frame
+    from postlens.plans.pipeline import prepare_posts
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    post = {"id": 1, "created_at": "Wed Nov 04 02:03:04 +0000 2020", "lang": "en", "text": "vote good", "in_reply_to_status_id": None,
+            "user": {"id": 5, "location": "Austin, Texas", "description": None, "name": "n", "screen_name": "s", "followers_count": 1,
+                     "friends_count": 1, "listed_count": 1, "favourites_count": 1, "statuses_count": 1}}
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write(json.dumps(post) + "\n" + json.dumps(post) + "\n" + DELETE + "\n")
+    q = CAP.start_capture(spark, src, out, ["vote"], os.path.join(tmp_dir, "ck"), prefix="p", available_now=True, run="r1")
+    q.awaitTermination(120)
+    got = prepare_posts(spark, lexicon_frame(spark, [("good", 1.9)]), path_list=CAP.capture_paths(out, "p"), validate=False).collect()
+    assert [(r["id"], r["state"], r["full_text-sentiment-compound"]) for r in got] == [(1, "Texas", 0.4404)] * 2
+
+
+def test_cap_stops_the_query_also_over_a_restart(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    os.makedirs(src)
+    _write(os.path.join(src, "a.json"), range(4))
+    q = CAP.start_capture(spark, src, out, ["vote"], ck, prefix="p", nb=6, available_now=True)
+    q.awaitTermination(120)
+    _write(os.path.join(src, "b.json"), range(10, 14))
+    q = CAP.start_capture(spark, src, out, ["vote"], ck, prefix="p", nb=6)
+    assert not q.isActive and spark.read.text(os.path.join(out, "prefix=p")).count() == 6
+
+
+def test_time_cap(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    q = CAP.start_capture(spark, src, os.path.join(tmp_dir, "out"), ["vote"], os.path.join(tmp_dir, "ck"), timeout_hours=1 / 3600)
+    assert not q.isActive
+
+
+def test_notices_and_features_on_a_stream(spark, tmp_dir):
+    from postlens.operators.sentiment import lexicon_frame, sentiment
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write("\n".join([STATUS, DELETE, LIMIT, LIMIT2, WARN, '{"x":1}']) + "\n")
+    CAP.write_notices(spark, src, tmp_dir, os.path.join(tmp_dir, "ck1"), available_now=True).awaitTermination(120)
+    rows = spark.read.parquet(os.path.join(tmp_dir, "notices")).collect()
+    assert sorted((r["kind"], r["status_id"], r["missed"], r["message"]) for r in rows if r["kind"] != "limit") == [
+        ("delete", 1, None, None), ("warning", None, None, "slow down")]
+    assert max(r["missed"] for r in rows if r["kind"] == "limit") == 9
+    lex = lexicon_frame(spark, [("biden", 1.0)])
+    posts = CAP.capture_frame(spark.readStream.text(src), ["biden"]).select("value")
+    CAP.feature_stream(posts, lambda b: sentiment(b, lex, ["value"]), os.path.join(tmp_dir, "f"), os.path.join(tmp_dir, "ck2"),
+                       available_now=True).awaitTermination(120)
+    batch = sentiment(frame(spark, [STATUS]), lex, ["value"]).collect()
+    assert [tuple(r)[:2] for r in spark.read.parquet(os.path.join(tmp_dir, "f")).select(*batch[0].__fields__).collect()] == [tuple(r) for r in batch]

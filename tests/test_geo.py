@@ -53,3 +53,15 @@ def test_gazetteer(spark):
     assert out[2]["state2"] is None and out[2]["coord"]["lon"] == 2.3
     assert out[3]["state2"] is None and out[3]["coord"] is None
     assert out[4]["coord"] is None
+
+
+def test_gazetteer_long_names_and_any_ids(spark):
+    gz = spark.createDataFrame([("Village of the Branch", "New York", 40.8, -73.2), ("Truth or Consequences New Mexico", "New Mexico", 33.1, -107.2),
+                                ("Branch", "Texas", 1.0, 2.0)], "city string, state string, lat double, lon double")
+    df = spark.createDataFrame([(1, "in Village of the Branch"), (1, "nowhere"), (None, "Truth or Consequences New Mexico"), (1, "nowhere")],
+                               "id long, `user-location` string")
+    out = sorted((str(r["id"]), r["user-location"], str(r["state2"])) for r in G.gazetteer_state(df, gz).collect())
+    assert out == [("1", "in Village of the Branch", "New York"), ("1", "nowhere", "None"), ("1", "nowhere", "None"),
+                   ("None", "Truth or Consequences New Mexico", "New Mexico")]
+    hashed = G.gazetteer_state(df, gz, pick="hash", seed=2).filter("state2 is not null")
+    assert {r["state2"] for r in hashed.collect()} <= {"New York", "Texas", "New Mexico"} and hashed.count() == 2

@@ -53,3 +53,22 @@ def test_carry_form_equals_join_back_and_keeps_duplicates(spark):
     ref = sorted((r["id"], r["a-sentiment-compound"], r["b-sentiment-compound"])
                  for r in sentiment(uniq, lex, ["a", "b"]).collect())
     assert sorted(set(out)) == ref
+
+
+def test_repeated_and_null_ids_are_scored_by_their_own_text(spark):
+    from postlens.operators.sentiment_rules import sentiment_rules
+    lex = lexicon_frame(spark, [("good", 1.9), ("bad", -2.5)])
+    rows = [(1, "good"), (1, "good"), (3, "good"), (3, "bad"), (None, "bad"), (None, None), (4, "none")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    score = {"good": 0.4404, "bad": -0.5423, "none": 0.0, None: 0.0}
+    for f in (sentiment, sentiment_rules):
+        out = [(r["id"], r["t"], r["t-sentiment-compound"]) for r in f(df, lex, text_cols=["t"]).collect()]
+        assert sorted(map(str, out)) == sorted(str((i, t, score[t])) for i, t in rows)
+
+
+def test_repeated_rows_in_steps(spark, monkeypatch):
+    from postlens.operators import sentiment as S
+    monkeypatch.setattr(S, "REPEAT_STEP", 3)
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10)], "x string, n long")
+    got = sorted(r["x"] for r in S.repeated(df, "n").collect())
+    assert got == ["a"] + ["b"] * 3 + ["c"] * 10
