@@ -3,10 +3,12 @@
 * ``standardize``: one aggregate pass for mean and *population* std per
   column (a single row, folded into the projection as literals); a constant
   column becomes 0.
-* ``kmeans``: MLlib ``KMeans(initMode="random")`` restarted ``n_init`` times
-  with seeds ``seed + i``; the lowest training cost wins (ties: lowest i).
-  The feature vectors are built once, sorted by key inside hash partitions
-  and persisted for the restarts, then released.
+* ``kmeans``: Lloyd's iterations from random rows, ``n_init`` restarts, the
+  lowest cost wins (ties: lowest restart). The first centres of a restart are
+  the k rows with the smallest MD5 of (key, seed, restart), so they don't
+  depend on partitions. All restarts, and all k of a sweep, share each pass
+  over the persisted features: a task turns its rows into sums per (fit,
+  cluster) with NumPy, Spark adds them up, and a few rows per fit come back.
 * ``binned_sse_curve`` / ``elbow_frame``: an SSE curve as a table and the
   knee of a convex decreasing curve (Kneedle, sensitivity 1) with window
   functions over that table (one row per k, so one small partition).
@@ -140,54 +142,106 @@ def elbow(curve: DataFrame, k_col: str = "k", sse_col: str = "sse", sensitivity:
     return int(rows[0]["k"])
 
 
-def _vectors(df: DataFrame, cols, key: str | None):
-    from pyspark.ml.feature import VectorAssembler
-    va = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="error")
-    sel = df.select(*([col_of(key)] if key else []), *[col_of(c).cast("double").alias(c) for c in cols])
-    vec = va.transform(sel)
-    if key:
-        # fixed row order per partition, so "random" init is reproducible
-        try:
-            n = df.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - remote session: follow the shuffle setting
-            n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        vec = vec.repartition(n, col_of(key)).sortWithinPartitions(col_of(key))
-    return vec
-
-
-def _fit_best(vec: DataFrame, k: int, n_init: int, max_iter: int, seed: int, tol: float):
-    from pyspark.ml.clustering import KMeans
-    best = None
-    for i in range(n_init):
-        km = KMeans(k=k, initMode="random", maxIter=max_iter, seed=seed + i, tol=tol,
-                    featuresCol="_features", predictionCol="_pred")
-        model = km.fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
+def _features(df: DataFrame, cols, key: str | None) -> DataFrame:
+    """(_key, x0, x1, ...): the key as text and the features as doubles."""
+    name = F.coalesce(col_of(key).cast("string"), F.lit("")) if key else F.concat_ws("|", *[col_of(c) for c in cols])
+    return df.select(name.alias("_key"), *[col_of(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+
+
+def _first_centers(rows: DataFrame, dims: int, k: int, n_init: int, seed: int):
+    """For each restart, the ``k`` rows with the smallest MD5 of (key, seed, restart), in that order."""
+    import numpy as np
+
+    restarts = rows.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
+    order = F.struct(F.md5(F.concat_ws(":", "_key", F.lit(seed), "_r")).alias("h"), *[F.col(f"x{i}") for i in range(dims)])
+    nth = F.row_number().over(Window.partitionBy("_r").orderBy(order))
+    found = restarts.withColumn("_n", nth).filter(F.col("_n") <= k).orderBy("_r", "_n").collect()  # n_init * k rows
+    return [np.array([[r[f"x{i}"] for i in range(dims)] for r in found if r["_r"] == j]) for j in range(n_init)]
+
+
+def _pass(rows: DataFrame, dims: int, fits: dict):
+    """One pass over ``rows`` for several fits ``{number: centres}``: for each, per cluster the number
+    of rows nearest to its centre and their sums, and the cost."""
+    import numpy as np
+
+    columns = [f"x{i}" for i in range(dims)]
+
+    def step(batches):
+        import pyarrow as pa
+
+        held = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)])
+            for m, c in fits.items():
+                d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+                own = d.argmin(axis=1)
+                held[m][0] += np.bincount(own, minlength=len(c))
+                for i in range(dims):
+                    held[m][1][:, i] += np.bincount(own, x[:, i], len(c))
+                held[m][2] += d.min(axis=1).sum()
+        rows_ = [(m, j, n[j], *s[j], cost if j == 0 else 0.0) for m, (n, s, cost) in held.items() for j in range(len(n))]
+        names = ["fit", "cluster", "n", *columns, "cost"]
+        types = [pa.int32(), pa.int32(), *[pa.float64()] * (dims + 2)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows_], t) for i, t in enumerate(types)], names=names)
+
+    schema = "fit int, cluster int, n double, " + ", ".join(f"{c} double" for c in columns) + ", cost double"
+    parts = rows.select(*columns).mapInArrow(step, schema)
+    sums = parts.groupBy("fit", "cluster").agg(*[F.sum(c).alias(c) for c in ["n", *columns, "cost"]]).collect()
+    out = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
+    for r in sums:
+        n, s, _ = out[r["fit"]]
+        n[r["cluster"]] = r["n"]
+        s[r["cluster"]] = [r[c] for c in columns]
+        out[r["fit"]][2] += r["cost"]
+    return out
+
+
+def _best_fits(rows: DataFrame, dims: int, ks, n_init: int, max_iter: int, seed: int, tol: float) -> dict:
+    """``{k: (cost, centres)}`` of the best restart for each k; centres in lexicographic order."""
+    import numpy as np
+
+    centers = {(k, j): c for k in ks for j, c in enumerate(_first_centers(rows, dims, k, n_init, seed))}
+    moving = dict(centers)
+    for _ in range(max_iter):
+        numbered = dict(enumerate(moving))
+        made = _pass(rows, dims, {i: moving[m] for i, m in numbered.items()})
+        still = {}
+        for i, m in numbered.items():
+            n, s, _cost = made[i]
+            new = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], moving[m])
+            centers[m] = new
+            if ((new - moving[m]) ** 2).sum() > tol:  # features are standardised: mean variance 1
+                still[m] = new
+        moving = still
+        if not moving:
+            break
+    numbered = dict(enumerate(centers))
+    costs = _pass(rows, dims, {i: centers[m] for i, m in numbered.items()})
+    best: dict = {}
+    for i, (k, j) in numbered.items():
+        cost = costs[i][2]
+        if k not in best or cost < best[k][0]:
+            best[k] = (cost, sorted(centers[k, j].tolist()))
     return best
 
 
-def _check_rows(vec: DataFrame, k: int) -> None:
-    if vec.limit(k).count() < k:
+def _check_rows(rows: DataFrame, k: int) -> None:
+    if rows.limit(k).count() < k:
         raise ClusteringInputError(f"fewer rows than clusters (k={k})")
 
 
 def sse_curve(df: DataFrame, cols, max_cluster: int = 10, n_init: int = 10, max_iter: int = 300,
               seed: int = 40, key: str | None = "id", tol: float = 1e-4) -> DataFrame:
-    """Best-of-``n_init`` SSE for k = 1..max_cluster as a small table ``(k, sse)``.
-
-    k = 1 is the total sum of squares (MLlib refuses k = 1).
-    """
-    vec = _vectors(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
+    """Best-of-``n_init`` SSE for k = 1..max_cluster as a small table ``(k, sse)``."""
+    cols = list(cols)
+    rows = _features(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _check_rows(vec, max_cluster)
+        _check_rows(rows, max_cluster)
         sse = [(1, float(total_sse(df, cols).first()["sse"]))]
-        for k in range(2, max_cluster + 1):
-            cost, _ = _fit_best(vec, k, n_init, max_iter, seed, tol)
-            sse.append((k, float(cost)))
+        best = _best_fits(rows, len(cols), range(2, max_cluster + 1), n_init, max_iter, seed, tol)
+        sse += [(k, float(best[k][0])) for k in sorted(best)]
     finally:
-        vec.unpersist()
+        rows.unpersist()
     return local_frame(df.sparkSession, sse, "k int, sse double")
 
 
@@ -196,13 +250,12 @@ def kmeans(df: DataFrame, cols, k: int, n_init: int = 10, max_iter: int = 300, s
     """``df`` plus label column ``out`` from the best of ``n_init`` random-init
     fits (the fitted centres are folded into the label expression)."""
     cols = list(cols)
-    vec = _vectors(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _features(df, cols, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _check_rows(vec, k)
-        _, model = _fit_best(vec, k, n_init, max_iter, seed, tol)
-        centers = [list(map(float, c)) for c in model.clusterCenters()]
+        _check_rows(rows, k)
+        centers = _best_fits(rows, len(cols), [k], n_init, max_iter, seed, tol)[k][1]
     finally:
-        vec.unpersist()
+        rows.unpersist()
     return assign_clusters(df, cols, centers, out)
 
 

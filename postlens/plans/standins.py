@@ -315,14 +315,13 @@ def q_elbow_lineitem(spark, sf):
 
 def q_kmeans_events(spark, sf):
     z = C.standardize(_event_features(spark, sf), FEATS, keep=["event_id"])
-    return C.kmeans(z, FEATS, k=4, n_init=2, max_iter=10, seed=20, key="event_id", out="cluster").select(
+    return C.kmeans(z, FEATS, k=4, seed=20, key="event_id", out="cluster").select(
         "event_id", "cluster")
 
 
 def q_kmeans_elbow_events(spark, sf):
     f = _event_features(spark, sf)
-    return C.km(f, FEATS, n_cluster=None, max_cluster=6, n_init=1, max_iter=20, seed=20, key="event_id",
-                out="kmlabel_opt").select("event_id", "kmlabel_opt")
+    return C.km(f, FEATS, n_cluster=None, seed=20, key="event_id", out="kmlabel_opt").select("event_id", "kmlabel_opt")
 
 
 # -- capture message handling (batch form over derived messages) ----------------------

@@ -56,3 +56,32 @@ def test_km_full_flow(spark):
     df = spark.createDataFrame(pts, "id long, x double, y double")
     out = C.km(df, ["x", "y"], n_cluster=3, n_init=2, max_iter=20, seed=5)
     assert set(out.columns) == {"id", "x", "y", "kmlabel"} and out.count() == 30
+
+
+def test_kmeans_equals_brute_force_on_any_partitions(spark):
+    import hashlib
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.4, (40, 2)) for c in ((0, 0), (3, 0), (0, 3))])
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double")
+    best = None
+    for r in range(4):
+        order = sorted(range(len(x)), key=lambda i: hashlib.md5(f"{i}:7:{r}".encode()).hexdigest())
+        c = x[order[:3]]
+        for _ in range(300):
+            own = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+            new = np.array([x[own == j].mean(0) if (own == j).any() else c[j] for j in range(3)])
+            moved, c = ((new - c) ** 2).sum(), new
+            if moved <= 1e-4:
+                break
+        d = ((x[:, None] - c) ** 2).sum(2)
+        if best is None or d.min(1).sum() < best[0]:
+            best = (d.min(1).sum(), sorted(c.tolist()))
+    own = ((x[:, None] - np.array(best[1])) ** 2).sum(2).argmin(1).tolist()
+    for n in (3, 8):
+        out = C.kmeans(df.repartition(n), ["a", "b"], k=3, n_init=4, seed=7)
+        assert [r["kmlabel"] for r in out.orderBy("id").collect()] == own
+    curve = {r["k"]: r["sse"] for r in C.sse_curve(df, ["a", "b"], max_cluster=3, n_init=4, seed=7).collect()}
+    assert abs(curve[3] - best[0]) < 1e-9 and curve[1] > curve[2] > curve[3]
