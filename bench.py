@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,7 +25,7 @@ HEADLINE = [
     "state_matches", "gazetteer_state", "state_sentiment", "majority_label", "describe_by_state",
     "histogram_compound", "value_counts_label", "ratios", "flatten_props", "first_text", "track_keywords",
     "between_times", "route_messages", "capture_filter", "standardize_events", "assign_clusters",
-    "elbow_lineitem", "kmeans_events",
+    "elbow_lineitem", "kmeans_events", "kmeans_elbow_events", "sentiment_turns", "map_feed_geojson",
 ]
 
 
@@ -37,19 +38,19 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", app="postlens-bench", shuffle_partitions=max(8, cpus * 2),
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                               "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="postlens-bench-")})
     # warm-up on the smallest tables: JVM, code generation
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     spark.read.parquet(f"{sf_dir}/nation.parquet").agg(F.count(F.lit(1))).collect()
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     if os.path.isdir(warm_dir):
         for name in HEADLINE:
             try:
                 QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-            except Exception:  # noqa: BLE001 - timing run reports errors
-                pass
-
-    times: dict[str, float | None] = {}
-    errors: dict[str, str] = {}
+            except Exception as e:  # noqa: BLE001 - reported below, the timed run goes on
+                errors[f"{name} (warm-up)"] = f"{type(e).__name__}: {str(e)[:200]}"
     for name in HEADLINE:
         fn = QUERIES[name]
         t0 = time.perf_counter()

@@ -85,17 +85,21 @@ def total_sse(df: DataFrame, cols) -> DataFrame:
 def binned_sse_curve(df: DataFrame, col: str, max_k: int = 10) -> DataFrame:
     """SSE of ``col`` split into k equal-width bins, for k = 1..max_k.
 
-    Each row is replicated ``max_k`` times by a generator (bounded fan-out),
-    and the within-bin squares come from one partial-aggregated group-by.
+    Rows are counted per distinct value first; only that table is replicated
+    ``max_k`` times. The within-bin squares come from sums about the column's mean.
     """
     x = col_of(col).cast("double")
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     width = (hi - lo) if hi is not None and hi != lo else 1.0
-    rep = df.select(x.alias("_x"), F.explode(F.sequence(F.lit(1), F.lit(max_k))).alias("k")).filter(F.col("_x").isNotNull())
+    mean = df.agg(F.avg(x)).first()[0] or 0.0
+    values = df.select(x.alias("_x")).filter(F.col("_x").isNotNull()).groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+    rep = values.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(max_k))))
     b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width) * F.col("k")), F.col("k") - 1)
-    per_bin = rep.groupBy("k", b.alias("bin")).agg((F.var_pop("_x") * F.count("_x")).alias("ss"))
-    return per_bin.groupBy("k").agg(F.sum("ss").alias("sse"))
+    off = F.col("_x") - F.lit(mean)
+    per_bin = rep.groupBy("k", b.alias("bin")).agg(
+        F.sum("_c").alias("n"), F.sum(off * F.col("_c")).alias("s"), F.sum(off * off * F.col("_c")).alias("q"))
+    return per_bin.groupBy("k").agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("sse"))
 
 
 def elbow_frame(curve: DataFrame, k_col: str = "k", sse_col: str = "sse", sensitivity: float = 1.0) -> DataFrame:

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..functions.text import col_of
 from .projection import require_columns
 
@@ -209,5 +208,3 @@ def union_all(frames) -> DataFrame:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
-
-NO_DATA = K.NO_DATA

@@ -1,8 +1,8 @@
 """DuckDB SQL twins of the named jobs in ``plans/standins.py``.
 
 Each statement reads the pre-registered driver views and returns the same
-columns (same names) as its Spark job. Jobs without a deterministic SQL form
-(MLlib k-means fits) have no entry here.
+columns (same names) as its Spark job. Jobs without a short SQL form
+(k-means fits) have no entry here.
 """
 
 from __future__ import annotations
@@ -173,7 +173,8 @@ WHERE ts > TIMESTAMP '2024-01-04 23:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:
     q["keep_lang"] = "SELECT doc_id, lang, source FROM documents WHERE lang = 'en'"
 
     q["track_keywords"] = f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{_kw_regex(TRACK_WORDS)}')"
-    q["track_keywords_ref"] = ("SELECT doc_id FROM documents WHERE regexp_matches(text, '"
+    q["track_keywords_ref"] = ("SELECT doc_id FROM documents WHERE regexp_matches(text || CASE lang WHEN 'en' THEN ' @JoeBiden!' "
+                               "WHEN 'de' THEN ' a trumpet' ELSE '' END, '"
                                + _kw_regex(["biden", "trump", "JoeBiden", "realDonaldTrump"]) + "')")
 
     q["topic_flags"] = f"""WITH {POSTS} SELECT id,

@@ -94,9 +94,12 @@ def q_track_keywords(spark, sf):
 
 
 def q_track_keywords_ref(spark, sf):
+    """The original keyword list over documents with a mention appended by language, of which some
+    only look like a keyword."""
     from ..constants import KEYWORDS_3
-    d = tb.table(spark, sf, "documents").select("doc_id", "text")
-    return FL.track_keywords(d, KEYWORDS_3, cols=["text"]).select("doc_id")
+    d = tb.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    mention = F.when(F.col("lang") == "en", " @JoeBiden!").when(F.col("lang") == "de", " a trumpet").otherwise("")
+    return FL.track_keywords(d.withColumn("text", F.concat("text", mention)), KEYWORDS_3, cols=["text"]).select("doc_id")
 
 
 # -- features ------------------------------------------------------------------
@@ -233,13 +236,13 @@ def q_histogram_compound(spark, sf):
 
 
 def q_ratios(spark, sf):
-    p = tb.posts(spark, sf)
+    p = tb.posts(spark, sf, ("id", "lang", "user_description", "user_location"))
     located = G.state_from_text(p, tb.states(spark, sf), "user_location", "state", alt_cols=(), order_col="ord")
     return S.ratios(located, "lang", "en", place_col="user_description", state_col="state")
 
 
 def q_retention(spark, sf):
-    return S.retention(tb.posts(spark, sf), _labelled(spark, sf))
+    return S.retention(tb.posts(spark, sf, ("id",)), _labelled(spark, sf))
 
 
 def q_shape_posts(spark, sf):
