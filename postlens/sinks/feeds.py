@@ -51,12 +51,12 @@ def _as_text(c, no_data: str):
 
 def map_feed_columns(states: DataFrame, fill_col: str, keep=None, no_data: str = K.NO_DATA, extra=()) -> DataFrame:
     """Feed columns: every value as text with nulls as ``No data``, plus the
-    number of distinct fill values (which sizes the palette), by one aggregate
-    row. ``extra`` columns pass through untouched."""
+    number of distinct fill values (which sizes the palette), by a scalar
+    subquery. ``extra`` columns pass through untouched."""
     keep = list(keep) if keep is not None else [c for c in states.columns if c != fill_col]
-    fills = states.agg(F.count_distinct(_as_text(fill_col, no_data)).cast("int").alias("n_fill"))
+    fills = states.agg(F.count_distinct(_as_text(fill_col, no_data)).cast("int")).scalar()
     cols = [_as_text(c, no_data).alias(c) for c in [*keep, fill_col]]
-    return states.crossJoin(F.broadcast(fills)).select(*cols, "n_fill", *extra)
+    return states.select(*cols, fills.alias("n_fill"), *extra)
 
 
 def geometry_json(c):
