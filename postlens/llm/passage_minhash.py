@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .blocks import forest, in_blocks, runs
 from .components import components
-from .store import appended, map_columns, sliced, written
+from .store import appended, map_columns, sliced, written, written_side
 
 SLICE_CHARS = 1_000_000
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -158,7 +158,8 @@ def band_keys(docs: DataFrame, rules: PassageRules) -> DataFrame:
 
 
 def candidate_paragraphs(docs: DataFrame, rules: PassageRules) -> DataFrame:
-    """(doc_id, tag, place, size, content, shingles) of paragraphs with a key that occurs twice."""
+    """(doc_id, tag, place, size, content, keys, shingles) of paragraphs with a key that occurs twice.
+    Rows of equal id and text come more than once."""
     keyed = band_keys(docs, rules)
     shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared-keys")
     places = keyed.join(shared, "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
@@ -171,34 +172,31 @@ def candidate_paragraphs(docs: DataFrame, rules: PassageRules) -> DataFrame:
             if made is None:
                 continue
             shingles, content = made.shingles(rules.words), signed(made.content())
+            keys = np.stack([signed(k) for k in made.keys(shingles, rules.bands)], axis=1)
             wanted = [set(p) for p in batch["places"]]
-            out = {k: [] for k in ("doc_id", "tag", "place", "size", "content", "shingles")}
+            out = {k: [] for k in ("doc_id", "tag", "place", "size", "content", "keys", "shingles")}
             for j in np.flatnonzero(made.size >= rules.words).tolist():
                 i, place = int(made.doc[j]), int(made.place[j])
                 if place in wanted[i]:
                     a, n = int(made.start[j]), int(made.size[j])
                     own = np.unique(signed(shingles[a : a + n - rules.words + 1]))
-                    for k, v in zip(out, (batch["doc_id"][i], batch["tag"][i], place, n, int(content[j]), own), strict=True):
+                    for k, v in zip(out, (batch["doc_id"][i], batch["tag"][i], place, n, int(content[j]), keys[j], own), strict=True):
                         out[k].append(v)
             yield out
 
-    return map_columns(met, run, "doc_id long, tag int, place int, size int, content long, shingles array<long>")
+    return map_columns(met, run, "doc_id long, tag int, place int, size int, content long, keys array<long>, shingles array<long>")
 
 
-def similar(nodes: DataFrame, rules: PassageRules) -> DataFrame:
-    """Links (a, b) between different paragraphs ``nodes`` (content, shingles) that share a key and have
-    the similarity, as spanning forests."""
-
-    def keys(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            sets = [np.array(s, np.int64).view(np.uint64) for s in batch["shingles"]]
-            flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-            for band in range(rules.bands):
-                yield {"key": signed(np.minimum.reduceat(mixed(flat + np.uint64(band + 1)), starts)), "content": batch["content"], "shingles": batch["shingles"]}
-
-    keyed = map_columns(nodes.select("content", "shingles"), keys, "key long, content long, shingles array<long>")
-    sizes = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key-sizes")
-    dealt = in_blocks(keyed.join(sizes, "key"), "n", F.xxhash64("content")).drop("n")
+def similar(found: DataFrame, nodes: DataFrame, rules: PassageRules) -> DataFrame:
+    """Links (a, b) between different paragraphs that share a key and have the similarity, as spanning
+    forests. ``nodes``: the distinct (content, keys); only those that share a key with another one
+    get their shingles from ``found``."""
+    keyed = nodes.select("content", F.explode("keys").alias("key")).distinct()
+    sizes = written_side(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key-sizes")
+    met = written(keyed.join(sizes, "key"), "key-members")
+    asked = written_side(met.select("content").distinct(), "compared")
+    sets = found.select("content", "shingles").join(asked, "content").dropDuplicates(["content"])
+    dealt = in_blocks(met.join(sets, "content"), "n", F.xxhash64("content")).drop("n")
     by = ["key", "pair"]
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -225,33 +223,35 @@ def similar(nodes: DataFrame, rules: PassageRules) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document and repeated passage: (doc_id, tag, first_word, n_words, cluster_id,
+    """One row per document and repeated passage, or part of one that stays or goes: (doc_id, tag, first_word, n_words, cluster_id,
     first_doc_id, removed). Words are numbered from 0 in the text; ``first_doc_id`` is the document
     whose occurrence stays; ``cluster_id`` is the same for all occurrences of a first paragraph."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("tag"), F.col(text_col).alias("text"))
-    found = written(candidate_paragraphs(rows, rules).dropDuplicates(["doc_id", "tag", "place"]), "paragraphs")
+    found = written(candidate_paragraphs(rows, rules), "paragraphs")
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "place")
-    nodes = found.groupBy("content").agg(F.min(at).alias("low"), F.max(at).alias("high"))
-    sets = written(found.select("content", "shingles").dropDuplicates(["content"]), "paragraph-sets")
+    nodes = found.groupBy("content", "keys").agg(F.min(at).alias("low"), F.max(at).alias("high"))
     nodes = written(nodes, "paragraph-nodes")
-    roots = components(similar(sets, rules))
-    rooted = nodes.join(roots.select(F.col("node").alias("content"), "root"), "content", "left").withColumn("root", F.coalesce("root", "content"))
+    roots = components(similar(found, nodes.select("content", "keys"), rules))
+    rooted = nodes.drop("keys").join(roots.select(F.col("node").alias("content"), "root"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     rooted = written(rooted, "paragraph-roots")
     spans = rooted.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     across = written(spans.filter(~F.col("low.doc_id").eqNullSafe(F.col("high.doc_id")) | (F.col("low.tag") != F.col("high.tag"))).select("root", "low"), "paragraph-clusters")
     of = written(rooted.select("content", "root").join(across, "root"), "paragraph-members")
     members = found.select("doc_id", "tag", "place", "size", "content").join(of, "content")
+    own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag"))
     by_doc = Window.partitionBy("doc_id", "tag").orderBy("place")
+    once = members.withColumn("end", F.col("place") + F.col("size")).withColumn("own", own).withColumn("same", F.lag("place").over(by_doc) == F.col("place"))
+    once = once.filter("same is null or not same")
     short = rules.words - 1  # lines of fewer words have no paragraph and don't part a passage
-    new = F.coalesce(F.lag("end").over(by_doc) + short < F.col("place"), F.lit(True)).cast("int")
-    chained = members.withColumn("end", F.col("place") + F.col("size")).withColumn("passage", F.sum(new).over(by_doc))
-    own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag"))
-    passages = chained.withColumn("own", own).groupBy("doc_id", "tag", "passage").agg(
+    new = F.coalesce(F.lag("end").over(by_doc) + short < F.col("place"), F.lit(True))
+    turn = new | (F.lag("own").over(by_doc) != F.col("own"))  # a first occurrence beside copies is a part of its own
+    chained = once.withColumn("passage", F.sum(new.cast("int")).over(by_doc)).withColumn("part", F.sum(turn.cast("int")).over(by_doc))
+    whole = Window.partitionBy("doc_id", "tag", "passage")
+    long = chained.withColumn("words", F.max("end").over(whole) - F.min("place").over(whole)).filter(F.col("words") >= rules.min_words)
+    return long.groupBy("doc_id", "tag", "passage", "part").agg(
         F.min("place").alias("first_word"), (F.max("end") - F.min("place")).cast("long").alias("n_words"), F.min_by("root", "place").alias("cluster_id"),
-        F.min(F.struct("low.no_id", "low.doc_id")).getField("doc_id").alias("first_doc_id"), F.min("own").alias("own"),
-    )
-    out = passages.filter(F.col("n_words") >= rules.min_words).withColumn("removed", ~F.col("own"))
-    return out.select("doc_id", "tag", "first_word", "n_words", "cluster_id", "first_doc_id", "removed")
+        F.min(F.struct("low.no_id", "low.doc_id")).getField("doc_id").alias("first_doc_id"), (~F.min("own")).alias("removed"),
+    ).drop("passage", "part")
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -271,7 +271,7 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all rows and columns, without the removed passages in ``text_col``."""
     spans = repeated_passages(docs, rules, id_col, text_col).filter("removed")
-    edits = written(spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first_word", "n_words")).alias("spans")), "passage-edits")
+    edits = written_side(spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first_word", "n_words")).alias("spans")), "passage-edits")
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     by, at = f"c{names.index(id_col)}", f"c{names.index(text_col)}"

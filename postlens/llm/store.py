@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +30,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/postlens-llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables of up to so many bytes as Parquet are broadcast, whatever the session's threshold; larger
+#: ones are left to Spark's planner, which shuffles.
+BROADCAST_BYTES = 4 << 20
+
+
+def bytes_at(spark: SparkSession, path: str) -> int:
+    """The bytes of the files below ``path``, by Spark's own file system layer."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def written_side(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for the smaller side of a join: to be broadcast if its measured size is within
+    ``BROADCAST_BYTES``, so that the other side, texts for instance, needs no shuffle."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    return F.broadcast(made) if bytes_at(df.sparkSession, path) <= BROADCAST_BYTES else made
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
