@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import appended, written
+from .store import appended, written, written_side
 
 #: Fixed patterns of the base kinds, in listed order.
 KINDS = ("assign", "access", "hex", "opaque")
@@ -132,7 +132,7 @@ def mask_secrets(docs: DataFrame, rules: OwnershipRules = OwnershipRules(), id_c
     The spans come back by (id, text hash); equal rows have equal spans. Texts are rewritten with
     built-in string functions; only texts with a span are matched to more than a hash."""
     spans = secret_spans(docs, rules, id_col, text_col, owner_col).filter(F.size("spans") > 0)
-    edits = written(spans.dropDuplicates([id_col, "text_key"]).select(F.col(id_col).alias("__id"), "text_key", "spans"), "secret-edits")
+    edits = written_side(spans.dropDuplicates([id_col, "text_key"]).select(F.col(id_col).alias("__id"), "text_key", "spans"), "secret-edits")
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at, by = f"c{names.index(text_col)}", f"c{names.index(id_col)}"

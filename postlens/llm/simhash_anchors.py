@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .blocks import forest, in_blocks, runs
 from .components import components
-from .store import appended, map_columns, written
+from .store import appended, map_columns, written, written_side
 
 SEED = 42
 SLICE_CHARS = 1_000_000
@@ -141,9 +141,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_key")
     first = written(near.groupBy("root").agg(F.min(order).alias("first")), "component-firsts")
     judged = near.join(first, "root").withColumn("gone", order != F.col("first"))
-    gone = written(judged.filter("gone").select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct(), "removed")
+    gone = written_side(judged.filter("gone").select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct(), "removed")
     again = near.groupBy(id_col, "text_key").count().filter("count > 1").select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key"))
-    again = written(again, "repeated")
+    again = written_side(again, "repeated")
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     by, at = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
