@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 from array import array
+from functools import cache
 
-from .memo import Memo, byte_letters
+from .memo import Memo, byte_letters, lowered
 
 #: Marks that both splitting patterns cut off a run of letters, as a part of their own.
 CLOSING = ".,;:!?"
@@ -38,7 +38,7 @@ class ChunkEncoder:
         self.dtype, self.spaced = np.dtype(dtype), spaced
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]  # array codes of that width; little-endian machines
         self.model = self.tokenizer.model
-        self.letters = dict(enumerate(byte_letters()))
+        self.letters = dict(enumerate(byte_letters()))  # for str.translate of the bytes as Latin-1
         self.word = Memo(self.word_ids)
         self.raw = Memo(self.library_ids)
         self.after = Memo(self.after_space)
@@ -54,20 +54,16 @@ class ChunkEncoder:
 
     def word_ids(self, word: str) -> bytes:
         """The library's ids of one part that its splitting leaves whole."""
-        return self.packed([t.id for t in self.model.tokenize("".join([self.letters[b] for b in word.encode()]))])
+        return self.packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
 
     def piece(self, piece: str, space: str) -> bytes:
         """The ids of a piece without white space at its ends."""
         body = piece.rstrip(CLOSING)
         mark = piece[len(body) :]
-        if not self.spaced:
-            if not body.isascii():
-                body = "".join(map(str.lower, unicodedata.normalize("NFC", body)))  # by character: no final sigma
-            word = body.lower() if body.isascii() else body
-        else:
-            word = space + body
+        body = body if self.spaced else lowered(body)
         if body.isalpha():
-            return self.word[word] + (self.word[mark] if mark else b"")
+            ids = self.word[space + body if space else body]
+            return ids + self.word[mark] if mark else ids
         return self.library_ids(space + piece)
 
     def after_space(self, piece: str) -> bytes | bool:
@@ -101,13 +97,7 @@ class ChunkEncoder:
         return b"".join(out[:-1])
 
 
-def per_worker(path: str, spaced: bool, dtype: str = "<u4"):
-    """A function that loads the encoder at its first call in each Python worker."""
-    held: list[ChunkEncoder] = []
-
-    def get() -> ChunkEncoder:
-        if not held:
-            held.append(ChunkEncoder(path, spaced, dtype))
-        return held[0]
-
-    return get
+@cache
+def encoder(path: str, spaced: bool, dtype: str = "<u4") -> ChunkEncoder:
+    """The encoder of this Python process; its tables serve all tasks that the process runs."""
+    return ChunkEncoder(path, spaced, dtype)

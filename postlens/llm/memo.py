@@ -13,7 +13,7 @@ class Memo(dict):
     of up to ``most`` entries: when the new one is full it becomes the old one, and what is used
     again moves over. So frequent keys stay and memory is bounded."""
 
-    def __init__(self, make: Callable, most: int = 200_000, longest: int = 64):
+    def __init__(self, make: Callable, most: int = 120_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest, self.old = make, most, longest, {}
 
@@ -30,6 +30,14 @@ class Memo(dict):
         return value
 
 
+def lowered(text: str) -> str:
+    """NFC and lower case by character (a sigma at a word's end is no special case)."""
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    return "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
+
+
 @cache
 def char_class(major: str) -> str:
     """The characters whose general category begins with ``major``, as ranges for a pattern."""

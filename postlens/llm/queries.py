@@ -12,7 +12,7 @@ from .preference_pairs import conversation_pairs, format_pairs
 from .quality_repeats import repetition
 from .secret_ownership import KINDS, secret_spans
 from .simhash_anchors import near_duplicates
-from .store import appended, fresh_path
+from .store import fresh_path
 from .url_rules import judge_urls
 
 
@@ -44,17 +44,8 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_digest(pieces: DataFrame) -> DataFrame:
-    """The pieces with the crc32 of their ids as 32-bit integers instead of the ids."""
-
-    def crc(ids: list) -> dict:
-        import zlib
-
-        import numpy as np
-
-        return {"ids_crc32": [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in ids]}
-
-    rows = appended(pieces.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"), "ids", crc, "ids_crc32 long", 1 << 30)
-    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(("doc_id", "start", "length"))], "ids_crc32", *[F.col(f"c{i + 3}").alias(c) for i, c in enumerate(("doc_tokens", "sequence_id", "offset"))])
+    """The pieces with the crc32 of their ids instead of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op1_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +65,7 @@ def op3_passage_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = rank_bpe.decode(rank_bpe.encode(docs, path), path, out="decoded")
+    rows = rank_bpe.round_trip(docs, path)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunk_tokens import per_worker
+from .chunk_tokens import encoder
 from .store import map_columns
 
 SLICE_CHARS = 1_500_000
@@ -54,7 +54,6 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
     the manifest: (shard, n_docs, n_tokens, dtype)."""
     spark = docs.sparkSession
     dtype = vocabulary_type(path)
-    encoder = per_worker(path, False, dtype)
     end = np.array([end_id], dtype).tobytes()
     width = np.dtype(dtype).itemsize
 
@@ -62,6 +61,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
+        encode = encoder(path, False, dtype).encode
         offsets, ids, sink = [0], [], None
         system, folder = file_system(out)
         name, tmp = f"{folder}/{shard:06d}", f"{folder}/.{shard:06d}-{uuid.uuid4().hex}"
@@ -70,7 +70,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
                 system.create_dir(folder, recursive=True)
                 sink = system.open_output_stream(f"{tmp}.bin")
             for doc, text in zip(batch["id"], batch["text"], strict=True):
-                made = encoder().encode(text or "") + end
+                made = encode(text or "") + end
                 sink.write(made)
                 offsets.append(offsets[-1] + len(made) // width)
                 ids.append(NO_ID if doc is None else doc)

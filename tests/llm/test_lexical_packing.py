@@ -17,7 +17,7 @@ def pieces_of(rows):
 
 def test_index_scores_are_bm25():
     docs = [[5, 5, 7], [5, 9], [7, 7, 7, 9], [11]]
-    ids = [np.array(d, "<u2").tobytes() for d in docs]
+    ids = [np.array(d, "<u4").tobytes() for d in docs]
     frequency = np.zeros(1 << 16, np.int64)
     for d in docs:
         frequency[list(set(d))] += 1
@@ -58,9 +58,9 @@ def test_every_id_once(odd_docs, no_docs):
             assert offset == at
             at += length
         assert at <= 1024
-    expected = sorted(np.array(whole.encode(r.text or "", add_special_tokens=False).ids + [0], "<u2").tobytes() for r in odd_docs.collect())
-    assert sum(r.length for r in rows) == sum(len(x) // 2 for x in expected)
-    one = {i: np.array(whole.encode(r.text or "", add_special_tokens=False).ids + [0], "<u2").tobytes() for r in odd_docs.collect() if (i := r.doc_id) in (2, 3, 4, 5, 6, 9)}
+    expected = sorted(np.array(whole.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4").tobytes() for r in odd_docs.collect())
+    assert sum(r.length for r in rows) == sum(len(x) // 4 for x in expected)
+    one = {i: np.array(whole.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4").tobytes() for r in odd_docs.collect() if (i := r.doc_id) in (2, 3, 4, 5, 6, 9)}
     by_doc, _ = pieces_of(rows)
     for doc, ids in one.items():
         assert b"".join(x for _, x in sorted(by_doc[doc])) == ids
