@@ -4,7 +4,7 @@ Each of ``curves`` Hilbert orderings sorts the vectors by the Hilbert key of a r
 ``dims`` dimensions, randomly rotated and shifted. Spark range-partitions each ordering; ranks come
 from prefix sums over partitions, and ranks are cut into blocks of ``block`` vectors. A query is
 compared with its own block and ``reach`` blocks to either side on every curve; the windows' best are
-merged and ranked by the exact distance.
+merged and ranked by the exact distance. Own blocks go first: their best bound what others send on.
 
 ``reach`` is set by measurement: a bounded sample of the queries is searched by brute force, and the
 least reach is taken at which their true neighbours lie in the windows with the target recall.
@@ -201,16 +201,28 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, rules: CurveRules = C
     placed = written(at.withColumn("asked", F.col("__q").isNotNull()).drop("__q"), "curve-positions")
     reach = measured_reach(points, placed, asked, k + 1, rules)
     spread = placed.select("id", "vec", "asked", F.posexplode("blocks").alias("curve", "block"))
-    own = spread.select("curve", "block", "id", "vec", F.lit(False).alias("query"))
-    sent = spread.filter("asked").withColumn("block", F.explode(F.sequence(F.greatest(F.col("block") - reach, F.lit(0)), F.col("block") + reach)))
-    windows = own.unionByName(sent.select("curve", "block", "id", "vec", F.lit(True).alias("query")))
+    none = F.lit(float("inf"))
+    own = spread.select("curve", "block", "id", "vec", F.lit(False).alias("query"), none.alias("bound"))
 
     def compare(table: pa.Table) -> pa.Table:
-        query, ids, vec = table["query"].to_numpy(), table["id"].to_numpy(), matrix(table["vec"])
+        query, ids, vec, bound = table["query"].to_numpy(), table["id"].to_numpy(), matrix(table["vec"]), table["bound"].to_numpy()
         q, i, d = nearest(vec[query], vec[~query], ids[~query], k + 1)
-        return pa.table({"query": pa.array(ids[query][q], pa.int64()), "id": pa.array(i, pa.int64()), "d": pa.array(d, pa.float64())})
-
-    found = windows.groupBy("curve", "block").applyInArrow(compare, "query long, id long, d double").distinct()
+        near = d <= bound[query][q]
+        return pa.table({"query": pa.array(ids[query][q][near], pa.int64()), "id": pa.array(i[near], pa.int64()), "d": pa.array(d[near], pa.float64())})
+
+    def compared(sent: DataFrame) -> DataFrame:
+        return own.unionByName(sent).groupBy("curve", "block").applyInArrow(compare, "query long, id long, d double").distinct()
+
+    # own blocks first: what lies beyond the k + 1 nearest found there can't be an answer
+    asking = spread.filter("asked").select("curve", "block", "id", "vec", F.lit(True).alias("query"))
+    found = written(compared(asking.withColumn("bound", none)), "own-blocks")
+    if reach:
+        nth = F.row_number().over(Window.partitionBy("query").orderBy("d", "id"))
+        bounds = found.withColumn("n", nth).filter(F.col("n") == k + 1).select(F.col("query").alias("__q"), F.col("d").alias("bound"))
+        step = F.explode(F.array_remove(F.sequence(F.lit(-reach), F.lit(reach)), 0))
+        sent = asking.withColumn("step", step).withColumn("block", F.col("block") + F.col("step")).filter("block >= 0").drop("step")
+        sent = sent.join(bounds, F.col("id") == F.col("__q"), "left").drop("__q").withColumn("bound", F.coalesce("bound", none))
+        found = found.unionByName(compared(sent)).distinct()
     merged = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "id"))).filter(F.col("n") <= k + 1)
     named = merged.join(classes.select("id", "members"), "id").select("query", "d", F.explode("members").alias("vec_id"))
     answers = queries.join(named, F.col("id") == F.col("query")).filter("vec_id <> query_id")
