@@ -9,9 +9,9 @@ side), which fall alike wherever the same passage stands. Steps:
    map-side sums; only paragraphs with a key that occurs twice go on.
 2. Those paragraphs are made again from their texts, with their shingle sets. Equal ones are one
    node. Different ones that share a key are compared by exact Jaccard, in blocks (``blocks``).
-3. Links join into clusters by components. In each document, neighbouring paragraphs of clusters that
-   span documents make a passage; passages of ``min_words`` or more count. All but the cluster's
-   first occurrence, by document and place, are removals.
+3. Links join into clusters by components. In each document, neighbouring paragraphs of clusters
+   with two or more occurrences, in one document or several, make a passage; passages of ``min_words``
+   or more count. All but the cluster's first occurrence, by document and place, are removals.
 
 Hot keys (a passage in a third of all documents) meet only map-side sums and joins between tables,
 which adaptive execution splits. No step emits pairs of occurrences.
@@ -235,10 +235,10 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
     rooted = nodes.drop("keys").join(roots.select(F.col("node").alias("content"), "root"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     rooted = written(rooted, "paragraph-roots")
     spans = rooted.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    across = written(spans.filter(~F.col("low.doc_id").eqNullSafe(F.col("high.doc_id")) | (F.col("low.tag") != F.col("high.tag"))).select("root", "low"), "paragraph-clusters")
-    of = written(rooted.select("content", "root").join(across, "root"), "paragraph-members")
+    again = written(spans.filter(~F.col("low").eqNullSafe(F.col("high"))).select("root", "low"), "paragraph-clusters")
+    of = written(rooted.select("content", "root").join(again, "root"), "paragraph-members")
     members = found.select("doc_id", "tag", "place", "size", "content").join(of, "content")
-    own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag"))
+    own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag")) & (F.col("low.place") == F.col("place"))
     by_doc = Window.partitionBy("doc_id", "tag").orderBy("place")
     once = members.withColumn("end", F.col("place") + F.col("size")).withColumn("own", own).withColumn("same", F.lag("place").over(by_doc) == F.col("place"))
     once = once.filter("same is null or not same")

@@ -37,6 +37,17 @@ def test_passages_against_brute_force(spark, prose):
             assert seen.setdefault(w, i) == i
 
 
+def test_repeats_inside_a_document(spark, prose):
+    passage = prose(60)
+    rows = [(1, "\n".join([prose(30), *[passage] * 50, prose(30)])), (2, f"{prose(40)}\n{passage}\n{prose(40)}\n{passage}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in remove_passages(docs).collect()}
+    assert out[1].count(passage) == 1 and out[2].count(passage) == 0
+    kept = passage.split()[20:40]
+    assert out[1].count(" ".join(kept)) == 1 and out[2].count(" ".join(kept)) == 0
+    assert out[1].startswith(rows[0][1][: len(rows[0][1].split("\n")[0])]) and out[1].split()[-20:] == rows[0][1].split()[-20:]
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = repeated_passages(odd_docs).collect()
     assert {r.doc_id for r in found} == {1, 8} and {r.first_doc_id for r in found} == {1}
