@@ -1,8 +1,9 @@
 """Substring dedup: paragraph MinHash banding.
 
-Passages are glued into longer lines, so a paragraph here is a piece of a line: lines are cut at
-content-defined places (a word pair whose hash is the least within ``spread`` words to either
-side), which fall alike wherever the same passage stands. Steps:
+Passages are glued into longer lines or run over many short ones, so a paragraph here is a piece of
+a text's words, whatever its line ends: texts are cut at content-defined places (a word pair whose
+hash is the least within ``spread`` words to either side), which fall alike wherever the same
+passage stands. Steps:
 
 1. Each paragraph gets ``bands`` MinHash keys over its five-word shingles (a band of one row: at 0.8
    similarity two paragraphs share a key with probability 1 - 0.2^bands). Keys are counted with
@@ -104,27 +105,26 @@ def paragraphs(texts: list[str | None], rules: PassageRules) -> Paragraphs | Non
 
     hashes, sizes, docs = [], [], []
     for i, text in enumerate(texts):
-        lines = [line.split() for line in (text or "").encode().lower().split(b"\n")]
-        for words in lines:
-            if words:
-                hashes += map(xxhash.xxh3_64_intdigest, words)
-                sizes.append(len(words))
-                docs.append(i)
+        words = (text or "").encode().lower().split()
+        if words:
+            hashes += map(xxhash.xxh3_64_intdigest, words)
+            sizes.append(len(words))
+            docs.append(i)
     if not hashes:
         return None
     h, size, doc = np.array(hashes, np.uint64), np.array(sizes), np.array(docs)
-    n, line_start = len(h), np.cumsum(size) - size
+    n, text_start = len(h), np.cumsum(size) - size
     pair = h.copy()
     pair[:-1] += mixed(h[1:])
     pair = mixed(pair)
     at = np.arange(n)
-    first, last = np.repeat(line_start, size), np.repeat(line_start + size, size)
+    first, last = np.repeat(text_start, size), np.repeat(text_start + size, size)
     w = rules.spread
     cut = (at - w >= first) & (at + w < last)
     for k in range(1, min(w, n - 1) + 1):
         cut[k:] &= pair[k:] < pair[:-k]
         cut[:-k] &= pair[:-k] <= pair[k:]
-    cut[line_start] = True
+    cut[text_start] = True
     start = np.flatnonzero(cut)
     lengths = np.diff(np.append(start, n))
     of = np.repeat(doc, size)[start]
@@ -242,8 +242,7 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
     by_doc = Window.partitionBy("doc_id", "tag").orderBy("place")
     once = members.withColumn("end", F.col("place") + F.col("size")).withColumn("own", own).withColumn("same", F.lag("place").over(by_doc) == F.col("place"))
     once = once.filter("same is null or not same")
-    short = rules.words - 1  # lines of fewer words have no paragraph and don't part a passage
-    new = F.coalesce(F.lag("end").over(by_doc) + short < F.col("place"), F.lit(True))
+    new = F.coalesce(F.lag("end").over(by_doc) < F.col("place"), F.lit(True))
     turn = new | (F.lag("own").over(by_doc) != F.col("own"))  # a first occurrence beside copies is a part of its own
     chained = once.withColumn("passage", F.sum(new.cast("int")).over(by_doc)).withColumn("part", F.sum(turn.cast("int")).over(by_doc))
     whole = Window.partitionBy("doc_id", "tag", "passage")

@@ -48,6 +48,16 @@ def test_repeats_inside_a_document(spark, prose):
     assert out[1].startswith(rows[0][1][: len(rows[0][1].split("\n")[0])]) and out[1].split()[-20:] == rows[0][1].split()[-20:]
 
 
+def test_passages_of_short_lines(spark, prose):
+    lists = ["\n".join(prose(3) for _ in range(25)) for _ in range(4)]
+    rows = [(i, f"{prose(50)}\n{lists[i % 4]}\n{prose(50)}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in repeated_passages(docs).collect()} == set(range(12))
+    texts = {r.doc_id: r.text for r in remove_passages(docs).collect()}
+    for i in range(12):
+        assert (texts[i] == rows[i][1]) == (i < 4) and (lists[i % 4][80:-80] in texts[i]) == (i < 4)
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = repeated_passages(odd_docs).collect()
     assert {r.doc_id for r in found} == {1, 8} and {r.first_doc_id for r in found} == {1}
