@@ -11,8 +11,10 @@ passage stands. Steps:
 2. Those paragraphs are made again from their texts, with their shingle sets. Equal ones are one
    node. Different ones that share a key are compared by exact Jaccard, in blocks (``blocks``).
 3. Links join into clusters by components. In each document, neighbouring paragraphs of clusters
-   with two or more occurrences, in one document or several, make a passage; passages of ``min_words``
-   or more count. All but the cluster's first occurrence, by document and place, are removals.
+   with two or more occurrences, in one document or several, make a part if their first occurrences,
+   by document and place, are neighbours too.
+4. Each part grows word by word to both sides against its first occurrence, whose words on both sides
+   come with it. What then has ``min_words`` or more is a removal; the first occurrences stay.
 
 Hot keys (a passage in a third of all documents) meet only map-side sums and joins between tables,
 which adaptive execution splits. No step emits pairs of occurrences.
@@ -37,6 +39,8 @@ from .components import components
 from .store import appended, map_columns, sliced, written, written_side
 
 SLICE_CHARS = 1_000_000
+#: Words beside a matched part that are compared. A whole paragraph in there is a part of its own.
+REACH = 48
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -228,7 +232,7 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
     whose occurrence stays; ``cluster_id`` is the same for all occurrences of a first paragraph."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("tag"), F.col(text_col).alias("text"))
     found = written(candidate_paragraphs(rows, rules), "paragraphs")
-    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "place")
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag", "place", "size", "content")
     nodes = found.groupBy("content", "keys").agg(F.min(at).alias("low"), F.max(at).alias("high"))
     nodes = written(nodes, "paragraph-nodes")
     roots = components(similar(found, nodes.select("content", "keys"), rules))
@@ -240,17 +244,167 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
     members = found.select("doc_id", "tag", "place", "size", "content").join(of, "content")
     own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag")) & (F.col("low.place") == F.col("place"))
     by_doc = Window.partitionBy("doc_id", "tag").orderBy("place")
-    once = members.withColumn("end", F.col("place") + F.col("size")).withColumn("own", own).withColumn("same", F.lag("place").over(by_doc) == F.col("place"))
-    once = once.filter("same is null or not same")
-    new = F.coalesce(F.lag("end").over(by_doc) < F.col("place"), F.lit(True))
-    turn = new | (F.lag("own").over(by_doc) != F.col("own"))  # a first occurrence beside copies is a part of its own
-    chained = once.withColumn("passage", F.sum(new.cast("int")).over(by_doc)).withColumn("part", F.sum(turn.cast("int")).over(by_doc))
-    whole = Window.partitionBy("doc_id", "tag", "passage")
-    long = chained.withColumn("words", F.max("end").over(whole) - F.min("place").over(whole)).filter(F.col("words") >= rules.min_words)
-    return long.groupBy("doc_id", "tag", "passage", "part").agg(
-        F.min("place").alias("first_word"), (F.max("end") - F.min("place")).cast("long").alias("n_words"), F.min_by("root", "place").alias("cluster_id"),
-        F.min(F.struct("low.no_id", "low.doc_id")).getField("doc_id").alias("first_doc_id"), (~F.min("own")).alias("removed"),
-    ).drop("passage", "part")
+    copies = members.filter(~own).withColumn("same", F.lag("place").over(by_doc) == F.col("place")).filter("same is null or not same")
+    source = F.struct("low.no_id", "low.doc_id", "low.tag")
+    upto = F.col("low.place") + F.col("low.size")
+    item = lambda start, end, at, upto: F.struct(start.alias("start"), end.alias("end"), at.alias("at"), upto.alias("upto"))
+    start, end, at = F.col("place"), F.col("place") + F.col("size"), F.col("low.place")
+    ends = F.array(item(start, start, at, at), item(end, end, upto, upto))  # of a similar paragraph only the ends are taken, to grow from
+    copies = copies.withColumn("piece", F.explode(F.when(F.col("content") == F.col("low.content"), F.array(item(start, end, at, upto))).otherwise(ends)))
+    copies = copies.select("doc_id", "tag", "root", source.alias("source"), "piece.*")
+    by_doc = Window.partitionBy("doc_id", "tag").orderBy("start", "end")
+    on = (F.lag("end").over(by_doc) == F.col("start")) & F.lag("source").over(by_doc).eqNullSafe(F.col("source")) & (F.lag("upto").over(by_doc) == F.col("at"))
+    chained = copies.withColumn("run", F.sum((~F.coalesce(on, F.lit(False))).cast("int")).over(by_doc))
+    parts = chained.groupBy("doc_id", "tag", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("root", "start").alias("root"),
+        F.min("source").alias("source"), F.min("at").alias("at"), F.max("upto").alias("upto"),
+    )
+    parts = written(parts.select("doc_id", "tag", "start", "end", "root", "source.*", "at", "upto").toDF("doc_id", "tag", "start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto"), "passage-parts")
+    return joined_passages(aligned_passages(rows, parts, surroundings(rows, parts), rules))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """32 bits of the hash of each word."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    return np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64).astype(np.uint32).view(np.int32)
+
+
+def surroundings(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """(s_doc, s_tag, at, upto, before, after): the hashes of the ``REACH`` words on both sides of each
+    first occurrence that ``parts`` name, once each. The passage itself is never sent."""
+    asked = parts.groupBy("s_doc", "s_tag").agg(F.collect_set(F.struct("at", "upto")).alias("asked"))
+    asked = written_side(asked, "passage-sources")
+    met = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("tag") == F.col("s_tag"))).select("s_doc", "s_tag", "asked", "text")
+
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in sliced(batches, "text", SLICE_CHARS):
+            out = {k: [] for k in ("s_doc", "s_tag", "at", "upto", "before", "after")}
+            for doc, tag, spans, text in zip(batch["s_doc"], batch["s_tag"], batch["asked"], batch["text"], strict=True):
+                h = word_hashes(text)
+                for span in spans:
+                    at, upto = span["at"], span["upto"]
+                    for k, v in zip(out, (doc, tag, at, upto, h[max(0, at - REACH) : at], h[upto : upto + REACH]), strict=True):
+                        out[k].append(v)
+            yield out
+
+    made = map_columns(met, run, "s_doc long, s_tag int, at int, upto int, before array<int>, after array<int>")
+    return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto"]), "passage-surroundings")
+
+
+def steps(x: list[int], y: list[int]) -> list[tuple[int, int, int]]:
+    """The aligned runs (place in x, place in y, words) from the beginnings of ``x`` and ``y``."""
+    n = 0
+    while n < len(x) and n < len(y) and x[n] == y[n]:
+        n += 1
+    return [(0, 0, n)] if n else []
+
+
+@dataclass
+class Run:
+    """Words ``start`` to ``end`` of a text that stand at ``at`` to ``upto`` of the source."""
+
+    start: int
+    end: int
+    at: int
+    upto: int
+    root: int
+
+
+def grown(h: np.ndarray, part: dict) -> list[Run]:
+    """The part of the text with word hashes ``h``, and the runs by which it goes on to both sides."""
+    start, end, at, upto, root = (part[k] for k in ("start", "end", "at", "upto", "root"))
+    runs = [Run(start, end, at, upto, root)]
+    left = steps(h[max(0, start - REACH) : start][::-1].tolist(), part["before"][::-1])
+    runs += [Run(start - i - n, start - i, at - j - n, at - j, root) for i, j, n in left]
+    runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in steps(h[end : end + REACH].tolist(), part["after"])]
+    return [r for r in runs if r.end > r.start]
+
+
+def fused(runs: list[Run]) -> list[Run]:
+    """``runs`` of one source, those that meet or overlap on one diagonal as one, by place."""
+    out: list[Run] = []
+    for run in sorted(runs, key=lambda r: (r.at - r.start, r.start, r.end)):
+        last = out[-1] if out else None
+        if last and last.upto - last.end == run.at - run.start and run.start <= last.end:
+            if run.end > last.end:
+                last.end, last.upto = run.end, run.upto
+        else:
+            out.append(run)
+    return sorted(out, key=lambda r: (r.start, r.end))
+
+
+def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules: PassageRules) -> DataFrame:
+    """(doc_id, tag, start, end, cluster_id, first_doc_id, removed): the parts grown word by word against
+    their first occurrences; those of ``min_words`` or more, and the first occurrences they were held against."""
+    by = F.col("s_doc").eqNullSafe(F.col("d")) & (F.col("s_tag") == F.col("t")) & (F.col("at") == F.col("a")) & (F.col("upto") == F.col("u"))
+    known = parts.join(sides.withColumnsRenamed({"s_doc": "d", "s_tag": "t", "at": "a", "upto": "u"}), by)
+    item = F.struct("start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto", "before", "after")
+    held = written_side(known.groupBy("doc_id", "tag").agg(F.collect_list(item).alias("parts")).withColumnsRenamed({"doc_id": "d", "tag": "t"}), "passage-alignments")
+    met = docs.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc_id", "tag", "parts", "text")
+
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in sliced(batches, "text", SLICE_CHARS):
+            out = {k: [] for k in ("doc_id", "tag", "start", "end", "cluster_id", "first_doc_id", "removed")}
+            for doc, tag, found, text in zip(batch["doc_id"], batch["tag"], batch["parts"], batch["text"], strict=True):
+                h, sources = word_hashes(text), {}
+                for part in found:
+                    sources.setdefault((part["no_id"], part["s_doc"], part["s_tag"]), []).extend(grown(h, part))
+                spans = sorted(((r.start, r.end, r, s) for s, runs in sources.items() for r in fused(runs)), key=lambda x: x[:2])
+                made = []
+                for start, end, r, s in spans:
+                    if made and start <= made[-1][1]:
+                        made[-1][1] = max(made[-1][1], end)
+                        made[-1][2].append((r, s))
+                    else:
+                        made.append([start, end, [(r, s)]])
+                for start, end, held in made:
+                    if end - start < rules.min_words:
+                        continue
+                    first = min((s for _, s in held), key=lambda s: (s[0], s[1] or 0))[1]
+                    rows = [(doc, tag, start, end, held[0][0].root, first, True)]
+                    rows += [(s[1], s[2], r.at, r.upto, r.root, s[1], False) for r, s in held]
+                    for row in rows:
+                        for k, v in zip(out, row, strict=True):
+                            out[k].append(v)
+            yield out
+
+    return map_columns(met, run, "doc_id long, tag int, start int, end int, cluster_id long, first_doc_id long, removed boolean")
+
+
+def joined_passages(spans: DataFrame) -> DataFrame:
+    """Removals as they are; first occurrences joined where they overlap, without words that go."""
+    by = ["doc_id", "tag"]
+    once = spans.groupBy(*by, "removed", "start").agg(F.max(F.struct("end", "cluster_id", "first_doc_id")).alias("x")).select(*by, "removed", "start", "x.*")
+    sort = [*by, F.desc("removed"), "start"]
+
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for group in runs(batches, by):
+            rows = list(zip(*(group[k] for k in ("start", "end", "cluster_id", "first_doc_id", "removed")), strict=True))
+            gone, kept = [r for r in rows if r[4]], []
+            upto, k = 0, 0
+            for start, end, cluster, first, _ in (r for r in rows if not r[4]):
+                start = max(start, upto)
+                upto = max(upto, end)
+                while start < end:
+                    while k < len(gone) and gone[k][1] <= start:
+                        k += 1
+                    until = min(end, gone[k][0]) if k < len(gone) else end
+                    if until > start:
+                        if kept and kept[-1][1] == start:
+                            kept[-1] = (kept[-1][0], until, *kept[-1][2:])
+                        else:
+                            kept.append((start, until, cluster, first, False))
+                    start = max(until, gone[k][1]) if k < len(gone) and until < end else end
+            rows = gone + kept
+            yield {
+                "doc_id": [group["doc_id"][0]] * len(rows), "tag": [group["tag"][0]] * len(rows), "first_word": [r[0] for r in rows], "n_words": [r[1] - r[0] for r in rows],
+                "cluster_id": [r[2] for r in rows], "first_doc_id": [r[3] for r in rows], "removed": [r[4] for r in rows],
+            }
+
+    schema = "doc_id long, tag int, first_word int, n_words long, cluster_id long, first_doc_id long, removed boolean"
+    return map_columns(once.repartition(*by).sortWithinPartitions(*sort), run, schema)
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

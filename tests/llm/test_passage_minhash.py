@@ -58,6 +58,16 @@ def test_passages_of_short_lines(spark, prose):
         assert (texts[i] == rows[i][1]) == (i < 4) and (lists[i % 4][80:-80] in texts[i]) == (i < 4)
 
 
+def test_exact_passages_go_to_their_ends(spark):
+    words = (f"w{i}" for i in range(10**6))  # none twice
+    take = lambda n: " ".join(next(words) for _ in range(n))
+    passages = [take(n) for n in (51, 55, 60, 100) * 10]
+    rows = [(100 * k + i, f"{take(70)} {p} {take(70)}") for i in range(3) for k, p in enumerate(passages)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id, r.first_word, r.n_words, r.removed, r.first_doc_id) for r in found)
+    assert got == sorted((100 * k + i, 70, len(p.split()), i > 0, 100 * k) for i in range(3) for k, p in enumerate(passages))
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = repeated_passages(odd_docs).collect()
     assert {r.doc_id for r in found} == {1, 8} and {r.first_doc_id for r in found} == {1}
