@@ -14,7 +14,8 @@ passage stands. Steps:
    with two or more occurrences, in one document or several, make a part if their first occurrences,
    by document and place, are neighbours too.
 4. Each part grows word by word to both sides against its first occurrence, whose words on both sides
-   come with it. What then has ``min_words`` or more is a removal; the first occurrences stay.
+   come with it, also beyond edits. Runs of one first document with edits between them are one passage
+   if the whole of it has the similarity, by exact Jaccard of the aligned shingles. What then has ``min_words`` or more is a removal; the first occurrences stay.
 
 Hot keys (a passage in a third of all documents) meet only map-side sums and joins between tables,
 which adaptive execution splits. No step emits pairs of occurrences.
@@ -293,32 +294,47 @@ def surroundings(docs: DataFrame, parts: DataFrame) -> DataFrame:
     return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto"]), "passage-surroundings")
 
 
-def steps(x: list[int], y: list[int]) -> list[tuple[int, int, int]]:
-    """The aligned runs (place in x, place in y, words) from the beginnings of ``x`` and ``y``."""
-    n = 0
-    while n < len(x) and n < len(y) and x[n] == y[n]:
-        n += 1
-    return [(0, 0, n)] if n else []
+def steps(x: list[int], y: list[int], words: int) -> list[tuple[int, int, int]]:
+    """The aligned runs (place in x, place in y, words) from the beginnings of ``x`` and ``y``. Behind a
+    difference they go on at the nearest places from which ``words`` words agree."""
+    out, i, j = [], 0, 0
+    while True:
+        n = 0
+        while i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+            n += 1
+        if n:
+            out.append((i, j, n))
+        i, j = i + n, j + n
+        ahead: dict[tuple, int] = {}
+        for k in range(max(0, len(y) - j - words + 1)):
+            ahead.setdefault(tuple(y[j + k : j + k + words]), k)
+        met = [(k + ahead[at], k, ahead[at]) for k in range(max(0, len(x) - i - words + 1)) if (at := tuple(x[i + k : i + k + words])) in ahead]
+        if not met:
+            return out
+        _, k, m = min(met)
+        i, j = i + k, j + m
 
 
 @dataclass
 class Run:
-    """Words ``start`` to ``end`` of a text that stand at ``at`` to ``upto`` of the source."""
+    """Words ``start`` to ``end`` of a text that stand, but for edits, at ``at`` to ``upto`` of the
+    source; ``less``: by how much fewer shingles than words they share."""
 
     start: int
     end: int
     at: int
     upto: int
     root: int
+    less: int = 0
 
 
-def grown(h: np.ndarray, part: dict) -> list[Run]:
+def grown(h: np.ndarray, part: dict, words: int) -> list[Run]:
     """The part of the text with word hashes ``h``, and the runs by which it goes on to both sides."""
     start, end, at, upto, root = (part[k] for k in ("start", "end", "at", "upto", "root"))
     runs = [Run(start, end, at, upto, root)]
-    left = steps(h[max(0, start - REACH) : start][::-1].tolist(), part["before"][::-1])
+    left = steps(h[max(0, start - REACH) : start][::-1].tolist(), part["before"][::-1], words)
     runs += [Run(start - i - n, start - i, at - j - n, at - j, root) for i, j, n in left]
-    runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in steps(h[end : end + REACH].tolist(), part["after"])]
+    runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in steps(h[end : end + REACH].tolist(), part["after"], words)]
     return [r for r in runs if r.end > r.start]
 
 
@@ -335,6 +351,33 @@ def fused(runs: list[Run]) -> list[Run]:
     return sorted(out, key=lambda r: (r.start, r.end))
 
 
+def bridged(runs: list[Run], own: bool, rules: PassageRules) -> list[Run]:
+    """``runs`` by place, neighbours as one passage with the edit between them if the whole is similar:
+    exact Jaccard of the aligned shingles. ``own``: the source is the same text, and has to end before."""
+    over = rules.words - 1
+
+    def joined(u: Run, v: Run) -> Run | None:
+        i, j = v.start - u.end, v.at - u.upto
+        if i < 0 or j < 0 or (own and v.upto > u.start):
+            return None
+        less = u.less + v.less + over + i  # the shingles that touch the edit or lie beside it
+        both = v.end - u.start - over - less
+        either = (v.end - u.start - over) + (v.upto - u.at - over) - both
+        return Run(u.start, v.end, u.at, v.upto, u.root, less) if both >= rules.similarity * either - 1e-9 else None
+
+    while True:
+        out: list[Run] = []
+        for run in runs:
+            made = joined(out[-1], run) if out else None
+            if made:
+                out[-1] = made
+            else:
+                out.append(run)
+        if len(out) == len(runs):
+            return out
+        runs = out
+
+
 def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules: PassageRules) -> DataFrame:
     """(doc_id, tag, start, end, cluster_id, first_doc_id, removed): the parts grown word by word against
     their first occurrences; those of ``min_words`` or more, and the first occurrences they were held against."""
@@ -350,8 +393,8 @@ def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules:
             for doc, tag, found, text in zip(batch["doc_id"], batch["tag"], batch["parts"], batch["text"], strict=True):
                 h, sources = word_hashes(text), {}
                 for part in found:
-                    sources.setdefault((part["no_id"], part["s_doc"], part["s_tag"]), []).extend(grown(h, part))
-                spans = sorted(((r.start, r.end, r, s) for s, runs in sources.items() for r in fused(runs)), key=lambda x: x[:2])
+                    sources.setdefault((part["no_id"], part["s_doc"], part["s_tag"]), []).extend(grown(h, part, rules.words))
+                spans = sorted(((r.start, r.end, r, s) for s, runs in sources.items() for r in bridged(fused(runs), s[2] == tag and s[1] == doc, rules)), key=lambda x: x[:2])
                 made = []
                 for start, end, r, s in spans:
                     if made and start <= made[-1][1]:

@@ -68,6 +68,19 @@ def test_exact_passages_go_to_their_ends(spark):
     assert got == sorted((100 * k + i, 70, len(p.split()), i > 0, 100 * k) for i in range(3) for k, p in enumerate(passages))
 
 
+def test_edited_passages_go_whole(spark):
+    words = (f"w{i}" for i in range(10**6))  # none twice
+    take = lambda n: " ".join(next(words) for _ in range(n))
+    rows, want = [], set()
+    for k, (n, places) in enumerate([(60, (20,)), (60, (30,)), (60, (45,)), (100, (33, 66)), (100, (20, 80)), (60, (15, 30, 45))] * 5):
+        passage = take(n).split()
+        other = [f"e{k}_{i}" if i in places else w for i, w in enumerate(passage)]
+        rows += [(2 * k, f"{take(70)} {' '.join(passage)} {take(70)}"), (2 * k + 1, f"{take(70)} {' '.join(other)} {take(70)}")]
+        want |= {(2 * k, 70, n, False), (2 * k + 1, 70, n, True)} if len(places) < 3 else set()
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.n_words, r.removed) for r in found} == want
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = repeated_passages(odd_docs).collect()
     assert {r.doc_id for r in found} == {1, 8} and {r.first_doc_id for r in found} == {1}
