@@ -4,8 +4,8 @@ Every text is scanned for the base kinds (assignments, access keys, long hex) an
 tokens: long mixed runs of key characters that no base span covers. The hash of each candidate's
 value is then counted over the corpus: in how many documents (repositories) and under how many
 sources (owners) it occurs. A value that many owners carry is a copied example. A value of one
-owner with high entropy looks live. The base spans always stay; an opaque token becomes a span
-only if it looks live.
+owner with high entropy looks live. The base spans always stay; an opaque token is a span, live or
+unsure, unless it is an example or of low entropy.
 
 Plan: one narrow scan writes the candidates (never the texts) to the shared folder; counts are
 made with map-side sums first per (value, owner), so a value in a third of all rows costs each
@@ -42,7 +42,8 @@ SLICE_CHARS = 8_000_000
 @dataclass(frozen=True)
 class OwnershipRules:
     """``example_owners``: a value under so many owners is a copied example. ``live_owners``: at most
-    so many owners for a live-looking one, with ``live_entropy`` bits a character at least.
+    so many owners for a live-looking one, with ``live_entropy`` bits a character at least; 0 leaves
+    opaque tokens out.
     ``opaque_chars``: shortest opaque token."""
 
     example_owners: int = 3
@@ -118,7 +119,8 @@ def _spans(docs, rules, id_col, text_col, owner_col):
     one = with_any.select("row_key", F.explode("found").alias("f")).select("row_key", "f.*")
     live = (F.col("n_owners") <= rules.live_owners) & (F.col("entropy") >= rules.live_entropy)
     verdict = F.when(F.col("n_owners") >= rules.example_owners, "example").when(live, "live").otherwise("unsure")
-    judged = one.join(owners, "value_sha256").withColumn("verdict", verdict).filter((F.col("kind") < 3) | (F.col("verdict") == "live"))
+    opaque = F.lit(rules.live_owners > 0) & (F.col("n_owners") < rules.example_owners) & (F.col("entropy") >= rules.live_entropy)
+    judged = one.join(owners, "value_sha256").withColumn("verdict", verdict).filter((F.col("kind") < 3) | opaque)
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     span = F.struct("start", F.col("kind").alias("kind_no"), "end", kind.alias("kind"), "n_repos", "n_owners", "verdict")
     by_row = judged.groupBy("row_key").agg(F.sort_array(F.collect_list(span)).alias("spans"))

@@ -33,6 +33,14 @@ def test_ownership_and_mask(spark):
     assert two.count() == 0
 
 
+def test_opaque_under_two_owners(spark):
+    low, many = "Xx1" + "x" * 30, LIVE[::-1]
+    rows = [(i, f"my {LIVE} {low}", f"s{i}") for i in range(2)] + [(10 + i, f"see {many}", f"s{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in mask_secrets(docs).collect()}
+    assert texts == {i: f"my <opaque:unsure> {low}" if i < 10 else t for i, t, _ in rows}
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert secret_spans(odd_docs).count() == odd_docs.count() and secret_spans(no_docs).count() == 0
     masked = mask_secrets(odd_docs)
