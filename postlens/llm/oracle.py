@@ -115,4 +115,47 @@ SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT)
 FROM b LEFT JOIN s ON b.doc_id = s.doc_id
 """
 
-SQL: dict[str, str] = {"op2_preference_pairs": PREFERENCES, "op8_url_rules": URL_RULES, "op9_suffix_repeats": QUALITY}
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RANKED = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+q AS (
+  SELECT item_id, text, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qt AS (SELECT item_id, text, term, count(*) AS times FROM q GROUP BY ALL),
+s AS (SELECT count(*) AS n, sum(len(words))::BIGINT AS total FROM d WHERE len(words) > 0),
+t AS (SELECT row, doc_id, len(words) AS size, unnest(words) AS term FROM d),
+p AS (SELECT row, doc_id, size, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM p, s GROUP BY term, n),
+r AS (
+  SELECT item_id, text, row, doc_id,
+    CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n) // total)))) AS BIGINT) AS score
+  FROM qt JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, text, row, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+LEAKS = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents),
+i AS (SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+k AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size,
+    unnest(list_transform(generate_series(1, len(words) - least(len(words), 10) + 1),
+      lambda x: array_to_string(words[x:x + least(len(words), 10) - 1], ' '))) AS gram
+  FROM i WHERE len(words) > 0),
+g AS (
+  SELECT row, z.size, unnest(generate_series(1, len(words) - z.size + 1)) AS pos, words
+  FROM d, (SELECT DISTINCT size FROM k) z WHERE len(words) >= z.size),
+h AS (SELECT g.row, g.pos, g.size, k.item_id FROM (SELECT row, size, pos, array_to_string(words[pos:pos + size - 1], ' ') AS gram FROM g) g JOIN k USING (gram, size)),
+c AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(generate_series(pos, pos + size - 1)) AS place FROM h) GROUP BY row),
+m AS (SELECT row, list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))) AS items FROM h WHERE item_id IS NOT NULL GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (row) LEFT JOIN m USING (row)
+"""
+
+SQL: dict[str, str] = {"op2_preference_pairs": PREFERENCES, "op8_url_rules": URL_RULES, "op9_suffix_repeats": QUALITY, "op11_ranked_search": RANKED, "op13_benchmark_automaton": LEAKS}

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lexical_packing, rank_bpe, token_files
+from .benchmark_automaton import contamination
 from .hilbert_search import search
 from .passage_minhash import repeated_passages
 from .preference_pairs import conversation_pairs, format_pairs
 from .quality_repeats import repetition
+from .ranked_search import ranked
 from .secret_ownership import KINDS, secret_spans
 from .simhash_anchors import near_duplicates
+from .spelling_variants import variants
 from .store import fresh_path
 from .url_rules import judge_urls
 
@@ -93,7 +96,21 @@ def op10_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_preference_pairs, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op8_url_rules, op9_suffix_repeats, op10_hilbert_search)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), named, (F.col("n_hit") > 0).alias("contaminated"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_preference_pairs, op3_passage_minhash, op4_rank_bpe, op5_simhash_anchors, op6_secret_ownership, op7_token_files, op8_url_rules, op9_suffix_repeats, op10_hilbert_search, op11_ranked_search, op12_spelling_variants, op13_benchmark_automaton)}
 
 
 def oracle_sql() -> dict[str, str]:
