@@ -45,12 +45,12 @@ FOUND = "n_words long, longest long, spans array<struct<start:long,end:long>>, i
 
 @dataclass(frozen=True)
 class LeakRules:
-    """``window``: words of an item in a row that count as a hit. ``block_words``: words of items in
-    one automaton. ``decontaminate`` removes spans of over ``max_span`` words, and the whole text
+    """``window``: words of an item in a row that count as a hit. ``block_chars``: characters of items
+    in one automaton. ``decontaminate`` removes spans of over ``max_span`` words, and the whole text
     where over ``max_covered`` of its words are hit."""
 
     window: int = 10
-    block_words: int = 1 << 18
+    block_chars: int = 1 << 20
     max_span: int = 9
     max_covered: float = 0.5
 
@@ -268,7 +268,7 @@ def scanned(docs: DataFrame, items: DataFrame, rules: LeakRules, id_col: str, te
     flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     rows = flat.select("*", *nothing)
     done = 0
-    for block in item_blocks(items, item_col, item_text, rules.block_words):
+    for block in item_blocks(items, item_col, item_text, rules.block_chars):
         if done and done % CHAIN == 0:
             rows = written(rows, "scanned")
         rows = _scanned(rows, at, tuple(block), rules.window)

@@ -1,9 +1,9 @@
 """Words of texts as bytes, and a query set (benchmark items) in blocks of bounded size.
 
 A query set is held whole by every task, so it goes in blocks: ``item_blocks`` deals its distinct
-rows to blocks of at most ``max_words`` words (an item that alone has more is a block of its own) and
-hands them out one at a time. The number of passes over the documents is the number of blocks, so it
-grows with the query set, never with the documents.
+rows by hash to groups of ``max_chars`` characters on average, cuts a larger one, and hands blocks of at
+most ``max_chars`` out one at a time (an item that alone is longer is a block of its own). The number of
+passes over the documents is the number of blocks: it grows with the query set, never with the documents.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import map_columns, written
+from .store import written
 
 #: Bytes of a text as word bytes: digits, lower-cased A-Z, and all bytes of code points from U+0080
 #: on; every other byte separates words.
@@ -30,31 +30,21 @@ def text_words(text: str | None) -> list[bytes]:
     return text.encode().translate(WORD_BYTES).split() if text else []
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, max_words: int) -> Iterator[list[Item]]:
+def item_blocks(items: DataFrame, id_col: str, text_col: str, max_chars: int) -> Iterator[list[Item]]:
     """The distinct (id as string, words) of ``items`` in blocks; items without words are left out."""
     rows = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).filter("text is not null").distinct()
-
-    def sizes(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        yield {"n": [sum(len(text_words(t)) for batch in batches for t in batch["text"])]}
-
-    total = map_columns(rows, sizes, "n long").agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // max_words))
-
-    def deal(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    number = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, -(-total // max_chars))))
+    dealt = written(rows.groupBy(number.alias("block")).agg(F.collect_list(F.struct("id", "text")).alias("items")), "item-blocks")
+    for row in dealt.toLocalIterator():
         held, n = [], 0
-        for batch in batches:
-            for key, text in zip(batch["id"], batch["text"], strict=True):
-                size = len(text_words(text))
-                if not size:
-                    continue
-                if held and n + size > max_words:
-                    yield {"items": [held]}
-                    held, n = [], 0
-                held.append({"id": key, "text": text})
-                n += size
+        for x in row["items"]:
+            if held and n + len(x["text"]) > max_chars:
+                yield held
+                held, n = [], 0
+            words = tuple(text_words(x["text"]))
+            if words:
+                held.append((x["id"], words))
+                n += len(x["text"])
         if held:
-            yield {"items": [held]}
-
-    dealt = written(map_columns(rows.repartition(parts, "id", "text"), deal, "items array<struct<id:string,text:string>>"), "item-blocks")
-    for row in dealt.toLocalIterator():
-        yield [(x["id"], tuple(text_words(x["text"]))) for x in row["items"]]
+            yield held

@@ -47,10 +47,10 @@ INDEX = "doc array<long>, size array<long>, term binary, start binary, post bina
 
 @dataclass(frozen=True)
 class SearchRules:
-    """``k``: documents a query. ``block_words``: words of queries in one block."""
+    """``k``: documents a query. ``block_chars``: characters of queries in one block."""
 
     k: int = 20
-    block_words: int = 1 << 18
+    block_chars: int = 1 << 20
 
 
 def index_shards(docs: DataFrame, terms: dict[bytes, int], id_col: str, text_col: str) -> DataFrame:
@@ -209,7 +209,7 @@ def ranked(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
     first, equal scores by ascending id. The ids keep their columns' types (documents' as long)."""
     spark, made = docs.sparkSession, []
     kind = queries.schema[query_id].dataType.simpleString()
-    for block in item_blocks(queries, query_id, query_text, rules.block_words):
+    for block in item_blocks(queries, query_id, query_text, rules.block_chars):
         names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(block)], "query long, name string")
         rows = block_ranks(docs, block, rules, id_col, text_col).join(F.broadcast(names), "query")
         made.append(rows.select(F.col("name").cast(kind).alias(query_id), "rank", F.col("doc_id").alias(id_col), "score"))

@@ -63,7 +63,7 @@ def test_equals_brute_force(spark, window):
     items = [x for x in items if window > 1 or len(words(x[1])) > 1]
     docs = [(i, glued(rng, items, [*vocabulary, "other"])) for i in range(120)]
     check(spark, docs, items, window=window)
-    check(spark, docs, items, window=window, block_words=60)  # several blocks, chained
+    check(spark, docs, items, window=window, block_chars=200)  # several blocks, chained
 
 
 def test_odd_rows(spark, prose):
@@ -72,7 +72,7 @@ def test_odd_rows(spark, prose):
     items = [(1, "Ein zwei, DREI"), (1, passage), (2, None), (3, ""), (4, " .,"), (None, "null id item"), (5, passage), (6, "é"), (5, passage)]
     docs = [(1, "x ein ZWEI drei y"), (2, None), (3, ""), (4, "\n"), (None, "null id item"), (5, long), (6, passage.upper()), (6, passage.upper()), (7, "É é e"), (8, "ein zwei")]
     check(spark, docs, items)
-    check(spark, docs, items, block_words=4)
+    check(spark, docs, items, block_chars=20)
 
 
 def test_empty_tables(spark):
@@ -90,8 +90,8 @@ def test_longest_match_follows_suffix_links():
 def test_blocks_hold_every_item_once(spark):
     items = [(i, " ".join(f"w{j}" for j in range(i % 9))) for i in range(200)]
     q = spark.createDataFrame(items + items, "item_id long, text string")
-    blocks = list(item_blocks(q, "item_id", "text", 50))
-    assert all(sum(len(w) for _, w in b) <= 50 for b in blocks)
+    blocks = list(item_blocks(q, "item_id", "text", 150))
+    assert len(blocks) > 5 and all(sum(len(b" ".join(w)) for _, w in b) <= 150 for b in blocks)
     assert sorted(x for b in blocks for x in b) == sorted((str(i), tuple(text_words(t))) for i, t in items if text_words(t))
 
 

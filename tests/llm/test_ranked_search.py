@@ -55,7 +55,7 @@ def test_equals_scoring_everything(spark, monkeypatch):
     docs += [(1000 + i, docs[3][1]) for i in range(60)]  # copies: ties at the k-th place
     items = [(i, text(rng.randint(1, 25))) for i in range(25)]
     check(spark, docs, items)
-    check(spark, docs, items, k=3, block_words=40)
+    check(spark, docs, items, k=3, block_chars=700)
 
 
 def test_odd_rows(spark, prose):
