@@ -144,19 +144,32 @@ class VocabularyIndex:
         return place, symbol[pick], child[pick], child[pick] + count[pick]
 
     def near(self, queries: list[bytes], exact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, word) pairs at distance one whose last ``exact`` code points are equal, each once."""
-        sizes = np.array([len(q) for q in queries])
+        """(query, word) pairs at distance one whose last ``exact`` code points are equal, each once.
+
+        ``q``, ``low``, ``high``: the searches without an error, in step; ``e``: rows (query, code points
+        left, low, high) of those with one. In a run of equal code points only one place errs."""
+        sizes = np.array([len(x) for x in queries])
         flat = self.code[np.frombuffer(b"".join(queries), np.uint8)]
         off = np.array([0, *accumulate(sizes.tolist())][:-1])
         q = np.arange(len(queries))
         low, high = np.full(len(q), self.first), np.full(len(q), self.last)
-        found = []
-        matched = 0
-        while len(q):
+        e = np.empty((4, 0), np.int64)
+        found, matched, many = [], 0, len(self.word) + 1
+        while len(q) or e.shape[1]:
             left = sizes[q] - matched
-            open_ = np.flatnonzero(matched >= exact[q])
-            if len(open_):
-                found += self._one_error(flat, off, q[open_], left[open_], low[open_], high[open_])
+            here = np.flatnonzero(matched >= exact[q])
+            if len(here):
+                e = np.concatenate([e, self._errors(flat, off, q[here], left[here], low[here], high[here])], axis=1)
+            done = e[1] == 0
+            if done.any():
+                x, y = self.extended(1, e[2, done], e[3, done])
+                hit = y > x
+                found.append(e[0, done][hit] * many + self.word[x[hit] - self.first])
+                e = e[:, ~done]
+            if e.shape[1]:
+                e[1] -= 1
+                e[2], e[3] = self.extended(flat[off[e[0]] + e[1]], e[2], e[3])
+                e = e[:, e[3] > e[2]]
             go = np.flatnonzero(left > 0)
             q, low, high = q[go], low[go], high[go]
             low, high = self.extended(flat[off[q] + left[go] - 1], low, high)
@@ -165,35 +178,24 @@ class VocabularyIndex:
             matched += 1
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.divmod(np.unique(np.concatenate(found)), len(self.word) + 1)
+        return np.divmod(np.unique(np.concatenate(found)), many)
 
-    def _one_error(self, flat: np.ndarray, off: np.ndarray, q: np.ndarray, left: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
-        """Matches, as query * (words + 1) + word, with the error at the place reached."""
+    def _errors(self, flat: np.ndarray, off: np.ndarray, q: np.ndarray, left: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The searches that go on with an error made here: another code point in place of the
+        query's next one, one more before it, or none for it."""
         place, symbol, a, b = self.branches(low, high)
         some = left > 0
-        own = np.where(some, flat[np.maximum(off[q] + left - 1, 0)], 0)  # the query's own next code point
+        own = np.where(some, flat[np.maximum(off[q] + left - 1, 0)], 0)
         other = symbol != own[place]
         place, a, b = place[other], a[other], b[other]
         change = some[place]
-        skip = np.flatnonzero(some)
-        q, left, low, high = (
+        skip = np.flatnonzero(some & ((left < 2) | (own != flat[np.maximum(off[q] + left - 2, 0)])))
+        return np.array([
             np.concatenate([q[place[change]], q[place], q[skip]]),
             np.concatenate([left[place[change]] - 1, left[place], left[skip] - 1]),
             np.concatenate([a[change], a, low[skip]]),
             np.concatenate([b[change], b, high[skip]]),
-        )
-        out = []
-        while len(q):
-            done = left == 0
-            if done.any():
-                x, y = self.extended(1, low[done], high[done])
-                hit = y > x
-                out.append(q[done][hit] * (len(self.word) + 1) + self.word[x[hit] - self.first])
-            q, left, low, high = q[~done], left[~done], low[~done], high[~done]
-            low, high = self.extended(flat[off[q] + left - 1], low, high)
-            alive = high > low
-            q, left, low, high = q[alive], left[alive] - 1, low[alive], high[alive]
-        return out
+        ])
 
 
 class Side:
