@@ -2,13 +2,14 @@
 
 Plan shape (per call, all text columns at once, one evaluation of the input)::
 
-    posts -> explode tokens, keeping each row's first -> join lexicon, keep hits and firsts
-      -> partial+final hash aggregate by the row's own content -> as many rows as there were
+    posts -> explode tokens, the row itself on its first token -> join lexicon, keep hits and firsts
+      -> partial+final aggregate by the row's 32-byte hash -> as many rows as there were
 
-Rows are told apart by what they hold: the carried columns and, where a text is not carried, its
-SHA-256. Equal rows have equal scores, so they may share a group: the sums are divided by the number
-of rows and that many rows come out. No id needs to be unique or present, nothing depends on row
-order, and there is no join back. Carried columns must be of groupable types (no maps).
+Rows are told apart by the SHA-256 of all they hold (carried columns and texts). Only that hash goes
+with every token; the carried columns go once, with the row's first token. Equal rows have equal
+scores, so they may share a group: the sums are divided by the number of rows and that many rows come
+out. No id needs to be unique or present, nothing depends on row order, and there is no join back.
+Tokens come from one ``split`` of the text, by generated code: no function is called per token.
 
 The lexicon is an input table ``(token string, valence double)``; repeated tokens are rejected. Spark
 broadcasts it by its byte threshold, else plans a shuffle join. Valences are summed as DECIMAL so the
@@ -21,16 +22,19 @@ Scores per text column ``c``:
     pos = sum(v+1 | v>0), neg = |sum(v-1 | v<0)|, neu = tokens with valence 0
     (tokens outside the lexicon count as 0), each divided by their total and
     rounded to 3; no tokens gives all zeros.
+Tokens are runs of a-z, lower-cased. With ``marks``, a piece between white space that isn't such a run
+(an emoticon, say) is a token too where the lexicon holds it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType, VariantType
 
 from .. import constants as K
 from ..errors import LexiconError
-from ..functions.text import col_of, tokens
+from ..functions.text import TOKEN_SPLIT, col_of
 from .projection import require_columns
 
 VALENCE_TYPE = "decimal(18,6)"
@@ -60,12 +64,39 @@ def checked_lexicon(lexicon: DataFrame) -> DataFrame:
     return lex.filter(F.col("valence") != 0)
 
 
-def row_key(df: DataFrame, text_cols, carry):
-    """``[]`` if every text is carried, else one column that tells the texts apart."""
-    if set(text_cols) <= set(carry):
-        return []
-    parts = [F.coalesce(F.concat(F.length(col_of(c)).cast("string"), F.lit(":"), col_of(c)), F.lit("-")) for c in text_cols]
-    return [F.sha2(F.concat(*parts), 256).alias("_texts")]
+def _as_string(c, kind) -> Column:
+    """A value as text that is equal for equal values only."""
+    if isinstance(kind, StringType):
+        return c
+    return F.to_json(F.struct(c.alias("v"))) if isinstance(kind, (StructType, ArrayType, MapType, VariantType)) else c.cast("string")
+
+
+def row_hash(df: DataFrame, cols) -> Column:
+    """32 bytes that tell apart rows which differ in any of ``cols``."""
+    parts = [_as_string(col_of(c), df.schema[c].dataType) for c in dict.fromkeys(cols)]
+    return F.unhex(F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256))
+
+
+def row_of(carry, extra=()) -> Column:
+    """The carried columns as one struct with positional names, so that no carried name can clash."""
+    return F.struct(*[col_of(c).alias(f"c{i}") for i, c in enumerate(carry)], *extra, F.lit(True).alias("here"))
+
+
+def on_first(pos: str, row: str) -> list[Column]:
+    """``_first`` for a row's first token, and ``_row`` there alone."""
+    first = F.coalesce(F.col(pos), F.lit(0)) == 0
+    return [first.alias("_first"), F.when(first, F.col(row)).alias("_row")]
+
+
+def sources(sizes) -> tuple[list[Column], Column]:
+    """Where each text's tokens begin in the joined array, and which text a position ``_pos`` is in."""
+    begins = [F.lit(0)]
+    for size in sizes[:-1]:
+        begins.append(begins[-1] + F.col(size))
+    src = F.lit(0)
+    for begin in begins[1:]:
+        src = src + (F.col("_pos") >= begin).cast("int")
+    return begins, src
 
 
 def repeated(df: DataFrame, n: str) -> DataFrame:
@@ -89,54 +120,59 @@ def _share(part, total):
 
 def sentiment(df: DataFrame, lexicon: DataFrame, text_cols=("full_text", "user-description"),
               key: str | None = None, sent: str = "sentiment", compound: str = "compound",
-              keep_struct: bool = False, sep: str = "-") -> DataFrame:
+              keep_struct: bool = False, sep: str = "-", marks: bool = False) -> DataFrame:
     """Add ``<col><sep><sent><sep><compound>`` (and optionally the struct) per text column.
 
     Every input row is kept, with any ids; ``key`` is accepted for older callers and not used.
     """
-    return sentiment_carry(df, lexicon, text_cols, None, sent, compound, sep, keep_struct)
+    return sentiment_carry(df, lexicon, text_cols, None, sent, compound, sep, keep_struct, marks)
 
 
 def sentiment_carry(df: DataFrame, lexicon: DataFrame, text_cols=("full_text",), carry=None,
                     sent: str = "sentiment", compound: str = "compound", sep: str = "-",
-                    keep_struct: bool = False) -> DataFrame:
+                    keep_struct: bool = False, marks: bool = False) -> DataFrame:
     """The ``carry`` columns (default: all) and the scores of ``text_cols``, one row per input row."""
     carry = list(df.columns if carry is None else carry)
     text_cols = list(text_cols)
     require_columns(df, text_cols + carry)
     lex = checked_lexicon(lexicon)
-    keys = [col_of(c) for c in carry]
-    hidden = row_key(df, text_cols, carry)
-
-    def tag(i):
-        return lambda t: F.struct(F.lit(i).alias("src"), t.alias("token"))
-
-    # what is exploded and aggregated has positional names, so no carried name can clash
-    base = df.select(*[c.alias(f"_c{i}") for i, c in enumerate(keys)], *hidden,
-                     *[tokens(c).alias(f"_tok{i}") for i, c in enumerate(text_cols)])
-    names = [f"_c{i}" for i in range(len(carry))] + (["_texts"] if hidden else [])
-    sizes = [F.size(f"_tok{i}").alias(f"_size{i}") for i in range(len(text_cols))] if keep_struct else []
-    toks = F.concat(*[F.transform(F.col(f"_tok{i}"), tag(i)) for i in range(len(text_cols))])
-    ex = base.select(*names, *sizes, F.posexplode_outer(toks).alias("_pos", "_t"))
-    ex = ex.select(*names, *[f"_size{i}" for i in range(len(sizes))], (F.coalesce("_pos", F.lit(0)) == 0).alias("_first"),
-                   F.col("_t.src").alias("_src"), F.col("_t.token").alias("token"))
-    joined = ex.join(lex, "token", "left").filter(F.col("valence").isNotNull() | F.col("_first"))
+    each = range(len(text_cols))
+    low = [F.lower(F.coalesce(col_of(c), F.lit(""))) for c in text_cols]
+    words = [F.split(t, TOKEN_SPLIT) for t in low]
+    pieces = [F.concat(w, F.split(t, r"\s+")) if marks else w for w, t in zip(words, low, strict=True)]
+    base = df.select(row_hash(df, carry + text_cols).alias("_key"), row_of(carry).alias("_all"),
+                     *[w.alias(f"_word{i}") for i, w in enumerate(words)], *[p.alias(f"_tok{i}") for i, p in enumerate(pieces)])
+    # the split leaves an empty string at a text's ends at most
+    count = [F.size(f"_word{i}") - (F.get(f"_word{i}", F.lit(0)) == "").cast("int")
+             - ((F.size(f"_word{i}") > 1) & (F.element_at(f"_word{i}", -1) == "")).cast("int") for i in each]
+    base = base.select("_key", "_all", F.concat(*[F.col(f"_tok{i}") for i in each]).alias("_tok"),
+                       *[F.size(f"_tok{i}").alias(f"_size{i}") for i in each],
+                       *[F.size(f"_word{i}").alias(f"_words{i}") for i in each], *[n.alias(f"_z{i}") for i, n in enumerate(count)])
+    begins, src = sources([f"_size{i}" for i in each])
+    ex = base.select("*", F.posexplode_outer("_tok").alias("_pos", "token")).withColumn("_src", src)
+    kept = ["_key", *on_first("_pos", "_all"), "_src", "token", *[f"_z{i}" for i in each]]
+    if marks:  # pieces that are words are there already
+        at = F.lit(False)
+        for i in each:
+            at = at | ((F.col("_src") == i) & (F.col("_pos") >= begins[i] + F.col(f"_words{i}")))
+        ex = ex.withColumn("token", F.when(at & F.col("token").rlike("^[a-z]*$"), F.lit("")).otherwise(F.col("token")))
+    joined = ex.select(*kept).join(lex, "token", "left").filter(F.col("valence").isNotNull() | F.col("_first"))
     v = F.col("valence")
-    aggs = [F.count_if("_first").alias("_n")]
-    for i, _ in enumerate(text_cols):
+    aggs = [F.count_if("_first").alias("_n"), F.first("_row", ignorenulls=True).alias("_row")]
+    for i in each:
         own = F.col("_src") == F.lit(i)
         aggs.append(F.sum(F.when(own, v)).alias(f"_s{i}"))
         if keep_struct:
             aggs += [F.sum(F.when(own & (v > 0), v + 1)).alias(f"_p{i}"), F.sum(F.when(own & (v < 0), v - 1)).alias(f"_m{i}"),
-                     F.count_if(own & v.isNotNull()).alias(f"_h{i}"), F.max(f"_size{i}").alias(f"_z{i}")]
-    agg = repeated_sums(joined.groupBy(*names).agg(*aggs))
-    out = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)]
+                     F.count_if(own & v.isNotNull()).alias(f"_h{i}"), F.max(f"_z{i}").alias(f"_z{i}")]
+    agg = repeated_sums(joined.groupBy("_key").agg(*aggs))
+    out = [F.col(f"_row.c{i}").alias(c) for i, c in enumerate(carry)]
     for i, c in enumerate(text_cols):
         comp = _compound(F.col(f"_s{i}"))
         if keep_struct:
             pos = F.coalesce(F.col(f"_p{i}").cast("double"), F.lit(0.0))
             neg = F.coalesce(F.col(f"_m{i}").cast("double"), F.lit(0.0))
-            neu = (F.col(f"_z{i}") - F.coalesce(F.col(f"_h{i}"), F.lit(0))).cast("double")
+            neu = F.greatest(F.col(f"_z{i}") - F.coalesce(F.col(f"_h{i}"), F.lit(0)), F.lit(0)).cast("double")
             total = pos + F.abs(neg) + neu
             out.append(F.struct(_share(neg, total).alias("neg"), _share(neu, total).alias("neu"),
                                 _share(pos, total).alias("pos"), comp.alias("compound")).alias(f"{c}{sep}{sent}"))

@@ -8,7 +8,14 @@ Rules, per lexicon hit at token position i (after Hutto & Gilbert, 2014):
     booster is in capitals in a mixed text), damped by 0.95 and 0.9 at
     distances two and three;
   * a negation word (or any word containing ``n't``) in those positions
-    multiplies the running valence by -0.74;
+    multiplies the running valence by -0.74; in its place, "never so" or
+    "never this" from distance two multiplies by 1.5, and at distance three
+    ("never so/this" there, or "so"/"this" right before the hit) by 1.25;
+  * idioms: of the phrases of the idiom table that contain the hit, the
+    longest (then the one that begins first) sets the running valence;
+  * a booster of two words ("kind of") one or two tokens before the hit lowers
+    the valence by 0.293; the word "kind" followed by "of" scores 0;
+  * "least" before the hit, not after "at" or "very", multiplies by -0.74;
   * a hit before the first "but" is halved, after it is multiplied by 1.5;
   * booster words themselves score 0.
 Per text: s = sum of hit valences; ``!`` adds 0.292 each up to four, two or
@@ -18,13 +25,16 @@ s / sqrt(s^2 + 15), clamped to [-1, 1] and rounded to 4. Shares: pos = sum(v+1
 neu = tokens without a non-zero score; each over their total, rounded to 3.
 
 Tokens: whitespace split, punctuation stripped from the edges unless that
-leaves two characters or fewer, tokens of one character dropped.
+leaves two characters or fewer (so emoticons stay whole and may stand in the
+lexicon), tokens of one character dropped.
 
-Plan: the neighbour words, the "but" position and the punctuation counts are
-computed inside each row before the explode, and the input is evaluated once.
-One word table (lexicon + boosters + negations) is joined four times (the hit
-and three neighbours). One partial-aggregated group-by over the row's own
-content follows (see ``sentiment``): ids may repeat or be null. Valences are
+Plan: the texts are cleaned by two regular expressions and split once; the "but"
+position, capitals and punctuation counts are per row. Each token takes its
+neighbours from the row's token array by index, then only hits (and each row's
+first token) go on. One word table (lexicon + boosters + negations) is joined
+four times (the hit and three neighbours); each phrase length and offset of the
+idiom table is an equi-join of the phrase around the hit. One aggregate over the
+row's hash follows (see ``sentiment``): ids may repeat or be null. Valences are
 summed as DECIMAL, so scores don't depend on task order.
 """
 
@@ -36,7 +46,7 @@ from pyspark.sql import functions as F
 from ..errors import LexiconError
 from ..functions.text import col_of
 from .projection import require_columns
-from .sentiment import check_unique, repeated_sums, row_key
+from .sentiment import check_unique, on_first, repeated_sums, row_hash, row_of, sources
 
 # FIXED VALUES: rule constants.
 CAPS_INCREMENT = 0.733
@@ -50,6 +60,11 @@ QUESTION_STEP = 0.18
 QUESTION_MANY = 0.96
 ALPHA = 15.0
 
+# FIXED VALUES: words of the special cases.
+NEVER, STRESS, STRESS_NEAR, STRESS_FAR = "never", ("so", "this"), 1.5, 1.25
+LEAST, LEAST_AFTER = "least", ("at", "very")
+PAIR_SHIFT = -0.293
+
 _PUNCT = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]"""
 SUM_TYPE = "decimal(20,10)"
 
@@ -78,19 +93,23 @@ def word_table(lexicon: DataFrame, boosters: DataFrame | None = None, negations:
                                   F.coalesce(F.max("neg"), F.lit(False)).alias("neg"))
 
 
-def _rule_tokens(text):
-    raw = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: t != F.lit(""))
-    stripped = F.transform(raw, lambda t: F.when(
-        F.length(F.regexp_replace(t, f"^{_PUNCT}+|{_PUNCT}+$", "")) <= 2, t)
-        .otherwise(F.regexp_replace(t, f"^{_PUNCT}+|{_PUNCT}+$", "")))
-    return F.filter(stripped, lambda t: F.length(t) > 1)
+def phrase_table(phrases: DataFrame, value: str, what: str) -> DataFrame:
+    """``(phrase, value)`` with lower-cased words and single spaces; repeated phrases are rejected."""
+    t = phrases.select(F.btrim(F.regexp_replace(F.lower(F.col("phrase")), r"\s+", " ")).alias("phrase"), F.col(value).cast("double").alias(value))
+    check_unique(t, "phrase", what)
+    return t
+
 
+def _clean(text):
+    """The text as tokens between white space, edge punctuation and one-character tokens gone."""
+    core = rf"(?<!\S){_PUNCT}*((?!{_PUNCT})\S\S+\S(?<!{_PUNCT})){_PUNCT}*(?!\S)"
+    stripped = F.regexp_replace(F.coalesce(text, F.lit("")), core, "$1")
+    return F.btrim(F.regexp_replace(stripped, r"(?<!\S)\S(?!\S)", ""), F.lit(" \t\n\x0b\f\r"))
 
-def _shift(arr, d: int):
-    """``arr`` moved right by ``d`` places (nulls in front), same length."""
-    n = F.size(arr)
-    return F.concat(F.array_repeat(F.lit(None).cast("string"), F.least(F.lit(d), n)),
-                    F.slice(arr, F.lit(1), F.greatest(n - F.lit(d), F.lit(0))))
+
+# a token in capitals, and one that isn't, in a cleaned text
+_CAPITAL = r"(?<!\S)[^\p{Ll}\p{Lt}\s]*\p{Lu}[^\p{Ll}\p{Lt}\s]*(?!\S)"
+_NO_CAPITAL = r"(?<!\S)(?:\S*[\p{Ll}\p{Lt}]\S*|[^\p{Lu}\s]+)(?!\S)"
 
 
 def _is_upper(c):
@@ -105,42 +124,53 @@ def _count_char(text, ch):
 def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
                     negations: DataFrame | None = None, text_cols=("full_text", "user-description"),
                     key: str | None = None, sent: str = "sentiment", compound: str = "compound",
-                    keep_struct: bool = False, sep: str = "-", carry=None) -> DataFrame:
+                    keep_struct: bool = False, sep: str = "-", carry=None, idioms: DataFrame | None = None) -> DataFrame:
     """The ``carry`` columns (default: all) and ``<col><sep><sent><sep><compound>`` (optionally the
-    struct) with the context rules, one row per input row; ``key`` is accepted and not used."""
+    struct) with the context rules, one row per input row; ``key`` is accepted and not used.
+
+    ``boosters``: (token, scalar), a token of two words being a pair; ``idioms``: (phrase, valence)."""
     carry, text_cols = list(df.columns if carry is None else carry), list(text_cols)
     require_columns(df, text_cols + carry)
+    pairs = None
+    if boosters is not None:
+        pair = F.col("token").rlike(r"\S\s+\S")
+        pairs = phrase_table(boosters.filter(pair).select(F.col("token").alias("phrase"), "scalar"), "scalar", "boosters")
+        boosters, pairs = boosters.filter(~pair), None if pairs.isEmpty() else pairs
     info = word_table(lexicon, boosters, negations)
-    hidden = row_key(df, text_cols, carry)
     each = range(len(text_cols))
-    names = [f"_c{i}" for i in range(len(carry))] + (["_texts"] if hidden else [])
     counts = []
     for i, c in enumerate(text_cols):
-        counts += [_count_char(col_of(c), "!").alias(f"_b{i}"), _count_char(col_of(c), "?").alias(f"_q{i}")]
-    pre = df.select(*[col_of(c).alias(f"_c{i}") for i, c in enumerate(carry)], *hidden, *counts,
-                    *[_rule_tokens(col_of(c)).alias(f"_w{i}") for i, c in enumerate(text_cols)])
-    flat = names + [f"_{k}{i}" for k in "bq" for i in each]
-    pre = pre.select(*flat, *[f"_w{i}" for i in each], *[F.transform(f"_w{i}", lambda t: F.lower(t)).alias(f"_l{i}") for i in each])
-    # neighbours as shifted copies of the arrays (no per-element lambda over the arrays, so nothing is
-    # re-evaluated per token), zipped and exploded to one small row per token
-    cols = []
-    for i in each:
-        w, low = F.col(f"_w{i}"), F.col(f"_l{i}")
-        cols += [F.size(w).alias(f"_z{i}"), (F.exists(w, _is_upper) & ~F.forall(w, _is_upper)).alias(f"_caps{i}"),
-                 F.array_position(low, F.lit("but")).alias(f"_but{i}"), w.alias(f"_w{i}"), low.alias(f"_l{i}")]
-        cols += [_shift(low, d).alias(f"_p{d}_{i}") for d in (1, 2, 3)] + [_shift(w, d).alias(f"_o{d}_{i}") for d in (1, 2, 3)]
-    pre = pre.select(*flat, *cols)
-
-    def zipped(i):
-        fields = [f"_l{i}", f"_w{i}", *[f"_p{d}_{i}" for d in (1, 2, 3)], *[f"_o{d}_{i}" for d in (1, 2, 3)]]
-        plain = ["w", "own", "p1", "p2", "p3", "o1", "o2", "o3"]
-        return F.transform(F.arrays_zip(*fields), lambda x, at: F.struct(
-            F.lit(i).alias("src"), at.alias("pos"), F.col(f"_caps{i}").alias("capdiff"), F.col(f"_but{i}").alias("but"),
-            *[x[f].alias(n) for f, n in zip(fields, plain, strict=True)]))
-
-    flat += [f"_z{i}" for i in each]
-    ex = pre.select(*flat, F.posexplode_outer(F.concat(*[zipped(i) for i in each])).alias("_pos", "_t"))
-    ex = ex.select(*flat, (F.coalesce("_pos", F.lit(0)) == 0).alias("_first"), "_t.*")
+        counts += [_count_char(col_of(c), "!").alias(f"b{i}"), _count_char(col_of(c), "?").alias(f"q{i}")]
+    pre = df.select(row_hash(df, carry + text_cols).alias("_key"), row_of(carry, counts).alias("_all"),
+                    *[_clean(col_of(c)).alias(f"_t{i}") for i, c in enumerate(text_cols)])
+    pre = pre.select("_key", "_all", *[F.split(f"_t{i}", r"\s+").alias(f"_w{i}") for i in each],
+                     *[F.split(F.lower(f"_t{i}"), r"\s+").alias(f"_l{i}") for i in each],
+                     *[(F.col(f"_t{i}") == "").alias(f"_e{i}") for i in each],
+                     *[(F.col(f"_t{i}").rlike(_CAPITAL) & F.col(f"_t{i}").rlike(_NO_CAPITAL)).alias(f"_caps{i}") for i in each])
+    pre = pre.select("_key", "_all", F.concat(*[F.col(f"_w{i}") for i in each]).alias("_own"), F.concat(*[F.col(f"_l{i}") for i in each]).alias("_low"),
+                     *[F.size(f"_l{i}").alias(f"_size{i}") for i in each], *[f"_caps{i}" for i in each],
+                     *[F.when(F.col(f"_e{i}"), 0).otherwise(F.size(f"_l{i}")).alias(f"_z{i}") for i in each],
+                     *[F.array_position(f"_l{i}", F.lit("but")).alias(f"_but{i}") for i in each])
+    begins, src = sources([f"_size{i}" for i in each])
+
+    def of_source(values):
+        out = values[0]
+        for i in each[1:]:
+            out = F.when(F.col("src") >= i, values[i]).otherwise(out)
+        return out
+
+    ex = pre.select("*", F.posexplode_outer("_low").alias("_pos", "w")).withColumn("src", src)
+    ex = ex.withColumns({"begin": of_source(begins), "end": of_source([b + F.col(f"_size{i}") for i, b in enumerate(begins)])})
+    at = lambda d: F.when((F.col("_pos") + d >= F.col("begin")) & (F.col("_pos") + d < F.col("end")), F.get("_low", F.col("_pos") + d))
+    longest = 0
+    if idioms is not None:
+        idioms = phrase_table(idioms, "valence", "idioms").withColumn("words", F.size(F.split("phrase", " ")))
+        longest = idioms.agg(F.max("words")).first()[0] or 0
+    around = {d: f"f{d}" for d in range(1, longest)} | {-d: f"p{d}" for d in range(1, max(4, longest))} | {1: "f1"}
+    ex = ex.select("_key", *on_first("_pos", "_all"), *[f"_z{i}" for i in each], "src", "w", F.get("_own", F.col("_pos")).alias("own"),
+                   (F.col("_pos") - F.col("begin") + 1).alias("pos"), of_source([F.col(f"_caps{i}") for i in each]).alias("capdiff"),
+                   of_source([F.col(f"_but{i}") for i in each]).alias("but"), *[at(d).alias(n) for d, n in around.items()],
+                   *[F.when(F.col("_pos") - d >= F.col("begin"), F.get("_own", F.col("_pos") - d)).alias(f"o{d}") for d in (1, 2, 3)])
     hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "left") \
         .filter(F.col("valence").isNotNull() | F.col("_first"))
     for d in (1, 2, 3):
@@ -152,6 +182,8 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
     v = F.when(capdiff & _is_upper(F.col("own")),
                F.when(v > 0, v + CAPS_INCREMENT).otherwise(v - CAPS_INCREMENT)).otherwise(v)
     hits = hits.withColumn("_v", v)
+    stress = {d: F.coalesce(F.col(f"p{d}").isin(*STRESS), F.lit(False)) for d in (1, 2)}
+    never = {d: F.coalesce(F.col(f"p{d}") == NEVER, F.lit(False)) for d in (2, 3)}
     for d in (1, 2, 3):
         cur = F.col("_v")
         applies = F.col(f"p{d}").isNotNull() & F.col(f"v{d}").isNull()
@@ -163,26 +195,50 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
         boosted = cur + s
         negated = F.coalesce(F.col(f"n{d}"), F.lit(False)) | F.col(f"p{d}").contains("n't")
         nxt = F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)
+        if d == 2:
+            nxt = F.when(never[2] & stress[1], boosted * STRESS_NEAR).otherwise(nxt)
+        if d == 3:
+            nxt = F.when(never[3] & stress[2] | stress[1], boosted * STRESS_FAR).otherwise(nxt)
         hits = hits.withColumn("_v", F.when(applies, nxt).otherwise(cur))
-    but_w = (F.when(F.col("but") > 0, F.when(F.col("pos") + 1 < F.col("but"), F.lit(BUT_BEFORE))
-                    .when(F.col("pos") + 1 > F.col("but"), F.lit(BUT_AFTER)).otherwise(F.lit(1.0)))
+    for n in range(longest, 1, -1):  # the longest first, then the one that begins first
+        some = idioms.filter(F.col("words") == n)
+        for first in range(1 - n, 1):
+            words = [F.col("w") if d == 0 else F.col(around[d]) for d in range(first, first + n)]
+            phrase = F.when(words[0].isNotNull() & words[-1].isNotNull(), F.concat_ws(" ", *words))
+            name = f"i{n}_{first + n - 1}"
+            found = some.select(F.col("phrase").alias(f"_{name}"), F.col("valence").alias(name))
+            hits = hits.withColumn("_phrase", phrase).join(found, F.col("_phrase") == F.col(f"_{name}"), "left").drop("_phrase", f"_{name}")
+    spans = [F.col(f"i{n}_{first + n - 1}") for n in range(longest, 1, -1) for first in range(1 - n, 1)]
+    if spans:
+        hits = hits.withColumn("_v", F.when(F.col("valence").isNotNull(), F.coalesce(*spans, "_v"))).drop(*[f"i{n}_{f + n - 1}" for n in range(longest, 1, -1) for f in range(1 - n, 1)])
+    if pairs is not None:
+        for a in (2, 3):
+            two = F.when(F.col(f"p{a}").isNotNull(), F.concat_ws(" ", f"p{a}", f"p{a - 1}"))
+            hits = hits.withColumn("_two", two).join(pairs.select(F.col("phrase").alias("_two"), F.col("scalar").alias(f"_pair{a}")), "_two", "left").drop("_two")
+        lowered = F.col("_pair2").isNotNull() | F.col("_pair3").isNotNull()
+        hits = hits.withColumn("_v", F.when(lowered, F.col("_v") + PAIR_SHIFT).otherwise(F.col("_v")))
+    after = F.coalesce(F.col("p2").isin(*LEAST_AFTER), F.lit(False))
+    least = F.coalesce((F.col("p1") == LEAST) & F.col("v1").isNull(), F.lit(False)) & ~after
+    hits = hits.withColumn("_v", F.when(least, F.col("_v") * NEGATION_SCALAR).otherwise(F.col("_v")))
+    but_w = (F.when(F.col("but") > 0, F.when(F.col("pos") < F.col("but"), F.lit(BUT_BEFORE))
+                    .when(F.col("pos") > F.col("but"), F.lit(BUT_AFTER)).otherwise(F.lit(1.0)))
              .otherwise(F.lit(1.0)))
-    hits = hits.withColumn("_v", F.when(F.col("self_scalar").isNotNull(), F.lit(0.0)).otherwise(F.col("_v") * but_w))
+    still = F.col("self_scalar").isNotNull() | F.coalesce((F.col("w") == "kind") & (F.col("f1") == "of"), F.lit(False))
+    hits = hits.withColumn("_v", F.when(still, F.lit(0.0)).otherwise(F.col("_v") * but_w))
     vv = F.col("_v").cast(SUM_TYPE)
-    aggs = [F.count_if("_first").alias("_n")]
+    aggs = [F.count_if("_first").alias("_n"), F.first("_row", ignorenulls=True).alias("_row")]
     for i in each:
         own = F.col("src") == F.lit(i)
         aggs += [F.sum(F.when(own, vv)).alias(f"_s{i}"),
                  F.sum(F.when(own & (vv > 0), vv + 1)).alias(f"_p{i}"),
                  F.sum(F.when(own & (vv < 0), vv - 1)).alias(f"_m{i}"),
-                 F.count_if(own & (vv != 0)).alias(f"_h{i}")]
-        aggs += [F.max(f"_{k}{i}").alias(f"_{k}{i}") for k in "bqz"]
-    agg = repeated_sums(hits.groupBy(*names).agg(*aggs))
-    out = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)]
+                 F.count_if(own & (vv != 0)).alias(f"_h{i}"), F.max(f"_z{i}").alias(f"_z{i}")]
+    agg = repeated_sums(hits.groupBy("_key").agg(*aggs))
+    out = [F.col(f"_row.c{i}").alias(c) for i, c in enumerate(carry)]
     for i, c in enumerate(text_cols):
         n_tok = F.col(f"_z{i}")
-        bang = F.least(F.col(f"_b{i}"), F.lit(EXCLAIM_MAX)) * F.lit(EXCLAIM_STEP)
-        q = F.col(f"_q{i}")
+        bang = F.least(F.col(f"_row.b{i}"), F.lit(EXCLAIM_MAX)) * F.lit(EXCLAIM_STEP)
+        q = F.col(f"_row.q{i}")
         qm = F.when(q <= 1, F.lit(0.0)).when(q <= 3, q * F.lit(QUESTION_STEP)).otherwise(F.lit(QUESTION_MANY))
         punct = bang + qm
         s = F.coalesce(F.col(f"_s{i}").cast("double"), F.lit(0.0))

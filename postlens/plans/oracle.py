@@ -8,7 +8,8 @@ columns (same names) as its Spark job. Jobs without a short SQL form
 from __future__ import annotations
 
 from ..constants import SENTIMENT_CLASSES
-from ..sources.testbed import TOPIC_A, TOPIC_B, TOY_BOOSTERS, TOY_LEXICON, TOY_NEGATIONS, TRACK_WORDS, TRACK_WORDS_CAPTURE
+from ..sources.testbed import (TOPIC_A, TOPIC_B, TOY_BOOSTERS, TOY_ENDINGS, TOY_IDIOMS, TOY_LEXICON, TOY_MARKS, TOY_NEGATIONS, TRACK_WORDS,
+                               TRACK_WORDS_CAPTURE)
 
 LEX = "lex(token, valence) AS (VALUES " + ", ".join(f"('{t}', {v!r})" for t, v in TOY_LEXICON) + ")"
 
@@ -42,8 +43,9 @@ def _strip(t: str) -> str:
     return f"regexp_replace({t}, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
 
 
-def _rules(src: str, key: str, text: str, p: str) -> str:
-    """Common table expressions ``<p>_...`` of the rule scorer; ``<p>_out(rid, compound, pos, neg)``."""
+def _rules(src: str, key: str, text: str, p: str, lex: str = "lex", idioms=()) -> str:
+    """Common table expressions ``<p>_...`` of the rule scorer; ``<p>_out(rid, compound, pos, neg)``.
+    ``idioms``: phrases of up to three words."""
     boo = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in TOY_BOOSTERS)
     neg = ", ".join(f"('{w}')" for w in TOY_NEGATIONS)
     steps, cur = [], f"{p}_v0"
@@ -52,9 +54,20 @@ def _rules(src: str, key: str, text: str, p: str) -> str:
         caps = f"s{d} IS NOT NULL AND capdiff AND u{d}"
         sc = f"((CASE WHEN {caps} THEN CASE WHEN v > 0 THEN {sc} + 0.733::DOUBLE ELSE {sc} - 0.733::DOUBLE END ELSE {sc} END) * {damp!r}::DOUBLE)"
         negated = f"(coalesce(g{d}, false) OR contains(p{d}, 'n''t'))"
+        stress = {1: "", 2: f"WHEN p2 = 'never' AND p1 IN ('so', 'this') THEN (v + {sc}) * 1.5::DOUBLE",
+                  3: f"WHEN (p3 = 'never' AND p2 IN ('so', 'this')) OR p1 IN ('so', 'this') THEN (v + {sc}) * 1.25::DOUBLE"}[d]
         steps.append(f"""{p}_v{d} AS (SELECT * REPLACE (CASE WHEN p{d} IS NOT NULL AND l{d} IS NULL
-  THEN CASE WHEN {negated} THEN (v + {sc}) * (-0.74)::DOUBLE ELSE v + {sc} END ELSE v END AS v) FROM {cur})""")
+  THEN CASE {stress} WHEN {negated} THEN (v + {sc}) * (-0.74)::DOUBLE ELSE v + {sc} END ELSE v END AS v) FROM {cur})""")
         cur = f"{p}_v{d}"
+    if idioms:
+        around = [["p2", "p1", "w"], ["p1", "w", "f1"], ["w", "f1", "f2"], ["p1", "w"], ["w", "f1"]]
+        cases = "".join(f" WHEN {' AND '.join(f'{a} IS NOT NULL' for a in x)} AND {chr(32).join([' || chr(32) || '.join(x)])} = {ph!r} THEN {val!r}::DOUBLE"
+                        for x in around for ph, val in idioms if len(ph.split()) == len(x))
+        steps.append(f"{p}_id AS (SELECT * REPLACE (CASE{cases} ELSE v END AS v) FROM {cur})")
+        cur = f"{p}_id"
+    steps.append(f"""{p}_le AS (SELECT * REPLACE (CASE WHEN p1 = 'least' AND l1 IS NULL AND coalesce(p2, '') NOT IN ('at', 'very')
+  THEN v * (-0.74)::DOUBLE ELSE v END AS v) FROM {cur})""")
+    cur = f"{p}_le"
     lags = ", ".join(f"lag(w, {d}) OVER o AS p{d}, lag(up, {d}) OVER o AS u{d}, lag(val, {d}) OVER o AS l{d}, "
                      f"lag(sc, {d}) OVER o AS s{d}, lag(ng, {d}) OVER o AS g{d}" for d in (1, 2, 3))
     return f"""{p}_in AS (SELECT {key} AS rid, coalesce({text}, '') AS t FROM {src}),
@@ -63,15 +76,15 @@ def _rules(src: str, key: str, text: str, p: str) -> str:
 {p}_tok AS (SELECT rid, unnest(ws) AS own, unnest(generate_series(1, len(ws))) AS i FROM {p}_raw),
 {p}_low AS (SELECT rid, i, lower(own) AS w, upper(own) = own AND lower(own) <> own AS up FROM {p}_tok),
 {p}_info AS (SELECT k.*, x.valence::DOUBLE AS val, b.scalar AS sc, n.token IS NOT NULL AS ng FROM {p}_low k
-   LEFT JOIN lex x ON x.token = k.w LEFT JOIN (VALUES {boo}) b(token, scalar) ON b.token = k.w
+   LEFT JOIN {lex} x ON x.token = k.w LEFT JOIN (VALUES {boo}) b(token, scalar) ON b.token = k.w
    LEFT JOIN (VALUES {neg}) n(token) ON n.token = k.w),
-{p}_ctx AS (SELECT rid, i, w, up, val, sc, {lags}, bool_or(up) OVER r AND NOT bool_and(up) OVER r AS capdiff,
+{p}_ctx AS (SELECT rid, i, w, up, val, sc, {lags}, lead(w, 1) OVER o AS f1, lead(w, 2) OVER o AS f2, bool_or(up) OVER r AND NOT bool_and(up) OVER r AS capdiff,
    min(CASE WHEN w = 'but' THEN i END) OVER r AS but FROM {p}_info
    WINDOW o AS (PARTITION BY rid ORDER BY i), r AS (PARTITION BY rid)),
 {p}_v0 AS (SELECT *, CASE WHEN capdiff AND up THEN CASE WHEN val > 0 THEN val + 0.733::DOUBLE ELSE val - 0.733::DOUBLE END ELSE val END AS v
    FROM {p}_ctx WHERE val IS NOT NULL),
 {", ".join(steps)},
-{p}_w AS (SELECT rid, (CASE WHEN sc IS NOT NULL THEN 0.0 WHEN but IS NULL OR i = but THEN v WHEN i < but THEN v * 0.5::DOUBLE
+{p}_w AS (SELECT rid, (CASE WHEN sc IS NOT NULL OR (w = 'kind' AND f1 = 'of') THEN 0.0 WHEN but IS NULL OR i = but THEN v WHEN i < but THEN v * 0.5::DOUBLE
    ELSE v * 1.5::DOUBLE END)::DECIMAL(20,10) AS v FROM {cur}),
 {p}_sum AS (SELECT rid, sum(v)::DOUBLE AS s, coalesce(sum(CASE WHEN v > 0 THEN v + 1 END), 0)::DOUBLE AS ps,
    coalesce(sum(CASE WHEN v < 0 THEN v - 1 END), 0)::DOUBLE AS ns, count(*) FILTER (v <> 0) AS h FROM {p}_w GROUP BY rid),
@@ -215,6 +228,19 @@ s AS {_scores('t', 'text', 'rid')}, {_rules('t', 'rid', 'text', 'a')}
 SELECT t.conv_id, {_compound('s.s')} AS turn_text_sentiment_compound, a.compound AS turn_text_sentiment_rules
 FROM t LEFT JOIN s ON s.sid = t.rid JOIN a_out a ON a.rid = t.rid"""
 
+    marked = ", ".join(f"('{t}', {v!r})" for t, v in [*TOY_LEXICON, *TOY_MARKS, ("kind", 1.5)])
+    endings = " ".join(f"WHEN '{lang}' THEN '{e}'" for lang, e in TOY_ENDINGS.items())
+    ended = f"""WITH lex(token, valence) AS (VALUES {marked}),
+docs AS (SELECT doc_id AS id, text || CASE lang {endings} ELSE '' END AS text FROM documents)"""
+    q["sentiment_idioms"] = f"""{ended}, {_rules('docs', 'id', 'text', 'a', idioms=TOY_IDIOMS)}
+SELECT d.id, a.compound AS text_sentiment_compound, a.pos, a.neg FROM docs d JOIN a_out a ON a.rid = d.id"""
+    q["sentiment_marks"] = f"""{ended},
+toks AS (SELECT id, unnest(string_split_regex(lower(coalesce(text, '')), '[^a-z]+')) AS token FROM docs UNION ALL
+  SELECT id, token FROM (SELECT id, unnest(string_split_regex(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+')) AS token FROM docs)
+  WHERE NOT regexp_full_match(token, '[a-z]*')),
+s AS (SELECT id, sum(valence::DECIMAL(18,6))::DOUBLE AS s FROM toks JOIN lex USING (token) GROUP BY id)
+SELECT id, {_compound('s')} AS text_sentiment_compound FROM docs LEFT JOIN s USING (id)"""
+
     q["classes_labels"] = f"""{LABELLED} SELECT id, cls AS full_text_sentiment_compound_class, label FROM lab"""
     q["topic_subsets"] = f"""{LABELLED} SELECT id, 'a_only' AS subset FROM lab WHERE ta AND NOT tb
 UNION ALL SELECT id, 'b_only' AS subset FROM lab WHERE NOT ta AND tb"""

@@ -127,6 +127,21 @@ def q_sentiment_turns(spark, sf):
     return both
 
 
+def q_sentiment_idioms(spark, sf):
+    """Rule scores with an idiom table and emoticons in the lexicon."""
+    from ..operators.sentiment_rules import sentiment_rules
+    d = tb.ended_documents(spark, sf)
+    s = sentiment_rules(d, tb.marked_lexicon(spark), tb.boosters(spark), tb.negations(spark), ["text"], keep_struct=True, sep="_",
+                        carry=["id"], idioms=tb.idioms(spark))
+    return s.select("id", "text_sentiment_compound", F.col("text_sentiment.pos").alias("pos"), F.col("text_sentiment.neg").alias("neg"))
+
+
+def q_sentiment_marks(spark, sf):
+    """Level 0 with emoticons."""
+    from ..operators.sentiment import sentiment_carry
+    return sentiment_carry(tb.ended_documents(spark, sf), tb.marked_lexicon(spark), ["text"], carry=["id"], sep="_", marks=True)
+
+
 def q_map_feed_geojson(spark, sf):
     """Feature strings over states of which some have no posts, with a WKT geometry column."""
     from ..sinks.feeds import map_feed
@@ -365,6 +380,8 @@ QUERIES = {
     "topic_flags": q_topic_flags,
     "sentiment_scores": q_sentiment_scores,
     "sentiment_turns": q_sentiment_turns,
+    "sentiment_idioms": q_sentiment_idioms,
+    "sentiment_marks": q_sentiment_marks,
     "sentiment_struct": q_sentiment_struct,
     "sentiment_rules_posts": q_sentiment_rules_posts,
     "drop_zero": q_drop_zero,

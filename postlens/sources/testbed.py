@@ -25,6 +25,11 @@ TOY_LEXICON = [
 # rule-based scorer (words that occur in the invented prose).
 TOY_BOOSTERS = [("very", 0.293), ("on", 0.293), ("in", -0.293), ("sehr", 0.293)]
 TOY_NEGATIONS = ["not", "no", "nicht", "pas"]
+# FIXED VALUES: stand-in idioms (phrases of the invented prose) and emoticons.
+TOY_IDIOMS = [("of the", 1.6), ("and of the", -2.2), ("is that", 0.7), ("that was", -0.4), ("with and for", 1.1), ("was never so", 2.4)]
+TOY_MARKS = [(":)", 1.8), (":-(", -1.9), ("<3", 2.2)]
+# FIXED VALUES: what is said at the end of a document of a language in the idiom queries.
+TOY_ENDINGS = {"en": " It was never so and this :)", "de": " of the least that, at least with :-(", "es": " kind of is <3 never good this for"}
 # FIXED VALUES: stand-in topic patterns (A plays the first candidate, B the second).
 TOPIC_A = "(with|from)"
 TOPIC_B = "(this|that)"
@@ -73,6 +78,20 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return local_frame(spark, TOY_LEXICON, "token string, valence double")
 
 
+def marked_lexicon(spark: SparkSession) -> DataFrame:
+    return local_frame(spark, TOY_LEXICON + TOY_MARKS + [("kind", 1.5)], "token string, valence double")
+
+
+def idioms(spark: SparkSession) -> DataFrame:
+    return local_frame(spark, TOY_IDIOMS, "phrase string, valence double")
+
+
+def ended_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text): every document with its language's ending."""
+    ending = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(e)) for lang, e in TOY_ENDINGS.items()], F.lit(""))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat("text", ending).alias("text"))
+
+
 def boosters(spark: SparkSession) -> DataFrame:
     return local_frame(spark, TOY_BOOSTERS, "token string, scalar double")
 

@@ -72,3 +72,34 @@ def test_repeated_rows_in_steps(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10)], "x string, n long")
     got = sorted(r["x"] for r in S.repeated(df, "n").collect())
     assert got == ["a"] + ["b"] * 3 + ["c"] * 10
+
+
+def test_only_a_hash_is_grouped_by(spark):
+    """No text, and no carried column, is a grouping key or goes with every token."""
+    from postlens.operators.sentiment_rules import sentiment_rules
+    lex = lexicon_frame(spark, [("good", 1.9)])
+    df = spark.createDataFrame([(1, "good", "x")], "id long, t string, other string")
+    for f in (sentiment, sentiment_rules):
+        plan = f(df, lex, text_cols=["t"])._jdf.queryExecution().optimizedPlan().toString()
+        keys = [line.split("Aggregate [", 1)[1].split("]", 1)[0] for line in plan.splitlines() if "Aggregate [_key" in line]
+        assert keys and all(k.split("#")[0] == "_key" and "," not in k for k in keys)
+        assert "lambda" not in plan
+
+
+def test_rows_of_any_types_are_told_apart(spark):
+    lex = lexicon_frame(spark, [("good", 1.9), ("bad", -2.5)])
+    df = spark.sql("""SELECT * FROM VALUES (map('a', 1), parse_json('{"k": 1}'), array(1.5d), 'good', named_struct('x', null)),
+      (map('a', 2), parse_json('{"k": 1}'), array(1.5d), 'good', named_struct('x', null)), (null, null, null, 'bad', null),
+      (map('a', 1), parse_json('{"k": 2}'), array(1.5d), 'good', named_struct('x', 'y')) AS t(m, v, a, t, _row)""")
+    got = sentiment(df, lex, ["t"])
+    assert sorted((str(r["m"]), str(r["v"]), r["t-sentiment-compound"]) for r in got.collect()) == sorted(
+        (str(r["m"]), str(r["v"]), {"good": 0.4404, "bad": -0.5423}[r["t"]]) for r in df.collect())
+
+
+def test_marks(spark):
+    lex = lexicon_frame(spark, [("good", 1.9), (":)", 2.0), ("<3", 1.0), ("x1", 5.0)])
+    df = spark.createDataFrame([(1, "good :) <3 a:)"), (2, "x1 good"), (3, None), (4, ":)")], "id long, t string")
+    norm = lambda s: round(s / math.sqrt(s * s + 15), 4)
+    out = {r["id"]: r["t-sentiment"] for r in sentiment(df, lex, ["t"], keep_struct=True, marks=True).collect()}
+    assert [out[i]["compound"] for i in (1, 2, 3, 4)] == [norm(4.9), norm(6.9), 0.0, norm(2.0)]
+    assert {r["id"]: r["t-sentiment-compound"] for r in sentiment(df, lex, ["t"]).collect()} == {1: norm(1.9), 2: norm(1.9), 3: 0.0, 4: 0.0}

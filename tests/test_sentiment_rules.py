@@ -12,7 +12,16 @@ BOOST = {"very": 0.293, "extremely": 0.293, "slightly": -0.293, "kind": -0.293}
 NEG = {"not", "never", "no"}
 
 
-def brute(text):
+def phrase_valence(lw, i, idioms):
+    """The longest phrase around word i, then the one that begins first."""
+    for n in range(max(map(len, map(str.split, idioms)), default=0), 1, -1):
+        for first in range(i - n + 1, i + 1):
+            if first >= 0 and first + n <= len(lw) and " ".join(lw[first : first + n]) in idioms:
+                return idioms[" ".join(lw[first : first + n])]
+    return None
+
+
+def brute(text, lex=LEX, boost=BOOST, idioms=None, pairs=()):
     words = []
     for t in (text or "").split():
         s = t.strip(string.punctuation)
@@ -23,23 +32,34 @@ def brute(text):
     capdiff = any(up) and not all(up)
     sent = []
     for i, w in enumerate(lw):
-        if w in BOOST or w not in LEX:
+        if w in boost or w not in lex or (w == "kind" and lw[i + 1 : i + 2] == ["of"]):
             sent.append(0.0)
             continue
-        v = LEX[w]
+        v = lex[w]
         if up[i] and capdiff:
             v = v + 0.733 if v > 0 else v - 0.733
         for d in (1, 2, 3):
-            if i >= d and lw[i - d] not in LEX:
-                s = BOOST.get(lw[i - d], 0.0)
+            if i >= d and lw[i - d] not in lex:
+                s = boost.get(lw[i - d], 0.0)
                 if s:
                     s = -s if v < 0 else s
                     if up[i - d] and capdiff:
                         s = s + 0.733 if v > 0 else s - 0.733
                 s *= {1: 1.0, 2: 0.95, 3: 0.9}[d]
                 v += s
-                if lw[i - d] in NEG or "n't" in lw[i - d]:
+                near, far = lw[i - 1] in ("so", "this"), i >= 2 and lw[i - 2] in ("so", "this")
+                if d == 2 and lw[i - 2] == "never" and near:
+                    v *= 1.5
+                elif d == 3 and (lw[i - 3] == "never" and far or near):
+                    v *= 1.25
+                elif lw[i - d] in NEG or "n't" in lw[i - d]:
                     v *= -0.74
+        told = phrase_valence(lw, i, idioms or {})
+        v = v if told is None else told
+        if any(i >= a and f"{lw[i - a]} {lw[i - a + 1]}" in pairs for a in (2, 3)):
+            v -= 0.293
+        if i and lw[i - 1] == "least" and "least" not in lex and not (i > 1 and lw[i - 2] in ("at", "very")):
+            v *= -0.74
         sent.append(v)
     if "but" in lw:
         b = lw.index("but")
@@ -85,3 +105,56 @@ def test_rule_goldens(spark):
     assert out[3]["t-sentiment-compound"] == norm(1.9 * 0.5 - 2.5 * 1.5)
     st = out[2]["t-sentiment"]
     assert st["neu"] == 0.238 and st["pos"] == 0.762 and st["neg"] == 0.0  # pos 3.193, neu 1 (booster)
+
+
+def tables(spark, lex=LEX, boost=BOOST):
+    return (lexicon_frame(spark, lex.items()), local_frame(spark, boost.items(), "token string, scalar double"),
+            local_frame(spark, [(w,) for w in NEG], "token string"))
+
+
+SPECIAL = ["never so good", "never this bad a day", "it was never so very good", "so very so good", "least good", "at least good", "very least good",
+           "the least bad", "kind of good", "kind of a good day", "kind of", "kind", "the bomb", "that was not the bomb", "yeah right, good",
+           "a bad ass day", "bad ass", "kiss of death for good", "good kiss of death", "the bad ass bomb", "good :) :-(", "not :)", ":)", "(:-D)", "VERY :-D good"]
+IDIOMS = {"the bomb": 3.0, "bad ass": 1.5, "the bad ass": -3.1, "yeah right": -2.0, "kiss of death for": -1.5, "good kiss": 0.9}
+
+
+def test_idioms_emoticons_and_special_cases(spark):
+    lex = LEX | {"bomb": -2.9, "death": -2.9, "right": 0.5, "kiss": 1.8, ":)": 2.0, ":-(": -1.9, ":-d": 2.3, "kind": 2.4}
+    boost = {k: v for k, v in BOOST.items() if k != "kind"}
+    words, boosters, neg = tables(spark, lex, boost | {"kind  of": -0.293, "Sort of": -0.293})
+    idioms = local_frame(spark, [(k.replace(" ", "  ").title(), v) for k, v in IDIOMS.items()], "phrase string, valence double")
+    texts = SPECIAL + ["sort of good", "sort of a good one", *TEXTS]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    out = {r["id"]: r["t-sentiment-compound"] for r in sentiment_rules(df, words, boosters, neg, ["t"], idioms=idioms).collect()}
+    for i, t in enumerate(texts):
+        assert out[i] == brute(t, lex, boost, IDIOMS, {"kind of", "sort of"}), (t, out[i], brute(t, lex, boost, IDIOMS, {"kind of", "sort of"}))
+
+
+def test_idioms_change_scores(spark):
+    words, boosters, neg = tables(spark, LEX | {"bomb": -2.9})
+    df = spark.createDataFrame([(1, "it is the bomb")], "id long, t string")
+    idioms = local_frame(spark, [("the bomb", 3.0)], "phrase string, valence double")
+    plain, told = (sentiment_rules(df, words, boosters, neg, ["t"], idioms=x).first()["t-sentiment-compound"] for x in (None, idioms))
+    assert plain < 0 < told
+
+
+def test_random_texts_match_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    pieces = [*LEX, *BOOST, *NEG, "so", "this", "never", "least", "at", "but", "the", "x", "don't", "(good)", "...bad", "GOOD", "Very", "e.g.", "--", "it's!", "no,", "hate?", "\t", "\n\n", "é", "ÉTÉ", "a-b"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", "  ", "! ", ", "]) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t, t[::-1]) for i, t in enumerate(texts)], "id long, t string, c0 string")
+    out = {r["id"]: r for r in sentiment_rules(df, *tables(spark), ["t", "c0"]).collect()}
+    for i, t in enumerate(texts):
+        assert out[i]["t-sentiment-compound"] == brute(t), t
+        assert out[i]["c0-sentiment-compound"] == brute(t[::-1]) and out[i]["c0"] == t[::-1]
+
+
+def test_repeated_idioms_rejected(spark):
+    import pytest
+
+    from postlens.errors import LexiconError
+    df = spark.createDataFrame([(1, "good")], "id long, t string")
+    again = local_frame(spark, [("the  bomb", 3.0), ("The bomb", 1.0)], "phrase string, valence double")
+    with pytest.raises(LexiconError):
+        sentiment_rules(df, *tables(spark), ["t"], idioms=again)
