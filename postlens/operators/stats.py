@@ -71,10 +71,13 @@ def majority_label(df: DataFrame, label: str = "label", state_col: str = "state"
     the pandas original. One aggregate to (state, label) counts, then
     ``min_by(label, (-count, label))`` per state: no window sort.
     """
-    out = out or f"cluster_max_{label}"
-    counts = group_label_counts(df, (state_col, label), count_col, "_n")
-    return counts.groupBy(col_of(state_col)).agg(
-        F.min_by(col_of(label), F.struct((-F.col("_n")).alias("a"), col_of(label).alias("b"))).alias(out))
+    return majority_of_counts(group_label_counts(df, (state_col, label), count_col, "_n"), label, state_col, "_n", out)
+
+
+def majority_of_counts(counts: DataFrame, label: str = "label", state_col: str = "state", n: str = "n", out: str | None = None) -> DataFrame:
+    """The majority label from (state, label, count) rows, such as the totals of a running stream."""
+    best = F.min_by(col_of(label), F.struct((-col_of(n)).alias("a"), col_of(label).alias("b")))
+    return counts.groupBy(col_of(state_col)).agg(best.alias(out or f"cluster_max_{label}"))
 
 
 def join_states(states: DataFrame, table: DataFrame, states_key: str = "name",

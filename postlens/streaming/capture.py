@@ -3,8 +3,7 @@
 Runs the same on a batch DataFrame of raw lines and on a stream from
 ``spark.readStream.text(...)``::
 
-    readStream -> route -> status only -> keyword filter -> writeStream.text
-                                          (maxRecordsPerFile, checkpoint)
+    readStream -> route -> status only -> keyword filter -> rolling text files
 
 Routing looks at the raw text, first marker wins: ``in_reply_to_status``
 (a status), ``delete``, ``limit``, ``warning``; anything else is ignored.
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import check_words, col_of, keyword_pattern
+from .rolling import RollingSink
 
 KINDS = ("status", "delete", "limit", "warning", "ignored")
 
@@ -104,7 +104,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 
 def capture_paths(out_dir: str, prefix: str = "streamer", run: str = "*") -> list[str]:
     """Path list of captured files for ``read_posts(path_list=...)``: all runs, or one."""
-    return [f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}/*.txt"]
+    return [f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}/file=*/*.txt"]
 
 
 def start_capture(spark: SparkSession, source_dir: str, out_dir: str, words, checkpoint: str,
@@ -115,37 +115,32 @@ def start_capture(spark: SparkSession, source_dir: str, out_dir: str, words, che
 
     * raw lines from ``source_dir`` (text source; any source giving ``value``
       works the same) -> status messages holding a tracked word -> text files
-      under ``out_dir/prefix=<prefix>/run=<run>/``, at most ``max_records`` per
-      file (0 or less: no cap per file). ``run`` is a stamp, by default kept in
-      the checkpoint's name, so a resumed query goes on in its own folder.
-    * ``every``: trigger interval (such as ``"1 minute"``); longer ones make
-      fewer and larger files.
-    * ``nb`` > 0 keeps exactly ``nb`` statuses over all restarts: this adds a
-      global limit, which funnels through one task, so only use it when asked.
-      The call then waits and stops the query once they are written.
+      ``out_dir/prefix=<prefix>/run=<run>/file=<prefix>_<time>_<number>/``, closed
+      at ``max_records`` lines, over as many batches as it takes (0 or less: one
+      file a task and batch). ``run`` is by default the checkpoint's name, so a
+      resumed query goes on in its own folder, in the file left open.
+    * ``every``: trigger interval (such as ``"1 minute"``).
+    * ``nb`` > 0 keeps exactly ``nb`` statuses over all restarts, by the running
+      number of each line (see ``rolling``). The call then waits and stops the
+      query once they are written.
     * ``timeout_hours``: the caller waits that long, then the query stops.
     * progress lives in ``checkpoint``, so a restarted query resumes where it
-      stopped (the count cap included).
+      stopped (counts included).
     Returns the ``StreamingQuery``.
     """
     stream = spark.readStream.format("text").load(source_dir)
     kept = capture_frame(stream, words, "value").select("value")
-    capped = nb is not None and nb > 0
-    if capped:
-        kept = kept.limit(int(nb))
     run = run or checkpoint.rstrip("/").rpartition("/")[2]
-    folder = f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}"
-    w = kept.writeStream.format("text").outputMode("append").option("checkpointLocation", checkpoint).option("path", folder)
-    if max_records and max_records > 0:
-        w = w.option("maxRecordsPerFile", int(max_records))
+    sink = RollingSink(spark, f"{out_dir.rstrip('/')}/prefix={prefix}/run={run}", f"{checkpoint.rstrip('/')}/rolling", prefix, max_records, nb)
+    w = kept.writeStream.foreachBatch(sink.step).outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif every:
         w = w.trigger(processingTime=every)
     q = w.start()
     deadline = None if timeout_hours is None else _time.time() + timeout_hours * 3600
-    while q.isActive and (capped or deadline is not None) and not available_now:
-        if deadline is not None and _time.time() >= deadline or capped and _written(spark, folder) >= nb:
+    while q.isActive and (sink.nb is not None or deadline is not None) and not available_now:
+        if deadline is not None and _time.time() >= deadline or sink.full():
             q.stop()
             break
         wait = 1.0 if deadline is None else min(1.0, max(0.1, deadline - _time.time()))
@@ -153,16 +148,6 @@ def start_capture(spark: SparkSession, source_dir: str, out_dir: str, words, che
     return q
 
 
-def _written(spark: SparkSession, folder: str) -> int:
-    """Lines that the sink has committed in ``folder`` so far."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.text(folder).count()
-    except AnalysisException:  # nothing written yet
-        return 0
-
-
 def notice_stream(spark: SparkSession, source_dir: str):
     """Streaming delete/limit/warning notices (for a side table or console)."""
     routed = route_messages(spark.readStream.format("text").load(source_dir), "value", "kind")

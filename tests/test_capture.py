@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 from postlens.streaming import capture as CAP
 
@@ -37,6 +38,16 @@ def test_capture_frame_keywords(spark):
     assert CAP.capture_frame(df, []).count() == 0
 
 
+def _files(folder):
+    """(name, lines) of the capture files; a file is one part."""
+    out = []
+    for name in sorted(os.listdir(folder)):
+        parts = [p for p in os.listdir(os.path.join(folder, name)) if p.startswith("part-")] if name.startswith("file=") else []
+        assert len(parts) <= 1
+        out += [(name[5:], sum(1 for _ in open(os.path.join(folder, name, p)))) for p in parts]
+    return out
+
+
 def test_streaming_capture_matches_batch_and_rolls_files(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
@@ -51,8 +62,7 @@ def test_streaming_capture_matches_batch_and_rolls_files(spark, tmp_dir):
     got = spark.read.text(os.path.join(out, "prefix=cap", "run=ck")).collect()
     batch = CAP.capture_frame(frame(spark, msgs), ["vote"]).collect()
     assert sorted(r["value"] for r in got) == sorted(r["value"] for r in batch)
-    files = [f for f in os.listdir(os.path.join(out, "prefix=cap", "run=ck")) if f.startswith("part-")]
-    assert len(files) >= 3  # 25 records, at most 10 per file
+    assert sorted(lines for _, lines in _files(os.path.join(out, "prefix=cap", "run=ck"))) == [5, 10, 10]
 
 
 def _write(path, ids, word="vote"):
@@ -111,6 +121,98 @@ def test_cap_stops_the_query_also_over_a_restart(spark, tmp_dir):
     assert not q.isActive and spark.read.text(os.path.join(out, "prefix=p")).count() == 6
 
 
+def test_files_roll_across_batches_and_restarts(spark, tmp_dir):
+    """Five batches of 10 lines with 20 a file give three files, named by time."""
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("in", "out", "ck"))
+    os.makedirs(src)
+    for k in range(5):
+        _write(os.path.join(src, f"{k}.json"), range(10 * k, 10 * k + 10))
+        CAP.start_capture(spark, src, out, ["vote"], ck, prefix="cap", max_records=20, available_now=True).awaitTermination(120)
+        n = 10 * (k + 1)
+        assert [lines for _, lines in _files(f"{out}/prefix=cap/run=ck")] == [20] * (n // 20) + [n % 20] * (n % 20 > 0)
+    names = [name for name, _ in _files(f"{out}/prefix=cap/run=ck")]
+    assert all(re.fullmatch(r"cap_\d{8}-\d{6}_00000\d", x) for x in names) and len(names) == 3
+    got = [json.loads(r["value"])["id"] for r in spark.read.text(CAP.capture_paths(out, "cap")).collect()]
+    assert sorted(got) == list(range(50))
+
+
+def test_a_batch_tried_again_writes_the_same(spark, tmp_dir):
+    from postlens.streaming.rolling import RollingSink
+    lines = lambda a, b: spark.createDataFrame([(f"line {i}",) for i in range(a, b)], "value string").repartition(3)
+    sink = RollingSink(spark, f"{tmp_dir}/out", f"{tmp_dir}/state", "p", max_records=4, nb=17)
+    for number, (a, b) in enumerate([(0, 3), (3, 3), (3, 9), (9, 15), (15, 30), (30, 40)]):
+        for _ in range(2):
+            sink.step(lines(a, b), number)
+            before = _files(f"{tmp_dir}/out")
+        RollingSink(spark, f"{tmp_dir}/out", f"{tmp_dir}/state", "p", 4, 17).step(lines(a, b), number)  # after a restart
+        assert _files(f"{tmp_dir}/out") == before
+        assert sink.written() == min(b, 17) == sum(n for _, n in before)
+    assert [n for _, n in before] == [4, 4, 4, 4, 1] and sink.full()
+    got = [r["value"] for r in spark.read.text(f"{tmp_dir}/out").collect()]
+    assert len(set(got)) == 17 and {f"line {i}" for i in range(15)} < set(got)
+
+
+def test_no_record_cap_and_no_limit_in_the_plan(spark, tmp_dir):
+    from postlens.streaming.rolling import RollingSink, numbered
+    sink = RollingSink(spark, f"{tmp_dir}/out", f"{tmp_dir}/state", "p", max_records=0)
+    sink.step(spark.range(10).selectExpr("cast(id AS string) AS value"), 0)
+    sink.step(spark.range(10, 15).selectExpr("cast(id AS string) AS value"), 1)
+    assert sorted(int(r["value"]) for r in spark.read.text(f"{tmp_dir}/out").collect()) == list(range(15))
+    rows, n = numbered(spark.range(1000).repartition(7).selectExpr("cast(id AS string) AS value"))
+    assert n == 1000 and sorted(r["_seq"] for r in rows.collect()) == list(range(1000))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "SinglePartition" not in plan and "Window" not in plan
+    rows.unpersist()
+
+
+def _posts(path, rows):
+    with open(path, "w") as fh:
+        fh.write("".join(json.dumps(dict(zip(("state", "label", "user", "score"), r, strict=True))) + "\n" for r in rows))
+
+
+def test_totals_after_a_restart_equal_the_batch(spark, tmp_dir):
+    import random
+
+    from postlens.operators import stats as S
+    from postlens.streaming import totals as T
+    rng = random.Random(3)
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    schema = "state string, label string, user long, score double"
+    states = spark.createDataFrame([("A",), ("B",), ("Z",)], "name string")
+    plans = {"labels": (T.label_totals(("state", "label"), "user"), ["state", "label"], "update"),
+             "scores": (T.sentiment_totals("score"), ["state"], "complete"),
+             "values": (T.value_totals("label"), ["label"], "update")}
+    assert T.read_totals(spark, tmp_dir, "state", "labels") is None
+    for k in range(3):
+        rows = [(rng.choice(["A", "A", "B", None]), rng.choice(["x", "y", None]), rng.choice([1, 2, None]), rng.choice([0.5, -1.0, None])) for _ in range(40)]
+        _posts(os.path.join(src, f"{k}.json"), rows)
+        batch = spark.read.schema(schema).json(src)
+        for name, (aggregate, keys, mode) in plans.items():
+            stream = spark.readStream.schema(schema).json(src)
+            T.start_totals(stream, aggregate, tmp_dir, os.path.join(tmp_dir, "ck", name), name, mode, available_now=True).awaitTermination(120)
+            got = T.read_totals(spark, tmp_dir, keys, name, mode)
+            want = aggregate(batch)
+            assert got.columns == want.columns
+            rounded = lambda rows: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows), key=str)
+            assert rounded(got.collect()) == rounded(want.collect())
+    labels = T.read_totals(spark, tmp_dir, ["state", "label"], "labels")
+    got = S.join_states(states, S.majority_of_counts(labels), "name", "state").collect()
+    assert sorted(got) == sorted(S.add_majority(states, batch, "label", "state", "name", "user").collect())
+
+
+def test_message_totals_on_a_stream(spark, tmp_dir):
+    from postlens.streaming import totals as T
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for k, lines in enumerate([[STATUS, DELETE, LIMIT], [LIMIT2, WARN, '{"x":1}', STATUS2]]):
+        with open(os.path.join(src, f"{k}.json"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        T.start_totals(spark.readStream.text(src), T.message_totals, tmp_dir, os.path.join(tmp_dir, "ck"), available_now=True).awaitTermination(120)
+    got = {r["kind"]: (r["n"], r["missed"]) for r in T.read_totals(spark, tmp_dir, "kind").collect()}
+    assert got == {"status": (2, None), "delete": (1, None), "limit": (2, 9), "warning": (1, None), "ignored": (1, None)}
+
+
 def test_time_cap(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
