@@ -21,14 +21,16 @@ def state_pattern(alternatives, escape: bool = True, word_boundary: bool = False
     return f"({body})"
 
 
-def state_match_array(loc, states) -> Column:
+def state_match_array(loc, states, places: bool = False) -> Column:
     """All states whose pattern occurs in ``loc``, in list order.
 
     ``states`` is a list of ``(name, pattern)``. A null or empty location gives
     null (no match array at all). Patterns are literals, compiled once per task.
+    ``places``: structs (name, place in the list) instead of names.
     """
     loc = col_of(loc)
-    arr = F.array(*[F.when(loc.rlike(p), F.lit(n)) for n, p in states])
+    told = [F.struct(F.lit(n).alias("name"), F.lit(i).alias("place")) if places else F.lit(n) for i, (n, _) in enumerate(states)]
+    arr = F.array(*[F.when(loc.rlike(p), t) for t, (_, p) in zip(told, states, strict=True)])
     matches = F.filter(arr, lambda x: x.isNotNull())
     return F.when(loc.isNotNull() & (loc != F.lit("")), matches)
 

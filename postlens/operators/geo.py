@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.geo import address_state, pick_one, state_match_array, state_pattern
+from ..functions.phonetic import metaphone
 from ..functions.text import col_of
 from ..sources.files import local_frame
 from .projection import require_columns
@@ -25,8 +26,8 @@ from .sentiment import repeated
 
 
 def us_states_frame(spark) -> DataFrame:
-    """Default state table: name, abbr, optional phonetic code, list order."""
-    rows = [(i, n, a, None) for i, (n, a) in enumerate(K.US_STATES)]
+    """Default state table: name, abbr, phonetic code, list order."""
+    rows = [(i, n, a, metaphone(n)) for i, (n, a) in enumerate(K.US_STATES)]
     return local_frame(spark, rows, "ord int, name string, abbr string, code string")
 
 
@@ -71,10 +72,9 @@ def state_matches_join(df: DataFrame, states: DataFrame, location_col: str = "us
     ``_ord`` is the state's place in the list."""
     require_columns(df, [location_col])
     pats = state_patterns(states, **pattern_opts)
-    place = F.create_map(*[x for i, (n, _) in enumerate(pats) for x in (F.lit(n), F.lit(i))])
     explode = {"inner": F.explode, "left": F.explode_outer}[how]
-    rows = df.withColumn(state_col, explode(state_match_array(location_col, pats)))
-    return rows.withColumn("_ord", F.element_at(place, F.col(state_col)))
+    rows = df.select("*", explode(state_match_array(location_col, pats, places=True)).alias("_match"))
+    return rows.withColumns({state_col: F.col("_match.name"), "_ord": F.col("_match.place")}).drop("_match")
 
 
 def _word_ngrams(loc, max_n: int):

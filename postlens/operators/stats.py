@@ -4,16 +4,20 @@ Every aggregate here is a single ``groupBy().agg()`` with map-side partial
 aggregation, so a hot group (one state holding a third of all posts) is
 pre-combined in each task before the shuffle and never collected whole.
 Exact quartiles use Spark's ``percentile``, whose buffer holds one entry per
-*distinct* value; use it on bounded-domain columns (rounded scores), and
-``approx=True`` for unbounded ones.
+*distinct* value, on bounded-domain columns (rounded scores). For unbounded
+ones ``ranked=True`` gives the same numbers by ranks (``exact_quantiles``), and
+``approx=True`` a sketch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
+from ..session import materialize
 from .projection import require_columns
 
 ALL_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -39,17 +43,63 @@ def _stat(name: str, c, approx: bool, accuracy: int):
 
 
 def describe_by(df: DataFrame, by, value: str, stats=ALL_STATS, approx: bool = False,
-                accuracy: int = 10000, prefix: str = "") -> DataFrame:
+                accuracy: int = 10000, prefix: str = "", ranked: bool = False) -> DataFrame:
     """Grouped count/mean/std/min/quartiles/max of ``value`` (nulls ignored,
-    rows with a null key dropped, as a pandas group-by does)."""
+    rows with a null key dropped, as a pandas group-by does). ``ranked``: the
+    quartiles by ranks, so that no task holds a group's distinct values."""
     by = [by] if isinstance(by, str) else list(by)
     require_columns(df, by + [value])
     c = col_of(value).cast("double")
     keyed = df
     for b in by:
         keyed = keyed.filter(col_of(b).isNotNull())
-    aggs = [_stat(s, c, approx, accuracy).alias(prefix + s) for s in stats]
-    return keyed.groupBy(*[col_of(b) for b in by]).agg(*aggs)
+    ranks = [s for s in stats if ranked and s.startswith("p")]
+    aggs = [_stat(s, c, approx, accuracy).alias(prefix + s) for s in stats if s not in ranks]
+    keys = [col_of(b) for b in by]
+    out = keyed.groupBy(*keys).agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    if ranks:
+        spread = exact_quantiles(keyed, by, value, {prefix + s: int(s[1:]) / 100.0 for s in ranks})
+        names = [f"_k{i}" for i in range(len(by))]
+        spread = spread.toDF(*names, *spread.columns[len(by):])
+        same = reduce(lambda a, b: a & b, [col_of(b) == F.col(n) for b, n in zip(by, names, strict=True)])
+        out = out.join(spread, same, "left")
+    return out.select(*keys, *[prefix + s for s in stats])
+
+
+def exact_quantiles(df: DataFrame, by, value: str, probs: dict[str, float]) -> DataFrame:
+    """``by`` and a column for each of ``probs`` (name: probability): linearly interpolated quantiles of
+    the non-null values, equal to ``percentile``, for groups of any number of distinct values.
+
+    Counts per (group, value) are sorted over range partitions; sums per (partition, group) give each
+    partition's first rank; a running sum inside a (partition, group) gives each value's ranks, and the
+    two values at a quantile's ranks are picked by a partial aggregate. So a task holds a part of a
+    group only, and a group whose rows are all in one state is spread over all tasks."""
+    by = [by] if isinstance(by, str) else list(by)
+    keys = [f"_g{i}" for i in range(len(by))]
+    rows = df.select(*[col_of(b).alias(k) for b, k in zip(by, keys, strict=True)], col_of(value).cast("double").alias("_x")).filter("_x IS NOT NULL")
+    counts = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    placed = counts.repartitionByRange(*keys, "_x").withColumn("_part", F.spark_partition_id())
+    placed = materialize(placed)  # ranges come from a sample: the partition numbers must not change
+    parts = placed.groupBy(*keys, "_part").agg(F.sum("_c").alias("_n"))
+    # one row a (group, partition): as many rows a group as there are partitions
+    run = Window.partitionBy(*keys).orderBy("_part")
+    parts = parts.select(*keys, "_part", (F.sum("_n").over(run) - F.col("_n")).alias("_begin"), F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"))
+    inside = Window.partitionBy("_part", *keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.withColumn("_end", F.sum("_c").over(inside))
+    on = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in ["_part", *keys]])
+    ranked = ranked.alias("r").join(parts.alias("p"), on).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_x", "_total",
+                                                                   (F.col("_begin") + F.col("_end")).alias("_end"), (F.col("_begin") + F.col("_end") - F.col("_c")).alias("_first"))
+    aggs = [F.max("_total").alias("_total")]
+    place = {name: (F.col("_total") - 1) * F.lit(p) for name, p in probs.items()}
+    for i, at in enumerate(place.values()):
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_end")), F.col("_x"))).alias(f"_{side}{i}"))
+    made = ranked.groupBy(*keys).agg(*aggs)
+    out = []
+    for i, (name, at) in enumerate(place.items()):
+        between = (F.ceil(at) - at) * F.col(f"_lo{i}") + (at - F.floor(at)) * F.col(f"_hi{i}")
+        out.append(F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(between).alias(name))
+    return made.select(*[F.col(k).alias(b) for k, b in zip(keys, by, strict=True)], *out)
 
 
 def group_label_counts(df: DataFrame, by=("state", "label"), count_col: str = "user-id",

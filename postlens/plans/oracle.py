@@ -7,7 +7,8 @@ columns (same names) as its Spark job. Jobs without a short SQL form
 
 from __future__ import annotations
 
-from ..constants import SENTIMENT_CLASSES
+from ..constants import SENTIMENT_CLASSES, US_STATES
+from ..functions.phonetic import metaphone
 from ..sources.testbed import (TOPIC_A, TOPIC_B, TOY_BOOSTERS, TOY_ENDINGS, TOY_IDIOMS, TOY_LEXICON, TOY_MARKS, TOY_NEGATIONS, TRACK_WORDS,
                                TRACK_WORDS_CAPTURE)
 
@@ -245,6 +246,13 @@ SELECT id, {_compound('s')} AS text_sentiment_compound FROM docs LEFT JOIN s USI
     q["topic_subsets"] = f"""{LABELLED} SELECT id, 'a_only' AS subset FROM lab WHERE ta AND NOT tb
 UNION ALL SELECT id, 'b_only' AS subset FROM lab WHERE NOT ta AND tb"""
 
+    us = ", ".join(f"({i}, '{n}', '{a}', '{metaphone(n)}')" for i, (n, a) in enumerate(US_STATES))
+    q["state_matches_alt"] = f"""WITH us(ord, name, abbr, code) AS (VALUES {us}),
+p AS (SELECT c_custkey AS id, c_name || ', ' || CASE c_custkey % 3 WHEN 0 THEN name WHEN 1 THEN abbr ELSE code END AS user_location
+  FROM customer JOIN us ON c_custkey % 50 = ord)
+SELECT id, user_location, name AS state, ord AS place FROM p JOIN us
+  ON contains(user_location, name) OR contains(user_location, abbr) OR contains(user_location, code)"""
+
     q["state_first"] = f"""WITH {POSTS} SELECT p.id, st.state FROM posts p LEFT JOIN {_first_state('posts')} st USING (id)"""
     matches = f"""WITH {POSTS} SELECT p.id, n.n_name AS state FROM posts p JOIN nation n
 ON p.user_location <> '' AND contains(p.user_location, n.n_name)"""
@@ -290,6 +298,11 @@ SELECT state, count(compound) AS c_count, avg(compound) AS c_mean, stddev_samp(c
   min(compound) AS c_min, quantile_cont(compound, 0.25) AS c_p25, quantile_cont(compound, 0.5) AS c_p50,
   quantile_cont(compound, 0.75) AS c_p75, max(compound) AS c_max FROM lab WHERE state IS NOT NULL GROUP BY state"""
 
+    q["describe_prices"] = """WITH p AS (SELECT l_returnflag, l_linestatus, l_extendedprice::DOUBLE AS x FROM lineitem)
+SELECT l_returnflag, l_linestatus, count(x) AS c_count, avg(x) AS c_mean, stddev_samp(x) AS c_std, min(x) AS c_min,
+  quantile_cont(x, 0.25) AS c_p25, quantile_cont(x, 0.5) AS c_p50, quantile_cont(x, 0.75) AS c_p75, max(x) AS c_max
+FROM p WHERE l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL GROUP BY ALL"""
+
     q["value_counts_label"] = f"""{LABELLED} SELECT label, count(*) AS n FROM lab WHERE label IS NOT NULL GROUP BY label"""
     q["n_unique_label"] = f"""{LABELLED} SELECT count(DISTINCT label) AS n_unique FROM lab"""
 
@@ -333,9 +346,12 @@ f AS (SELECT s.ord::VARCHAR AS ord, s.name, coalesce(m.cluster_max_label, 'No da
       FROM states s LEFT JOIN mx m ON s.name = m.state)
 SELECT *, (SELECT count(DISTINCT cluster_max_label) FROM f) AS n_fill FROM f"""
 
+    ring = "'[[[0,0],[' || ord || ',0],[' || ord || ',1.5],[0,0]],[[0.1,0.1],[0.2,0.1],[0.2,0.2],[0.1,0.1]]]'"
     q["map_feed_geojson"] = f"""{maj.replace("WHERE state IS NOT NULL AND label", "WHERE state <> 'NATION_0' AND label")},
 f AS (SELECT s.ord, s.name, coalesce(m.cluster_max_label, 'No data') AS fill FROM states s LEFT JOIN mx m ON s.name = m.state)
-SELECT name, '{{"type":"Feature","geometry":' || CASE WHEN ord % 2 = 0 THEN '"POINT (' || ord || ' 0)"' ELSE 'null' END
+SELECT name, '{{"type":"Feature","geometry":' || CASE ord % 4 WHEN 0 THEN '{{"type":"Point","coordinates":[' || ord || ',-0.5]}}'
+    WHEN 1 THEN '{{"type":"Polygon","coordinates":' || {ring} || '}}'
+    WHEN 2 THEN '{{"type":"MultiPolygon","coordinates":[' || {ring} || ',[[[5,5],[6,5],[6,6],[5,5]]]]}}' ELSE 'null' END
   || ',"properties":{{"ord":"' || ord || '","name":"' || name || '","cluster_max_label":"' || fill || '","n_fill":'
   || (SELECT count(DISTINCT fill) FROM f) || '}}}}' AS feature FROM f"""
 
@@ -359,4 +375,8 @@ SELECT 1 AS k, round(var_pop(f_value) * count(f_value) + var_pop(f_user) * count
   json_extract_string(value, '$.warnings.message')) AS message FROM routed WHERE kind = 'warning'"""
     q["capture_filter"] = f"""WITH {MESSAGES} SELECT id FROM routed WHERE kind = 'status'
   AND regexp_matches(json_extract_string(value, '$.text'), '{_kw_regex(TRACK_WORDS_CAPTURE)}')"""
+    q["stream_message_totals"] = f"""WITH {MESSAGES} SELECT kind, count(*) AS n,
+  max(CASE WHEN kind = 'limit' THEN json_extract(value, '$.limit.track')::BIGINT END) AS missed FROM routed GROUP BY kind"""
+    q["stream_capture_rolling"] = """WITH c AS (SELECT 3 * count(*) // 4 AS nb FROM events WHERE event_type = 'view')
+SELECT k AS number, least(200, nb - 200 * k) AS n FROM (SELECT unnest(generate_series(0, nb // 200)) AS k, nb FROM c) WHERE nb > 200 * k"""
     return q

@@ -16,6 +16,7 @@ from ..operators import geo as G
 from ..operators import projection as P
 from ..operators import stats as S
 from ..operators.sentiment import sentiment
+from ..session import fresh_folder
 from ..sources import testbed as tb
 from ..streaming import capture as CAP
 from .prepare import label_counts_by_state, labelled_posts
@@ -147,8 +148,11 @@ def q_map_feed_geojson(spark, sf):
     from ..sinks.feeds import map_feed
     p = _labelled(spark, sf).filter(F.col("state") != "NATION_0")
     m = S.add_majority(tb.states(spark, sf), p, "label", "state", "name", count_col="user_id", out="cluster_max_label")
-    wkt = F.concat(F.lit("POINT ("), F.col("ord"), F.lit(" 0)"))
-    m = m.withColumn("geometry", F.when(F.col("ord") % 2 == 0, wkt))
+    ring = F.concat(F.lit("((0 0, "), F.col("ord"), F.lit(" 0, "), F.col("ord"), F.lit(" 1.5, 0 0), (.1 .1, 0.2 .1, 0.2 0.2, .1 .1))"))
+    wkt = (F.when(F.col("ord") % 4 == 0, F.concat(F.lit("POINT ("), F.col("ord"), F.lit(" -0.5)")))
+           .when(F.col("ord") % 4 == 1, F.concat(F.lit("POLYGON "), ring))
+           .when(F.col("ord") % 4 == 2, F.concat(F.lit("SRID=4326;MultiPolygon ("), ring, F.lit(",((5 5, 6 5,6 6 , 5 5)))"))))
+    m = m.withColumn("geometry", wkt)
     return map_feed(m, "cluster_max_label").select("name", "feature")
 
 
@@ -204,6 +208,16 @@ def q_state_matches_join(spark, sf):
                                 order_col="ord").select("id", "state")
 
 
+def q_state_matches_alt(spark, sf):
+    """Matches by name, abbreviation and phonetic code, over locations that use one of them."""
+    us = G.us_states_frame(spark)
+    c = tb.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    j = c.join(us, F.col("id") % 50 == F.col("ord"))
+    told = F.when(F.col("id") % 3 == 0, F.col("name")).when(F.col("id") % 3 == 1, F.col("abbr")).otherwise(F.col("code"))
+    p = j.select("id", F.concat("c_name", F.lit(", "), told).alias("user_location"))
+    return G.state_matches_join(p, us, "user_location", "state").select("id", "user_location", "state", F.col("_ord").alias("place"))
+
+
 def q_gazetteer_state(spark, sf):
     p = tb.posts(spark, sf, ("id", "user_location"))
     g = G.gazetteer_state(p, tb.gazetteer(spark, sf), "user_location", "state2", "coord", key="id")
@@ -235,6 +249,12 @@ def q_describe_by_state(spark, sf):
     return S.describe_by(_labelled(spark, sf), "state", "full_text_sentiment_compound", prefix="c_")
 
 
+def q_describe_prices(spark, sf):
+    """Statistics of an unbounded column with exact quartiles by ranks."""
+    li = tb.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("double").alias("price"))
+    return S.describe_by(li, ["l_returnflag", "l_linestatus"], "price", prefix="c_", ranked=True)
+
+
 def q_value_counts_label(spark, sf):
     return S.value_counts(_labelled(spark, sf), "label", "n")
 
@@ -363,6 +383,35 @@ def q_warning_messages(spark, sf):
     return CAP.warning_messages(CAP.route_messages(m, "value", "kind"), "value").select("id", "message")
 
 
+def event_stream(spark, sf):
+    """The events table as a stream (a pattern, since a stream reads folders or patterns only)."""
+    schema = tb.table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/event[s].parquet")
+
+
+def q_stream_message_totals(spark, sf):
+    """Totals by kind of a stream over the events' messages, as the table sink holds them."""
+    from ..streaming import totals as T
+    out = fresh_folder(spark, "totals")
+    T.start_totals(event_stream(spark, sf), lambda e: T.message_totals(CAP.messages_from_events(e)), out, f"{out}/checkpoint", available_now=True).awaitTermination()
+    return T.read_totals(spark, out, "kind")
+
+
+def q_stream_capture_rolling(spark, sf):
+    """Lines a file of a capture that rolls at 200 records over the events' messages, capped at three
+    quarters of the statuses."""
+    from ..streaming.rolling import RollingSink
+    out = fresh_folder(spark, "capture")
+    messages = CAP.messages_from_events(event_stream(spark, sf))
+    kept = CAP.capture_frame(messages, ["view"]).select("value")
+    nb = 3 * tb.table(spark, sf, "events").filter("event_type = 'view'").count() // 4
+    sink = RollingSink(spark, f"{out}/files", f"{out}/state", "streamer", 200, nb)
+    kept.writeStream.foreachBatch(sink.step).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    lines = spark.read.schema("value string, file string").option("basePath", f"{out}/files").text(f"{out}/files")
+    number = F.regexp_extract("file", r"_(\d+)$", 1).cast("long")
+    return lines.groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_capture_filter(spark, sf):
     m = CAP.messages_from_events(tb.table(spark, sf, "events"))
     return CAP.capture_frame(m, tb.TRACK_WORDS_CAPTURE, "value").select("id")
@@ -390,12 +439,14 @@ QUERIES = {
     "state_first": q_state_first,
     "state_matches": q_state_matches,
     "state_matches_join": q_state_matches_join,
+    "state_matches_alt": q_state_matches_alt,
     "gazetteer_state": q_gazetteer_state,
     "state_from_address": q_state_from_address,
     "state_sentiment": q_state_sentiment,
     "state_sentiment_mainland": q_state_sentiment_mainland,
     "majority_label": q_majority_label,
     "describe_by_state": q_describe_by_state,
+    "describe_prices": q_describe_prices,
     "value_counts_label": q_value_counts_label,
     "n_unique_label": q_n_unique_label,
     "histogram_compound": q_histogram_compound,
@@ -419,4 +470,6 @@ QUERIES = {
     "missed_counter": q_missed_counter,
     "warning_messages": q_warning_messages,
     "capture_filter": q_capture_filter,
+    "stream_message_totals": q_stream_message_totals,
+    "stream_capture_rolling": q_stream_capture_rolling,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from .errors import CheckpointFolderMissing
@@ -61,6 +63,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared checkpoint folder, for tables and stream progress."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/postlens/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared
     folder named by ``spark.checkpoint.dir``. Later passes read the checkpoint,

@@ -59,12 +59,35 @@ def map_feed_columns(states: DataFrame, fill_col: str, keep=None, no_data: str =
     return states.select(*cols, fills.alias("n_fill"), *extra)
 
 
+# FIXED VALUES: geometry kinds, by their WKT names.
+GEOMETRIES = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon", "MULTIPOINT": "MultiPoint",
+              "MULTILINESTRING": "MultiLineString", "MULTIPOLYGON": "MultiPolygon"}
+_WKT = r"(?is)^(?:SRID\s*=\s*\d+\s*;)?\s*([A-Z]+?)\s*(?:\bZM?|\bM)?\s*(\(.*\)|\bEMPTY)$"
+
+
+def wkt_coordinates(kind, body):
+    """The coordinates of a WKT body, ``(30 10, 40 40)`` say, as a JSON array."""
+    t = F.regexp_replace(F.regexp_replace(body, r"\s+", " "), r" ?([(),]) ?", "$1")
+    for pattern, put in ((r"(?<![0-9.eE])\+", ""), (r"(?<![0-9])\.(?=[0-9])", "0."), (r"(?<=[0-9])\.(?![0-9])", ""),
+                         (r"(?<![0-9.eE])(?<![eE][+-])0+(?=[0-9])", "")):  # numbers as JSON writes them
+        t = F.regexp_replace(t, pattern, put)
+    t = F.translate(t, ", ", ";,")
+    t = F.when(kind == "MULTIPOINT", F.regexp_replace(t, r"(?<=[(;])\(([^()]*)\)", "$1")).otherwise(t)
+    t = F.translate(F.regexp_replace(t, r"[^();]+", "[$0]"), "();", "[],")
+    return F.when(kind == "POINT", F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t)
+
+
 def geometry_json(c):
-    """A geometry text as JSON: GeoJSON stays, WKT becomes a JSON string, null becomes ``null``."""
+    """A geometry text as GeoJSON: GeoJSON stays, WKT (with or without an SRID, two or three dimensions)
+    is parsed into nested arrays, anything else becomes ``null``, as a null does."""
     text = F.trim(col_of(c).cast("string"))
     is_json = text.startswith("{") & F.try_parse_json(text).isNotNull()
-    quoted = F.regexp_extract(F.to_json(F.struct(text.alias("g"))), r'(?s)^\{"g":(.*)\}$', 1)
-    return F.when(text.isNull() | (text == ""), F.lit("null")).when(is_json, text).otherwise(quoted)
+    kind, body = F.upper(F.regexp_extract(text, _WKT, 1)), F.regexp_extract(text, _WKT, 2)
+    coordinates = F.when(F.upper(body) == "EMPTY", F.lit("[]")).when(body.rlike(r"^[-+0-9eE.,()\s]+$"), wkt_coordinates(kind, body))
+    name = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in GEOMETRIES.items()])
+    made = F.concat(F.lit('{"type":"'), name, F.lit('","coordinates":'), coordinates, F.lit("}"))
+    made = F.when(F.try_parse_json(made).isNotNull(), made)
+    return F.coalesce(F.when(is_json, text).otherwise(made), F.lit("null"))
 
 
 def map_feed(states: DataFrame, fill_col: str, geometry_col: str = "geometry", keep=None) -> DataFrame:

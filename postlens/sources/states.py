@@ -9,8 +9,8 @@ from ..operators.stats import union_all
 
 
 def us_states(spark: SparkSession) -> DataFrame:
-    """``ord, name, abbr, code`` for the fifty states (code: optional
-    phonetic key, empty by default)."""
+    """``ord, name, abbr, code`` for the fifty states (code: phonetic, see
+    ``functions.phonetic``)."""
     return us_states_frame(spark)
 
 

@@ -65,3 +65,33 @@ def test_gazetteer_long_names_and_any_ids(spark):
                    ("None", "Truth or Consequences New Mexico", "New Mexico")]
     hashed = G.gazetteer_state(df, gz, pick="hash", seed=2).filter("state2 is not null")
     assert {r["state2"] for r in hashed.collect()} <= {"New York", "Texas", "New Mexico"} and hashed.count() == 2
+
+
+def test_phonetic_codes():
+    from postlens.constants import US_STATES
+    from postlens.functions.phonetic import metaphone
+    # FIXED VALUES: codes that the rules give
+    want = {"Alabama": "ALBM", "Arkansas": "ARKNSS", "Connecticut": "KNKTKT", "Georgia": "JRJ", "Louisiana": "LXN", "Maine": "MN", "Massachusetts": "MSXSTS",
+            "Minnesota": "MNST", "Mississippi": "MSSP", "New York": "N YRK", "North Dakota": "NR0 TKT", "Ohio": "OH", "Texas": "TKSS", "Utah": "UT",
+            "Washington": "WXNKTN", "Wyoming": "YMNK"}
+    assert {n: metaphone(n) for n in want} == want
+    assert all(metaphone(n) for n, _ in US_STATES)
+    words = {"knight": "NT", "school": "SKL", "church": "XRX", "dodge": "TJ", "phone": "FN", "bomb": "BM", "which": "WX", "science": "SNS", "thumb": "0M",
+             "Xavier": "SFR", "quick": "KK", "gnome": "NM", "action": "AKXN", "match": "MX"}
+    assert {w: metaphone(w) for w in words} == words
+    assert metaphone(None) is None and metaphone("") is None and metaphone("12 -") is None
+
+
+def test_abbreviation_meets_another_states_code(spark):
+    """MN is Minnesota's abbreviation and Maine's phonetic code."""
+    df = spark.createDataFrame([(1, "Minneapolis, MN"), (2, "Texas"), (3, "N YRK")], "id long, `user-location` string")
+    m = {r["id"]: r["state_matches"] for r in G.state_matches(df, states(spark)).collect()}
+    assert m[1] == ["Maine", "Minnesota"] and m[2] == ["Texas"] and m[3] == ["New York"]
+    assert {r["id"]: r["state"] for r in G.state_from_text(df, states(spark)).collect()}[1] == "Maine"
+
+
+def test_repeated_state_names_in_the_join_form(spark):
+    twice = spark.createDataFrame([(0, "Ohio", "OH"), (1, "Ohio", "Buckeye")], "ord int, name string, abbr string")
+    df = spark.createDataFrame([(1, "Buckeye, Ohio", 7)], "id long, `user-location` string, _ord int")
+    rows = G.state_matches_join(df.drop("_ord"), twice).collect()
+    assert sorted((r["state"], r["_ord"]) for r in rows) == [("Ohio", 0), ("Ohio", 1)]

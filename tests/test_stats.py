@@ -83,3 +83,29 @@ def test_retention_and_union(spark):
     assert (r["n_initial"], r["n_final"]) == (7, 5)
     u = S.union_all([states(spark), spark.createDataFrame([("D", 9)], "name string, extra int")])
     assert u.count() == 4 and "extra" in u.columns
+
+
+def test_ranked_quartiles_equal_percentile(spark):
+    import random
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([None, float(rng.randint(-3, 3)), rng.random() * 1e6])) for _ in range(3000)]
+    rows += [("one", 5.0), ("none", None), ("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    plain, ranked = (sorted(map(tuple, S.describe_by(df, "g", "x", prefix="c_", ranked=r).collect())) for r in (False, True))
+    assert len(plain) == 6 and [r[0] for r in plain] == [r[0] for r in ranked]
+    for a, b in zip(plain, ranked, strict=True):
+        assert a[1] == b[1] and a[4:] == b[4:], (a, b)  # count, min, quartiles and max are equal to the bit
+    assert S.describe_by(df.limit(0), "g", "x", ranked=True).count() == 0
+    assert S.describe_by(df, ["g"], "x", ("p50",), ranked=True).columns == ["g", "p50"]
+    q = S.exact_quantiles(df, "g", "x", {"lo": 0.0, "p90": 0.9, "hi": 1.0})
+    want = df.filter("x IS NOT NULL").groupBy("g").agg(F.min("x"), F.expr("percentile(x, 0.9)"), F.max("x"))
+    assert sorted(map(tuple, q.filter("g IS NOT NULL").collect())) == sorted(map(tuple, want.filter("g IS NOT NULL").collect()))
+
+
+def test_no_task_holds_a_group(spark):
+    """The running sums of a hot group are dealt by partition, not by group."""
+    df = spark.range(100_000).selectExpr("'hot' AS g", "cast(id AS double) AS x").repartition(4)
+    rows = S.exact_quantiles(df, "g", "x", {"p50": 0.5})
+    assert [tuple(r) for r in rows.collect()] == [("hot", 49999.5)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and plan.count("Window") == 3
