@@ -6,7 +6,8 @@
 * ``kmeans``: Lloyd's iterations from random rows, ``n_init`` restarts, the
   lowest cost wins (ties: lowest restart). The first centres of a restart are
   the k rows with the smallest MD5 of (key, seed, restart), so they don't
-  depend on partitions. All restarts, and all k of a sweep, share each pass
+  depend on partitions, and those of a smaller k are the first ones of a larger
+  k: one pass serves a sweep. All restarts, and all k of a sweep, share each pass
   over the persisted features: a task turns its rows into sums per (fit,
   cluster) with NumPy, Spark adds them up, and a few rows per fit come back.
 * ``binned_sse_curve`` / ``elbow_frame``: an SSE curve as a table and the
@@ -147,9 +148,11 @@ def elbow(curve: DataFrame, k_col: str = "k", sse_col: str = "sse", sensitivity:
 
 
 def _features(df: DataFrame, cols, key: str | None) -> DataFrame:
-    """(_key, x0, x1, ...): the key as text and the features as doubles."""
+    """(_key, x0, x1, ...): the key as text and the features as doubles, dealt evenly once for the many
+    passes (the input may be a single file, or a skewed join's output)."""
     name = F.coalesce(col_of(key).cast("string"), F.lit("")) if key else F.concat_ws("|", *[col_of(c) for c in cols])
-    return df.select(name.alias("_key"), *[col_of(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = df.select(name.alias("_key"), *[col_of(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _first_centers(rows: DataFrame, dims: int, k: int, n_init: int, seed: int):
@@ -175,14 +178,23 @@ def _pass(rows: DataFrame, dims: int, fits: dict):
 
         held = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
         for batch in batches:
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)])
+            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)]
             for m, c in fits.items():
-                d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-                own = d.argmin(axis=1)
+                # centre by centre over whole columns: the nearest so far and its distance
+                own, least = np.zeros(len(x[0]), np.int64), None
+                for j in range(len(c)):
+                    d = (x[0] - c[j, 0]) ** 2
+                    for i in range(1, dims):
+                        d += (x[i] - c[j, i]) ** 2
+                    if least is None:
+                        least = d
+                    else:
+                        own[d < least] = j
+                        np.minimum(least, d, out=least)
                 held[m][0] += np.bincount(own, minlength=len(c))
                 for i in range(dims):
-                    held[m][1][:, i] += np.bincount(own, x[:, i], len(c))
-                held[m][2] += d.min(axis=1).sum()
+                    held[m][1][:, i] += np.bincount(own, x[i], len(c))
+                held[m][2] += least.sum()
         rows_ = [(m, j, n[j], *s[j], cost if j == 0 else 0.0) for m, (n, s, cost) in held.items() for j in range(len(n))]
         names = ["fit", "cluster", "n", *columns, "cost"]
         types = [pa.int32(), pa.int32(), *[pa.float64()] * (dims + 2)]
@@ -204,7 +216,8 @@ def _best_fits(rows: DataFrame, dims: int, ks, n_init: int, max_iter: int, seed:
     """``{k: (cost, centres)}`` of the best restart for each k; centres in lexicographic order."""
     import numpy as np
 
-    centers = {(k, j): c for k in ks for j, c in enumerate(_first_centers(rows, dims, k, n_init, seed))}
+    first = _first_centers(rows, dims, max(ks), n_init, seed)
+    centers = {(k, j): c[:k] for k in ks for j, c in enumerate(first)}
     moving = dict(centers)
     for _ in range(max_iter):
         numbered = dict(enumerate(moving))
@@ -242,7 +255,7 @@ def sse_curve(df: DataFrame, cols, max_cluster: int = 10, n_init: int = 10, max_
     try:
         _check_rows(rows, max_cluster)
         sse = [(1, float(total_sse(df, cols).first()["sse"]))]
-        best = _best_fits(rows, len(cols), range(2, max_cluster + 1), n_init, max_iter, seed, tol)
+        best = _best_fits(rows, len(cols), list(range(2, max_cluster + 1)), n_init, max_iter, seed, tol)
         sse += [(k, float(best[k][0])) for k in sorted(best)]
     finally:
         rows.unpersist()

@@ -107,6 +107,7 @@ def _clean(text):
     return F.btrim(F.regexp_replace(stripped, r"(?<!\S)\S(?!\S)", ""), F.lit(" \t\n\x0b\f\r"))
 
 
+_BUT = r"(?<!\S)but(?!\S)"
 # a token in capitals, and one that isn't, in a cleaned text
 _CAPITAL = r"(?<!\S)[^\p{Ll}\p{Lt}\s]*\p{Lu}[^\p{Ll}\p{Lt}\s]*(?!\S)"
 _NO_CAPITAL = r"(?<!\S)(?:\S*[\p{Ll}\p{Lt}]\S*|[^\p{Lu}\s]+)(?!\S)"
@@ -143,14 +144,14 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
         counts += [_count_char(col_of(c), "!").alias(f"b{i}"), _count_char(col_of(c), "?").alias(f"q{i}")]
     pre = df.select(row_hash(df, carry + text_cols).alias("_key"), row_of(carry, counts).alias("_all"),
                     *[_clean(col_of(c)).alias(f"_t{i}") for i, c in enumerate(text_cols)])
+    # the tokens are split once; "but" is looked for by its word first, which few texts hold
+    but = lambda t: F.when(F.lower(t).rlike(_BUT), F.array_position(F.split(F.lower(t), r"\s+"), F.lit("but"))).otherwise(F.lit(0))
     pre = pre.select("_key", "_all", *[F.split(f"_t{i}", r"\s+").alias(f"_w{i}") for i in each],
-                     *[F.split(F.lower(f"_t{i}"), r"\s+").alias(f"_l{i}") for i in each],
-                     *[(F.col(f"_t{i}") == "").alias(f"_e{i}") for i in each],
+                     *[(F.col(f"_t{i}") == "").alias(f"_e{i}") for i in each], *[but(F.col(f"_t{i}")).alias(f"_but{i}") for i in each],
                      *[(F.col(f"_t{i}").rlike(_CAPITAL) & F.col(f"_t{i}").rlike(_NO_CAPITAL)).alias(f"_caps{i}") for i in each])
-    pre = pre.select("_key", "_all", F.concat(*[F.col(f"_w{i}") for i in each]).alias("_own"), F.concat(*[F.col(f"_l{i}") for i in each]).alias("_low"),
-                     *[F.size(f"_l{i}").alias(f"_size{i}") for i in each], *[f"_caps{i}" for i in each],
-                     *[F.when(F.col(f"_e{i}"), 0).otherwise(F.size(f"_l{i}")).alias(f"_z{i}") for i in each],
-                     *[F.array_position(f"_l{i}", F.lit("but")).alias(f"_but{i}") for i in each])
+    joined = F.col("_w0") if len(text_cols) == 1 else F.concat(*[F.col(f"_w{i}") for i in each])
+    pre = pre.select("_key", "_all", joined.alias("_own"), *[F.size(f"_w{i}").alias(f"_size{i}") for i in each], *[f"_caps{i}" for i in each],
+                     *[F.when(F.col(f"_e{i}"), 0).otherwise(F.size(f"_w{i}")).alias(f"_z{i}") for i in each], *[f"_but{i}" for i in each])
     begins, src = sources([f"_size{i}" for i in each])
 
     def of_source(values):
@@ -159,40 +160,36 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
             out = F.when(F.col("src") >= i, values[i]).otherwise(out)
         return out
 
-    ex = pre.select("*", F.posexplode_outer("_low").alias("_pos", "w")).withColumn("src", src)
+    ex = pre.select("*", F.posexplode_outer("_own").alias("_pos", "own")).withColumn("src", src)
     ex = ex.withColumns({"begin": of_source(begins), "end": of_source([b + F.col(f"_size{i}") for i, b in enumerate(begins)])})
-    at = lambda d: F.when((F.col("_pos") + d >= F.col("begin")) & (F.col("_pos") + d < F.col("end")), F.get("_low", F.col("_pos") + d))
+    at = lambda d: F.when((F.col("_pos") + d >= F.col("begin")) & (F.col("_pos") + d < F.col("end")), F.get("_own", F.col("_pos") + d))
     longest = 0
     if idioms is not None:
         idioms = phrase_table(idioms, "valence", "idioms").withColumn("words", F.size(F.split("phrase", " ")))
         longest = idioms.agg(F.max("words")).first()[0] or 0
     around = {d: f"f{d}" for d in range(1, longest)} | {-d: f"p{d}" for d in range(1, max(4, longest))} | {1: "f1"}
-    ex = ex.select("_key", *on_first("_pos", "_all"), *[f"_z{i}" for i in each], "src", "w", F.get("_own", F.col("_pos")).alias("own"),
-                   (F.col("_pos") - F.col("begin") + 1).alias("pos"), of_source([F.col(f"_caps{i}") for i in each]).alias("capdiff"),
-                   of_source([F.col(f"_but{i}") for i in each]).alias("but"), *[at(d).alias(n) for d, n in around.items()],
-                   *[F.when(F.col("_pos") - d >= F.col("begin"), F.get("_own", F.col("_pos") - d)).alias(f"o{d}") for d in (1, 2, 3)])
+    capitals = of_source([F.col(f"_caps{i}") for i in each])
+    ex = ex.select("_key", *on_first("_pos", "_all"), *[f"_z{i}" for i in each], "src", F.lower("own").alias("w"),
+                   (capitals & _is_upper(F.col("own"))).alias("u0"), (F.col("_pos") - F.col("begin") + 1).alias("pos"),
+                   of_source([F.col(f"_but{i}") for i in each]).alias("but"), *[F.lower(at(d)).alias(n) for d, n in around.items()],
+                   *[(capitals & _is_upper(at(-d))).alias(f"u{d}") for d in (1, 2, 3)])
     hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "left") \
         .filter(F.col("valence").isNotNull() | F.col("_first"))
     for d in (1, 2, 3):
-        nb = info.select(F.col("w").alias(f"p{d}"), F.col("valence").alias(f"v{d}"),
+        nb = info.select(F.col("w").alias(f"p{d}"), F.col("valence").isNotNull().alias(f"v{d}"),
                          F.col("scalar").alias(f"s{d}"), F.col("neg").alias(f"n{d}"))
         hits = hits.join(nb, f"p{d}", "left")
     v = F.col("valence")
-    capdiff = F.col("capdiff")
-    v = F.when(capdiff & _is_upper(F.col("own")),
-               F.when(v > 0, v + CAPS_INCREMENT).otherwise(v - CAPS_INCREMENT)).otherwise(v)
-    hits = hits.withColumn("_v", v)
+    hits = hits.withColumn("_v", v + F.when(F.col("u0"), F.when(v > 0, F.lit(CAPS_INCREMENT)).otherwise(F.lit(-CAPS_INCREMENT))).otherwise(F.lit(0.0)))
     stress = {d: F.coalesce(F.col(f"p{d}").isin(*STRESS), F.lit(False)) for d in (1, 2)}
     never = {d: F.coalesce(F.col(f"p{d}") == NEVER, F.lit(False)) for d in (2, 3)}
     for d in (1, 2, 3):
         cur = F.col("_v")
-        applies = F.col(f"p{d}").isNotNull() & F.col(f"v{d}").isNull()
-        s = F.coalesce(F.col(f"s{d}"), F.lit(0.0))
-        s = F.when(cur < 0, -s).otherwise(s)
-        s = F.when((F.col(f"s{d}").isNotNull()) & capdiff & _is_upper(F.col(f"o{d}")),
-                   F.when(cur > 0, s + CAPS_INCREMENT).otherwise(s - CAPS_INCREMENT)).otherwise(s)
-        s = s * F.lit(DAMPING[d])
-        boosted = cur + s
+        applies = F.col(f"p{d}").isNotNull() & ~F.coalesce(F.col(f"v{d}"), F.lit(False))
+        # a booster's own scalar, with more where it is in capitals, both by the sign of the valence
+        shift = F.col(f"s{d}") * F.when(cur < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+        shift = shift + F.when(F.col(f"u{d}"), F.when(cur > 0, F.lit(CAPS_INCREMENT)).otherwise(F.lit(-CAPS_INCREMENT))).otherwise(F.lit(0.0))
+        boosted = cur + F.coalesce(shift * F.lit(DAMPING[d]), F.lit(0.0))
         negated = F.coalesce(F.col(f"n{d}"), F.lit(False)) | F.col(f"p{d}").contains("n't")
         nxt = F.when(negated, boosted * NEGATION_SCALAR).otherwise(boosted)
         if d == 2:
@@ -218,7 +215,7 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
         lowered = F.col("_pair2").isNotNull() | F.col("_pair3").isNotNull()
         hits = hits.withColumn("_v", F.when(lowered, F.col("_v") + PAIR_SHIFT).otherwise(F.col("_v")))
     after = F.coalesce(F.col("p2").isin(*LEAST_AFTER), F.lit(False))
-    least = F.coalesce((F.col("p1") == LEAST) & F.col("v1").isNull(), F.lit(False)) & ~after
+    least = F.coalesce(F.col("p1") == LEAST, F.lit(False)) & ~F.coalesce(F.col("v1"), F.lit(False)) & ~after
     hits = hits.withColumn("_v", F.when(least, F.col("_v") * NEGATION_SCALAR).otherwise(F.col("_v")))
     but_w = (F.when(F.col("but") > 0, F.when(F.col("pos") < F.col("but"), F.lit(BUT_BEFORE))
                     .when(F.col("pos") > F.col("but"), F.lit(BUT_AFTER)).otherwise(F.lit(1.0)))

@@ -157,7 +157,7 @@ def q_map_feed_geojson(spark, sf):
 
 
 def q_sentiment_struct(spark, sf):
-    d = tb.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text"))
+    d = tb.spread(tb.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text")))
     s = sentiment(d, tb.lexicon(spark), text_cols=["text"], key="id", keep_struct=True, sep="_")
     return s.select("id", F.col("text_sentiment.neg").alias("neg"), F.col("text_sentiment.neu").alias("neu"),
                     F.col("text_sentiment.pos").alias("pos"), F.col("text_sentiment.compound").alias("compound"))

@@ -19,3 +19,10 @@ def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     if pdf.empty:
         return spark.createDataFrame([], st)
     return spark.createDataFrame(pdf, schema=st)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan that has fewer splits than there are cores (a small single file) over all cores; any other
+    as it is. For scans only: asking a joined frame for its partitions would run its stages."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

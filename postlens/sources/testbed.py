@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import local_frame
+from .files import local_frame, spread
 
 # FIXED VALUES: toy lexicon (token, valence) used by the stand-in queries.
 TOY_LEXICON = [
@@ -53,7 +53,9 @@ POST_COLUMNS = ("id", "created_at", "lang", "full_text", "user_id", "user_descri
 def posts(spark: SparkSession, sf_dir: str, columns=POST_COLUMNS) -> DataFrame:
     """Documents joined with their event, all turns of the user's conversation and the user's
     customer/nation location, one row per document. Only the joins that ``columns`` needs are built."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("text").alias("full_text"))
+    texts = [F.col("text").alias("full_text")] if "full_text" in columns else []
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", *texts)
+    d = spread(d) if texts else d
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("created_at"), "user_id")
     p = d.join(e, d.id == e.event_id, "inner")
     if "user_description" in columns:
@@ -89,7 +91,7 @@ def idioms(spark: SparkSession) -> DataFrame:
 def ended_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, text): every document with its language's ending."""
     ending = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(e)) for lang, e in TOY_ENDINGS.items()], F.lit(""))
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat("text", ending).alias("text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select(F.col("doc_id").alias("id"), F.concat("text", ending).alias("text"))
 
 
 def boosters(spark: SparkSession) -> DataFrame:
