@@ -10,6 +10,7 @@ from .. import constants as K
 from ..errors import WrongColumnName
 from ..functions.text import col_of, first_non_null
 from ..functions.time import parse_post_time
+from .drift import require_root_keys
 
 
 def require_columns(df: DataFrame, columns) -> None:
@@ -24,23 +25,6 @@ def _json_path(path) -> str:
     return "$" + "".join("['" + p.replace("'", "\\'") + "']" for p in path)
 
 
-def require_root_keys(df: DataFrame, roots, raw: str = "raw") -> None:
-    """Check that every root key occurs in at least one record.
-
-    One aggregate pass with map-side partial aggregation; a key present with a
-    JSON null still counts as present.
-    """
-    roots = list(dict.fromkeys(r for r in roots if r))
-    if not roots:
-        return
-    probes = [F.max(F.try_variant_get(F.col(raw), _json_path([r]), "variant").isNotNull().cast("int"))
-              .alias(f"k{i}") for i, r in enumerate(roots)]
-    row = df.agg(*probes).first()
-    missing = [r for i, r in enumerate(roots) if not row[f"k{i}"]]
-    if missing:
-        raise WrongColumnName(missing)
-
-
 def flatten(df: DataFrame, paths=K.PATHS_SHORT, raw: str = "raw", index: str | None = "id",
             date: str | None = "created_at", sep: str = "-", validate: bool = True,
             index_type: str = "bigint") -> DataFrame:

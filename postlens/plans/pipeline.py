@@ -34,11 +34,14 @@ NARROW_FEATURES = ["full_text-contains_trump", "full_text-contains_biden", "full
 def prepare_posts(spark: SparkSession, lexicon: DataFrame, states: DataFrame | None = None, path_list=None,
                   folder: str | None = None, paths=K.PATHS_SHORT, language: str = "en", topics: dict | None = None,
                   pick: str = "first", validate: bool = True, scorer: str = "rules",
-                  boosters: DataFrame | None = None, negations: DataFrame | None = None) -> DataFrame:
-    """``scorer``: ``rules`` (context rules, with optional booster and negation tables) or ``plain``.
-    The captures are scanned and parsed once; ``validate`` costs one more pass over the root keys."""
-    raw = read_posts(spark, path_list=path_list, folder=folder)
-    df = P.flatten(raw, paths, validate=validate)
+                  boosters: DataFrame | None = None, negations: DataFrame | None = None, idioms: DataFrame | None = None,
+                  flat: DataFrame | None = None) -> DataFrame:
+    """``scorer``: ``rules`` (context rules, with optional booster, negation and idiom tables) or ``plain``.
+    The captures are scanned and parsed once; ``validate`` costs one more pass over the keys. ``flat``:
+    posts flattened before, such as a time range of the store by day, in place of captures."""
+    if flat is None:
+        flat = P.flatten(read_posts(spark, path_list=path_list, folder=folder), paths, validate=validate)
+    df = flat
     df = P.first_text(df, "full_text", K.TEXT_PRIORITY, drop=True)
     df = FE.topic_flags(df, topics, text_cols=["full_text", "user-description"])
     df = FL.keep_lang(df, language)
@@ -47,7 +50,7 @@ def prepare_posts(spark: SparkSession, lexicon: DataFrame, states: DataFrame | N
     df = FL.keep_located(df, "state")
     texts = ["full_text", "user-description"]
     if scorer == "rules":
-        df = sentiment_rules(df, lexicon, boosters, negations, texts)
+        df = sentiment_rules(df, lexicon, boosters, negations, texts, idioms=idioms)
     elif scorer == "plain":
         df = sentiment(df, lexicon, texts)
     else:

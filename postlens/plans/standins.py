@@ -38,9 +38,12 @@ def q_label_counts_by_state(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- ingest / projection ----------------------------------------------------
 def capture_lines(spark, sf) -> DataFrame:
+    return capture_lines_of(tb.table(spark, sf, "events"))
+
+
+def capture_lines_of(e: DataFrame) -> DataFrame:
     """Capture-style JSON lines derived from events: id, post-style date,
     nested user object and the raw ``props`` object."""
-    e = tb.table(spark, sf, "events")
     line = F.concat(
         F.lit('{"id":'), F.col("event_id").cast("string"),
         F.lit(',"created_at":"'), F.date_format("ts", "EEE MMM dd HH:mm:ss +0000 yyyy"),
@@ -60,19 +63,47 @@ def q_flatten_props(spark, sf):
 
 
 def q_first_text(spark, sf):
+    """The first of three candidates: the last answer of the user's conversation, all that the user says
+    in it, and the document."""
     e = tb.table(spark, sf, "events").select("event_id", "user_id")
     d = tb.table(spark, sf, "documents").select("doc_id", F.col("text").alias("doc_text"))
-    conv = tb.table(spark, sf, "conversations")
-    c1 = conv.filter(F.col("turn") == 1).select(F.col("conv_id").alias("c1"), F.col("text").alias("reply_text"))
-    c0 = conv.filter(F.col("turn") == 0).select(F.col("conv_id").alias("c0"), F.col("text").alias("desc_text"))
-    j = (e.join(c1, e.user_id == c1.c1, "left").join(c0, e.user_id == c0.c0, "left")
-         .join(d, e.event_id == d.doc_id, "left"))
+    last = F.max_by(F.when(F.col("role") == "assistant", F.col("text")), F.when(F.col("role") == "assistant", F.struct("turn", F.coalesce("text", F.lit("")))))
+    own = F.sort_array(F.collect_list(F.when(F.col("role") == "user", F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))))
+    told = tb.table(spark, sf, "conversations").groupBy("conv_id").agg(last.alias("reply_text"), own.alias("_own"))
+    told = told.withColumn("desc_text", F.when(F.size("_own") > 0, F.array_join("_own.text", "\n")))
+    j = e.join(told, e.user_id == told.conv_id, "left").join(d, e.event_id == d.doc_id, "left")
     out = P.first_text(j.select("event_id", "reply_text", "desc_text", "doc_text"), "full_text",
                        ["reply_text", "desc_text", "doc_text"], drop=True)
     return out.select(F.col("event_id").alias("id"), F.octet_length("full_text").alias("n_bytes"),
                       F.md5("full_text").alias("text_md5"))
 
 
+def drifting_lines(spark, sf) -> DataFrame:
+    """The events' capture lines, of which some hold a key of another type or one that no path declares."""
+    e = capture_lines(spark, sf)
+    odd = F.when(F.col("value").contains('"lang":"error"'), F.lit(',"score":"high"}')).when(
+        F.col("value").contains('"lang":"view"'), F.lit(',"score":1.5,"flags":{"kept":true}}')).otherwise(F.lit("}"))
+    return e.select(F.concat(F.regexp_replace("value", r"\}$", ""), odd).alias("value"))
+
+
+def q_schema_drift(spark, sf):
+    from ..operators.drift import drift
+    from ..sources.jsonl import parse_lines
+    paths = [(("lang",), "string"), (("user", "id"), "string"), (("user", "location"), "string"), (("props", "k"), "bigint"),
+             (("props", "absent"), "string"), (("score",), "double"), (("place", "name"), "string")]
+    return drift(parse_lines(drifting_lines(spark, sf)), paths, roots=["id"])
+
+
+def q_store_between_times(spark, sf):
+    """A time range of the posts that a streaming job stored by day."""
+    from ..streaming.store import read_store, start_store
+    out = fresh_folder(spark, "store")
+    paths = [(("lang",), "string"), (("user", "id"), "bigint")]
+    start_store(spark, capture_lines_of(event_stream(spark, sf)), f"{out}/posts", f"{out}/checkpoint", paths, available_now=True).awaitTermination()
+    got = read_store(spark, f"{out}/posts", "2024-01-05 00:00:00+01:00", "2024-01-20 12:00:00+00:00")
+    return got.select("id", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "lang", F.col("user-id").alias("user_id"))
+
+
 def q_preview_posts(spark, sf):
     p = FL.keep_lang(tb.posts(spark, sf, ("id", "lang", "user_location")), "en")
     return P.select_preview(p, ["id", "lang", "user_location"], n=5, order_by="id")
@@ -420,6 +451,8 @@ def q_capture_filter(spark, sf):
 QUERIES = {
     "label_counts_by_state": q_label_counts_by_state,
     "flatten_props": q_flatten_props,
+    "schema_drift": q_schema_drift,
+    "store_between_times": q_store_between_times,
     "first_text": q_first_text,
     "preview_posts": q_preview_posts,
     "between_times": q_between_times,

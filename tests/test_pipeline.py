@@ -60,6 +60,20 @@ def test_prepare_and_cluster(spark, tmp_dir):
     posts.unpersist()
 
 
+def test_chain_with_the_elbow(spark, tmp_dir):
+    """The wide model chooses its k by the elbow inside the chain, from posts of the store by day."""
+    from postlens.streaming.store import read_store, start_store
+    write_capture(f"{tmp_dir}/cap_1.json", n=120)
+    start_store(spark, tmp_dir, f"{tmp_dir}/store", f"{tmp_dir}/ck", available_now=True).awaitTermination(120)
+    flat = read_store(spark, f"{tmp_dir}/store", "2020-11-04 00:00:00+00:00", "2020-11-05 00:00:00+00:00")
+    posts = prepare_posts(spark, lexicon(spark), flat=flat)
+    want = prepare_posts(spark, lexicon(spark), folder=tmp_dir + "/")
+    assert posts.columns == want.columns and posts.count() == want.count() > 0
+    out = cluster_and_map(posts, us_states_frame(spark), n_init=2, max_iter=20)
+    labels = {r["kmlabel_opt"] for r in out["posts"].select("kmlabel_opt").distinct().collect()}
+    assert 2 <= len(labels) <= 10 and labels == set(range(len(labels)))
+
+
 def test_wide_model_elbow_path(spark):
     from postlens.operators import cluster as C
     pts = [(i, float((i % 4) * 10 + (i % 3) * 0.3), float((i % 4) * 5 - (i % 2) * 0.2)) for i in range(80)]
