@@ -5,26 +5,29 @@ WITH t AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS items
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 l AS (
-  SELECT conv_id, items, list_max(list_filter(generate_series(1, len(items)), lambda i: items[i].role = 'assistant')) AS last FROM t),
-c AS (SELECT conv_id, items[1:last] AS chosen FROM l WHERE last IS NOT NULL),
+  SELECT conv_id, items, list_filter(generate_series(1, len(items)), lambda i: items[i].role = 'assistant') AS places FROM t),
+c AS (
+  SELECT *, list_transform(places, lambda i: items[i]) AS answers, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS next
+  FROM l WHERE len(places) > 0),
+e AS (SELECT conv_id, next, items, unnest(places) AS place, unnest(generate_series(1, len(places))) AS answer_no FROM c),
 p AS (
-  SELECT a.conv_id AS pair_id, a.chosen,
-         list_append(a.chosen[1:len(a.chosen) - 1], b.chosen[len(b.chosen)]) AS rejected
-  FROM c a JOIN c b ON xor(a.conv_id, 1) = b.conv_id),
+  SELECT a.conv_id AS pair_id, CAST(a.answer_no AS INTEGER) AS answer_no, a.items AS chosen,
+         list_concat(a.items[1:place - 1], [b.answers[(a.answer_no - 1) % len(b.answers) + 1]], a.items[place + 1:]) AS rejected
+  FROM e a JOIN c b ON a.next = b.conv_id),
 n AS (
   SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(chosen), len(rejected))),
                                           lambda i: chosen[i] IS DISTINCT FROM rejected[i])) - 1,
                      least(len(chosen), len(rejected))) AS k
   FROM p),
 r AS (
-  SELECT pair_id, k, chosen[1:k] AS shared, chosen[k + 1:] AS a, rejected[k + 1:] AS b FROM n),
+  SELECT pair_id, answer_no, k, chosen[1:k] AS shared, chosen[k + 1:] AS a, rejected[k + 1:] AS b FROM n),
 s AS (
-  SELECT pair_id, k,
+  SELECT pair_id, answer_no, k,
     list_transform(shared, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS p,
     list_transform(a, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS a, a AS turns_a,
     list_transform(b, lambda x: '<|' || coalesce(x.role, '') || '|>' || chr(10) || coalesce(x.text, '') || '<|end|>' || chr(10)) AS b, b AS turns_b
   FROM r)
-SELECT pair_id, CAST(k AS INTEGER) AS prompt_turns, array_to_string(p, '') AS prompt,
+SELECT pair_id, answer_no, CAST(k AS INTEGER) AS prompt_turns, array_to_string(p, '') AS prompt,
   array_to_string(a, '') AS chosen_text,
   array_to_string(list_transform(list_filter(generate_series(1, len(a)), lambda i: turns_a[i].role = 'assistant'),
     lambda i: CAST(coalesce(list_sum(list_transform(a[1:i - 1], lambda y: length(y))), 0) + 14 AS BIGINT) || '-'

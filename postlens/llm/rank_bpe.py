@@ -30,8 +30,10 @@ from .store import appended
 SHORT = 32
 #: Marks that the splitting pattern cuts off a run of letters, as a part of their own.
 CLOSING = ".,;:!?"
-#: The table of chunks becomes the old one beyond so many; a slice's chunks come on top.
+#: The table of chunks becomes the old one beyond so many; a slice's chunks come on top. Longer chunks
+#: (text without white space, say) are kept for their slice only, so the table's characters are bounded.
 MOST_CHUNKS = 250_000
+LONGEST_CHUNK = 64
 #: Unicode's White_Space property.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SLICE_CHARS = 1_500_000
@@ -182,6 +184,7 @@ class RankBpe:
         again = {c: made for c in new if (made := self.old.get(c)) is not None}
         self.chunks |= again
         split = {c: self.words(c) for c in new if c not in again}
+        self.has_long = any(len(c) > LONGEST_CHUNK for c in split)
         ids = self.merged(list({w for words in split.values() for w in words if isinstance(w, str)}))
         for c, words in split.items():
             made = b"".join([ids[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in words])
@@ -197,6 +200,9 @@ class RankBpe:
         for chunks in keys:
             ids, decoded = zip(*map(self.chunks.__getitem__, chunks), strict=True)
             out.append((b"".join(ids), " ".join(filter(None, decoded))))
+        for c in [c for c in self.chunks if len(c) > LONGEST_CHUNK] if self.has_long else ():
+            del self.chunks[c]
+        self.has_long = False
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -218,16 +224,21 @@ def lists(made: list[bytes]):
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), "<i4")))
 
 
+def others(rows: DataFrame, *names: str) -> list:
+    """The columns of ``rows`` but ``names``: an input column that is called like an output is replaced."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(rows.columns) if c not in names]
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` without ``text_col``, with the ids of its texts as ``out`` (array of int)."""
     rows = appended(docs, text_col, lambda texts: {"ids": lists([ids for ids, _ in vocabulary(path).round_trips([t or "" for t in texts])])}, "ids array<int>", SLICE_CHARS)
-    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c != text_col], F.col("ids").alias(out))
+    return rows.select(*others(docs, text_col, out), F.col("ids").alias(out))
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with the texts of ``ids_col`` as ``out``."""
     made = appended(rows, ids_col, lambda ids: {"decoded": list(map(vocabulary(path).decode, (x or [] for x in ids)))}, "decoded string", SLICE_CHARS // 4)
-    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rows.columns)], F.col("decoded").alias(out))
+    return made.select(*others(rows, out), F.col("decoded").alias(out))
 
 
 def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -239,4 +250,4 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids: str = "i
         return {"ids": lists([m[0] for m in made]), "decoded": [m[1] for m in made]}
 
     rows = appended(docs, text_col, many, "ids array<int>, decoded string", SLICE_CHARS)
-    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c != text_col], F.col("ids").alias(ids), F.col("decoded").alias(out))
+    return rows.select(*others(docs, text_col, ids, out), F.col("ids").alias(ids), F.col("decoded").alias(out))

@@ -85,7 +85,8 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, id_col: str
         yield {"shard": [shard], "n_docs": [len(ids)], "n_tokens": [offsets[-1]], "dtype": [dtype]}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # a text's first letters are the second key, so rows of one id (or of none) spread over shards
+    ordered = rows.repartitionByRange("id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
     map_columns(ordered, run, "shard long, n_docs long, n_tokens long, dtype string").write.mode("overwrite").parquet(f"{out}/manifest")
     return spark.read.parquet(f"{out}/manifest")
 

@@ -24,12 +24,38 @@ def test_format(spark):
     assert format_pairs(frame.limit(0)).count() == 0
 
 
+def pairs(rows):
+    """Brute force: (id, number, chosen, rejected)."""
+    held = {}
+    for conv, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")):
+        held.setdefault(conv, []).append((role, text))
+    answers = {c: [t for t in turns if t[0] == "assistant"] for c, turns in held.items() if any(t[0] == "assistant" for t in turns)}
+    ids, out = sorted(answers), []
+    for i, c in enumerate(ids):
+        others, number = answers[ids[(i + 1) % len(ids)]], 0
+        for place, turn in enumerate(held[c]):
+            if turn[0] == "assistant":
+                out.append((c, number + 1, held[c], [*held[c][:place], others[number % len(others)], *held[c][place + 1 :]]))
+                number += 1
+    return sorted(out, key=str)
+
+
 def test_pairs_from_conversations(spark):
-    rows = [(0, 1, "assistant", "a0"), (0, 0, "user", "u0"), (1, 0, "user", "u1"), (1, 1, "assistant", "a1"), (1, 2, "user", "v1"), (2, 0, "user", "x"), (3, 0, "assistant", "y"), (None, 0, "assistant", "n")]
-    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
-    got = {r.pair_id: ([tuple(t) for t in r.chosen], [tuple(t) for t in r.rejected]) for r in conversation_pairs(frame).collect()}
-    assert got == {
-        0: ([("user", "u0"), ("assistant", "a0")], [("user", "u0"), ("assistant", "a1")]),
-        1: ([("user", "u1"), ("assistant", "a1")], [("user", "u1"), ("assistant", "a0")]),
-    }
+    import random
+    rng = random.Random(9)
+    rows = [(0, 1, "assistant", "a0"), (0, 0, "user", "u0"), (6, 0, "user", "u1"), (6, 1, "assistant", "a1"), (6, 2, "user", "v1"), (6, 3, "assistant", None), (8, 0, "user", "x"), (9, 0, "assistant", "y"), (None, 0, "assistant", "n"), (11, 0, None, "z")]
+    rows += [(rng.randrange(-50, 900) * 4, t, rng.choice(["user", "assistant"]), f"t{rng.randrange(40)}") for _ in range(150) for t in range(rng.randint(1, 5))]
+    for some in (rows, rows[:2], rows[4:5]):
+        frame = spark.createDataFrame([(*r, "e") for r in some], "conv_id long, turn int, role string, text string, places string").repartition(4)
+        got = sorted(((r.pair_id, r.answer_no, [tuple(t) for t in r.chosen], [tuple(t) for t in r.rejected]) for r in conversation_pairs(frame).collect()), key=str)
+        assert got == pairs(some)
+    found = format_pairs(conversation_pairs(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))).collect()
+    assert len({r.prompt_turns for r in found}) > 3  # differences at every turn
     assert conversation_pairs(frame.limit(0)).count() == 0
+
+
+def test_columns_named_like_outputs_are_replaced(spark):
+    kind = "array<struct<role:string,text:string>>"
+    frame = spark.createDataFrame([([("user", "u")], [("user", "v")], "p", "x")], f"chosen {kind}, rejected {kind}, prompt string, other string")
+    made = format_pairs(frame)
+    assert made.columns.count("prompt") == 1 and made.first().prompt == "" and made.first().other == "x"

@@ -75,3 +75,30 @@ def test_token_files(spark, odd_docs, no_docs):
     none = fresh_path(spark, "test-tokens")
     token_files.write_tokens(no_docs, none, path, end_id=1)
     assert token_files.read_tokens(spark, none).count() == 0
+
+
+def test_long_chunks_are_not_kept():
+    held = rank_bpe.RankBpe(tokenizer("word_bpe_49k.json"))
+    texts = ["x" * 5000 + str(i) for i in range(20)] + ["short words", "y" * 65]
+    first = held.round_trips(texts)
+    assert held.chunks and max(map(len, held.chunks)) <= rank_bpe.LONGEST_CHUNK
+    assert held.round_trips(texts) == first
+
+
+def test_columns_named_like_outputs(spark):
+    path = tokenizer("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "a b", "old", "old")], "doc_id long, text string, ids string, decoded string")
+    for made in (rank_bpe.encode(docs, path), rank_bpe.round_trip(docs, path), rank_bpe.decode(rank_bpe.encode(docs, path), path, out="decoded")):
+        assert len(set(made.columns)) == len(made.columns) and len(made.first().ids) == 2
+
+
+def test_one_id_spreads_over_shards(spark):
+    path = tokenizer("word_bpe_49k.json")
+    docs = spark.createDataFrame([(None if i % 3 else 7, f"{i % 97} text {i}") for i in range(2000)], "doc_id long, text string").repartition(4)
+    out, coalesce = fresh_path(spark, "test-tokens"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    manifest = token_files.write_tokens(docs, out, path, end_id=1).collect()
+    spark.conf.set(coalesce, "true")
+    assert len(manifest) > 2 and max(m["n_docs"] for m in manifest) < 1333
+    rows = sorted(token_files.read_tokens(spark, out).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 1333 + [7] * 667
