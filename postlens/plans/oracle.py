@@ -366,6 +366,32 @@ SELECT name, '{{"type":"Feature","geometry":' || CASE ord % 4 WHEN 0 THEN '{{"ty
   || (SELECT count(DISTINCT fill) FROM f) || '}}}}' AS feature FROM f"""
 
     q["standardize_events"] = f"WITH {FEATS} SELECT * FROM z"
+    q["kmeans_events"] = f"""WITH RECURSIVE {FEATS},
+x AS MATERIALIZED (SELECT event_id, f_value AS a, f_user AS b, f_hour AS c FROM z),
+seeds AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY md5(event_id::VARCHAR || ':20:' || r::VARCHAR), a, b, c) AS j, a, b, c
+  FROM x, (SELECT unnest(generate_series(0, 9)) AS r)),
+it AS (
+  SELECT 0 AS step, r, true AS moving, j, a, b, c FROM seeds WHERE j <= 4
+  UNION ALL
+  SELECT step, r, sum((a - oa) * (a - oa) + (b - ob) * (b - ob) + (c - oc) * (c - oc)) OVER (PARTITION BY r) > 1e-4::DOUBLE, j, a, b, c FROM (
+    SELECT o.step + 1 AS step, o.r, o.j, o.a AS oa, o.b AS ob, o.c AS oc, coalesce(n.a, o.a) AS a, coalesce(n.b, o.b) AS b, coalesce(n.c, o.c) AS c
+    FROM it o LEFT JOIN (
+      SELECT r, j, avg(a) AS a, avg(b) AS b, avg(c) AS c FROM (
+        SELECT m.r, x.event_id, any_value(x.a) AS a, any_value(x.b) AS b, any_value(x.c) AS c,
+          arg_min(m.j, (x.a - m.a) * (x.a - m.a) + (x.b - m.b) * (x.b - m.b) + (x.c - m.c) * (x.c - m.c)) AS j
+        FROM x, it m WHERE m.moving GROUP BY m.r, x.event_id) GROUP BY r, j) n ON n.r = o.r AND n.j = o.j
+    WHERE o.moving AND o.step < 300)),
+fin AS (SELECT * FROM it QUALIFY step = max(step) OVER (PARTITION BY r)),
+cost AS (
+  SELECT r, sum(d) AS cost FROM (
+    SELECT f.r, x.event_id, min((x.a - f.a) * (x.a - f.a) + (x.b - f.b) * (x.b - f.b) + (x.c - f.c) * (x.c - f.c)) AS d
+    FROM x, fin f GROUP BY f.r, x.event_id) GROUP BY r),
+best AS (
+  SELECT row_number() OVER (ORDER BY a, b, c) - 1 AS k, a, b, c FROM fin
+  WHERE r = (SELECT min(r) FROM cost WHERE cost <= (SELECT min(cost) FROM cost) * (1 + 1e-12)))
+SELECT x.event_id, CAST(arg_min(k, (x.a - best.a) * (x.a - best.a) + (x.b - best.b) * (x.b - best.b) + (x.c - best.c) * (x.c - best.c)) AS INTEGER) AS cluster
+FROM x, best GROUP BY x.event_id"""
     q["assign_clusters"] = f"""WITH {FEATS},
 c(cid, cv, cu, ch) AS (VALUES (0, -1.0, -1.0, 0.0), (1, -1.0, 1.0, 0.5), (2, 1.0, -1.0, -0.5), (3, 1.0, 1.0, 0.0)),
 d AS (SELECT z.event_id, c.cid, (z.f_value - c.cv) * (z.f_value - c.cv) + (z.f_user - c.cu) * (z.f_user - c.cu)
