@@ -22,7 +22,7 @@ from ..functions.phonetic import metaphone
 from ..functions.text import col_of
 from ..sources.files import local_frame
 from .projection import require_columns
-from .sentiment import repeated
+from .sentiment import on_first, repeated, row_hash, row_of
 
 
 def us_states_frame(spark) -> DataFrame:
@@ -98,7 +98,8 @@ def gazetteer_state(df: DataFrame, gazetteer: DataFrame, location_col: str = "us
     earliest (then longest) candidate; ``hash`` a seeded choice by key. Rows
     without a hit get null state and null coordinates. A hit whose state is
     null keeps its coordinates. The input is evaluated once; rows are grouped
-    by their own content (see ``sentiment``), so ids may repeat or be null.
+    by the hash of their content and their columns go with the first n-gram
+    only (see ``sentiment``), so ids may repeat or be null.
     """
     require_columns(df, [location_col, key])
     place = F.struct(F.col("state").alias("_st"), F.col("lat").cast("double").alias("_lat"),
@@ -107,26 +108,24 @@ def gazetteer_state(df: DataFrame, gazetteer: DataFrame, location_col: str = "us
     if max_words is None:
         words = F.size(F.split(F.col("city"), r"[\s,;/|]+"))
         max_words = gazetteer.agg(F.max(words)).first()[0] or 1
-    names = [f"_c{i}" for i in range(len(df.columns))]
-    base = df.toDF(*names)
-    loc, own_key = F.col(names[df.columns.index(location_col)]), F.col(names[df.columns.index(key)])
-    found = F.when(loc.isNotNull() & (loc != F.lit("")), _word_ngrams(loc, max_words))
-    grams = base.select(*names, F.posexplode_outer(found).alias("_at", "_g"))
-    grams = grams.select(*names, (F.coalesce("_at", F.lit(0)) == 0).alias("_first"), F.col("_g.pos").alias("_pos"),
+    base = df.select(row_hash(df, df.columns).alias("_key"), row_of(df.columns).alias("_all"), col_of(location_col).alias("_loc"), col_of(key).alias("_id"))
+    found = F.when(F.col("_loc").isNotNull() & (F.col("_loc") != F.lit("")), _word_ngrams(F.col("_loc"), max_words))
+    grams = base.select("_key", "_all", "_id", F.posexplode_outer(found).alias("_at", "_g"))
+    grams = grams.select("_key", *on_first("_at", "_all"), "_id", F.col("_g.pos").alias("_pos"),
                          F.col("_g.n").alias("_words"), F.col("_g.gram").alias("_gram"))
     hits = grams.join(gz, "_gram", "left").filter(F.col("_place").isNotNull() | F.col("_first"))
     if pick == "first":
         order = F.struct(F.col("_pos"), (-F.col("_words")).alias("_nn"), F.col("_place"))
     elif pick == "hash":
-        order = F.struct(F.xxhash64(own_key, F.col("_pos"), F.col("_words"), F.lit(seed)).alias("_h"), F.col("_place"))
+        order = F.struct(F.xxhash64(F.col("_id"), F.col("_pos"), F.col("_words"), F.lit(seed)).alias("_h"), F.col("_place"))
     else:
         raise ValueError(pick)
     order = F.when(F.col("_place").isNotNull(), order)
-    best = repeated(hits.groupBy(*names).agg(F.min(order).alias("_best"), F.count_if("_first").alias("_n")), "_n")
+    best = hits.groupBy("_key").agg(F.min(order).alias("_best"), F.count_if("_first").alias("_n"), F.first("_row", ignorenulls=True).alias("_row"))
     coord = F.when(F.col("_best").isNotNull(),
                    F.struct(F.col("_best._place._lat").alias("lat"), F.col("_best._place._lon").alias("lon")))
-    return best.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)],
-                       F.col("_best._place._st").alias(state_col), coord.alias(coord_col))
+    return repeated(best, "_n").select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(df.columns)],
+                                       F.col("_best._place._st").alias(state_col), coord.alias(coord_col))
 
 
 def state_from_address(df: DataFrame, address_col: str = "address", state_col: str = "state") -> DataFrame:
