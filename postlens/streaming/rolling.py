@@ -11,7 +11,8 @@ its own lines behind them. A file is a folder ``file=<prefix>_<yyyyMMdd-HHmmss>_
 the stamp is the time at which its first line's batch was first tried.
 
 State (one row a batch: lines before, lines after, stamp) is written before the batch's files, and
-everything is written under the batch's number, so a batch that is tried again gives the same files.
+everything is written under the batch's number, so a batch that is tried again gives the same files. A
+mark behind the files says that the batch is done; only done lines count as written.
 """
 
 from __future__ import annotations
@@ -63,8 +64,9 @@ class RollingSink:
         return {r["batch"]: r.asDict() for r in last}
 
     def written(self) -> int:
-        """Lines written so far."""
-        return max((s["after"] for s in self.states().values()), default=0)
+        """Lines in finished files so far."""
+        rows = self._rows(f"{self.state}/done", "after long")
+        return 0 if rows is None else rows.agg(F.max("after")).first()[0] or 0
 
     def full(self) -> bool:
         return self.nb is not None and self.written() >= self.nb
@@ -107,3 +109,4 @@ class RollingSink:
         name = F.concat(F.lit(f"{self.prefix}_"), begun, F.lit("_"), F.lpad(F.col("no").cast("string"), 6, "0"))
         out = placed.select("value", name.alias("file")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         out.partitionBy("file").text(self.folder)
+        local_frame(self.spark, [(after,)], "after long").write.mode("overwrite").parquet(f"{self.state}/done/of={number}")
