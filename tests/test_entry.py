@@ -14,6 +14,6 @@ def test_every_query_has_oracle_or_is_known_iterative():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}  # without the optional package
-    assert own - set(o) == {"kmeans_events", "kmeans_elbow_events"}
+    assert own - set(o) == {"kmeans_elbow_events"}
     for name in q:
         assert "-" not in name
