@@ -8,7 +8,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_stages_in_order_and_queries():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "simhash near-dedup", "substring dedup", "secret scans", "packing"]
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(oracle_sql()) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(oracle_sql()) <= set(QUERIES)
 
 
 def test_run_over_documents(spark, tmp_path, odd_docs):
