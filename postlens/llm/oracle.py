@@ -98,14 +98,13 @@ h5 AS (SELECT *, hash(a4, lead(a, 4) OVER o) AS a5 FROM h4 WINDOW o AS (PARTITIO
 h10 AS (SELECT *, hash(a5, lead(a5, 5) OVER o) AS a10 FROM h5 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 h20 AS (SELECT *, hash(a10, lead(a10, 10) OVER o) AS a20 FROM h10 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 h40 AS (SELECT *, hash(a20, lead(a20, 20) OVER o) AS a40 FROM h20 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-h80 AS (SELECT *, hash(a40, lead(a40, 40) OVER o) AS a80 FROM h40 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-h101 AS (SELECT *, hash(a80, lead(a80, 21) OVER o) AS a101 FROM h80 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-r AS (SELECT doc_id, i, {_repeated(5, "a5")} AS r5, {_repeated(10, "a10")} AS r10, {_repeated(101, "a101")} AS r101 FROM h101),
+h51 AS (SELECT *, hash(a40, lead(a40, 11) OVER o) AS a51 FROM h40 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, {_repeated(5, "a5")} AS r5, {_repeated(10, "a10")} AS r10, {_repeated(51, "a51")} AS r51 FROM h51),
 c AS (
-  SELECT doc_id, r101, max(r5) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c5,
+  SELECT doc_id, r51, max(r5) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c5,
     max(r10) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS c10
   FROM r),
-s AS (SELECT doc_id, count(*) FILTER (c5) AS n5, count(*) FILTER (c10) AS n10, bool_or(r101) AS long FROM c GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) FILTER (c5) AS n5, count(*) FILTER (c10) AS n10, bool_or(r51) AS long FROM c GROUP BY doc_id),
 b AS (
   SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -114,7 +113,7 @@ b AS (
 SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n5, 0) AS n_repeat_words, coalesce(n10, 0) AS n_covered_words,
   (n_words < 10 OR 100 * coalesce(n5, 0) > 20 * n_words) AS base_failed,
-  (NOT (n_words < 10 OR 100 * coalesce(n5, 0) > 20 * n_words) AND coalesce(n10, 0) <= 0.2 * n_words AND NOT coalesce(long, false)) AS kept
+  (NOT (n_words < 10 OR 100 * coalesce(n5, 0) > 20 * n_words) AND coalesce(n10, 0) <= CAST(0.1 AS DOUBLE) * n_words AND NOT coalesce(long, false)) AS kept
 FROM b LEFT JOIN s ON b.doc_id = s.doc_id
 """
 

@@ -51,3 +51,21 @@ def test_odd_rows(odd_docs, no_docs, prose, spark):
     twice = spark.createDataFrame([(1, f"{prose(2000)} {passage} {prose(20)} {passage}")], "doc_id long, text string")
     row = repetition(twice, RepeatRules()).first()
     assert not row.base_failed and not row.kept and row.longest_repeat == 150
+
+
+def test_each_limit_acts_behind_the_base_rule(spark, prose):
+    line, passage = prose(13), prose(60)
+    rows = [
+        (1, f"{prose(60)} {line} {prose(60)} {line} {prose(20)}"),  # 26 of 166 words
+        (2, f"{prose(400)} {line} {prose(60)} {line} {prose(20)}"),
+        (3, f"{prose(1500)} {passage} {prose(60)} {passage}"),  # 120 of 1,680 words, one repeat of 60
+        (4, prose(1700)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in repetition(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i: r.kept for i, r in got.items()} == {1: False, 2: True, 3: False, 4: True}
+    assert got[1].n_covered_words >= 26 and got[3].longest_repeat >= 60
+    wide = RepeatRules(max_covered=0.2, max_longest=100)
+    assert all(r.kept for r in repetition(docs, wide).collect())
+    assert sorted(r.doc_id for r in keep_good(docs).collect()) == [2, 4]
