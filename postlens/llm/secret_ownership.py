@@ -2,16 +2,19 @@
 
 Every text is scanned for the base kinds (assignments, access keys, long hex) and for *opaque*
 tokens: long mixed runs of key characters that no base span covers. The hash of each candidate's
-value is then counted over the corpus: in how many documents (repositories) and under how many
-sources (owners) it occurs. A value that many owners carry is a copied example. A value of one
-owner with high entropy looks live. The base spans always stay; an opaque token is a span, live or
-unsure, unless it is an example or of low entropy.
-
-Plan: one narrow scan writes the candidates (never the texts) to the shared folder; counts are
-made with map-side sums first per (value, owner), so a value in a third of all rows costs each
-task one row; the joins run between written tables, where adaptive execution splits a hot value.
-
-Defined cases: null or empty texts have no spans; a null owner counts as one owner; every input
+value is then counted over the corpus: in how many distinct repositories and under how many
+distinct owners it occurs. A value in many repositories of many owners is a copied example. A value
+of high entropy in few repositories of one owner looks live; one that its owner copied widely is
+unsure. The base spans always stay; an opaque token is a span, live or unsure, unless it is an
+example or of low entropy.
+
+Plan: one narrow scan writes the candidates (never the texts) to the shared folder; distinct
+(value, repository) and (value, owner) pairs are made with map-side aggregation and spread by the
+pair, then counted with map-side sums, so a value in a third of all rows meets no single task; the
+joins run between written tables, where adaptive execution splits a hot value.
+
+Defined cases: null or empty texts have no spans; a null owner counts as one owner and a null
+repository as one repository, repeated rows of a repository count once; every input
 row gives one output row, repeated rows and null ids too (rows are joined by a row key written
 with the candidates, not by id); an empty table gives an empty result.
 """
@@ -41,13 +44,15 @@ SLICE_CHARS = 8_000_000
 
 @dataclass(frozen=True)
 class OwnershipRules:
-    """``example_owners``: a value under so many owners is a copied example. ``live_owners``: at most
-    so many owners for a live-looking one, with ``live_entropy`` bits a character at least; 0 leaves
-    opaque tokens out.
-    ``opaque_chars``: shortest opaque token."""
+    """``example_owners``, ``example_repos``: a value under so many owners and in so many
+    repositories is a copied example. ``live_owners``, ``live_repos``: at most so many of both for a
+    live-looking one, with ``live_entropy`` bits a character at least; ``live_owners`` 0 leaves
+    opaque tokens out. ``opaque_chars``: shortest opaque token."""
 
     example_owners: int = 3
+    example_repos: int = 3
     live_owners: int = 1
+    live_repos: int = 10
     live_entropy: float = 3.0
     opaque_chars: int = 20
 
@@ -93,47 +98,45 @@ def candidates(docs: DataFrame, text_col: str = "text", rules: OwnershipRules =
     return appended(docs, text_col, many, f"found {CANDIDATE}", SLICE_CHARS)
 
 
-def ownership(found: DataFrame, rules: OwnershipRules = OwnershipRules()) -> DataFrame:
-    """(value_sha256, n_repos, n_owners) of ``found`` (row_key, owner, found): distinct documents and owners."""
-    held = found.select("owner", F.explode(F.array_distinct("found.value_sha256")).alias("value_sha256"))
-    by_owner = held.groupBy("value_sha256", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("value_sha256").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+def ownership(found: DataFrame) -> DataFrame:
+    """(value_sha256, n_repos, n_owners) of ``found`` (repo, owner, found): distinct repositories and
+    distinct owners of each value. Nulls count as one of each."""
+    held = found.select("repo", "owner", F.explode(F.array_distinct("found.value_sha256")).alias("value_sha256"))
+    counted = [F.count_distinct(F.struct(c)).alias(f"n_{c}s") for c in ("repo", "owner")]  # a struct is never null
+    return held.groupBy("value_sha256").agg(*counted)
 
 
-def secret_spans(docs: DataFrame, rules: OwnershipRules = OwnershipRules(), id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
+def secret_spans(docs: DataFrame, rules: OwnershipRules = OwnershipRules(), id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None) -> DataFrame:
     """One row per document: ``row_key``, its id, the text's xxhash64, and ``spans``: an array of
     (start, end, kind, n_repos, n_owners, verdict) by start, then kind. Verdict: ``example``,
-    ``live`` or ``unsure``."""
-    return _spans(docs, rules, id_col, text_col, owner_col)
-
-
-def _spans(docs, rules, id_col, text_col, owner_col):
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(owner_col).alias("owner"))
+    ``live`` or ``unsure``. ``repo_col`` names the repository; by default each document is one."""
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(owner_col).alias("owner"), F.col(repo_col or id_col).alias("repo"))
     rows = candidates(base, "text", rules)
     found = written(
-        rows.select(F.monotonically_increasing_id().alias("row_key"), F.col("c0").alias(id_col), F.coalesce(F.xxhash64("c1"), F.lit(0)).alias("text_key"), F.col("c2").alias("owner"), "found"),
+        rows.select(F.monotonically_increasing_id().alias("row_key"), F.col("c0").alias(id_col), F.coalesce(F.xxhash64("c1"), F.lit(0)).alias("text_key"), F.col("c2").alias("owner"), F.col("c3").alias("repo"), "found"),
         "secret-candidates",
     )
     with_any = found.filter(F.size("found") > 0)
-    owners = written(ownership(with_any, rules), "secret-owners")
+    owners = written(ownership(with_any), "secret-owners")
     one = with_any.select("row_key", F.explode("found").alias("f")).select("row_key", "f.*")
-    live = (F.col("n_owners") <= rules.live_owners) & (F.col("entropy") >= rules.live_entropy)
-    verdict = F.when(F.col("n_owners") >= rules.example_owners, "example").when(live, "live").otherwise("unsure")
-    opaque = F.lit(rules.live_owners > 0) & (F.col("n_owners") < rules.example_owners) & (F.col("entropy") >= rules.live_entropy)
+    example = (F.col("n_owners") >= rules.example_owners) & (F.col("n_repos") >= rules.example_repos)
+    live = (F.col("n_owners") <= rules.live_owners) & (F.col("n_repos") <= rules.live_repos) & (F.col("entropy") >= rules.live_entropy)
+    verdict = F.when(example, "example").when(live, "live").otherwise("unsure")
+    opaque = F.lit(rules.live_owners > 0) & ~example & (F.col("entropy") >= rules.live_entropy)
     judged = one.join(owners, "value_sha256").withColumn("verdict", verdict).filter((F.col("kind") < 3) | opaque)
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     span = F.struct("start", F.col("kind").alias("kind_no"), "end", kind.alias("kind"), "n_repos", "n_owners", "verdict")
     by_row = judged.groupBy("row_key").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     none = F.array().cast("array<struct<start:long,kind_no:int,end:long,kind:string,n_repos:long,n_owners:long,verdict:string>>")
-    return found.drop("found", "owner").join(by_row, "row_key", "left").withColumn("spans", F.coalesce("spans", none))
+    return found.drop("found", "owner", "repo").join(by_row, "row_key", "left").withColumn("spans", F.coalesce("spans", none))
 
 
-def mask_secrets(docs: DataFrame, rules: OwnershipRules = OwnershipRules(), id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
+def mask_secrets(docs: DataFrame, rules: OwnershipRules = OwnershipRules(), id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None) -> DataFrame:
     """``docs``, all rows and columns, with every span of ``text_col`` replaced by ``<kind:verdict>``.
 
     The spans come back by (id, text hash); equal rows have equal spans. Texts are rewritten with
     built-in string functions; only texts with a span are matched to more than a hash."""
-    spans = secret_spans(docs, rules, id_col, text_col, owner_col).filter(F.size("spans") > 0)
+    spans = secret_spans(docs, rules, id_col, text_col, owner_col, repo_col).filter(F.size("spans") > 0)
     edits = written_side(spans.dropDuplicates([id_col, "text_key"]).select(F.col(id_col).alias("__id"), "text_key", "spans"), "secret-edits")
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
