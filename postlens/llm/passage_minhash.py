@@ -14,7 +14,8 @@ passage stands. Steps:
    with two or more occurrences, in one document or several, make a part if their first occurrences,
    by document and place, are neighbours too.
 4. Each part grows word by word to both sides against its first occurrence, whose words on both sides
-   come with it, also beyond edits. Runs of one first document with edits between them are one passage
+   come with it, also beyond edits, and on through wider stretches until a difference or the next part
+   ends it. Runs of one first document with edits between them are one passage
    if the whole of it has the similarity, by exact Jaccard of the aligned shingles. What then has ``min_words`` or more is a removal; the first occurrences stay.
 
 Hot keys (a passage in a third of all documents) meet only map-side sums and joins between tables,
@@ -30,8 +31,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +43,9 @@ from .components import components
 from .store import appended, map_columns, sliced, written, written_side
 
 SLICE_CHARS = 1_000_000
-#: Words beside a matched part that are compared. A whole paragraph in there is a part of its own.
-REACH = 48
+#: Words beside a matched part that are compared first. Where the texts still agree less than
+#: ``AHEAD`` words before their end, the part is compared again with ``WIDER`` times as many.
+REACH, AHEAD, WIDER = 48, 24, 16
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -153,15 +157,26 @@ def band_keys(docs: DataFrame, rules: PassageRules) -> DataFrame:
                 continue
             keys = made.keys(made.shingles(rules.words), rules.bands)
             long = np.flatnonzero(made.size >= rules.words)
-            ids, tags = batch["doc_id"], batch["tag"]
-            of = made.doc[long].tolist()
-            row_ids, row_tags, place = [ids[i] for i in of], [tags[i] for i in of], made.place[long]
+            of, place = pa.array(made.doc[long]), made.place[long]
+            row_ids, row_tags = (pa.array(batch[c], pa.int64()).take(of) for c in ("doc_id", "tag"))
             for key in keys:
                 yield {"key": signed(key[long]), "doc_id": row_ids, "tag": row_tags, "place": place}
 
     return map_columns(docs, run, "key long, doc_id long, tag int, place int")
 
 
+def shingle_sets(shingles: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.ListArray:
+    """The distinct ``shingles`` of each stretch of ``count`` from ``start``, ascending."""
+    first, own = np.cumsum(count) - count, np.repeat(np.arange(len(start)), count)
+    values = shingles[np.arange(len(own)) + np.repeat(start - first, count)]
+    order = np.lexsort((values, own))
+    values = values[order]
+    new = np.ones(len(values), bool)  # sorting moves nothing from one stretch to another
+    new[1:] = (values[1:] != values[:-1]) | (own[1:] != own[:-1])
+    sizes = np.bincount(own[new], minlength=len(start))
+    return pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), values[new])
+
+
 def candidate_paragraphs(docs: DataFrame, rules: PassageRules) -> DataFrame:
     """(doc_id, tag, place, size, content, keys, shingles) of paragraphs with a key that occurs twice.
     Rows of equal id and text come more than once."""
@@ -178,20 +193,53 @@ def candidate_paragraphs(docs: DataFrame, rules: PassageRules) -> DataFrame:
                 continue
             shingles, content = made.shingles(rules.words), signed(made.content())
             keys = np.stack([signed(k) for k in made.keys(shingles, rules.bands)], axis=1)
-            wanted = [set(p) for p in batch["places"]]
-            out = {k: [] for k in ("doc_id", "tag", "place", "size", "content", "keys", "shingles")}
-            for j in np.flatnonzero(made.size >= rules.words).tolist():
-                i, place = int(made.doc[j]), int(made.place[j])
-                if place in wanted[i]:
-                    a, n = int(made.start[j]), int(made.size[j])
-                    own = np.unique(signed(shingles[a : a + n - rules.words + 1]))
-                    for k, v in zip(out, (batch["doc_id"][i], batch["tag"][i], place, n, int(content[j]), keys[j], own), strict=True):
-                        out[k].append(v)
-            yield out
+            sizes = [len(p) for p in batch["places"]]
+            wanted = (np.repeat(np.arange(len(sizes)), sizes) << 32) + np.array([x for p in batch["places"] for x in p], np.int64)
+            at = np.flatnonzero((made.size >= rules.words) & np.isin((made.doc << 32) + made.place, wanted))
+            of = pa.array(made.doc[at])
+            yield {
+                "doc_id": pa.array(batch["doc_id"], pa.int64()).take(of), "tag": pa.array(batch["tag"], pa.int64()).take(of),
+                "place": made.place[at], "size": made.size[at], "content": content[at],
+                "keys": pa.ListArray.from_arrays((np.arange(len(at) + 1) * rules.bands).astype(np.int32), keys[at].ravel()),
+                "shingles": shingle_sets(signed(shingles), made.start[at], made.size[at] - rules.words + 1),
+            }
 
     return map_columns(met, run, "doc_id long, tag int, place int, size int, content long, keys array<long>, shingles array<long>")
 
 
+#: Groups of up to so many sets are compared as Python sets, larger ones by an inverted index.
+FEW = 48
+
+
+def similar_sets(sets: list[list[int]], least: float) -> list[tuple[int, int]]:
+    """Spanning-forest edges (``blocks.forest``) of the sets with an exact Jaccard of ``least``."""
+    counts = np.array([len(s) for s in sets])
+    if len(sets) <= FEW:
+        held, sizes = [frozenset(s) for s in sets], counts.tolist()
+
+        def near(i: int, rest: np.ndarray) -> np.ndarray:
+            out = []
+            for r in rest.tolist():
+                both = len(held[i] & held[r])
+                out.append(both >= least * (sizes[i] + sizes[r] - both) - 1e-9)
+            return np.array(out)
+
+        return forest(len(sets), near)
+    _, flat = np.unique(np.concatenate([np.array(s, np.int64) for s in sets]), return_inverse=True)
+    ends = np.cumsum(counts)
+    order = np.argsort(flat, kind="stable")
+    member = np.repeat(np.arange(len(sets)), counts)[order]
+    upto = np.cumsum(np.bincount(flat))
+
+    def near_by_index(i: int, rest: np.ndarray) -> np.ndarray:
+        own = flat[ends[i] - counts[i] : ends[i]].tolist()
+        met = np.concatenate([member[upto[s - 1] if s else 0 : upto[s]] for s in own])
+        both = np.bincount(met, minlength=len(sets))[rest]
+        return both >= least * (counts[rest] + counts[i] - both) - 1e-9
+
+    return forest(len(sets), near_by_index)
+
+
 def similar(found: DataFrame, nodes: DataFrame, rules: PassageRules) -> DataFrame:
     """Links (a, b) between different paragraphs that share a key and have the similarity, as spanning
     forests. ``nodes``: the distinct (content, keys); only those that share a key with another one
@@ -206,22 +254,9 @@ def similar(found: DataFrame, nodes: DataFrame, rules: PassageRules) -> DataFram
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for group in runs(batches, by):
-            sets = [np.array(s, np.int64) for s in group["shingles"]]
-            if len(sets) < 2:
+            if len(group["shingles"]) < 2:
                 continue
-            counts = np.array([len(s) for s in sets])
-            _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-            parts = np.split(flat, np.cumsum(counts)[:-1])
-            mark = np.zeros(int(flat.max()) + 1, np.int64)
-
-            def near(i: int, rest: np.ndarray) -> np.ndarray:
-                mark[parts[i]] = 1
-                lengths = counts[rest]
-                both = np.add.reduceat(mark[np.concatenate([parts[r] for r in rest])], np.cumsum(lengths) - lengths)
-                mark[parts[i]] = 0
-                return both >= rules.similarity * (lengths + counts[i] - both) - 1e-9
-
-            edges = forest(len(sets), near)
+            edges = similar_sets(group["shingles"], rules.similarity)
             yield {"a": [group["content"][x] for x, _ in edges], "b": [group["content"][y] for _, y in edges]}
 
     return map_columns(dealt.repartition(*by).sortWithinPartitions(*by), run, "a long, b long")
@@ -261,7 +296,26 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
         F.min("source").alias("source"), F.min("at").alias("at"), F.max("upto").alias("upto"),
     )
     parts = written(parts.select("doc_id", "tag", "start", "end", "root", "source.*", "at", "upto").toDF("doc_id", "tag", "start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto"), "passage-parts")
-    return joined_passages(aligned_passages(rows, parts, surroundings(rows, parts), rules))
+    return joined_passages(grown_passages(rows, parts, rules))
+
+
+def grown_passages(docs: DataFrame, parts: DataFrame, rules: PassageRules) -> DataFrame:
+    """``aligned_passages`` of all ``parts``. Documents with parts that agree up to the end of what was
+    compared come again, with a wider reach of those parts, until none is left; a reach ends with its text."""
+    todo, done, reach = parts.withColumn("reach", F.lit(REACH)), None, REACH
+    while True:
+        made = written(aligned_passages(docs, todo, surroundings(docs, todo), rules), "passage-spans")
+        spans = made.filter("removed is not null")
+        done = spans if done is None else done.unionByName(spans)
+        more = made.filter("removed is null").select(*[F.col(c).alias(f"m_{c}") for c in ("doc_id", "tag", "start", "end")]).distinct()
+        if more.isEmpty():
+            return done
+        reach *= WIDER
+        of = F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("tag") == F.col("m_tag"))
+        here = (F.col("start") == F.col("m_start")) & (F.col("end") == F.col("m_end"))
+        held = todo.join(more.select("m_doc_id", "m_tag").distinct(), of, "left_semi")
+        held = held.join(more, of & here, "left").withColumn("reach", F.when(F.col("m_start").isNull(), F.col("reach")).otherwise(F.lit(reach)))
+        todo = written(held.drop("m_doc_id", "m_tag", "m_start", "m_end"), "passage-parts")
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -273,25 +327,25 @@ def word_hashes(text: str | None) -> np.ndarray:
 
 
 def surroundings(docs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(s_doc, s_tag, at, upto, before, after): the hashes of the ``REACH`` words on both sides of each
-    first occurrence that ``parts`` name, once each. The passage itself is never sent."""
-    asked = parts.groupBy("s_doc", "s_tag").agg(F.collect_set(F.struct("at", "upto")).alias("asked"))
+    """(s_doc, s_tag, at, upto, reach, before, after): the hashes of the ``reach`` words on both sides of
+    each first occurrence that ``parts`` name, once each. The passage itself is never sent."""
+    asked = parts.groupBy("s_doc", "s_tag").agg(F.collect_set(F.struct("at", "upto", "reach")).alias("asked"))
     asked = written_side(asked, "passage-sources")
     met = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("tag") == F.col("s_tag"))).select("s_doc", "s_tag", "asked", "text")
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in sliced(batches, "text", SLICE_CHARS):
-            out = {k: [] for k in ("s_doc", "s_tag", "at", "upto", "before", "after")}
+            out = {k: [] for k in ("s_doc", "s_tag", "at", "upto", "reach", "before", "after")}
             for doc, tag, spans, text in zip(batch["s_doc"], batch["s_tag"], batch["asked"], batch["text"], strict=True):
                 h = word_hashes(text)
                 for span in spans:
-                    at, upto = span["at"], span["upto"]
-                    for k, v in zip(out, (doc, tag, at, upto, h[max(0, at - REACH) : at], h[upto : upto + REACH]), strict=True):
+                    at, upto, reach = span["at"], span["upto"], span["reach"]
+                    for k, v in zip(out, (doc, tag, at, upto, reach, h[max(0, at - reach) : at], h[upto : upto + reach]), strict=True):
                         out[k].append(v)
             yield out
 
-    made = map_columns(met, run, "s_doc long, s_tag int, at int, upto int, before array<int>, after array<int>")
-    return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto"]), "passage-surroundings")
+    made = map_columns(met, run, "s_doc long, s_tag int, at int, upto int, reach int, before array<int>, after array<int>")
+    return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto", "reach"]), "passage-surroundings")
 
 
 def steps(x: list[int], y: list[int], words: int) -> list[tuple[int, int, int]]:
@@ -305,6 +359,9 @@ def steps(x: list[int], y: list[int], words: int) -> list[tuple[int, int, int]]:
         if n:
             out.append((i, j, n))
         i, j = i + n, j + n
+        known = set(y[j:])
+        if bytes([w in known for w in x[i:]]).find(b"\x01" * words) < 0:  # no such place
+            return out
         ahead: dict[tuple, int] = {}
         for k in range(max(0, len(y) - j - words + 1)):
             ahead.setdefault(tuple(y[j + k : j + k + words]), k)
@@ -328,14 +385,30 @@ class Run:
     less: int = 0
 
 
-def grown(h: np.ndarray, part: dict, words: int) -> list[Run]:
-    """The part of the text with word hashes ``h``, and the runs by which it goes on to both sides."""
-    start, end, at, upto, root = (part[k] for k in ("start", "end", "at", "upto", "root"))
+def unfinished(runs: list[tuple[int, int, int]], x: int, y: int, reach: int) -> bool:
+    """Whether the aligned ``runs`` of stretches of ``x`` and ``y`` words may go on behind them: both texts
+    have more words there, and fewer than ``AHEAD`` were left to be compared."""
+    if not runs:
+        return False
+    i, j, n = runs[-1]
+    left = [(size - at - n, size == reach) for size, at in ((x, i), (y, j))]
+    return all(rest or cut for rest, cut in left) and any(rest < AHEAD and cut for rest, cut in left)
+
+
+def grown(h: np.ndarray, part: dict, words: int, room: tuple[int, int]) -> tuple[list[Run], bool]:
+    """The part of the text with word hashes ``h``, the runs by which it goes on to both sides, and
+    whether they may go on beyond its reach. ``room``: the ends of the nearest other parts, which grow themselves."""
+    start, end, at, upto, root, reach = (part[k] for k in ("start", "end", "at", "upto", "root", "reach"))
     runs = [Run(start, end, at, upto, root)]
-    left = steps(h[max(0, start - REACH) : start][::-1].tolist(), part["before"][::-1], words)
+    x, y = h[max(0, start - reach) : start][::-1].tolist(), part["before"][::-1]
+    left = steps(x, y, words)
+    more = unfinished(left, len(x), len(y), reach) and start - left[-1][0] - left[-1][2] > room[0]
     runs += [Run(start - i - n, start - i, at - j - n, at - j, root) for i, j, n in left]
-    runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in steps(h[end : end + REACH].tolist(), part["after"], words)]
-    return [r for r in runs if r.end > r.start]
+    x, y = h[end : end + reach].tolist(), part["after"]
+    right = steps(x, y, words)
+    more = more or (unfinished(right, len(x), len(y), reach) and end + right[-1][0] + right[-1][2] < room[1])
+    runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in right]
+    return [r for r in runs if r.end > r.start], more
 
 
 def fused(runs: list[Run]) -> list[Run]:
@@ -380,10 +453,11 @@ def bridged(runs: list[Run], own: bool, rules: PassageRules) -> list[Run]:
 
 def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules: PassageRules) -> DataFrame:
     """(doc_id, tag, start, end, cluster_id, first_doc_id, removed): the parts grown word by word against
-    their first occurrences; those of ``min_words`` or more, and the first occurrences they were held against."""
-    by = F.col("s_doc").eqNullSafe(F.col("d")) & (F.col("s_tag") == F.col("t")) & (F.col("at") == F.col("a")) & (F.col("upto") == F.col("u"))
-    known = parts.join(sides.withColumnsRenamed({"s_doc": "d", "s_tag": "t", "at": "a", "upto": "u"}), by)
-    item = F.struct("start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto", "before", "after")
+    their first occurrences; those of ``min_words`` or more, and the first occurrences they were held against.
+    Of a document with parts that may go on beyond their reach only these parts, ``removed`` null."""
+    by = F.col("s_doc").eqNullSafe(F.col("d")) & (F.col("s_tag") == F.col("t")) & (F.col("at") == F.col("a")) & (F.col("upto") == F.col("u")) & (F.col("reach") == F.col("r"))
+    known = parts.join(sides.withColumnsRenamed({"s_doc": "d", "s_tag": "t", "at": "a", "upto": "u", "reach": "r"}), by)
+    item = F.struct("start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto", "reach", "before", "after")
     held = written_side(known.groupBy("doc_id", "tag").agg(F.collect_list(item).alias("parts")).withColumnsRenamed({"doc_id": "d", "tag": "t"}), "passage-alignments")
     met = docs.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc_id", "tag", "parts", "text")
 
@@ -391,9 +465,20 @@ def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules:
         for batch in sliced(batches, "text", SLICE_CHARS):
             out = {k: [] for k in ("doc_id", "tag", "start", "end", "cluster_id", "first_doc_id", "removed")}
             for doc, tag, found, text in zip(batch["doc_id"], batch["tag"], batch["parts"], batch["text"], strict=True):
-                h, sources = word_hashes(text), {}
-                for part in found:
-                    sources.setdefault((part["no_id"], part["s_doc"], part["s_tag"]), []).extend(grown(h, part, rules.words))
+                h, sources, open_parts = word_hashes(text), {}, []
+                found.sort(key=lambda p: (p["start"], p["end"]))
+                ends = [0, *accumulate((p["end"] for p in found), max)]
+                starts = [*(p["start"] for p in found[1:]), len(h)]
+                for k, part in enumerate(found):
+                    own, more = grown(h, part, rules.words, (ends[k], starts[k]))
+                    sources.setdefault((part["no_id"], part["s_doc"], part["s_tag"]), []).extend(own)
+                    if more:
+                        open_parts.append(part)
+                if open_parts:
+                    for part in open_parts:
+                        for k, v in zip(out, (doc, tag, part["start"], part["end"], None, None, None), strict=True):
+                            out[k].append(v)
+                    continue
                 spans = sorted(((r.start, r.end, r, s) for s, runs in sources.items() for r in bridged(fused(runs), s[2] == tag and s[1] == doc, rules)), key=lambda x: x[:2])
                 made = []
                 for start, end, r, s in spans:

@@ -63,16 +63,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def map_columns(df: DataFrame, fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]], schema: str) -> DataFrame:
     """``df.mapInArrow`` over plain column lists: ``fn`` maps an iterator of ``{column: values}``
-    to an iterator of ``{column: values}`` with the columns of ``schema``."""
+    to an iterator of ``{column: values}`` with the columns of ``schema``; values may be Arrow arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     out = to_arrow_schema(_parse_datatype_string(schema))
 
+    def column(values, to: pa.DataType) -> pa.Array:
+        return values.cast(to) if isinstance(values, pa.Array) else pa.array(values, type=to)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)} for batch in batches)
         for made in fn(columns):
-            yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in out], schema=out)
+            yield pa.RecordBatch.from_arrays([column(made[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 

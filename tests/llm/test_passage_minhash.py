@@ -1,4 +1,9 @@
-from postlens.llm.passage_minhash import PassageRules, cut_words, remove_passages, repeated_passages
+import random
+
+import numpy as np
+
+from postlens.llm.blocks import forest
+from postlens.llm.passage_minhash import FEW, PassageRules, cut_words, paragraphs, remove_passages, repeated_passages, shingle_sets, similar_sets
 
 
 def windows(text, n):
@@ -12,6 +17,34 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - similarity) ** rules.bands >= recall > 1 - (1 - similarity) ** (rules.bands - 1)
 
 
+def test_shingle_sets():
+    values = np.array([5, 3, 5, -1, 7, 7, 2], np.int64)
+    assert shingle_sets(values, np.array([0, 2, 4]), np.array([3, 2, 2])).to_pylist() == [[3, 5], [-1, 5], [7]]
+    assert shingle_sets(values, np.array([], np.int64), np.array([], np.int64)).to_pylist() == []
+
+
+def test_similar_sets_against_all_pairs():
+    rng = random.Random(2)
+    for n in [2, 3, 10, FEW, FEW + 1, 120] * 3:
+        bases = [rng.sample(range(1000), 12) for _ in range(n // 4 + 1)]
+        sets = [sorted({*rng.choice(bases)[: rng.randint(10, 12)], 5000}) for _ in range(n)]
+        linked = [[len({*a} & {*b}) >= 0.8 * len({*a} | {*b}) - 1e-9 for b in sets] for a in sets]
+        want = forest(n, lambda i, rest: np.array([linked[i][r] for r in rest]))
+        assert sorted(similar_sets(sets, 0.8)) == sorted(want)
+
+
+def test_growth_has_no_bound(spark):
+    """Equal word pairs have no cut, so a long run of them stands beside a seed."""
+    take = lambda n, at: " ".join(f"w{at + i}" for i in range(n))
+    flat = " ".join(["again"] * 1500)  # equal pairs: one paragraph, cut at no place inside
+    seed = take(60, 0)
+    rows = [(1, f"{take(70, 1000)} {seed} {flat} {take(30, 2000)}"), (2, f"{take(70, 3000)} {seed} {flat} odd {take(30, 4000)}")]
+    made = paragraphs([r[1] for r in rows], PassageRules())
+    assert made.size.max() > 1400
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.n_words, r.removed) for r in found} == {(1, 70, 1560, False), (2, 70, 1560, True)}
+
+
 def test_cut_words():
     assert cut_words("a b\nc  d e", [(1, 2)]) == "a d e" and cut_words("a b", [(0, 2)]) == "" and cut_words("é b c", [(2, 1), (0, 1)]) == "b "
 
