@@ -19,6 +19,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,14 +158,20 @@ def _features(df: DataFrame, cols, key: str | None) -> DataFrame:
 
 
 def _first_centers(rows: DataFrame, dims: int, k: int, n_init: int, seed: int):
-    """For each restart, the ``k`` rows with the smallest MD5 of (key, seed, restart), in that order."""
+    """For each restart, the ``k`` rows with the smallest MD5 of (key, seed, restart), in that order.
+
+    A task keeps ``k`` rows per restart: ordered limits, no sort of all rows."""
     import numpy as np
 
-    restarts = rows.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
-    order = F.struct(F.md5(F.concat_ws(":", "_key", F.lit(seed), "_r")).alias("h"), *[F.col(f"x{i}") for i in range(dims)])
-    nth = F.row_number().over(Window.partitionBy("_r").orderBy(order))
-    found = restarts.withColumn("_n", nth).filter(F.col("_n") <= k).orderBy("_r", "_n").collect()  # n_init * k rows
-    return [np.array([[r[f"x{i}"] for i in range(dims)] for r in found if r["_r"] == j]) for j in range(n_init)]
+    columns = [f"x{i}" for i in range(dims)]
+
+    def least(r: int) -> DataFrame:
+        hashed = rows.select(F.md5(F.concat_ws(":", "_key", F.lit(seed), F.lit(r))).alias("h"), *columns)
+        return hashed.orderBy("h", *columns).limit(k).withColumn("_r", F.lit(r))
+
+    found = reduce(DataFrame.unionAll, [least(r) for r in range(n_init)]).collect()  # n_init * k rows
+    chosen = [sorted((r["h"], *[r[c] for c in columns]) for r in found if r["_r"] == j) for j in range(n_init)]
+    return [np.array([r[1:] for r in of_restart]) for of_restart in chosen]
 
 
 def _pass(rows: DataFrame, dims: int, fits: dict):
