@@ -7,8 +7,9 @@
   lowest cost wins (ties: lowest restart). The first centres of a restart are
   the k rows with the smallest MD5 of (key, seed, restart), so they don't
   depend on partitions, and those of a smaller k are the first ones of a larger
-  k: one pass serves a sweep. All restarts, and all k of a sweep, share each pass
-  over the persisted features: a task turns its rows into sums per (fit,
+  k: one pass serves a sweep. The points are dealt by ranges and packed into
+  blocks of neighbours once (``point_blocks``); all restarts, and all k of a sweep,
+  share each pass over the persisted blocks: a task turns them into sums per (fit,
   cluster) with NumPy, Spark adds them up, and a few rows per fit come back.
 * ``binned_sse_curve`` / ``elbow_frame``: an SSE curve as a table and the
   knee of a convex decreasing curve (Kneedle, sensitivity 1) with window
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from ..errors import ClusteringInputError, ElbowUndefined
 from ..functions.text import col_of
 from ..sources.files import local_frame
+from . import point_blocks as B
 from .projection import numeric_columns, require_columns
 
 
@@ -174,8 +176,36 @@ def _first_centers(rows: DataFrame, dims: int, k: int, n_init: int, seed: int):
     return [np.array([r[1:] for r in of_restart]) for of_restart in chosen]
 
 
-def _pass(rows: DataFrame, dims: int, fits: dict):
-    """One pass over ``rows`` for several fits ``{number: centres}``: for each, per cluster the number
+def _blocks(rows: DataFrame, dims: int) -> DataFrame:
+    """The points in blocks of neighbours (see ``point_blocks``): ranges of the first columns go to tasks, and a
+    task packs them by chunks of bounded size."""
+    columns = [f"x{i}" for i in range(dims)]
+
+    def step(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def packed(x):
+            held, points = B.pack(x)
+            for i in range(0, len(held), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array(held[i:i + 1000], pa.binary()), pa.array(points[i:i + 1000], pa.binary())], names=["held", "points"])
+
+        chunk, n, most = [], 0, B.CHUNK_BYTES // (8 * dims)
+        for batch in batches:
+            chunk.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)], 1))
+            n += len(chunk[-1])
+            if n >= most:
+                yield from packed(np.concatenate(chunk))
+                chunk, n = [], 0
+        if n:
+            yield from packed(np.concatenate(chunk))
+
+    ranged = rows.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, *columns, "_key")
+    return ranged.select(*columns).mapInArrow(step, "held binary, points binary")
+
+
+def _pass(blocks: DataFrame, dims: int, fits: dict):
+    """One pass over ``blocks`` for several fits ``{number: centres}``: for each, per cluster the number
     of rows nearest to its centre and their sums, and the cost."""
     import numpy as np
 
@@ -184,32 +214,22 @@ def _pass(rows: DataFrame, dims: int, fits: dict):
     def step(batches):
         import pyarrow as pa
 
-        held = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
+        made = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
         for batch in batches:
-            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(dims)]
+            if not batch.num_rows:
+                continue
+            held, points = [np.frombuffer(b"".join(batch.column(i).to_pylist())) for i in range(2)]
+            held, points = held.reshape(batch.num_rows, -1), points.reshape(batch.num_rows, dims, -1)
             for m, c in fits.items():
-                # centre by centre over whole columns: the nearest so far and its distance
-                own, least = np.zeros(len(x[0]), np.int64), None
-                for j in range(len(c)):
-                    d = (x[0] - c[j, 0]) ** 2
-                    for i in range(1, dims):
-                        d += (x[i] - c[j, i]) ** 2
-                    if least is None:
-                        least = d
-                    else:
-                        own[d < least] = j
-                        np.minimum(least, d, out=least)
-                held[m][0] += np.bincount(own, minlength=len(c))
-                for i in range(dims):
-                    held[m][1][:, i] += np.bincount(own, x[i], len(c))
-                held[m][2] += least.sum()
-        rows_ = [(m, j, n[j], *s[j], cost if j == 0 else 0.0) for m, (n, s, cost) in held.items() for j in range(len(n))]
+                for i, v in enumerate(B.add_up(held, points, c)):
+                    made[m][i] = made[m][i] + v
+        rows_ = [(m, j, n[j], *s[j], cost if j == 0 else 0.0) for m, (n, s, cost) in made.items() for j in range(len(n))]
         names = ["fit", "cluster", "n", *columns, "cost"]
         types = [pa.int32(), pa.int32(), *[pa.float64()] * (dims + 2)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows_], t) for i, t in enumerate(types)], names=names)
 
     schema = "fit int, cluster int, n double, " + ", ".join(f"{c} double" for c in columns) + ", cost double"
-    parts = rows.select(*columns).mapInArrow(step, schema)
+    parts = blocks.mapInArrow(step, schema)
     sums = parts.groupBy("fit", "cluster").agg(*[F.sum(c).alias(c) for c in ["n", *columns, "cost"]]).collect()
     out = {m: [np.zeros(len(c)), np.zeros((len(c), dims)), 0.0] for m, c in fits.items()}
     for r in sums:
@@ -227,26 +247,30 @@ def _best_fits(rows: DataFrame, dims: int, ks, n_init: int, max_iter: int, seed:
     first = _first_centers(rows, dims, max(ks), n_init, seed)
     centers = {(k, j): c[:k] for k in ks for j, c in enumerate(first)}
     moving = dict(centers)
-    for _ in range(max_iter):
-        numbered = dict(enumerate(moving))
-        made = _pass(rows, dims, {i: moving[m] for i, m in numbered.items()})
-        still = {}
-        for i, m in numbered.items():
-            n, s, _cost = made[i]
-            new = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], moving[m])
-            centers[m] = new
-            if ((new - moving[m]) ** 2).sum() > tol:  # features are standardised: mean variance 1
-                still[m] = new
-        moving = still
-        if not moving:
-            break
-    numbered = dict(enumerate(centers))
-    costs = _pass(rows, dims, {i: centers[m] for i, m in numbered.items()})
+    blocks = _blocks(rows, dims).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for _ in range(max_iter):
+            numbered = dict(enumerate(moving))
+            made = _pass(blocks, dims, {i: moving[m] for i, m in numbered.items()})
+            still = {}
+            for i, m in numbered.items():
+                n, s, _cost = made[i]
+                new = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], moving[m])
+                centers[m] = new
+                if ((new - moving[m]) ** 2).sum() > tol:  # features are standardised: mean variance 1
+                    still[m] = new
+            moving = still
+            if not moving:
+                break
+        numbered = dict(enumerate(centers))
+        costs = _pass(blocks, dims, {i: centers[m] for i, m in numbered.items()})
+    finally:
+        blocks.unpersist()
     best: dict = {}
-    for i, (k, j) in numbered.items():
-        cost = costs[i][2]
-        if k not in best or cost < best[k][0]:
-            best[k] = (cost, sorted(centers[k, j].tolist()))
+    for k in ks:  # costs that differ by rounding only are equal: the lowest restart
+        of_k = {j: costs[i][2] for i, (k_, j) in numbered.items() if k_ == k}
+        j = min(j for j, cost in of_k.items() if cost <= min(of_k.values()) * (1 + 1e-12))
+        best[k] = (of_k[j], sorted(centers[k, j].tolist()))
     return best
 
 
