@@ -29,9 +29,9 @@ leaves two characters or fewer (so emoticons stay whole and may stand in the
 lexicon), tokens of one character dropped.
 
 Plan: the texts are cleaned by two regular expressions and split once; the "but"
-position, capitals and punctuation counts are per row. Each token takes its
-neighbours from the row's token array by index, then only hits (and each row's
-first token) go on. One word table (lexicon + boosters + negations) is joined
+position, capitals and punctuation counts are per row. Only hits (and each row's
+first token) go on from the lexicon join and take their neighbours from a slice
+of the row's token array. One word table (lexicon + boosters + negations) is joined
 four times (the hit and three neighbours); each phrase length and offset of the
 idiom table is an equi-join of the phrase around the hit. One aggregate over the
 row's hash follows (see ``sentiment``): ids may repeat or be null. Valences are
@@ -40,6 +40,8 @@ summed as DECIMAL, so scores don't depend on task order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,12 @@ def _count_char(text, ch):
     return F.length(t) - F.length(F.replace(t, F.lit(ch), F.lit("")))
 
 
+def _observed(hits: DataFrame, what: str) -> DataFrame:
+    """``hits``, their number as an observed metric. Spark generates the code before and after it apart, so that
+    no method that runs once a token or hit passes the 8,000 bytes beyond which the JVM only interprets it."""
+    return hits.observe(f"sentiment_rules hits {what} {uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
+
+
 def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
                     negations: DataFrame | None = None, text_cols=("full_text", "user-description"),
                     key: str | None = None, sent: str = "sentiment", compound: str = "compound",
@@ -162,19 +170,23 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
 
     ex = pre.select("*", F.posexplode_outer("_own").alias("_pos", "own")).withColumn("src", src)
     ex = ex.withColumns({"begin": of_source(begins), "end": of_source([b + F.col(f"_size{i}") for i, b in enumerate(begins)])})
-    at = lambda d: F.when((F.col("_pos") + d >= F.col("begin")) & (F.col("_pos") + d < F.col("end")), F.get("_own", F.col("_pos") + d))
     longest = 0
     if idioms is not None:
         idioms = phrase_table(idioms, "valence", "idioms").withColumn("words", F.size(F.split("phrase", " ")))
         longest = idioms.agg(F.max("words")).first()[0] or 0
     around = {d: f"f{d}" for d in range(1, longest)} | {-d: f"p{d}" for d in range(1, max(4, longest))} | {1: "f1"}
-    capitals = of_source([F.col(f"_caps{i}") for i in each])
+    # the tokens around, of the same text; they are read for hits only
+    low, high = F.greatest(F.col("begin"), F.col("_pos") + min(around)), F.least(F.col("end"), F.col("_pos") + max(around) + 1)
     ex = ex.select("_key", *on_first("_pos", "_all"), *[f"_z{i}" for i in each], "src", F.lower("own").alias("w"),
-                   (capitals & _is_upper(F.col("own"))).alias("u0"), (F.col("_pos") - F.col("begin") + 1).alias("pos"),
-                   of_source([F.col(f"_but{i}") for i in each]).alias("but"), *[F.lower(at(d)).alias(n) for d, n in around.items()],
-                   *[(capitals & _is_upper(at(-d))).alias(f"u{d}") for d in (1, 2, 3)])
+                   (F.col("_pos") - F.col("begin") + 1).alias("pos"), of_source([F.col(f"_but{i}") for i in each]).alias("but"),
+                   of_source([F.col(f"_caps{i}") for i in each]).alias("_mixed"), F.slice("_own", low + 1, high - low).alias("_near"),
+                   (F.col("_pos") - low).alias("_mid"))
     hits = ex.join(info.select("w", "valence", F.col("scalar").alias("self_scalar")), "w", "left") \
         .filter(F.col("valence").isNotNull() | F.col("_first"))
+    hits = _observed(hits, "found")
+    at = lambda d: F.get("_near", F.col("_mid") + d)
+    hits = hits.withColumns({n: F.lower(at(d)) for d, n in around.items()}
+                            | {f"u{d}": F.col("_mixed") & _is_upper(at(-d)) for d in (0, 1, 2, 3)}).drop("_near", "_mid", "_mixed")
     for d in (1, 2, 3):
         nb = info.select(F.col("w").alias(f"p{d}"), F.col("valence").isNotNull().alias(f"v{d}"),
                          F.col("scalar").alias(f"s{d}"), F.col("neg").alias(f"n{d}"))
@@ -197,6 +209,7 @@ def sentiment_rules(df: DataFrame, lexicon: DataFrame, boosters: DataFrame | Non
         if d == 3:
             nxt = F.when(never[3] & stress[2] | stress[1], boosted * STRESS_FAR).otherwise(nxt)
         hits = hits.withColumn("_v", F.when(applies, nxt).otherwise(cur))
+    hits = _observed(hits, "scored")
     for n in range(longest, 1, -1):  # the longest first, then the one that begins first
         some = idioms.filter(F.col("words") == n)
         for first in range(1 - n, 1):

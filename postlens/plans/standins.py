@@ -198,7 +198,7 @@ def q_sentiment_rules_posts(spark, sf):
     from ..operators.sentiment_rules import sentiment_rules
     p = tb.posts(spark, sf, ("id", "full_text", "user_description"))
     s = sentiment_rules(p, tb.lexicon(spark), tb.boosters(spark), tb.negations(spark),
-                        text_cols=["full_text", "user_description"], key="id", keep_struct=True, sep="_")
+                        text_cols=["full_text", "user_description"], key="id", carry=["id"], keep_struct=True, sep="_")
     return s.select("id", "full_text_sentiment_compound", F.col("full_text_sentiment.pos").alias("full_text_pos"),
                     F.col("full_text_sentiment.neg").alias("full_text_neg"),
                     "user_description_sentiment_compound")

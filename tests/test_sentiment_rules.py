@@ -158,3 +158,16 @@ def test_repeated_idioms_rejected(spark):
     again = local_frame(spark, [("the  bomb", 3.0), ("The bomb", 1.0)], "phrase string, valence double")
     with pytest.raises(LexiconError):
         sentiment_rules(df, *tables(spark), ["t"], idioms=again)
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark):
+    """The JVM interprets methods over 8,000 bytes; those here run once a token or hit."""
+    from postlens.plans.standins import QUERIES
+    for name in ("sentiment_rules_posts", "sentiment_idioms", "sentiment_turns"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        stages = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        found = [stages.apply(i) for i in range(stages.size())]
+        # the stages up to the aggregate by the row's hash (after it, a method runs once a row)
+        sizes = [s._3().maxMethodCodeSize() for s in found if not s._1().split(") ", 1)[1].startswith("Project [") or "_key#" in s._1().split("\n")[0]]
+        assert len(sizes) >= 3 and max(sizes) < 8000, sorted(sizes)
