@@ -102,3 +102,21 @@ def test_one_id_spreads_over_shards(spark):
     assert len(manifest) > 2 and max(m["n_docs"] for m in manifest) < 1333
     rows = sorted(token_files.read_tokens(spark, out).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None] * 1333 + [7] * 667
+
+
+def test_slices_of_texts_equal_the_library(texts):
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        whole, own = Tokenizer.from_file(tokenizer(name)), ChunkEncoder(tokenizer(name), spaced, "<u2")
+        for some in (texts, texts[:1], ["", "", "a"], [""], []):
+            ids, at = own.encode_many(some)
+            assert len(at) == len(some) + 1 and at[0] == 0 and at[-1] == len(ids)
+            for text, a, b in zip(some, at, at[1:]):
+                assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_word_of_a_slice_is_looked_up_once(monkeypatch):
+    own, seen = ChunkEncoder(tokenizer("word_bpe_49k.json"), False, "<u2"), []
+    told_apart = own.told_apart
+    monkeypatch.setattr(own, "told_apart", lambda piece: seen.append(piece) or told_apart(piece))
+    own.encode_many(["the sea, the\nsea"] * 100)
+    assert sorted(seen) == ["sea", "sea,", "the"]
