@@ -29,6 +29,7 @@ are not read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
@@ -42,7 +43,7 @@ from .blocks import forest, in_blocks, runs
 from .components import components
 from .store import appended, map_columns, sliced, written, written_side
 
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 4_000_000
 #: Words beside a matched part that are compared first. Where the texts still agree less than
 #: ``AHEAD`` words before their end, the part is compared again with ``WIDER`` times as many.
 REACH, AHEAD, WIDER = 48, 24, 16
@@ -108,20 +109,29 @@ class Paragraphs:
         return np.add.reduceat(mixed(self.hashes + inside.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), self.start)
 
 
-def paragraphs(texts: list[str | None], rules: PassageRules) -> Paragraphs | None:
-    """The paragraphs of at least ``words`` words; None if the texts have no words."""
+def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all ``texts``, and how many each text has. The words are told apart
+    first, so that each is hashed once."""
+    import pyarrow.compute as pc
     import xxhash
 
-    hashes, sizes, docs = [], [], []
-    for i, text in enumerate(texts):
-        words = (text or "").encode().lower().split()
-        if words:
-            hashes += map(xxhash.xxh3_64_intdigest, words)
-            sizes.append(len(words))
-            docs.append(i)
-    if not hashes:
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
+    words = lists.flatten().dictionary_encode()
+    known = [w.encode() for w in words.dictionary.to_numpy(zero_copy_only=False)]
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    which, ends = words.indices.to_numpy(), lists.offsets.to_numpy()
+    empty = known.index(b"") if b"" in known else -1  # beside white space at a text's ends
+    real = which != empty
+    return h[which[real]], np.diff(np.append(0, np.cumsum(real))[ends])
+
+
+def paragraphs(texts: list[str | None], rules: PassageRules) -> Paragraphs | None:
+    """The paragraphs of at least ``words`` words; None if the texts have no words."""
+    h, size = hashed_words(texts)
+    if not len(h):
         return None
-    h, size, doc = np.array(hashes, np.uint64), np.array(sizes), np.array(docs)
+    doc = np.flatnonzero(size)
+    size = size[doc]
     n, text_start = len(h), np.cumsum(size) - size
     pair = h.copy()
     pair[:-1] += mixed(h[1:])
@@ -182,8 +192,8 @@ def candidate_paragraphs(docs: DataFrame, rules: PassageRules) -> DataFrame:
     Rows of equal id and text come more than once."""
     keyed = band_keys(docs, rules)
     shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared-keys")
-    places = keyed.join(shared, "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
-    met = docs.withColumnsRenamed({"doc_id": "d", "tag": "t"}).join(places, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tag")))
+    places = keyed.join(shared.hint("shuffle_hash"), "key").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+    met = docs.withColumnsRenamed({"doc_id": "d", "tag": "t"}).join(places.hint("shuffle_hash"), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tag")))
     met = met.select("doc_id", "tag", "places", "text")
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -277,7 +287,7 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
     spans = rooted.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     again = written(spans.filter(~F.col("low").eqNullSafe(F.col("high"))).select("root", "low"), "paragraph-clusters")
     of = written(rooted.select("content", "root").join(again, "root"), "paragraph-members")
-    members = found.select("doc_id", "tag", "place", "size", "content").join(of, "content")
+    members = found.select("doc_id", "tag", "place", "size", "content").join(of.hint("shuffle_hash"), "content")
     own = F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.tag") == F.col("tag")) & (F.col("low.place") == F.col("place"))
     by_doc = Window.partitionBy("doc_id", "tag").orderBy("place")
     copies = members.filter(~own).withColumn("same", F.lag("place").over(by_doc) == F.col("place")).filter("same is null or not same")
@@ -302,9 +312,9 @@ def repeated_passages(docs: DataFrame, rules: PassageRules = PassageRules(), id_
 def grown_passages(docs: DataFrame, parts: DataFrame, rules: PassageRules) -> DataFrame:
     """``aligned_passages`` of all ``parts``. Documents with parts that agree up to the end of what was
     compared come again, with a wider reach of those parts, until none is left; a reach ends with its text."""
-    todo, done, reach = parts.withColumn("reach", F.lit(REACH)), None, REACH
+    todo, done, reach, again = parts.withColumn("reach", F.lit(REACH)), None, REACH, docs
     while True:
-        made = written(aligned_passages(docs, todo, surroundings(docs, todo), rules), "passage-spans")
+        made = written(aligned_passages(again, todo, surroundings(docs, todo), rules), "passage-spans")
         spans = made.filter("removed is not null")
         done = spans if done is None else done.unionByName(spans)
         more = made.filter("removed is null").select(*[F.col(c).alias(f"m_{c}") for c in ("doc_id", "tag", "start", "end")]).distinct()
@@ -316,60 +326,70 @@ def grown_passages(docs: DataFrame, parts: DataFrame, rules: PassageRules) -> Da
         held = todo.join(more.select("m_doc_id", "m_tag").distinct(), of, "left_semi")
         held = held.join(more, of & here, "left").withColumn("reach", F.when(F.col("m_start").isNull(), F.col("reach")).otherwise(F.lit(reach)))
         todo = written(held.drop("m_doc_id", "m_tag", "m_start", "m_end"), "passage-parts")
+        ids = written_side(todo.select(F.col("doc_id").alias("m_doc_id"), F.col("tag").alias("m_tag")).distinct(), "passage-open", hashed=True)
+        again = docs.join(ids, of, "left_semi")
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """32 bits of the hash of each word."""
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    return np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64).astype(np.uint32).view(np.int32)
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """32 bits of the hash of each word of each text."""
+    h, sizes = hashed_words(texts)
+    return np.split(h.astype(np.uint32).view(np.int32), np.cumsum(sizes)[:-1])
 
 
 def surroundings(docs: DataFrame, parts: DataFrame) -> DataFrame:
     """(s_doc, s_tag, at, upto, reach, before, after): the hashes of the ``reach`` words on both sides of
-    each first occurrence that ``parts`` name, once each. The passage itself is never sent."""
+    each first occurrence that ``parts`` name, once each, as 32-bit integers. The passage itself is never sent."""
     asked = parts.groupBy("s_doc", "s_tag").agg(F.collect_set(F.struct("at", "upto", "reach")).alias("asked"))
-    asked = written_side(asked, "passage-sources")
+    asked = written_side(asked, "passage-sources", hashed=True)
     met = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("tag") == F.col("s_tag"))).select("s_doc", "s_tag", "asked", "text")
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in sliced(batches, "text", SLICE_CHARS):
             out = {k: [] for k in ("s_doc", "s_tag", "at", "upto", "reach", "before", "after")}
-            for doc, tag, spans, text in zip(batch["s_doc"], batch["s_tag"], batch["asked"], batch["text"], strict=True):
-                h = word_hashes(text)
+            for doc, tag, spans, h in zip(batch["s_doc"], batch["s_tag"], batch["asked"], word_hashes(batch["text"]), strict=True):
                 for span in spans:
                     at, upto, reach = span["at"], span["upto"], span["reach"]
-                    for k, v in zip(out, (doc, tag, at, upto, reach, h[max(0, at - reach) : at], h[upto : upto + reach]), strict=True):
+                    for k, v in zip(out, (doc, tag, at, upto, reach, h[max(0, at - reach) : at].tobytes(), h[upto : upto + reach].tobytes()), strict=True):
                         out[k].append(v)
             yield out
 
-    made = map_columns(met, run, "s_doc long, s_tag int, at int, upto int, reach int, before array<int>, after array<int>")
-    return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto", "reach"]), "passage-surroundings")
+    made = map_columns(met, run, "s_doc long, s_tag int, at int, upto int, reach int, before binary, after binary")
+    return written_side(made.dropDuplicates(["s_doc", "s_tag", "at", "upto", "reach"]), "passage-surroundings", hashed=True)
 
 
 def steps(x: list[int], y: list[int], words: int) -> list[tuple[int, int, int]]:
     """The aligned runs (place in x, place in y, words) from the beginnings of ``x`` and ``y``. Behind a
-    difference they go on at the nearest places from which ``words`` words agree."""
+    difference they go on at the nearest places from which ``words`` words agree. The places in ``y`` are
+    noted once, and a search ends where no nearer one can follow, so the time is in proportion to the words."""
     out, i, j = [], 0, 0
+    places: dict[tuple, list[int]] | None = None
     while True:
-        n = 0
-        while i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+        n, most = 0, min(len(x) - i, len(y) - j)
+        while n < most and x[i + n] == y[j + n]:
             n += 1
         if n:
             out.append((i, j, n))
         i, j = i + n, j + n
-        known = set(y[j:])
-        if bytes([w in known for w in x[i:]]).find(b"\x01" * words) < 0:  # no such place
-            return out
-        ahead: dict[tuple, int] = {}
-        for k in range(max(0, len(y) - j - words + 1)):
-            ahead.setdefault(tuple(y[j + k : j + k + words]), k)
-        met = [(k + ahead[at], k, ahead[at]) for k in range(max(0, len(x) - i - words + 1)) if (at := tuple(x[i + k : i + k + words])) in ahead]
-        if not met:
+        if places is None:
+            known = set(y[j:])
+            if bytes([w in known for w in x[i:]]).find(b"\x01" * words) < 0:  # no such place
+                return out
+            places = {}
+            for k, shingle in enumerate(zip(*(y[j + w :] for w in range(words)), strict=False), j):
+                places.setdefault(shingle, []).append(k)
+            shingles, begin = list(zip(*(x[i + w :] for w in range(words)), strict=False)), i
+        best = None
+        for k in range(len(shingles) + begin - i):
+            if best and k >= best[0]:
+                break
+            met = places.get(shingles[k + i - begin])
+            if met and met[-1] >= j:
+                m = met[bisect_left(met, j)] - j
+                if best is None or (k + m, k, m) < best:
+                    best = (k + m, k, m)
+        if best is None:
             return out
-        _, k, m = min(met)
-        i, j = i + k, j + m
+        i, j = i + best[1], j + best[2]
 
 
 @dataclass
@@ -400,11 +420,12 @@ def grown(h: np.ndarray, part: dict, words: int, room: tuple[int, int]) -> tuple
     whether they may go on beyond its reach. ``room``: the ends of the nearest other parts, which grow themselves."""
     start, end, at, upto, root, reach = (part[k] for k in ("start", "end", "at", "upto", "root", "reach"))
     runs = [Run(start, end, at, upto, root)]
-    x, y = h[max(0, start - reach) : start][::-1].tolist(), part["before"][::-1]
+    before, after = (np.frombuffer(part[k], np.int32) for k in ("before", "after"))
+    x, y = h[max(0, start - reach) : start][::-1].tolist(), before[::-1].tolist()
     left = steps(x, y, words)
     more = unfinished(left, len(x), len(y), reach) and start - left[-1][0] - left[-1][2] > room[0]
     runs += [Run(start - i - n, start - i, at - j - n, at - j, root) for i, j, n in left]
-    x, y = h[end : end + reach].tolist(), part["after"]
+    x, y = h[end : end + reach].tolist(), after.tolist()
     right = steps(x, y, words)
     more = more or (unfinished(right, len(x), len(y), reach) and end + right[-1][0] + right[-1][2] < room[1])
     runs += [Run(end + i, end + i + n, upto + j, upto + j + n, root) for i, j, n in right]
@@ -458,14 +479,14 @@ def aligned_passages(docs: DataFrame, parts: DataFrame, sides: DataFrame, rules:
     by = F.col("s_doc").eqNullSafe(F.col("d")) & (F.col("s_tag") == F.col("t")) & (F.col("at") == F.col("a")) & (F.col("upto") == F.col("u")) & (F.col("reach") == F.col("r"))
     known = parts.join(sides.withColumnsRenamed({"s_doc": "d", "s_tag": "t", "at": "a", "upto": "u", "reach": "r"}), by)
     item = F.struct("start", "end", "root", "no_id", "s_doc", "s_tag", "at", "upto", "reach", "before", "after")
-    held = written_side(known.groupBy("doc_id", "tag").agg(F.collect_list(item).alias("parts")).withColumnsRenamed({"doc_id": "d", "tag": "t"}), "passage-alignments")
+    held = written_side(known.groupBy("doc_id", "tag").agg(F.collect_list(item).alias("parts")).withColumnsRenamed({"doc_id": "d", "tag": "t"}), "passage-alignments", hashed=True)
     met = docs.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc_id", "tag", "parts", "text")
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in sliced(batches, "text", SLICE_CHARS):
             out = {k: [] for k in ("doc_id", "tag", "start", "end", "cluster_id", "first_doc_id", "removed")}
-            for doc, tag, found, text in zip(batch["doc_id"], batch["tag"], batch["parts"], batch["text"], strict=True):
-                h, sources, open_parts = word_hashes(text), {}, []
+            for doc, tag, found, h in zip(batch["doc_id"], batch["tag"], batch["parts"], word_hashes(batch["text"]), strict=True):
+                sources, open_parts = {}, []
                 found.sort(key=lambda p: (p["start"], p["end"]))
                 ends = [0, *accumulate((p["end"] for p in found), max)]
                 starts = [*(p["start"] for p in found[1:]), len(h)]

@@ -1,9 +1,11 @@
 import random
+import time
 
 import numpy as np
+import xxhash
 
 from postlens.llm.blocks import forest
-from postlens.llm.passage_minhash import FEW, PassageRules, cut_words, paragraphs, remove_passages, repeated_passages, shingle_sets, similar_sets
+from postlens.llm.passage_minhash import FEW, PassageRules, cut_words, hashed_words, paragraphs, remove_passages, repeated_passages, shingle_sets, similar_sets, steps
 
 
 def windows(text, n):
@@ -33,6 +35,49 @@ def test_similar_sets_against_all_pairs():
         assert sorted(similar_sets(sets, 0.8)) == sorted(want)
 
 
+def nearest(x, y, words):
+    """The next places (in x, in y) from which ``words`` words agree, by all pairs."""
+    same = [(a + b, a, b) for a in range(len(x) - words + 1) for b in range(len(y) - words + 1) if x[a : a + words] == y[b : b + words]]
+    return min(same)[1:] if same else None
+
+
+def test_steps_against_all_pairs():
+    rng = random.Random(8)
+    for _ in range(600):
+        few, words = rng.choice([2, 4, 30]), rng.choice([2, 3, 5])
+        x = [rng.randrange(few) for _ in range(rng.randrange(30))]
+        y = [rng.randrange(few) if rng.random() < 0.1 else w for w in x if rng.random() < 0.95] + [rng.randrange(few)]
+        want, i, j = [], 0, 0
+        while True:
+            n = next((k for k, (a, b) in enumerate(zip(x[i:], y[j:], strict=False)) if a != b), min(len(x) - i, len(y) - j))
+            if n:
+                want.append((i, j, n))
+            i, j = i + n, j + n
+            at = nearest(x[i:], y[j:], words)
+            if at is None:
+                break
+            i, j = i + at[0], j + at[1]
+        assert steps(x, y, words) == want
+
+
+def test_steps_take_time_in_proportion_to_the_words():
+    """A difference every seventh word: the places weren't noted once, but again at each difference."""
+    x = list(range(20_000))
+    y = [-1 if k % 7 == 6 else k for k in x]
+    begin = time.process_time()
+    assert steps(x, y, 5) == [(k, k, 6) for k in range(0, 19_999, 7)]
+    assert time.process_time() - begin < 3
+
+
+def test_hashed_words():
+    rng = random.Random(1)
+    for _ in range(200):
+        texts = [rng.choice([None, "", " \n", "".join(rng.choices("aAbÄß \t\n\x0b\x1c\x85\u3000\0", k=rng.randrange(30)))]) for _ in range(4)]
+        words = [(t or "").encode().lower().split() for t in texts]
+        hashes, sizes = hashed_words(texts)
+        assert sizes.tolist() == [len(w) for w in words] and hashes.tolist() == [xxhash.xxh3_64_intdigest(x) for w in words for x in w]
+
+
 def test_growth_has_no_bound(spark):
     """Equal word pairs have no cut, so a long run of them stands beside a seed."""
     take = lambda n, at: " ".join(f"w{at + i}" for i in range(n))
