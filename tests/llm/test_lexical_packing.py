@@ -3,7 +3,7 @@ import math
 import numpy as np
 from tokenizers import Tokenizer
 
-from postlens.llm.lexical_packing import PackingRules, ShardIndex, pack, packed_shard
+from postlens.llm.lexical_packing import PackingRules, ShardIndex, distinct_terms, pack, packed_shard, rarest_terms
 from postlens.llm.queries import packing_digest, tokenizer
 
 
@@ -66,3 +66,15 @@ def test_every_id_once(odd_docs, no_docs):
         assert b"".join(x for _, x in sorted(by_doc[doc])) == ids
     assert packing_digest(pack(odd_docs, path)).columns[:4] == ["doc_id", "start", "length", "ids_crc32"]
     assert pack(no_docs, path).count() == 0
+
+
+def test_rarest_terms_against_sorting():
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, 60, rng.integers(1, 30)) for _ in range(200)] + [np.array([65535] * 3), np.array([0])]
+    rank = rng.permutation(1 << 16) << 16 | np.arange(1 << 16)
+    a, b = rarest_terms([r.astype("<u4").tobytes() for r in rows], rank)
+    for row, first, second in zip(rows, a.tolist(), b.tolist(), strict=True):
+        terms = sorted(set(row.tolist()), key=lambda t: rank[t])
+        assert [first, second] == [*terms, 0][:2]
+    row, term, count = distinct_terms([r.astype("<u4").tobytes() for r in rows])
+    assert [(i, t, r.tolist().count(t)) for i, r in enumerate(rows) for t in sorted(set(r.tolist()))] == list(zip(row.tolist(), term.tolist(), count.tolist(), strict=True))

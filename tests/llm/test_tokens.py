@@ -120,3 +120,26 @@ def test_a_word_of_a_slice_is_looked_up_once(monkeypatch):
     monkeypatch.setattr(own, "told_apart", lambda piece: seen.append(piece) or told_apart(piece))
     own.encode_many(["the sea, the\nsea"] * 100)
     assert sorted(seen) == ["sea", "sea,", "the"]
+
+
+def test_new_words_of_a_slice_take_one_call(monkeypatch):
+    own, seen = ChunkEncoder(tokenizer("byte_bpe_50k.json"), True, "<u4"), []
+    assert own.by_letters
+    for name in ("library_ids", "letter_ids"):
+        plain = getattr(own, name)
+        monkeypatch.setattr(own, name, lambda x, plain=plain: seen.append(x) or plain(x))
+    texts = ["The sea, the\nsea é9 the sea."] * 100
+    ids, at = own.encode_many(texts)
+    whole = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    assert all(ids[a:b].tolist() == whole.encode(t, add_special_tokens=False).ids for t, a, b in zip(texts, at, at[1:]))
+    assert [sorted(x) for x in seen if isinstance(x, list)] == [["sea", "the"]] and len(seen) <= 3
+
+
+def test_words_of_letters_equal_the_library():
+    rng = random.Random(3)
+    own, whole = ChunkEncoder(tokenizer("byte_bpe_50k.json"), True, "<u4"), Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    words = sorted({"".join(rng.choices("abcdeghinorstuyABéßñ日本Σªا", k=rng.randint(1, 14))) for _ in range(3000)})
+    pieces = words + [w + ".,"[k % 2] for k, w in enumerate(words)] + ["\n" + w for w in words] + [w + "\u00a0x" for w in words[:50]]
+    for piece, ids in zip(pieces, own.spaced_pieces(pieces), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(piece if piece[0] == "\n" else " " + piece, add_special_tokens=False).ids, piece
+    assert own.spaced_pieces(["", "\n", " a", "a\t", "\n\n", "\x85"]) == [False] * 6
